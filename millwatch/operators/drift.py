@@ -56,3 +56,29 @@ def drift_summary(drifts: DataFrame) -> DataFrame:
 def refresh_reference(reference: DataFrame, new: DataFrame, as_of: str, days: int = REFERENCE_DAYS) -> DataFrame:
     """Append new rows to the reference and keep the recent days of it."""
     return keep_recent(reference.unionByName(new, allowMissingColumns=True), as_of, days)
+
+
+def retrain_decision(df: DataFrame, as_of: str, columns: Sequence[str], days: int = PERFORMANCE_DAYS,
+                     reference_days: int = REFERENCE_DAYS) -> DataFrame:
+    """Drift of the last ``days`` days against days -30 to -1; retrain only if there is any."""
+    end = F.lit(as_of).cast("timestamp_ntz")
+    recent = df.filter((F.col("timestamp") >= end - F.expr(f"INTERVAL {days} DAYS")) & (F.col("timestamp") <= end))
+    base = df.filter((F.col("timestamp") >= end - F.expr(f"INTERVAL {reference_days} DAYS"))
+                     & (F.col("timestamp") <= end - F.expr("INTERVAL 1 DAY")))
+    return drift_summary(feature_drift(base, recent, columns)).withColumn("retrain", F.col("has_drift"))
+
+
+def should_retrain(log: DataFrame, as_of: str, metrics: Sequence[str], threshold: float = PERFORMANCE_THRESHOLD,
+                   days: int = PERFORMANCE_DAYS, order: Sequence[str] = ("timestamp", "run_id")) -> DataFrame:
+    """Per model: is the mean of its newest metrics below the threshold?
+
+    Records of age ``days`` whole days still count; a model without any is left alone.
+    """
+    age = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {days + 1} DAYS")
+    fresh = F.col("timestamp") > age
+    newest = log.groupBy("model").agg(
+        F.max_by(F.struct(*order, *metrics), F.when(fresh, F.struct(*order))).alias("r"))
+    overall = sum((F.col(f"r.{m}") for m in metrics), F.lit(0.0)) / float(len(metrics))
+    return newest.select(
+        "model", F.col("r.run_id").alias("run_id"), overall.alias("performance"),
+        F.coalesce(overall < threshold, F.lit(False)).alias("should_retrain"))

@@ -85,15 +85,20 @@ def health_by_window(
     order: Sequence[str] = READING_ORDER,
     weights: Mapping[str, float] = SENSOR_WEIGHTS,
     ranges: Mapping[str, tuple[float, float]] = SENSOR_RANGES,
+    bucket: Column | None = None,
 ) -> DataFrame:
-    """One row per equipment and time window: the score of each sensor type and overall."""
+    """One row per equipment and time window: the score of each sensor type and overall.
+
+    ``bucket`` replaces the window by any start-of-period expression.
+    """
+    start = F.window("timestamp", window)["start"] if bucket is None else bucket
     value, at = F.col("value"), F.struct(*order)
     latest = [
         F.max_by(value, F.when((F.col("sensor_type") == t) & value.isNotNull(), at)).alias(f"_last_{t}")
         for t in weights
     ]
     grouped = (
-        df.withColumn("window_start", F.window("timestamp", window)["start"])
+        df.withColumn("window_start", start)
         .groupBy("equipment_id", "window_start").agg(*latest)
     )
     scores = sensor_scores({t: F.col(f"_last_{t}") for t in weights}, ranges)

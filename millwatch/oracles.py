@@ -239,3 +239,358 @@ ORACLES["scale_robust"] = _scaled("quantile_cont({c}, 0.5)", "quantile_cont({c},
 ORACLES["sequence_windows"] = f"""WITH {PLANT}, s AS (
   SELECT *, list(temperature) OVER (PARTITION BY equipment_id ORDER BY {PLANT_ORDER} ROWS BETWEEN 59 PRECEDING AND CURRENT ROW) AS seq FROM plant)
 SELECT {PLANT_ID}, len(seq)::INT AS length, seq[1] AS first, seq[60] AS last, round(list_sum(seq), 3) AS total FROM s WHERE len(seq) = 60"""
+
+# --- detectors, votes, evaluation -------------------------------------------------
+
+DETECTORS = Z_SCORES + f""", detectors AS (
+  SELECT reading_id, CASE WHEN (metadata->>'k')::INT < 10 THEN -1 ELSE 1 END AS label,
+    CASE WHEN z_score > 2 THEN -1 ELSE 1 END AS p1, -z_score AS s1,
+    CASE WHEN value > lim THEN -1 ELSE 1 END AS p2, -value / lim AS s2,
+    CASE WHEN own < 0.2 THEN -1 ELSE 1 END AS p3, own - 1 AS s3
+  FROM (SELECT *, CASE sensor_type WHEN 'vibration' THEN 1 WHEN 'temperature' THEN 100 WHEN 'pressure' THEN 150
+    WHEN 'rpm' THEN 2500 ELSE 1 END::DOUBLE AS lim, {single_health()} AS own FROM z)),
+long AS (SELECT label, 'zscore' AS model, p1 AS p FROM detectors UNION ALL SELECT label, 'limit', p2 FROM detectors
+  UNION ALL SELECT label, 'health', p3 FROM detectors),
+counts AS (SELECT model, count(*) AS n, count(*) FILTER (label = -1 AND p = -1) AS tp, count(*) FILTER (label = 1 AND p = -1) AS fp,
+  count(*) FILTER (label = -1 AND p = 1) AS fn FROM long GROUP BY model),
+pr AS (SELECT model, (n - fp - fn) / n AS accuracy, tp / (tp + fp + 1e-8) AS precision, tp / (tp + fn + 1e-8) AS recall FROM counts),
+metrics AS (SELECT *, 2 * precision * recall / (precision + recall + 1e-8) AS f1_score FROM pr)"""
+
+ORACLES["anomaly_vote"] = f"""WITH {DETECTORS},
+w AS (SELECT 1 / (avg(abs(s1)) + 1e-8) AS w1, 1 / (avg(abs(s2)) + 1e-8) AS w2, 1 / (avg(abs(s3)) + 1e-8) AS w3 FROM detectors)
+SELECT reading_id, CASE WHEN ((p1 = 1)::INT + (p2 = 1)::INT + (p3 = 1)::INT) / 3.0 > 0.5 THEN 1 ELSE -1 END AS majority_vote,
+  round((s1 + s2 + s3) / 3, 4) AS mean_score,
+  CASE WHEN ((p1 = 1)::INT * w1 + (p2 = 1)::INT * w2 + (p3 = 1)::INT * w3) / (w1 + w2 + w3) > 0.5 THEN 1 ELSE -1 END AS weighted_vote,
+  round((s1 * w1 + s2 * w2 + s3 * w3) / (w1 + w2 + w3), 4) AS weighted_score FROM detectors, w"""
+
+ORACLES["binary_metrics"] = f"""WITH {DETECTORS}
+SELECT model, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+  round(f1_score, 6) AS f1_score FROM metrics"""
+
+ORACLES["best_model"] = f"""WITH {DETECTORS}, best AS (SELECT model FROM metrics ORDER BY f1_score DESC, model LIMIT 1)
+SELECT reading_id, model AS model_used, label FROM detectors, best
+WHERE CASE model WHEN 'zscore' THEN p1 WHEN 'limit' THEN p2 ELSE p3 END = -1"""
+
+LABELLED = PLANT + """, labelled AS (
+  SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, equipment_id) AS row_id, value AS p1,
+    (temperature - 36) / 49.0 AS p2, (rpm - 1500) / 525.0 AS p3,
+    (value + (temperature - 36) / 49.0 + 0.5 * ((rid * 7919 % 1000) / 1000.0) > 1.3)::INT AS will_fail FROM plant)"""
+
+ORACLES["class_weights"] = f"""WITH {LABELLED}
+SELECT will_fail, count(*) AS n, round((SELECT count(*) FROM labelled) / (2.0 * count(*)), 6) AS weight FROM labelled GROUP BY will_fail"""
+
+ORACLES["stratified_split"] = f"""WITH {LABELLED}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY will_fail ORDER BY ('0x' || substr(md5(row_id || '|' || l_partkey), 1, 13))::BIGINT, row_id, l_partkey) AS k,
+    count(*) OVER (PARTITION BY will_fail) AS n FROM labelled)
+SELECT row_id, "timestamp", will_fail, CASE WHEN k <= ceil(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM ranked"""
+
+
+def auc_sql(source: str, score: str, by: str) -> str:
+    return f"""SELECT {by}, (sum(CASE WHEN y = 1 THEN r END) - n1 * (n1 + 1) / 2.0) / n1 / (n - n1) AS auc FROM (
+  SELECT *, min_rank + (ties - 1) / 2.0 AS r FROM (
+    SELECT *, rank() OVER (PARTITION BY {by} ORDER BY {score}) AS min_rank, count(*) OVER (PARTITION BY {by}, {score}) AS ties,
+      sum(y) OVER (PARTITION BY {by}) AS n1, count(*) OVER (PARTITION BY {by}) AS n FROM {source})) GROUP BY {by}, n1, n"""
+
+
+ORACLES["auc_rank"] = f"""WITH {LABELLED}, s AS (SELECT 'all' AS g, will_fail AS y, (p2 + p3) / 2 AS p FROM labelled),
+a AS ({auc_sql('s', 'p', 'g')}),
+c AS (SELECT count(*) AS n, count(*) FILTER (y = 1 AND p > 0.5) AS tp, count(*) FILTER (y = 0 AND p > 0.5) AS fp,
+  count(*) FILTER (y = 1 AND p <= 0.5) AS fn FROM s),
+m AS (SELECT (n - fp - fn) / n AS accuracy, tp / (tp + fp + 1e-8) AS precision, tp / (tp + fn + 1e-8) AS recall FROM c)
+SELECT round(accuracy, 6) AS accuracy, round(auc, 6) AS auc, round(precision, 6) AS precision, round(recall, 6) AS recall,
+  round(2 * precision * recall / (precision + recall + 1e-8), 6) AS f1_score FROM m, a"""
+
+ORACLES["failure_vote"] = f"""WITH {LABELLED},
+folds AS (SELECT *, ('0x' || substr(md5(row_id), 1, 7))::BIGINT % 5 AS fold FROM labelled),
+s AS (SELECT 'p1:' || fold AS g, will_fail AS y, p1 AS p FROM folds UNION ALL SELECT 'p2:' || fold, will_fail, p2 FROM folds
+  UNION ALL SELECT 'p3:' || fold, will_fail, p3 FROM folds),
+a AS ({auc_sql('s', 'p', 'g')}),
+w AS (SELECT avg(auc) FILTER (g LIKE 'p1%') AS w1, avg(auc) FILTER (g LIKE 'p2%') AS w2, avg(auc) FILTER (g LIKE 'p3%') AS w3 FROM a),
+v AS (SELECT *, (p1 * w1 + p2 * w2 + p3 * w3) / (w1 + w2 + w3) AS soft FROM labelled, w)
+SELECT row_id, "timestamp", round(soft, 6) AS soft_probability, (soft > 0.5)::INT AS soft_vote,
+  (((p1 > 0.5)::INT + (p2 > 0.5)::INT + (p3 > 0.5)::INT) / 3.0 > 0.5)::INT AS hard_vote FROM v"""
+
+ORACLES["failure_label"] = f"""WITH {READINGS}, f AS (SELECT 'EQ_' || user_id AS equipment_id, ts AS next_failure FROM events WHERE event_type = 'error')
+SELECT r.reading_id, r.equipment_id, f.next_failure, coalesce((f.next_failure - r."timestamp" <= INTERVAL 72 HOUR)::INT, 0) AS will_fail
+FROM readings r ASOF LEFT JOIN f ON r.equipment_id = f.equipment_id AND r."timestamp" < f.next_failure"""
+
+ORACLES["maintenance_recommendations"] = f"""WITH {LABELLED}, p AS (SELECT *, (p1 + p2) / 2 AS p, FROM labelled),
+u AS (SELECT *, CASE WHEN p > 0.7 THEN 'high' ELSE 'medium' END AS urgency FROM p WHERE p > 0.5)
+SELECT row_id, "timestamp", round(p + 1.23e-6, 4) AS failure_probability, urgency, 'Schedule maintenance - ' || urgency || ' priority' AS recommendation,
+  CASE WHEN p > 0.9 THEN 'Within 24 hours' WHEN p > 0.7 THEN 'Within 1 week' ELSE 'Within 1 month' END AS estimated_failure_time FROM u"""
+
+ORACLES["forecast_trend_season"] = f"""WITH {PLANT}, t AS (
+  SELECT equipment_id, regr_slope(value, epoch("timestamp") / 86400) AS a, regr_intercept(value, epoch("timestamp") / 86400) AS b,
+    max("timestamp") AS last_seen FROM plant GROUP BY 1),
+ratios AS (SELECT p.equipment_id, p."timestamp", value / (b + a * epoch("timestamp") / 86400) AS q FROM plant p JOIN t USING (equipment_id)),
+weeks AS (SELECT equipment_id, isodow("timestamp") AS slot, avg(q) AS wi FROM ratios GROUP BY 1, 2),
+years AS (SELECT equipment_id, month("timestamp") AS slot, avg(q) AS yi FROM ratios GROUP BY 1, 2),
+future AS (SELECT equipment_id, a, b, last_seen + k * INTERVAL 1 DAY AS "timestamp" FROM t, range(1, 31) r(k)),
+yh AS (SELECT f.equipment_id, f."timestamp", (b + a * epoch(f."timestamp") / 86400) * coalesce(wi, 1) * coalesce(yi, 1) AS yhat FROM future f
+  LEFT JOIN weeks w ON w.equipment_id = f.equipment_id AND w.slot = isodow(f."timestamp")
+  LEFT JOIN years y ON y.equipment_id = f.equipment_id AND y.slot = month(f."timestamp"))
+SELECT equipment_id, "timestamp", round(yhat, 6) AS yhat,
+  round(greatest(0, least(1, CASE WHEN yhat > 0.8 THEN (yhat - 0.8) / (1 - 0.8) ELSE 0 END)), 6) AS failure_probability FROM yh"""
+
+# --- health -----------------------------------------------------------------------
+
+WIDE = PLANT + """, wide AS (
+  SELECT *, 1 - greatest(0, least(1, value)) AS vib, 1 - greatest(0, least(1, (temperature - 20) / 60)) AS heat,
+    (0.4::DOUBLE * (1 - greatest(0, least(1, value))) + 0.3::DOUBLE * (1 - greatest(0, least(1, (temperature - 20) / 60)))
+     + 0.2::DOUBLE * (1 - greatest(0, least(1, load / 100))) + 0.1::DOUBLE * (1 - greatest(0, least(1, (rpm - 1500) / 500)))) AS sensors
+  FROM plant)"""
+
+ORACLES["wide_sensor_health"] = f"WITH {WIDE} SELECT {PLANT_ID}, round(sensors, 8) AS health FROM wide"
+
+ORACLES["cluster_distance_health"] = f"""WITH {PLANT}, dist AS (SELECT *, sqrt(least(
+  (value - 0.5) ** 2 + (temperature - 60) ** 2 + (rpm - 1750) ** 2 + (load - 40) ** 2,
+  (value - 0.2) ** 2 + (temperature - 45) ** 2 + (rpm - 1600) ** 2 + (load - 10) ** 2,
+  (value - 0.8) ** 2 + (temperature - 75) ** 2 + (rpm - 1900) ** 2 + (load - 70) ** 2)) AS dd FROM plant)
+SELECT {PLANT_ID}, round(dd, 6) AS distance, round(1 - dd / (SELECT max(dd) FROM dist), 6) AS health_score FROM dist"""
+
+HEALTH_SCORES = WIDE + ", " + TARGET.replace("FROM plant", "FROM wide").replace("plant.*", "wide.*")
+
+ORACLES["health_vote"] = f"""WITH {HEALTH_SCORES}, r2 AS (
+  SELECT greatest(0, 1 - avg((health_score - sensors) ** 2) / var_pop(health_score)) AS w1,
+    greatest(0, 1 - avg((health_score - vib) ** 2) / var_pop(health_score)) AS w2,
+    greatest(0, 1 - avg((health_score - heat) ** 2) / var_pop(health_score)) AS w3 FROM target)
+SELECT {PLANT_ID}, round((sensors + vib + heat) / 3, 8) AS average,
+  round(CASE WHEN w1 + w2 + w3 > 0 THEN (sensors * w1 + vib * w2 + heat * w3) / (w1 + w2 + w3) ELSE (sensors + vib + heat) / 3 END, 8) AS weighted,
+  round(list_median([sensors, vib, heat]), 8) AS median FROM target, r2"""
+
+ORACLES["regression_metrics"] = f"WITH {HEALTH_SCORES} " + " UNION ALL ".join(
+    f"SELECT '{m}' AS model, round(avg((health_score - {c}) ** 2), 6) AS mse, round(sqrt(avg((health_score - {c}) ** 2)), 6) AS rmse, "
+    f"round(avg(abs(health_score - {c})), 6) AS mae, round(1 - avg((health_score - {c}) ** 2) / var_pop(health_score), 6) AS r2_score FROM target"
+    for m, c in (("sensors", "sensors"), ("vibration", "vib"), ("heat", "heat")))
+
+ORACLES["health_report"] = f"""WITH {WIDE} SELECT {PLANT_ID}, round(sensors, 8) AS health_score, {status('sensors')} AS status,
+  {urgency('sensors')} AS urgency, (sensors <= 0.2)::INT AS is_critical FROM wide"""
+
+WINDOW_HEALTH = """windows AS (
+  SELECT DISTINCT equipment_id, date_trunc('day', "timestamp") AS w FROM readings),
+whealth AS (SELECT equipment_id, w, coalesce(o.overall_health, 0.5) AS h FROM windows LEFT JOIN overall o USING (equipment_id, w))"""
+
+ORACLES["maintenance_schedule"] = f"""WITH {READINGS}, {HEALTH}, {WINDOW_HEALTH},
+latest AS (SELECT equipment_id, arg_max(h, w) AS h FROM whealth GROUP BY 1),
+u AS (SELECT *, {status('h')} AS status, {urgency('h')} AS urgency FROM latest)
+SELECT equipment_id, round(h, 8) AS health_score, status, urgency,
+  TIMESTAMP '2024-01-31 00:00:00' + CASE urgency WHEN 'critical' THEN 1 WHEN 'high' THEN 1 WHEN 'medium' THEN 7 ELSE 30 END * INTERVAL 1 DAY AS recommended_date,
+  status || ' condition' AS "condition" FROM u"""
+
+# --- drift, performance, registry -------------------------------------------------
+
+
+def drift_sql(features: list[str], ref: str, cur: str) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, (abs((SELECT avg({c}) FROM {cur}) - avg({c})) + abs((SELECT stddev_samp({c}) FROM {cur}) - stddev_samp({c}))) "
+        f"/ 2 / (stddev_samp({c}) + 1e-8) AS drift FROM {ref}" for c in features)
+    return f"""drifts AS ({rows}), total AS (SELECT max(drift > 0.1) AS any_drift, avg(drift) AS drift_score, max(drift) AS max_drift FROM drifts),
+advice AS (SELECT *, CASE WHEN NOT any_drift THEN 'No retraining needed' WHEN drift_score > 0.3 THEN 'Immediate retraining required'
+  WHEN drift_score > 0.2 THEN 'Retraining recommended within 24 hours' ELSE 'Retraining recommended within 1 week' END AS recommendation FROM total)"""
+
+
+ORACLES["drift_report"] = f"""WITH {PLANT}, ref AS (SELECT * FROM plant WHERE "timestamp" < TIMESTAMP '1999-01-01'),
+cur AS (SELECT * REPLACE (temperature + 10 AS temperature) FROM plant WHERE "timestamp" >= TIMESTAMP '1999-01-01'),
+{drift_sql(MEASURES, 'ref', 'cur')}
+SELECT feature, round(drift, 6) AS drift, (drift > 0.1)::INT AS has_drift, round(drift_score, 6) AS drift_score,
+  round(max_drift, 6) AS max_drift, recommendation FROM drifts, advice"""
+
+ORACLES["weighted_metrics"] = f"""WITH {READINGS}, {HEALTH}, rows AS (
+  SELECT {status('coalesce(o.overall_health, 0.5)')} AS y, {status(single_health('r.sensor_type', 'r.value'))} AS p
+  FROM readings r LEFT JOIN overall o ON o.equipment_id = r.equipment_id AND o.w = date_trunc('day', r."timestamp")),
+classes AS (SELECT y AS c FROM rows UNION SELECT p FROM rows),
+per AS (SELECT c, count(*) FILTER (y = c) AS support, count(*) FILTER (p = c) AS taken, count(*) FILTER (y = c AND p = c) AS tp
+  FROM rows, classes GROUP BY c),
+pq AS (SELECT *, CASE WHEN taken > 0 THEN tp / taken ELSE 0 END AS pr, CASE WHEN support > 0 THEN tp / support ELSE 0 END AS re FROM per)
+SELECT round(sum(tp) / sum(support), 6) AS accuracy, round(sum(pr * support) / sum(support), 6) AS precision,
+  round(sum(re * support) / sum(support), 6) AS recall,
+  round(sum(CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0 END * support) / sum(support), 6) AS f1_score FROM pq"""
+
+MODEL_LOG = """log AS (
+  SELECT o_orderkey AS run_id, CASE o_custkey % 3 WHEN 0 THEN 'anomaly' WHEN 1 THEN 'failure' ELSE 'health' END AS model,
+    o_orderkey % 40 + 1 AS version, CASE o_orderstatus WHEN 'F' THEN 'Production' WHEN 'O' THEN 'Staging' ELSE 'Archived' END AS stage,
+    o_orderdate AS "timestamp", floor(o_totalprice)::BIGINT % 1000 / 1000.0::DOUBLE AS accuracy,
+    floor(o_totalprice / 7)::BIGINT % 1000 / 1000.0::DOUBLE AS f1_score FROM orders)"""
+
+ORACLES["should_retrain"] = f"""WITH {MODEL_LOG}, newest AS (
+  SELECT * FROM log WHERE "timestamp" > TIMESTAMP '2001-08-05' - INTERVAL 8 DAY
+  QUALIFY row_number() OVER (PARTITION BY model ORDER BY "timestamp" DESC, run_id DESC) = 1)
+SELECT m.model, run_id::DOUBLE AS run_id, round((accuracy + f1_score) / 2, 6) AS performance,
+  coalesce((accuracy + f1_score) / 2 < 0.8, false)::INT AS should_retrain
+FROM (SELECT DISTINCT model FROM log) m LEFT JOIN newest USING (model)"""
+
+_KINDS = ["vibration", "temperature", "pressure", "rpm"]
+ORACLES["retrain_decision"] = f"""WITH {READINGS}, wide AS (SELECT "timestamp", """ + ", ".join(
+    f"CASE WHEN sensor_type = '{k}' THEN value END AS {k}" for k in _KINDS) + f""" FROM readings),
+cur AS (SELECT * FROM wide WHERE "timestamp" BETWEEN TIMESTAMP '2024-01-24' AND TIMESTAMP '2024-01-31'),
+ref AS (SELECT * FROM wide WHERE "timestamp" BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-30'),
+{drift_sql(_KINDS, 'ref', 'cur')}
+SELECT any_drift::INT AS has_drift, round(drift_score, 6) AS drift_score, round(max_drift, 6) AS max_drift, recommendation,
+  any_drift::INT AS retrain FROM advice"""
+
+ORACLES["best_run"] = f"""WITH {MODEL_LOG}
+SELECT 'max f1_score' AS "by", model, run_id, f1_score AS metric FROM log
+QUALIFY row_number() OVER (PARTITION BY model ORDER BY f1_score DESC, run_id) = 1
+UNION ALL SELECT 'min accuracy', model, run_id, accuracy FROM log
+QUALIFY row_number() OVER (PARTITION BY model ORDER BY accuracy, run_id) = 1"""
+
+ORACLES["registry_latest"] = f"""WITH {MODEL_LOG}, now AS (
+  SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY model, version ORDER BY "timestamp" DESC, run_id DESC) = 1)
+SELECT model, stage, max(version) AS version, count(*) AS versions, 'models:/' || model || '/' || max(version) AS uri FROM now GROUP BY model, stage"""
+
+ORACLES["model_performance"] = f"""WITH {MODEL_LOG}
+SELECT model, round(avg(accuracy), 6) AS accuracy, round(avg(f1_score), 6) AS f1_score, round(1 - avg(accuracy), 6) AS error_rate,
+  count(*) AS prediction_count, max("timestamp") AS last_updated
+FROM log WHERE "timestamp" BETWEEN TIMESTAMP '1999-01-01' AND TIMESTAMP '2000-12-31 23:59:59' GROUP BY model"""
+
+# --- alerts -----------------------------------------------------------------------
+
+
+def _rule(name: str, condition: str, severity: str, description: str, source: str) -> str:
+    return (f"SELECT reading_id, \"timestamp\", equipment_id, '{name}' AS rule, '{severity}' AS severity, '{description}' AS description, "
+            f"'{source}' AS source FROM records WHERE {condition}")
+
+
+ALERTS = Z_SCORES + f""", records AS (
+  SELECT *, z_score > 2 AS is_anomaly, CASE WHEN z_score > 2 THEN least(z_score / 2, 1) ELSE 0 END AS conf, {single_health()} AS own,
+    (metadata->>'k')::DOUBLE / 100 AS pf, CASE WHEN sensor_type = 'other' THEN (metadata->>'k')::DOUBLE / 100 END AS acc FROM z),
+raised0 AS (""" + " UNION ALL ".join([
+    _rule("anomaly_detected", "is_anomaly AND conf > 0.8", "warning", "Anomaly detected in sensor data", "anomaly_detector"),
+    _rule("critical_health", "own < 0.2", "critical", "Equipment health is critical", "health_scorer"),
+    _rule("failure_predicted", "pf > 0.8", "error", "Equipment failure predicted", "failure_predictor"),
+    _rule("model_performance_degraded", "acc < 0.7", "warning", "Model performance has degraded", "model_monitor"),
+]) + """),
+raised AS (SELECT *, source || '_' || floor(epoch("timestamp"))::BIGINT || '_' || rule || '_' || reading_id AS alert_id FROM raised0),
+actions AS (
+  SELECT alert_id, 'acknowledged' AS action, 'operator_' || (reading_id % 5) AS actor, "timestamp" + INTERVAL 5 MINUTE AS act_time FROM raised WHERE reading_id % 3 = 0
+  UNION ALL SELECT alert_id, 'resolved', 'operator_9', "timestamp" + INTERVAL 30 MINUTE FROM raised WHERE reading_id % 6 = 0),
+states AS (
+  SELECT r.*, coalesce((SELECT arg_max(action, act_time) FROM actions a WHERE a.alert_id = r.alert_id), 'active') AS status FROM raised r)"""
+
+ORACLES["rule_alerts"] = f"""WITH {ALERTS}
+SELECT alert_id, rule, 'Rule Triggered: ' || rule AS title, description, severity, source, "timestamp", equipment_id, 'active' AS status FROM raised"""
+
+ORACLES["alert_cooldown"] = f"""WITH RECURSIVE {ALERTS},
+instants AS (SELECT rule, "timestamp" AS t, min(alert_id) AS alert_id FROM raised GROUP BY rule, "timestamp"),
+jumps AS (SELECT i.rule, i.t, i.alert_id, n.t AS nxt FROM instants i ASOF LEFT JOIN instants n ON n.rule = i.rule AND i.t + INTERVAL 300 SECOND <= n.t),
+fired AS (
+  SELECT j.* FROM jumps j JOIN (SELECT rule, min(t) AS t FROM jumps GROUP BY rule) f USING (rule, t)
+  UNION ALL SELECT j.* FROM fired f JOIN jumps j ON j.rule = f.rule AND j.t = f.nxt)
+SELECT alert_id, rule, t AS "timestamp" FROM fired"""
+
+ORACLES["alert_lifecycle"] = f"""WITH {ALERTS}
+SELECT alert_id, CASE WHEN reading_id % 6 = 0 THEN 'resolved' WHEN reading_id % 3 = 0 THEN 'acknowledged' ELSE 'active' END AS status,
+  CASE WHEN reading_id % 3 = 0 THEN 'operator_' || (reading_id % 5) END AS acknowledged_by,
+  CASE WHEN reading_id % 3 = 0 THEN "timestamp" + INTERVAL 5 MINUTE END AS acknowledged_at,
+  CASE WHEN reading_id % 6 = 0 THEN "timestamp" + INTERVAL 30 MINUTE END AS resolved_at FROM raised"""
+
+ORACLES["alert_stats"] = f"""WITH {ALERTS}
+SELECT count(*) AS total_alerts, count(*) FILTER (status = 'active') AS active_alerts, """ + ", ".join(
+    f"count(*) FILTER (severity = '{s}') AS {s}_alerts" for s in ("info", "warning", "error", "critical")) + " FROM states"
+
+ORACLES["alert_page"] = f"""WITH {ALERTS}, wanted AS (SELECT * FROM states WHERE severity = 'critical' AND status = 'active'),
+n AS (SELECT count(*) AS total FROM wanted)
+SELECT alert_id, "timestamp", severity, status, equipment_id, total AS total_count, (total > 200)::INT AS has_next, 1 AS has_previous
+FROM wanted, n ORDER BY "timestamp" DESC, alert_id LIMIT 100 OFFSET 100"""
+
+ORACLES["metric_alerts"] = """
+SELECT event_id AS metric_id, ts AS "timestamp", 'cpu_percent' AS metric, round(value, 6) AS value, 'High CPU Usage' AS title,
+  'warning' AS severity, 'system_monitor' AS source FROM events WHERE event_type = 'click' AND value > 80
+UNION ALL SELECT event_id, ts, 'memory_percent', round(value, 6), 'High Memory Usage', 'critical', 'system_monitor'
+FROM events WHERE event_type = 'view' AND value > 90"""
+
+# --- metrics ----------------------------------------------------------------------
+
+ORACLES["component_metrics"] = """WITH named AS (
+  SELECT *, CASE event_type WHEN 'click' THEN 'data_ingestion' WHEN 'view' THEN 'model_inference' WHEN 'purchase' THEN 'anomaly_detection'
+    WHEN 'signup' THEN 'health_scoring' END AS component,
+    CASE event_type WHEN 'click' THEN 'records_processed' WHEN 'view' THEN 'predictions_made' WHEN 'purchase' THEN 'anomalies_detected'
+    WHEN 'signup' THEN 'scores_calculated' END AS counter,
+    CASE event_type WHEN 'click' THEN 'processing_time' WHEN 'view' THEN 'inference_time' WHEN 'purchase' THEN 'detection_time'
+    WHEN 'signup' THEN 'calculation_time' END AS timing
+  FROM events WHERE event_type <> 'error')
+SELECT component, counter AS metric, count(*)::DOUBLE AS value FROM named GROUP BY 1, 2
+UNION ALL SELECT component, timing, round(arg_max(value, (ts, event_id)), 6) FROM named GROUP BY 1, 2"""
+
+_BUCKETS = ["0.005", "0.01", "0.025", "0.05", "0.075", "0.1", "0.25", "0.5", "0.75", "1.0", "2.5", "5.0", "7.5", "10.0"]
+ORACLES["metric_histogram"] = "WITH b(le, bound) AS (VALUES " + ", ".join(
+    f"('{b}', {b}::DOUBLE)" for b in _BUCKETS) + """, ('+Inf', 'infinity'::DOUBLE))
+SELECT event_type AS component, le, count(*) FILTER (value <= bound) AS cumulative_count, round(sum(value), 4) AS observed_sum,
+  count(value) AS observed_count FROM events, b GROUP BY event_type, le"""
+
+ORACLES["metric_summary"] = """
+SELECT event_type AS component, date_trunc('day', ts) AS period, round(avg(value) + 1.23e-6, 4) AS average, max(value) AS peak, count(*) AS samples
+FROM events GROUP BY 1, 2 UNION ALL SELECT event_type, NULL, round(avg(value) + 1.23e-6, 4), max(value), count(*) FROM events GROUP BY 1"""
+
+ORACLES["component_status"] = """WITH latest AS (
+  SELECT event_type AS component, max(ts) AS last_seen, arg_max(value, (ts, event_id)) AS latest FROM events GROUP BY 1),
+s AS (SELECT *, CASE WHEN latest > 150 THEN 2 WHEN latest > 50 THEN 1 ELSE 0 END AS lv FROM latest)
+SELECT component, ['healthy', 'degraded', 'unhealthy'][lv + 1] AS status, last_seen, latest,
+  ['healthy', 'degraded', 'unhealthy'][(SELECT max(lv) FROM s) + 1] AS overall_status FROM s"""
+
+ORACLES["health_changes"] = f"""WITH {READINGS}, {HEALTH}, {WINDOW_HEALTH},
+s AS (SELECT equipment_id, w, {status('h')} AS new_status FROM whealth),
+l AS (SELECT *, lag(new_status) OVER (PARTITION BY equipment_id ORDER BY w) AS old_status FROM s)
+SELECT equipment_id, w AS "timestamp", old_status, new_status, 'equipment.health_changed' AS event, new_status AS payload_status
+FROM l WHERE old_status <> new_status"""
+
+# --- equipment --------------------------------------------------------------------
+
+EQUIPMENT = """equipment AS (
+  SELECT 'EQ_' || c_custkey AS equipment_id, c_name AS name, c_mktsegment AS type, r_name AS location, n_name AS site,
+    CASE WHEN c_acctbal < 0 THEN 'offline' ELSE 'operational' END AS status
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+ORACLES["equipment_page"] = f"""WITH {READINGS}, {HEALTH}, {WINDOW_HEALTH}, {EQUIPMENT},
+latest AS (SELECT equipment_id, arg_max(h, w) AS h FROM whealth GROUP BY 1),
+wanted AS (SELECT * FROM equipment WHERE status = 'operational' AND location = 'ASIA')
+SELECT equipment_id, name, type, location, status, round(h, 8) AS health_score, CASE WHEN h IS NOT NULL THEN {status('h')} END AS health_status,
+  (SELECT count(*) FROM wanted) AS total_count, ((SELECT count(*) FROM wanted) > 100)::INT AS has_next
+FROM wanted LEFT JOIN latest USING (equipment_id) ORDER BY equipment_id LIMIT 100"""
+
+ORACLES["equipment_detail"] = f"""WITH {MAINTENANCE}, h AS (
+  SELECT equipment_id, ((row_number() OVER w - 1) // 1000)::INT AS history_page, * EXCLUDE (equipment_id) FROM maintenance
+  WINDOW w AS (PARTITION BY equipment_id ORDER BY date, order_key)),
+p AS (SELECT equipment_id, history_page, count(*) AS entries, min(date) AS first_date, arg_min(type, (date, type, order_key)) AS first_type,
+  max(date) AS last_date, arg_max(order_key, (date, type, order_key)) AS last_key FROM h GROUP BY ALL)
+SELECT 'EQ_' || s_suppkey AS equipment_id, s_name AS name, r_name AS location, n_name AS site,
+  CASE WHEN s_acctbal < 0 THEN 'offline' ELSE 'operational' END AS status, coalesce(history_page, 0) AS history_page, entries::INT AS entries,
+  first_date, first_type, last_date, last_key
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+LEFT JOIN p ON p.equipment_id = 'EQ_' || s_suppkey"""
+
+ORACLES["silent_equipment"] = f"""WITH {ALERTS}, {EQUIPMENT}
+SELECT equipment_id, name, status, 'silent' AS kind FROM equipment WHERE equipment_id NOT IN (SELECT equipment_id FROM readings)
+UNION ALL SELECT equipment_id, name, status, 'alerted' FROM equipment WHERE equipment_id IN (SELECT equipment_id FROM raised)"""
+
+
+def history_sql(unit: str, where: str) -> str:
+    health = HEALTH.replace("date_trunc('day'", f"date_trunc('{unit}'").replace("value IS NOT NULL GROUP", f"value IS NOT NULL AND {where} GROUP")
+    return f"""{Z_SCORES}, {health},
+counts AS (SELECT equipment_id, date_trunc('{unit}', "timestamp") AS w, count(*) FILTER (z_score > 2) AS anomalies FROM z WHERE {where} GROUP BY ALL),
+history AS (SELECT equipment_id, w, coalesce(overall_health, 0.5) AS h, anomalies FROM counts LEFT JOIN overall USING (equipment_id, w))"""
+
+
+_RANGE = "\"timestamp\" >= TIMESTAMP '2024-01-05' AND \"timestamp\" < TIMESTAMP '2024-01-28'"
+ORACLES["health_history"] = f"""WITH {history_sql('week', _RANGE)}
+SELECT equipment_id, w AS "timestamp", round(h, 8) AS health_score, {status('h')} AS status, anomalies, {urgency('h')} AS maintenance_urgency FROM history"""
+
+ORACLES["health_summary"] = f"""WITH {history_sql('day', 'true')},
+s AS (SELECT equipment_id, avg(h) AS a, coalesce(regr_slope(h, epoch(w) / 86400), 0) AS slope, sum(anomalies)::BIGINT AS anomaly_count,
+  count(*) FILTER (h <= 0.2) AS critical_alerts FROM history GROUP BY 1)
+SELECT equipment_id, round(a + 1.23e-6, 4) AS average_health, CASE WHEN slope > 1e-3 THEN 'improving' WHEN slope < -1e-3 THEN 'declining' ELSE 'stable' END AS trend,
+  anomaly_count, critical_alerts FROM s"""
+
+ORACLES["array_readings_anomaly"] = f"""WITH {READINGS}, n AS (
+  SELECT *, row_number() OVER (PARTITION BY equipment_id ORDER BY "timestamp", reading_id) - 1 AS k FROM readings),
+q AS (SELECT *, equipment_id || '#' || (k // 20) AS request_id FROM n),
+s AS (SELECT *, count(*) OVER w AS n, avg(value) OVER w AS mu, stddev_pop(value) OVER w AS sd FROM q
+  WINDOW w AS (PARTITION BY request_id ORDER BY k ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)),
+z AS (SELECT *, CASE WHEN n < 10 THEN abs(value) WHEN sd > 0 THEN abs(value - mu) / sd ELSE 0 END AS z FROM s)
+SELECT request_id, max((z > 2)::INT) AS is_anomaly, round(max(CASE WHEN z > 2 THEN least(z / 2, 1.0) ELSE 0 END), 4) AS confidence,
+  round(max(z), 4) AS anomaly_score, count(*) AS readings FROM z GROUP BY request_id"""
+
+ORACLES["component_scores"] = f"""WITH {READINGS}, {HEALTH}, {WINDOW_HEALTH},
+texts AS (SELECT equipment_id, w, string_agg(printf('%s=%.6f', sensor_type, score), ';' ORDER BY sensor_type) AS t FROM parts GROUP BY ALL)
+SELECT equipment_id, w AS "timestamp", round(h, 8) AS overall_score, {status('h')} AS status, {urgency('h')} AS maintenance_urgency,
+  coalesce(t, '') AS component_scores FROM whealth LEFT JOIN texts USING (equipment_id, w)"""

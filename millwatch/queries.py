@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millwatch import fixtures as X
 from millwatch.functions import scores as S
 from millwatch.operators import (
-    cleaning as B, drift as H, features as C, sessions, stream_rules as D,
+    alerts as I, cleaning as B, drift as H, equipment as J, evaluation as V, failure as P, features as C, health as G,
+    metrics as M, registry as R, sessions, stream_rules as D, voting as E,
 )
+from millwatch.plans.slices import running
 from millwatch.schemas import MEASURES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -258,3 +260,417 @@ def sequence_windows(spark, d):
     total = F.aggregate("sequence", F.lit(0.0), lambda a, x: a + x)
     return s.select(*PLANT_ID, F.size("sequence").alias("length"), F.col("sequence")[0].alias("first"),
                     F.element_at("sequence", -1).alias("last"), r(total, 3).alias("total"))
+
+
+# --- detectors, votes and evaluation ----------------------------------------------
+
+
+def detectors(spark, d):
+    """Three rule detectors side by side: prediction 1 or -1, score lower = more anomalous."""
+    z = D.zscore_anomaly(X.readings(spark, d))
+    own = S.single_reading_health(F.col("sensor_type"), F.col("value"))
+    limit = S.sensor_limit(F.col("sensor_type"))
+    label = F.when(F.get_json_object("metadata", "$.k").cast("int") < 10, -1).otherwise(1)
+    return z.select(
+        "reading_id", label.alias("label"),
+        F.when(F.col("z_score") > 2, -1).otherwise(1).alias("zscore"), (-F.col("z_score")).alias("zscore_score"),
+        F.when(F.col("value") > limit, -1).otherwise(1).alias("limit"), (-F.col("value") / limit).alias("limit_score"),
+        F.when(own < 0.2, -1).otherwise(1).alias("health"), (own - 1).alias("health_score"))
+
+
+DETECTORS = ["zscore", "limit", "health"]
+
+
+def _votes():
+    return {n: F.col(n) for n in DETECTORS}, {n: F.col(f"{n}_score") for n in DETECTORS}
+
+
+@query
+def anomaly_vote(spark, d):
+    rows = detectors(spark, d)
+    out = E.anomaly_vote(rows, *_votes(), "majority").withColumnsRenamed(
+        {"ensemble_prediction": "majority_vote", "ensemble_score": "mean_score"})
+    out = E.anomaly_vote(out, *_votes(), "weighted")
+    return out.select("reading_id", "majority_vote", r("mean_score").alias("mean_score"),
+                      F.col("ensemble_prediction").alias("weighted_vote"), r("ensemble_score").alias("weighted_score"))
+
+
+def _detector_metrics(spark, d):
+    rows = V.long_form(detectors(spark, d), {n: F.col(n) for n in DETECTORS}, ["label"], "model", "prediction")
+    return V.binary_metrics(rows, "label", "prediction", ["model"], positive=-1)
+
+
+@query
+def binary_metrics(spark, d):
+    m = _detector_metrics(spark, d)
+    return m.select("model", *[r(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1_score")])
+
+
+@query
+def best_model(spark, d):
+    rows = V.predictions_of_best(detectors(spark, d), {n: F.col(n) for n in DETECTORS}, _detector_metrics(spark, d))
+    return rows.filter(F.col("prediction") == -1).select("reading_id", "model_used", "label")
+
+
+# --- failure prediction -----------------------------------------------------------
+
+
+def labelled_plant(spark, d):
+    """``plant`` with rule probabilities and a noisy binary label, all by row id."""
+    noise = (X.plant_id() * 7919 % 1000) / 1000.0
+    heat = (F.col("temperature") - 36) / 49.0
+    return X.plant(spark, d).withColumns({
+        "row_id": F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "equipment_id"),
+        "p_vibration": F.col("value"), "p_heat": heat, "p_speed": (F.col("rpm") - 1500) / 525.0,
+        "will_fail": (F.col("value") + heat + 0.5 * noise > 1.3).cast("int"),
+    })
+
+
+PROBABILITIES = ["p_vibration", "p_heat", "p_speed"]
+
+
+@query
+def class_weights(spark, d):
+    w = V.class_weights(labelled_plant(spark, d), "will_fail")
+    return w.select("will_fail", "n", r("weight", 6).alias("weight"))
+
+
+@query
+def stratified_split(spark, d):
+    s = V.stratified_split(labelled_plant(spark, d), "will_fail", ["row_id", "l_partkey"])
+    return s.select("row_id", "timestamp", "will_fail", "split")
+
+
+@query
+def auc_rank(spark, d):
+    p = labelled_plant(spark, d).withColumn("p", (F.col("p_heat") + F.col("p_speed")) / 2)
+    e = V.binary_evaluation(p, "will_fail", "p")
+    return e.select(*[r(c, 6).alias(c) for c in ("accuracy", "auc", "precision", "recall", "f1_score")])
+
+
+@query
+def failure_vote(spark, d):
+    p = labelled_plant(spark, d)
+    probabilities = {c: F.col(c) for c in PROBABILITIES}
+    weights = E.auc_weights(p, probabilities, "will_fail", F.col("row_id")).scalar()
+    out = E.failure_vote(p, probabilities, "soft", weights).withColumnsRenamed({"will_fail": "soft_vote", "failure_probability": "soft_probability"})
+    out = E.failure_vote(out, probabilities, "hard")
+    return out.select("row_id", "timestamp", r("soft_probability", 6).alias("soft_probability"), "soft_vote",
+                      F.col("will_fail").alias("hard_vote"))
+
+
+@query
+def failure_label(spark, d):
+    f = P.failure_label(X.readings(spark, d), X.failures(spark, d), X.READING_ORDER)
+    return f.select("reading_id", "equipment_id", "next_failure", "will_fail")
+
+
+@query
+def maintenance_recommendations(spark, d):
+    p = labelled_plant(spark, d).withColumn("failure_probability", (F.col("p_vibration") + F.col("p_heat")) / 2)
+    m = P.maintenance_recommendations(p)
+    return m.select("row_id", "timestamp", rn("failure_probability").alias("failure_probability"), "urgency",
+                    "recommendation", "estimated_failure_time")
+
+
+@query
+def forecast_trend_season(spark, d):
+    f = P.forecast(X.plant(spark, d), 30)
+    return f.select("equipment_id", "timestamp", r("yhat", 6).alias("yhat"), r("failure_probability", 6).alias("failure_probability"))
+
+
+# --- health scoring ---------------------------------------------------------------
+
+WIDE_SENSORS = {"value": "vibration", "temperature": "temperature", "load": "pressure", "rpm": "rpm"}
+CENTRES = [[0.5, 60.0, 1750.0, 40.0], [0.2, 45.0, 1600.0, 10.0], [0.8, 75.0, 1900.0, 70.0]]
+
+
+@query
+def wide_sensor_health(spark, d):
+    p = X.plant(spark, d).withColumn("health", G.wide_sensor_health(WIDE_SENSORS))
+    return p.select(*PLANT_ID, r("health", 8).alias("health"))
+
+
+@query
+def cluster_distance_health(spark, d):
+    p = X.plant(spark, d).withColumn("distance", G.centre_distance(MEASURES, CENTRES))
+    return G.distance_health(p).select(*PLANT_ID, r("distance", 6).alias("distance"), r("health_score", 6).alias("health_score"))
+
+
+def health_scores(spark, d):
+    """Three health scores and a target for the votes."""
+    p = C.health_target(X.plant(spark, d))
+    return p.select(
+        *PLANT_ID, F.col("health_score").alias("target"), G.wide_sensor_health(WIDE_SENSORS).alias("sensors"),
+        S.range_health(F.col("value"), 0.0, 1.0).alias("vibration"),
+        S.range_health(F.col("temperature"), 20.0, 80.0).alias("heat"))
+
+
+HEALTH_SCORES = ["sensors", "vibration", "heat"]
+
+
+@query
+def health_vote(spark, d):
+    p = health_scores(spark, d)
+    scores = {c: F.col(c) for c in HEALTH_SCORES}
+    out = p.withColumns({m: E.health_vote(p, scores, m, F.col("target")) for m in ("average", "weighted", "median")})
+    return out.select(*PLANT_ID, *[r(c, 8).alias(c) for c in ("average", "weighted", "median")])
+
+
+@query
+def regression_metrics(spark, d):
+    p = V.long_form(health_scores(spark, d), {c: F.col(c) for c in HEALTH_SCORES}, ["target"], "model", "score")
+    m = V.regression_metrics(p, "target", "score", ["model"])
+    return m.select("model", *[r(c, 6).alias(c) for c in ("mse", "rmse", "mae", "r2_score")])
+
+
+@query
+def health_report(spark, d):
+    p = X.plant(spark, d).withColumn("health_score", G.wide_sensor_health(WIDE_SENSORS))
+    return G.health_report(p).select(*PLANT_ID, r("health_score", 8).alias("health_score"), "status", "urgency", "is_critical")
+
+
+@query
+def maintenance_schedule(spark, d):
+    latest = J.latest_health(D.health_by_window(X.readings(spark, d)))
+    s = G.maintenance_schedule(latest, X.EVENTS_AS_OF)
+    return s.select("equipment_id", r("health_score", 8).alias("health_score"), "status", "urgency",
+                    F.col("recommended_date").cast("timestamp_ntz").alias("recommended_date"),
+                    F.substring_index("description", " - ", -1).alias("condition"))
+
+
+# --- drift, performance, registry -------------------------------------------------
+
+
+@query
+def drift_report(spark, d):
+    p = X.plant(spark, d)
+    split = F.lit(X.DRIFT_SPLIT).cast("timestamp_ntz")
+    moved = p.filter(F.col("timestamp") >= split).withColumn("temperature", F.col("temperature") + 10)
+    drifts = H.feature_drift(p.filter(F.col("timestamp") < split), moved, MEASURES)
+    whole = H.drift_summary(drifts).select(F.struct("*").alias("q")).scalar()
+    out = drifts.withColumn("_q", whole)
+    return out.select("feature", r("drift", 6).alias("drift"), flag("has_drift").alias("has_drift"),
+                      r("_q.drift_score", 6).alias("drift_score"), r("_q.max_drift", 6).alias("max_drift"),
+                      F.col("_q.recommendation").alias("recommendation"))
+
+
+@query
+def weighted_metrics(spark, d):
+    rows = D.multisensor_health(X.readings(spark, d))
+    own = S.health_status(S.single_reading_health(F.col("sensor_type"), F.col("value")))
+    m = V.weighted_metrics(rows.withColumn("own_status", own), "health_status", "own_status")
+    return m.select(*[r(c, 6).alias(c) for c in m.columns])
+
+
+@query
+def should_retrain(spark, d):
+    s = H.should_retrain(X.model_log(spark, d), "2001-08-05 00:00:00", ["accuracy", "f1_score"])
+    return s.select("model", F.col("run_id").cast("double").alias("run_id"), r("performance", 6).alias("performance"),
+                    flag("should_retrain").alias("should_retrain"))
+
+
+@query
+def retrain_decision(spark, d):
+    kinds = ["vibration", "temperature", "pressure", "rpm"]
+    wide = X.readings(spark, d).select(
+        "timestamp", *[F.when(F.col("sensor_type") == k, F.col("value")).alias(k) for k in kinds])
+    w = H.retrain_decision(wide, X.EVENTS_AS_OF, kinds)
+    return w.select(flag("has_drift").alias("has_drift"), r("drift_score", 6).alias("drift_score"),
+                    r("max_drift", 6).alias("max_drift"), "recommendation", flag("retrain").alias("retrain"))
+
+
+@query
+def best_run(spark, d):
+    log = X.model_log(spark, d)
+    best, worst = R.best_run(log, "f1_score"), R.best_run(log, "accuracy", ascending=True)
+    return best.select(F.lit("max f1_score").alias("by"), "model", "run_id", F.col("f1_score").alias("metric")).unionByName(
+        worst.select(F.lit("min accuracy").alias("by"), "model", "run_id", F.col("accuracy").alias("metric")))
+
+
+@query
+def registry_latest(spark, d):
+    return R.latest_versions(X.model_log(spark, d))
+
+
+@query
+def model_performance(spark, d):
+    m = R.model_performance(X.model_log(spark, d), "1999-01-01 00:00:00", "2000-12-31 23:59:59")
+    return m.select("model", *[r(c, 6).alias(c) for c in ("accuracy", "f1_score", "error_rate")], "prediction_count", "last_updated")
+
+
+# --- alerts -----------------------------------------------------------------------
+
+
+def alert_records(spark, d):
+    """Scored readings in the shape the alert rules look at."""
+    z = D.zscore_anomaly(X.readings(spark, d))
+    k = F.get_json_object("metadata", "$.k").cast("double")
+    return z.select(
+        "reading_id", "timestamp", "equipment_id", "is_anomaly", "anomaly_confidence",
+        S.single_reading_health(F.col("sensor_type"), F.col("value")).alias("health_score"),
+        (k / 100).alias("failure_probability"), F.when(F.col("sensor_type") == "other", k / 100).alias("model_accuracy"))
+
+
+def raised(spark, d):
+    return I.rule_alerts(alert_records(spark, d), "reading_id")
+
+
+def actions(spark, d):
+    """A log of acknowledgements and resolutions, by reading id."""
+    a = raised(spark, d)
+    rid = F.col("reading_id")
+    ack = a.filter(rid % 3 == 0).select(
+        "alert_id", F.lit("acknowledged").alias("action"), F.concat(F.lit("operator_"), (rid % 5).cast("string")).alias("actor"),
+        (F.col("timestamp") + F.expr("INTERVAL 5 MINUTES")).alias("at"), rid.alias("action_id"))
+    done = a.filter(rid % 6 == 0).select(
+        "alert_id", F.lit("resolved").alias("action"), F.lit("operator_9").alias("actor"),
+        (F.col("timestamp") + F.expr("INTERVAL 30 MINUTES")).alias("at"), rid.alias("action_id"))
+    return ack.unionByName(done)
+
+
+@query
+def rule_alerts(spark, d):
+    return raised(spark, d).select("alert_id", "rule", "title", "description", "severity", "source", "timestamp", "equipment_id", "status")
+
+
+@query
+def alert_cooldown(spark, d):
+    kept = I.cooldown(raised(spark, d), seconds="cooldown_seconds")
+    return kept.select("alert_id", "rule", "timestamp")
+
+
+@query
+def alert_lifecycle(spark, d):
+    return I.apply_actions(raised(spark, d), actions(spark, d)).select(
+        "alert_id", "status", "acknowledged_by", "acknowledged_at", "resolved_at")
+
+
+@query
+def alert_stats(spark, d):
+    return I.alert_statistics(I.apply_actions(raised(spark, d), actions(spark, d)))
+
+
+@query
+def alert_page(spark, d):
+    states = I.apply_actions(raised(spark, d), actions(spark, d))
+    p = I.alert_page(states, severity="critical", status="active", limit=100, offset=100)
+    return p.select("alert_id", "timestamp", "severity", "status", "equipment_id", "total_count",
+                    flag("has_next").alias("has_next"), flag("has_previous").alias("has_previous"))
+
+
+@query
+def metric_alerts(spark, d):
+    rows = X.metrics(spark, d).select(
+        "metric_id", "timestamp", F.col("processing_time").alias("value"),
+        F.when(F.col("component") == "click", "cpu_percent").when(F.col("component") == "view", "memory_percent").alias("metric"))
+    a = I.metric_alerts(rows, "metric_id")
+    return a.select("metric_id", "timestamp", "metric", r("value", 6).alias("value"), "title", "severity", "source")
+
+
+# --- operational metrics ----------------------------------------------------------
+
+
+@query
+def component_metrics(spark, d):
+    e = X.metrics(spark, d)
+    # Which component and metrics an event type stands for.
+    of = {"click": ("data_ingestion", "records_processed", "processing_time"),
+          "view": ("model_inference", "predictions_made", "inference_time"),
+          "purchase": ("anomaly_detection", "anomalies_detected", "detection_time"),
+          "signup": ("health_scoring", "scores_calculated", "calculation_time")}
+
+    def name(i):
+        out = F.lit("unknown")
+        for event, names in of.items():
+            out = F.when(F.col("component") == event, names[i]).otherwise(out)
+        return out
+
+    log = e.select("metric_id", "timestamp", name(0).alias("name"), F.inline(F.array(
+        F.struct(name(1).alias("metric"), F.lit(1.0).alias("value")),
+        F.struct(name(2).alias("metric"), F.col("processing_time").alias("value"))))).withColumnRenamed("name", "component")
+    m = M.component_metrics(log)
+    return m.select("component", "metric", r("value", 6).alias("value"))
+
+
+@query
+def metric_histogram(spark, d):
+    h = M.metric_histogram(X.metrics(spark, d), "processing_time")
+    return h.select("component", "le", "cumulative_count", r("observed_sum", 4).alias("observed_sum"), "observed_count")
+
+
+@query
+def metric_summary(spark, d):
+    s = M.metric_summary(X.metrics(spark, d), "processing_time")
+    return s.select("component", "period", rn("average").alias("average"), "peak", "samples")
+
+
+@query
+def component_status(spark, d):
+    return M.component_status(X.metrics(spark, d), "processing_time", 50.0, 150.0)
+
+
+@query
+def health_changes(spark, d):
+    c = I.health_changes(D.health_by_window(X.readings(spark, d)))
+    return c.select("equipment_id", F.col("window_start").alias("timestamp"), "old_status", "new_status",
+                    F.get_json_object("payload", "$.event").alias("event"),
+                    F.get_json_object("payload", "$.data.new_status").alias("payload_status"))
+
+
+# --- equipment --------------------------------------------------------------------
+
+
+@query
+def equipment_page(spark, d):
+    health = D.health_by_window(X.readings(spark, d))
+    p = J.equipment_list(X.equipment(spark, d), health, status="operational", location="ASIA", limit=100, offset=0)
+    return p.select("equipment_id", "name", "type", "location", "status", r("health_score", 8).alias("health_score"),
+                    "health_status", "total_count", flag("has_next").alias("has_next"))
+
+
+@query
+def equipment_detail(spark, d):
+    e = J.equipment_detail(X.plant_equipment(spark, d), X.maintenance(spark, d), ["date", "order_key"])
+    h = F.col("maintenance_history")
+    return e.select("equipment_id", "name", "location", F.col("specifications")["site"].alias("site"), "status", "history_page",
+                    F.size(h).alias("entries"), h[0]["date"].alias("first_date"), h[0]["type"].alias("first_type"),
+                    F.element_at(h, -1)["date"].alias("last_date"), F.element_at(h, -1)["order_key"].alias("last_key"))
+
+
+@query
+def silent_equipment(spark, d):
+    e = X.equipment(spark, d)
+    silent = J.without_readings(e, X.readings(spark, d)).select("equipment_id", "name", "status", F.lit("silent").alias("kind"))
+    alerted = J.with_alerts(e, raised(spark, d)).select("equipment_id", "name", "status", F.lit("alerted").alias("kind"))
+    return silent.unionByName(alerted)
+
+
+@query
+def health_history(spark, d):
+    h = J.health_history(X.readings(spark, d), "week", "2024-01-05 00:00:00", "2024-01-28 00:00:00")
+    return h.select("equipment_id", "timestamp", r("health_score", 8).alias("health_score"), "status", "anomalies", "maintenance_urgency")
+
+
+@query
+def health_summary(spark, d):
+    s = J.health_summary(J.health_history(X.readings(spark, d), "day"))
+    return s.select("equipment_id", rn("average_health").alias("average_health"), "trend", "anomaly_count", "critical_alerts")
+
+
+@query
+def array_readings_anomaly(spark, d):
+    numbered = running(X.readings(spark, d), ["equipment_id"], X.READING_ORDER, {"_n": ("count", None)})
+    request = F.concat_ws("#", "equipment_id", F.floor((F.col("_n") - 1) / 20).cast("string"))
+    arrays = numbered.groupBy(request.alias("request_id")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("_n", "value"))), lambda s: s["value"]).alias("sensor_readings"))
+    a = J.array_anomaly(arrays)
+    return a.select("request_id", flag("is_anomaly").alias("is_anomaly"), r("confidence").alias("confidence"),
+                    r("anomaly_score").alias("anomaly_score"), "readings")
+
+
+@query
+def component_scores(spark, d):
+    c = J.component_scores(D.health_by_window(X.readings(spark, d)))
+    return c.select("equipment_id", F.col("window_start").alias("timestamp"), r("overall_score", 8).alias("overall_score"), "status",
+                    "maintenance_urgency", J.flatten_map(F.col("component_scores")).alias("component_scores"))
