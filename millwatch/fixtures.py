@@ -26,6 +26,10 @@ def equipment_name(key: str):
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_readings(table(spark, sf_dir, "events"))
+
+
+def as_readings(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     sensor = F.lit("other")
     for event, name in SENSOR_OF_EVENT.items():
@@ -35,7 +39,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "signup", F.col("value") + 1500)
         .otherwise(F.col("value"))
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").alias("reading_id"),
         F.col("ts").alias("timestamp"),
         equipment_name("user_id").alias("equipment_id"),

@@ -594,3 +594,57 @@ ORACLES["component_scores"] = f"""WITH {READINGS}, {HEALTH}, {WINDOW_HEALTH},
 texts AS (SELECT equipment_id, w, string_agg(printf('%s=%.6f', sensor_type, score), ';' ORDER BY sensor_type) AS t FROM parts GROUP BY ALL)
 SELECT equipment_id, w AS "timestamp", round(h, 8) AS overall_score, {status('h')} AS status, {urgency('h')} AS maintenance_urgency,
   coalesce(t, '') AS component_scores FROM whealth LEFT JOIN texts USING (equipment_id, w)"""
+
+# --- sources and streams ----------------------------------------------------------
+
+_SENT = READINGS + """, sent AS (
+  SELECT * REPLACE (CASE WHEN reading_id % 101 <> 0 THEN sensor_type END AS sensor_type, CASE WHEN reading_id % 97 <> 0 THEN value END AS value)
+  FROM readings)"""
+_GOOD = "reading_id % 53 <> 0 AND reading_id % 101 <> 0 AND reading_id % 97 <> 0"
+
+ORACLES["parse_readings"] = f"""WITH {_SENT}
+SELECT reading_id, "timestamp", equipment_id, sensor_type, round(value, 6) AS value, 'u' AS unit, (metadata->>'k')::DOUBLE AS k FROM sent WHERE {_GOOD}"""
+
+ORACLES["publish_envelope"] = f"""WITH {READINGS}
+SELECT CASE WHEN reading_id % 61 <> 0 THEN equipment_id ELSE 'default' END AS key, strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%fZ') AS sent_time,
+  sensor_type, round(value, 6) AS sent_value, (metadata->>'k')::DOUBLE AS k FROM readings"""
+
+ORACLES["decode_envelope"] = f"""WITH {_SENT}
+SELECT reading_id, equipment_id, sensor_type, round(value, 6) AS value FROM sent WHERE {_GOOD}"""
+
+ORACLES["ingest_validation"] = """WITH f AS (SELECT event_id % 53 = 0 AS broken, event_id % 101 = 0 AS no_type, event_id % 97 = 0 AS no_value FROM events)
+SELECT 'processed_count' AS measure, count(*) FILTER (NOT broken AND NOT no_type AND NOT no_value) AS records FROM f
+UNION ALL SELECT 'failed_count', count(*) FILTER (broken OR no_type OR no_value) FROM f
+UNION ALL SELECT 'sensor_type', count(*) FILTER (broken OR no_type) FROM f UNION ALL SELECT 'value', count(*) FILTER (broken OR no_value) FROM f
+""" + " ".join(f"UNION ALL SELECT '{c}', count(*) FILTER (broken) FROM f" for c in ("timestamp", "equipment_id", "unit", "location"))
+
+ORACLES["latest_readings"] = f"""WITH {READINGS}
+SELECT reading_id, "timestamp", equipment_id, value FROM readings ORDER BY "timestamp" DESC, reading_id DESC LIMIT 100"""
+
+ORACLES["lake_summary"] = f"""WITH {READINGS}
+SELECT count(*) AS total_records, sum(strlen(metadata))::BIGINT AS total_size_bytes, round(sum(strlen(metadata)) / 1048576, 8) AS total_size_mb,
+  count(DISTINCT equipment_id) AS equipment_count, min("timestamp") AS start_time, max("timestamp") AS end_time FROM readings"""
+
+ORACLES["training_slice"] = f"""WITH {PLANT}
+SELECT equipment_id, "timestamp", {', '.join(f'round({c}, 6) AS {c}' for c in MEASURES)},
+  round((1 - greatest(0, least(1, value)) + 1 - greatest(0, least(1, (temperature - 20) / 60))) / 2, 6) AS health_score
+FROM plant WHERE "timestamp" BETWEEN TIMESTAMP '1998-01-01' AND TIMESTAMP '1998-12-31 23:59:59'"""
+
+ORACLES["version_diff"] = f"""WITH {DIRTY_READINGS},
+o AS (SELECT reading_id, equipment_id, sensor_type, value FROM dirty),
+n AS (SELECT reading_id, equipment_id, sensor_type, value FROM readings WHERE reading_id % 10 <> 0),
+a AS (SELECT * FROM n EXCEPT ALL SELECT * FROM o), r AS (SELECT * FROM o EXCEPT ALL SELECT * FROM n)
+SELECT *, 'added' AS change, count(*) AS copies FROM a GROUP BY ALL UNION ALL SELECT *, 'removed', count(*) FROM r GROUP BY ALL"""
+
+ORACLES["stream_zscore"] = ORACLES["zscore_anomaly"]
+
+_KNN_ID = "(g.l_orderkey, g.l_linenumber, g.l_partkey, g.equipment_id, g.\"timestamp\")"
+ORACLES["impute_knn"] = f"""WITH {DIRTY_PLANT},
+g AS (SELECT *, min(({PLANT_ID})) OVER (PARTITION BY equipment_id, value, temperature, rpm, load) AS first FROM dirty),
+pairs AS (
+  SELECT q.l_orderkey, q.l_linenumber, q.l_partkey, q.equipment_id, q."timestamp", g.value,
+    row_number() OVER (PARTITION BY q.l_orderkey, q.l_linenumber, q.l_partkey, q.equipment_id, q."timestamp"
+      ORDER BY (g.temperature - q.temperature) ** 2 + (g.rpm - q.rpm) ** 2 + (g.load - q.load) ** 2, g.first, {_KNN_ID}) AS k
+  FROM dirty q JOIN g ON g.equipment_id = q.equipment_id WHERE q.value IS NULL AND g.value IS NOT NULL),
+fill AS (SELECT {PLANT_ID}, avg(value) AS v FROM pairs WHERE k <= 5 GROUP BY ALL)
+SELECT {PLANT_ID}, round(coalesce(value, v), 6) AS value FROM dirty LEFT JOIN fill USING ({PLANT_ID})"""

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millwatch import fixtures as X
 from millwatch.functions import scores as S
 from millwatch.operators import (
-    alerts as I, cleaning as B, drift as H, equipment as J, evaluation as V, failure as P, features as C, health as G,
-    metrics as M, registry as R, sessions, stream_rules as D, voting as E,
+    alerts as I, anomaly as N, cleaning as B, drift as H, equipment as J, evaluation as V, failure as P, features as C, health as G,
+    knn as K, learners as Q, metrics as M, registry as R, sessions, stream_rules as D, voting as E,
 )
+from millwatch.plans import storage
 from millwatch.plans.slices import running
 from millwatch.schemas import MEASURES
+from millwatch.sources import lake as L, readings as A, versions as U
+from millwatch.streaming import jobs as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -674,3 +677,187 @@ def component_scores(spark, d):
     c = J.component_scores(D.health_by_window(X.readings(spark, d)))
     return c.select("equipment_id", F.col("window_start").alias("timestamp"), r("overall_score", 8).alias("overall_score"), "status",
                     "maintenance_urgency", J.flatten_map(F.col("component_scores")).alias("component_scores"))
+
+
+# --- sources ----------------------------------------------------------------------
+
+
+def raw_payloads(spark, d):
+    """Readings as the JSON text they travel in; some lack a field, some are no JSON."""
+    rid = F.col("reading_id")
+    rows = X.readings(spark, d).withColumns({
+        "sensor_type": F.when(rid % 101 != 0, F.col("sensor_type")), "value": F.when(rid % 97 != 0, F.col("value")),
+        "unit": F.lit("u"), "location": F.lit("hall"), "metadata": F.from_json("metadata", "map<string,double>")})
+    return rows.select("reading_id", F.when(rid % 53 == 0, F.lit("{not json")).otherwise(A.to_json()).alias("payload"))
+
+
+@query
+def parse_readings(spark, d):
+    p = A.parse_readings(raw_payloads(spark, d), "payload", ("reading_id",))
+    return p.select("reading_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "equipment_id", "sensor_type",
+                    r("value", 6).alias("value"), "unit", F.col("metadata")["k"].alias("k"))
+
+
+@query
+def publish_envelope(spark, d):
+    rid = F.col("reading_id")
+    rows = X.readings(spark, d).withColumns({
+        "equipment_id": F.when(rid % 61 != 0, F.col("equipment_id")), "unit": F.lit("u"), "location": F.lit("hall"),
+        "metadata": F.from_json("metadata", "map<string,double>")})
+    e = A.publish_envelope(rows)
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    return e.select("key", field("timestamp").alias("sent_time"), field("sensor_type").alias("sensor_type"),
+                    r(field("value").cast("double"), 6).alias("sent_value"), field("metadata.k").cast("double").alias("k"))
+
+
+@query
+def decode_envelope(spark, d):
+    sent = raw_payloads(spark, d).select("reading_id", F.base64(F.col("payload").cast("binary")).alias("data"))
+    p = A.decode_envelopes(sent, keep=("reading_id",))
+    return p.select("reading_id", "equipment_id", "sensor_type", r("value", 6).alias("value"))
+
+
+@query
+def ingest_validation(spark, d):
+    return A.ingest_report(A.parse_readings(raw_payloads(spark, d), "payload", drop_bad=False))
+
+
+@query
+def latest_readings(spark, d):
+    return A.latest(X.readings(spark, d), 100).select("reading_id", "timestamp", "equipment_id", "value")
+
+
+@query
+def lake_summary(spark, d):
+    s = L.data_summary(X.readings(spark, d), F.col("metadata"))
+    return s.withColumn("total_size_mb", r("total_size_mb", 8))
+
+
+@query
+def training_slice(spark, d):
+    rows = C.health_indicators(X.plant(spark, d)).withColumn("health_score", F.col("overall_health"))
+    t = L.training_data(rows, "1998-01-01 00:00:00", "1998-12-31 23:59:59", ["equipment_id", "timestamp", *MEASURES])
+    return t.select("equipment_id", "timestamp", *[r(c, 6).alias(c) for c in [*MEASURES, "health_score"]])
+
+
+@query
+def version_diff(spark, d):
+    rid = F.col("reading_id")
+    old = X.dirty_readings(spark, d).select("reading_id", "equipment_id", "sensor_type", "value")
+    new = X.readings(spark, d).select("reading_id", "equipment_id", "sensor_type", "value").filter(rid % 10 != 0)
+    return U.difference(old, new)
+
+
+# --- streams ----------------------------------------------------------------------
+
+
+def _event_stream(spark, d):
+    """The event table as a file stream, in the shape of ``readings``."""
+    schema = X.table(spark, d, "events").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    return X.as_readings(source)
+
+
+@query
+def stream_zscore(spark, d):
+    path = storage.fresh_path(spark, "zscore")
+    scored = T.stream_zscore(_event_stream(spark, d))
+    T.await_done(T.to_parquet(scored, f"{path}/rows", f"{path}/checkpoint"))
+    z = spark.read.schema(scored.schema).parquet(f"{path}/rows")
+    return z.select("reading_id", "equipment_id", "sensor_type", r("z_score").alias("z_score"),
+                    flag("is_anomaly").alias("is_anomaly"), r("anomaly_confidence").alias("anomaly_confidence"))
+
+
+# --- nearest-neighbour imputation -------------------------------------------------
+
+
+@query
+def impute_knn(spark, d):
+    rows = K.impute_knn(X.dirty_plant(spark, d), MEASURES, ["l_orderkey", "l_linenumber", "l_partkey", "equipment_id", "timestamp"])
+    return rows.select(*PLANT_ID, r("value", 6).alias("value"))
+
+
+# --- models -----------------------------------------------------------------------
+# No SQL stands for these; tests check what they must satisfy.
+
+ROW_ID = ["l_orderkey", "l_linenumber", "l_partkey", "equipment_id", "timestamp"]
+
+
+def _anomaly(model, df):
+    out = model.score(df)
+    return out.select(*PLANT_ID, r(f"{model.name}_score", 6).alias("score"), F.col(model.name).alias("prediction"))
+
+
+@query
+def isolation_forest(spark, d):
+    p = X.plant(spark, d)
+    return _anomaly(N.fit_isolation_forest(p, MEASURES, ROW_ID), p)
+
+
+@query
+def one_class_kernel(spark, d):
+    p = X.plant(spark, d)
+    return _anomaly(N.fit_one_class(p, MEASURES), p)
+
+
+@query
+def sequence_reconstruction(spark, d):
+    p = X.plant(spark, d)
+    return _anomaly(N.fit_sequence_reconstruction(p, "temperature", X.PLANT_ORDER), p)
+
+
+def _failure_test(spark, d, fit):
+    rows = V.stratified_split(labelled_plant(spark, d), "will_fail", ["row_id", "l_partkey"])
+    model = fit(rows.filter(F.col("split") == "train"))
+    out = model.score(rows.filter(F.col("split") == "test"))
+    return out.select("row_id", "timestamp", "will_fail", r(model.name, 6).alias("probability"))
+
+
+@query
+def failure_rf(spark, d):
+    return _failure_test(spark, d, lambda t: Q.fit_failure_forest(t, MEASURES, "will_fail"))
+
+
+@query
+def failure_gbt(spark, d):
+    return _failure_test(spark, d, lambda t: Q.fit_failure_boosting(t, MEASURES, "will_fail"))
+
+
+@query
+def failure_sequence(spark, d):
+    p = labelled_plant(spark, d)
+    model = Q.fit_failure_sequence(p, "p_heat", "will_fail", X.PLANT_ORDER)
+    return model.score(p).select("row_id", "timestamp", "will_fail", r(model.name, 6).alias("probability"))
+
+
+def _health_rows(spark, d):
+    return C.health_target(X.plant(spark, d))
+
+
+def _health(model, df):
+    return model.score(df).select(*PLANT_ID, r("health_score", 6).alias("target"), r(model.name, 6).alias("score"))
+
+
+@query
+def health_rf(spark, d):
+    p = _health_rows(spark, d)
+    return _health(Q.fit_health_forest(p, MEASURES, "health_score"), p)
+
+
+@query
+def health_gbt(spark, d):
+    p = _health_rows(spark, d)
+    return _health(Q.fit_health_boosting(p, MEASURES, "health_score"), p)
+
+
+@query
+def health_mlp(spark, d):
+    p = _health_rows(spark, d)
+    return _health(Q.fit_health_network(p, MEASURES, "health_score"), p)
+
+
+@query
+def health_cluster(spark, d):
+    p = X.plant(spark, d)
+    model = Q.fit_health_clusters(p, MEASURES)
+    return model.score(p).select(*PLANT_ID, "cluster", r(model.name, 6).alias("score"))
