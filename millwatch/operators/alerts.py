@@ -108,13 +108,13 @@ def _last_fired(at: np.ndarray, gap: int) -> np.ndarray:
         jump = jump[jump]
 
 
-def _steps(gap_column: str, scope: Sequence[str]):
+def _steps(scope: Sequence[str]):
     """Per slice: which last firing follows from which entry, as few ranges."""
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        at = np.sort(pdf["_at"].to_numpy())
-        last = _last_fired(at, int(pdf[gap_column].iloc[0]))
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        at, gap = np.sort(pdf["_at"].to_numpy()), int(pdf["_gap"].iloc[0])
+        last = _last_fired(at, gap)
         ends = np.append(last[1:] != last[:-1], True)
-        out = pd.DataFrame({"_upto": at[ends], "_last": last[ends]})
+        out = pd.DataFrame({"_upto": at[ends], "_last": last[ends], "_gap": gap})
         for name, value in zip([*scope, "_slice"], key, strict=True):
             out[name] = value
         return out
@@ -123,7 +123,7 @@ def _steps(gap_column: str, scope: Sequence[str]):
 
 def _entries(scope: Sequence[str]):
     """Per scope: walk the slices in order and note the earliest instant that may fire in each."""
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         gap, earliest, rows = int(pdf["_gap"].iloc[0]), np.iinfo(np.int64).min, []
         for number, part in pdf.sort_values(["_slice", "_upto"]).groupby("_slice", sort=True):
             rows.append((number, earliest))
@@ -139,7 +139,7 @@ def _entries(scope: Sequence[str]):
 
 def _firings(scope: Sequence[str]):
     """Per slice, given its earliest instant: the instants that fire."""
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         at, gap = np.sort(pdf["_at"].to_numpy()), int(pdf["_gap"].iloc[0])
         fired, earliest = [], int(pdf["_earliest"].iloc[0])
         i = int(np.searchsorted(at, earliest, side="left"))
@@ -166,29 +166,23 @@ def cooldown(alerts: DataFrame, scope: Sequence[str] = ("rule",), order: Sequenc
     """
     scope, order = list(scope), list(order)
     gap = (F.col(seconds) if isinstance(seconds, str) else F.lit(seconds)).cast("long") * 1_000_000
-    # Of several alerts at one instant only the first can fire.
+    # Of several alerts at one instant only the first can fire; it is carried whole, so the
+    # alerts are computed once.
     instants = (
         alerts.groupBy(*scope, epoch_us(F.col(order[0])).alias("_at"), gap.alias("_gap"))
-        .agg(F.min(F.struct(*order)).alias("_first"))
+        .agg(F.min_by(F.struct(*alerts.columns), F.struct(*order)).alias("_alert"))
         .withColumn("_slice", F.floor(F.col("_at") / (slice_hours * 3_600_000_000)).cast("long"))
     )
     bare = instants.select(*scope, "_slice", "_at", "_gap")
-    kinds = T.StructType([alerts.schema[c] for c in scope])
+    kinds = [alerts.schema[c] for c in scope]
 
     def shape(*fields: str) -> T.StructType:
-        return T.StructType([*[T.StructField(f, T.LongType()) for f in fields], *kinds.fields])
+        return T.StructType([*[T.StructField(f, T.LongType()) for f in fields], *kinds])
 
-    steps = bare.groupBy(*scope, "_slice").applyInPandas(_steps("_gap", scope), T.StructType(
-        [T.StructField("_upto", T.LongType()), T.StructField("_last", T.LongType()), *kinds.fields,
-         T.StructField("_slice", T.LongType())]))
-    # The gap belongs to the scope, so it is looked up rather than carried through.
-    steps = steps.join(bare.groupBy(*scope).agg(F.max("_gap").alias("_gap")), scope)
+    steps = bare.groupBy(*scope, "_slice").applyInPandas(_steps(scope), shape("_upto", "_last", "_gap", "_slice"))
     entries = steps.groupBy(*scope).applyInPandas(_entries(scope), shape("_slice", "_earliest"))
     fired = bare.join(entries, [*scope, "_slice"]).groupBy(*scope, "_slice").applyInPandas(_firings(scope), shape("_at"))
-    winners = instants.join(fired, [*scope, "_at"], "left_semi").select(
-        *[F.col(c).alias(f"_w_{c}") for c in scope], *[F.col("_first")[c].alias(f"_w_{c}") for c in order])
-    same = [F.col(c) == F.col(f"_w_{c}") for c in [*scope, *order]]
-    return alerts.join(winners, same, "left_semi")
+    return instants.join(fired, [*scope, "_at"], "left_semi").select("_alert.*")
 
 
 # --- life cycle -------------------------------------------------------------------

@@ -141,7 +141,7 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str], row_id: Sequenc
     drawn = drawn.withColumn("_pick", F.xxhash64("_tree", "_h")).filter(F.pmod("_pick", F.lit(1_000_000)) < share * 1_000_000)
     names = [f"x{j}" for j in range(len(features))]
 
-    def grow(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         points = pdf.nsmallest(sample, "_pick")[names].to_numpy()
         limit = max(int(np.ceil(np.log2(max(len(points), 2)))), 1)
         nodes = _grow(points, np.random.default_rng([seed, int(key[0])]), limit)
@@ -149,7 +149,7 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str], row_id: Sequenc
         return out.assign(tree=int(key[0]), node=range(len(out)))
 
     shape = "tree int, node int, feature int, threshold double, left int, right int, depth double"
-    forest = drawn.groupBy("_tree").applyInPandas(lambda k, p: grow(k, p)[["tree", "node", "feature", "threshold", "left", "right", "depth"]], shape)
+    forest = drawn.groupBy("_tree").applyInPandas(grow, shape)
     grown = forest.toPandas().sort_values(["tree", "node"])
     arrays = [tuple(g[c].to_numpy() for c in ("feature", "threshold", "left", "right", "depth")) for _, g in grown.groupby("tree")]
     model = IsolationForest(features, arrays, min(sample, size))

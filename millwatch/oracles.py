@@ -205,7 +205,7 @@ FROM plant p ASOF LEFT JOIN dates m ON m.equipment_id = p.equipment_id AND p."ti
 
 _PAIRS = [(a, b) for i, a in enumerate(MEASURES) for b in MEASURES[i + 1:]]
 ORACLES["pair_features"] = f"WITH {PLANT} SELECT {PLANT_ID}, " + ", ".join(
-    f"round({a} / ({b} + 1e-8) / 1000, 3) AS {a}_{b}_ratio, round(({a} - {b}) / 1000, 3) AS {a}_{b}_diff" for a, b in _PAIRS
+    f"round({a} / ({b} + 1e-8) / 1000, 3) AS {a}_{b}_ratio, round({a} - {b} + 1.23e-6, 4) AS {a}_{b}_diff" for a, b in _PAIRS
 ) + " FROM plant"
 
 ORACLES["health_indicators"] = f"""WITH {DIRTY_PLANT}, h AS (

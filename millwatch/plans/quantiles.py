@@ -3,79 +3,100 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ACCURACY = 100_000
+ACCURACY = 10_000
+# Up to this many values, the built-in exact quantile holds a column in one buffer.
+SMALL_ROWS = 2_000_000
+# Up to this many values are put in order in one task.
+ORDERED_ROWS = 5_000_000
 
 
-def unpivot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows (column, value), one per non-null cell."""
-    return (
-        df.unpivot([], [F.col(c).cast("double").alias(c) for c in columns], "column", "value")
-        .filter(F.col("value").isNotNull())
-    )
+@dataclass
+class _Bracket:
+    """Where one quantile lies: between two values, with what lies below and inside."""
+
+    column: str
+    p: float
+    n: int
+    low: float = float("-inf")
+    high: float = float("inf")
+    below: int = 0
+    inside: int = 0
+
+    @property
+    def rank(self) -> float:
+        return self.p * (self.n - 1)
+
+    def holds(self) -> Column:
+        return F.col(self.column).between(self.low, self.high)
+
+
+def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
+    """Shrink each bracket by a sketch of what it holds, then count below and inside it.
+
+    The rank error of the sketch is at most one part in ``accuracy``, so its answers two
+    such parts below and above the wanted rank enclose it.
+    """
+    marks = []
+    for b in brackets:
+        low = (int(b.rank) - b.below) / max(b.inside, 1) - 2.0 / accuracy
+        high = (int(b.rank) + 1 - b.below) / max(b.inside, 1) + 2.0 / accuracy
+        marks.append(F.percentile_approx(F.when(b.holds(), F.col(b.column)), [max(low, 0.0), min(high, 1.0)], accuracy))
+    found = df.agg(*[m.alias(f"m{i}") for i, m in enumerate(marks)]).first()
+    for b, (low, high) in zip(brackets, found, strict=True):
+        b.low, b.high = low, high
+    counts = [c for b in brackets for c in (F.count(F.when(F.col(b.column) < b.low, 1)), F.count(F.when(b.holds(), 1)))]
+    found = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
+    for b, below, inside in zip(brackets, found[0::2], found[1::2], strict=True):
+        b.below, b.inside = below, inside
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = ACCURACY
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = ACCURACY,
+    small_rows: int = SMALL_ROWS, ordered_rows: int = ORDERED_ROWS,
 ) -> DataFrame:
     """Linear-interpolated quantiles as rows (column, p, quantile).
 
-    A sketch first brackets each quantile: its rank error is at most n/accuracy, so the
-    value looked for lies between the sketch's answers a little below and above p. One
-    more pass counts what lies below the bracket and the distinct values inside it; only
-    those, at most about 4n/accuracy of them, are ordered.
+    Small columns use the built-in exact quantile. Large ones are bracketed by sketches
+    until few values are left around each quantile; only those are put in order. What
+    comes back to the driver on the way are two values and two counts per quantile.
     """
-    cells = unpivot(df, columns)
-    margin = 2.0 / accuracy
-    asked = sorted({min(1.0, max(0.0, p + d)) for p in probabilities for d in (-margin, margin)})
-
-    def mark(p: float, d: float):
-        if p + d <= 0:
-            return F.lit(float("-inf"))
-        if p + d >= 1:
-            return F.lit(float("inf"))
-        return F.col("marks")[asked.index(p + d)]
-
-    sketch = cells.groupBy("column").agg(
-        F.percentile_approx("value", [float(p) for p in asked], accuracy).alias("marks"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    # One row per asked column and probability: a size fixed by the call.
-    brackets = sketch.select(
-        F.col("column"), "n",
-        F.explode(F.array(*[
-            F.struct(F.lit(float(p)).alias("p"), mark(p, -margin).alias("low"), mark(p, margin).alias("high"))
-            for p in probabilities
-        ])).alias("b"),
-    ).select("column", "n", "b.*")
-
-    counted = (
-        cells.join(F.broadcast(brackets.select("column", "p", "low", "high")), "column")
-        .filter(F.col("value") <= F.col("high"))
-        .withColumn("value", F.when(F.col("value") >= F.col("low"), F.col("value")))
-        # All values below the bracket fall into one NULL group, folded on the map side.
-        .groupBy("column", "p", "value").agg(F.count(F.lit(1)).alias("times"))
-    )
-    upto = Window.partitionBy("column", "p").orderBy(F.col("value").asc_nulls_first())
-    ranked = counted.withColumn("upto", F.sum("times").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-    rank = F.col("p") * (F.col("n") - 1)
-    hit = (
-        ranked.join(F.broadcast(brackets.select("column", "p", "n")), ["column", "p"])
-        .withColumn("rank", rank)
-        .groupBy("column", "p")
-        .agg(
-            F.min(F.when(F.col("upto") > F.floor("rank"), F.col("value"))).alias("at"),
-            F.min(F.when(F.col("upto") > F.ceil("rank"), F.col("value"))).alias("above"),
-            F.max(F.col("rank") - F.floor("rank")).alias("part"),
-        )
-    )
-    return hit.select("column", "p", (F.col("at") + (F.col("above") - F.col("at")) * F.col("part")).alias("quantile"))
-
-
-def quantile_row(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                 accuracy: int = ACCURACY) -> DataFrame:
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    sizes = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
+    if max(sizes) <= small_rows:
+        row = numbers.agg(*[F.percentile(c, F.array(*[F.lit(float(p)) for p in probabilities])).alias(c) for c in columns])
+        cells = F.array(*[
+            F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("p"), F.col(c)[i].alias("quantile"))
+            for c in columns for i, p in enumerate(probabilities)])
+        return row.select(F.inline(cells)).filter(F.col("quantile").isNotNull())
+
+    brackets = [_Bracket(c, float(p), n, inside=n) for c, n in zip(columns, sizes, strict=True) if n for p in probabilities]
+    wide = brackets
+    while wide:
+        before = [b.inside for b in wide]
+        _narrow(numbers, wide, accuracy)
+        # A bracket of one value, or one that shrinks no more, is done.
+        wide = [b for b, n in zip(wide, before, strict=True) if ordered_rows < b.inside < n and b.low < b.high]
+
+    held = F.array(*[F.when(b.holds(), F.struct(F.lit(i).alias("bracket"), F.col(b.column).alias("value"))) for i, b in enumerate(brackets)])
+    values = numbers.select(F.inline(F.filter(held, lambda v: v.isNotNull())))
+    counted = values.groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("times"))
+    upto = Window.partitionBy("bracket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    facts = F.array(*[F.struct(F.lit(b.column).alias("column"), F.lit(b.p).alias("p"), F.lit(b.rank).alias("rank"),
+                               F.lit(b.below).alias("below")) for b in brackets])
+    ranked = counted.withColumns({"upto": F.sum("times").over(upto), "b": facts[F.col("bracket")]})
+    ranked = ranked.withColumn("upto", F.col("upto") + F.col("b.below"))
+    at = F.min(F.when(F.col("upto") > F.floor("b.rank"), F.col("value")))
+    above = F.min(F.when(F.col("upto") > F.ceil("b.rank"), F.col("value")))
+    part = F.max(F.col("b.rank") - F.floor("b.rank"))
+    return ranked.groupBy(F.col("b.column").alias("column"), F.col("b.p").alias("p")).agg(
+        (at + (above - at) * part).alias("quantile"))
+
+
+def quantile_row(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """The same, as one row with a struct ``q`` of fields ``<column>_<index of p>``."""
     rows = exact_quantiles(df, columns, probabilities, accuracy)
     return rows.agg(F.struct(*[

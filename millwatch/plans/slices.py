@@ -72,31 +72,34 @@ def lookback(
     keys: Sequence[str],
     order: Sequence[str],
     rows: int,
-    columns: Mapping[str, Callable[[WindowSpec], Column]],
+    columns: Mapping[str, Callable[[WindowSpec], Column]] | Callable[[DataFrame, WindowSpec], DataFrame],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add window columns that look at no more than ``rows`` preceding rows of the key.
 
-    Each entry of ``columns`` gets the ordered window and returns the finished column.
+    Each entry of ``columns`` gets the ordered window and returns the finished column. For
+    columns that build on each other, pass one function of (frame, window) that adds them.
     ``order`` must be unique inside a key, else the frames are not well defined.
     """
     keys, order = list(keys), list(order)
     tagged = _tag(df, keys, order, hot_rows)
     plain, sliced = _ordered(keys, order), _ordered([*keys, _SLICE], order)
 
-    def add(source: DataFrame, w: WindowSpec) -> list[Column]:
-        return [make(w).alias(name) for name, make in columns.items()]
+    def add(source: DataFrame, w: WindowSpec) -> DataFrame:
+        if callable(columns):
+            return columns(source, w)
+        return source.select("*", *[make(w).alias(name) for name, make in columns.items()])
 
-    cold = tagged.filter(F.col(_SLICE).isNull())
-    cold = cold.select(*df.columns, *add(cold, plain))
+    cold = add(tagged.filter(F.col(_SLICE).isNull()), plain).drop(_SLICE)
 
     hot = tagged.filter(F.col(_SLICE).isNotNull())
     rank = F.row_number().over(sliced)
-    inner = hot.select(*df.columns, *add(hot, sliced), rank.alias(_RANK)).filter(F.col(_RANK) > rows)
-    edge = hot.select("*", rank.alias(_RANK), F.count(F.lit(1)).over(Window.partitionBy(*keys, _SLICE)).alias(_SIZE))
+    inner = add(hot, sliced).withColumn(_RANK, rank).filter(F.col(_RANK) > rows)
+    size = F.count(F.lit(1)).over(Window.partitionBy(*keys, _SLICE))
+    edge = hot.withColumns({_RANK: rank, _SIZE: size})
     edge = edge.filter((F.col(_RANK) <= rows) | (F.col(_RANK) > F.col(_SIZE) - rows))
-    head = edge.select(*df.columns, *add(edge, plain), _RANK).filter(F.col(_RANK) <= rows)
-    return cold.unionByName(inner.drop(_RANK)).unionByName(head.drop(_RANK))
+    head = add(edge, plain).filter(F.col(_RANK) <= rows)
+    return cold.unionByName(inner.drop(_SLICE, _RANK)).unionByName(head.drop(_SLICE, _RANK, _SIZE))
 
 
 def running(

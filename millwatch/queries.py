@@ -27,9 +27,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def r(c, places: int = 4):
-    """Round for comparison across engines."""
-    return F.round(c if not isinstance(c, str) else F.col(c), places)
+def r(c, places: int = 4, nudge: float = 0.0):
+    """Round for comparison across engines, in plain double arithmetic (``round`` goes by decimals)."""
+    unit = 10.0 ** places
+    c = F.col(c) if isinstance(c, str) else c
+    return F.floor((c + nudge if nudge else c) * unit + 0.5) / unit
 
 
 # Means of values with few decimals often end in an exact 5; this offset keeps them off
@@ -38,7 +40,7 @@ NUDGE = 1.23e-6
 
 
 def rn(c, places: int = 4):
-    return F.round((c if not isinstance(c, str) else F.col(c)) + NUDGE, places)
+    return r(c, places, NUDGE)
 
 
 def flag(c):
@@ -214,9 +216,9 @@ def days_since_maintenance(spark, d):
 @query
 def pair_features(spark, d):
     p = C.pair_features(X.plant(spark, d))
-    made = [c for c in p.columns if c.endswith(("_ratio", "_diff"))]
+    ratios, gaps = ([c for c in p.columns if c.endswith(e)] for e in ("_ratio", "_diff"))
     # A zero divisor leaves only the guard, so ratios reach 1e11: scale before rounding.
-    return p.select(*PLANT_ID, *[r(F.col(c) / 1000, 3).alias(c) for c in made])
+    return p.select(*PLANT_ID, *[r(F.col(c) / 1000, 3).alias(c) for c in ratios], *[rn(c).alias(c) for c in gaps])
 
 
 @query

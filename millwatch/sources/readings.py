@@ -39,8 +39,8 @@ def parse_readings(df: DataFrame, column: str = "value", keep: tuple[str, ...] =
     names of the fields in ``errors``. Times may end in ``Z`` or an offset.
     """
     named = [F.col(c).alias(f"_keep_{c}") for c in keep]
-    parsed = df.select(*named, F.from_json(F.col(column), _RAW).alias("_r")).select(
-        *[f"_keep_{c}" for c in keep], "_r.*")
+    # Unfolding the record as a one-row array keeps the checks below from parsing it again.
+    parsed = df.select(*named, F.inline(F.array(F.from_json(F.col(column), _RAW))))
     typed = _typed(parsed, tuple(f"_keep_{c}" for c in keep))
     typed = typed.withColumnsRenamed({f"_keep_{c}": c for c in keep}).withColumn("errors", missing_fields())
     return typed.filter(F.size("errors") == 0).drop("errors") if drop_bad else typed
