@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millwatch.functions.scores import health_status
 from millwatch.plans.slices import HOT_ROWS, epoch_us, lookback
+from millwatch.plans.storage import written
 from millwatch.schemas import SEVERITIES
 
 COOLDOWN_SECONDS = 300
@@ -173,6 +174,8 @@ def cooldown(alerts: DataFrame, scope: Sequence[str] = ("rule",), order: Sequenc
         .agg(F.min_by(F.struct(*alerts.columns), F.struct(*order)).alias("_alert"))
         .withColumn("_slice", F.floor(F.col("_at") / (slice_hours * 3_600_000_000)).cast("long"))
     )
+    # Three steps read them: a written table spares computing the alerts again each time.
+    instants = written(instants, "instants")
     bare = instants.select(*scope, "_slice", "_at", "_gap")
     kinds = [alerts.schema[c] for c in scope]
 

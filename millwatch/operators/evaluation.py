@@ -90,9 +90,10 @@ def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), hot_rows:
     ordered scores is taken slice by slice, so no single task orders all of them.
     """
     by = list(by)
-    folded = df.filter(F.col(score).isNotNull()).groupBy(*by, score).agg(
+    known = df.filter(F.col(score).isNotNull())
+    folded = known.groupBy(*by, score).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("_pos"), F.sum((F.col(label) != 1).cast("long")).alias("_neg"))
-    ordered = running(folded, by, [score], {"_upto": ("sum", F.col("_neg"))}, hot_rows)
+    ordered = running(folded, by, [score], {"_upto": ("sum", F.col("_neg"))}, hot_rows, known)
     wins = F.col("_pos").cast("double") * (2 * F.col("_upto") - F.col("_neg"))
     return ordered.groupBy(*by).agg(
         (F.sum(wins) / 2 / F.sum("_pos") / F.sum("_neg")).alias("auc"))

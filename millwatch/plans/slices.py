@@ -10,9 +10,10 @@ rows, and the result is put together so that it equals the plain window exactly:
 * ``running`` (counts, sums, last and next value over an unbounded frame): each slice is
   totalled first, the totals are carried along the key, and the carry is added.
 
-All of it is one lazy plan. The table of hot keys holds at most ``rows / hot_rows``
-entries by construction, which is why it may be broadcast. When it turns out empty,
-adaptive execution drops the hot branches and the plain window over one shuffle remains.
+Which keys are hot is settled first by one small job over the key and order columns; what
+comes back is at most ``rows / hot_rows`` keys by construction. With none, which is the
+usual case, the plan is the plain window over one shuffle and nothing else. Otherwise the
+short list is broadcast.
 """
 
 from __future__ import annotations
@@ -39,26 +40,28 @@ def position(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def _tag(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
-    """Add ``_slice``: NULL for ordinary keys, the slice number for rows of a hot key."""
+def _hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, the start of their order and their slice width."""
     pos = position(df, order[0])
     width = (F.max(pos) - F.min(pos)) * hot_rows / (F.count(F.lit(1)) * SLICES_PER_HOT)
-    figures = [
-        F.count(F.lit(1)).alias(_SIZE),
-        F.min(pos).alias(_LOW),
-        F.greatest(width, F.lit(1e-9)).alias(_WIDTH),
-    ]
+    sizes = df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias(_SIZE), F.min(pos).alias(_LOW), F.greatest(width, F.lit(1e-9)).alias(_WIDTH))
+    hot = sizes.filter(F.col(_SIZE) > hot_rows).drop(_SIZE)
+    found = hot.collect()
+    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Add ``_slice``: NULL for ordinary keys, the slice number for rows of a hot key."""
+    pos = position(df, order[0])
     if keys:
-        hot = df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys]).agg(*figures)
-        hot = hot.filter(F.col(_SIZE) > hot_rows).drop(_SIZE)
         same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
         tagged = df.join(F.broadcast(hot), same, "left")
     else:
-        whole = df.agg(*figures).select(
-            F.when(F.col(_SIZE) > hot_rows, F.struct(_LOW, _WIDTH)).alias("w")).scalar()
-        tagged = df.withColumn("_w", whole).select("*", f"_w.{_LOW}", f"_w.{_WIDTH}")
+        whole = hot.first()
+        tagged = df.withColumns({_LOW: F.lit(whole[_LOW]), _WIDTH: F.lit(whole[_WIDTH])})
     # A missing position sorts first, so it belongs to the first slice.
-    cut = F.when(F.col(_LOW).isNotNull(),
+    cut = F.when(F.col(_WIDTH).isNotNull(),
                  F.coalesce(F.floor((pos - F.col(_LOW)) / F.col(_WIDTH)), F.lit(-1)).cast("long"))
     return tagged.select(*df.columns, cut.alias(_SLICE))
 
@@ -82,7 +85,6 @@ def lookback(
     ``order`` must be unique inside a key, else the frames are not well defined.
     """
     keys, order = list(keys), list(order)
-    tagged = _tag(df, keys, order, hot_rows)
     plain, sliced = _ordered(keys, order), _ordered([*keys, _SLICE], order)
 
     def add(source: DataFrame, w: WindowSpec) -> DataFrame:
@@ -90,6 +92,10 @@ def lookback(
             return columns(source, w)
         return source.select("*", *[make(w).alias(name) for name, make in columns.items()])
 
+    hot_keys = _hot_keys(df, keys, order, hot_rows)
+    if hot_keys is None:
+        return add(df, plain)
+    tagged = _sliced(df, keys, order, hot_keys)
     cold = add(tagged.filter(F.col(_SLICE).isNull()), plain).drop(_SLICE)
 
     hot = tagged.filter(F.col(_SLICE).isNotNull())
@@ -108,16 +114,18 @@ def running(
     order: Sequence[str],
     columns: Mapping[str, tuple[str, Column | None]],
     hot_rows: int = HOT_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add columns over the whole run of a key up to the current row.
 
     ``columns`` maps a name to ``("count", None)`` (the row's position from 1),
     ``("sum", c)`` (running total of the non-null ``c``), ``("last", c)`` (latest non-null
-    ``c`` so far) or ``("next", c)`` (first non-null ``c`` from this row on).
+    ``c`` so far) or ``("next", c)`` (first non-null ``c`` from this row on). ``sized_by``
+    may name a cheaper frame with at least the same rows per key to look for hot keys in.
     """
     keys, order = list(keys), list(order)
     inputs = {f"_in_{n}": c for n, (_, c) in columns.items() if c is not None}
-    tagged = _tag(df.withColumns(inputs) if inputs else df, keys, order, hot_rows)
+    given = df.withColumns(inputs) if inputs else df
 
     def local(name: str, kind: str, w: WindowSpec) -> Column:
         past = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -159,6 +167,10 @@ def running(
     def add(w: WindowSpec) -> list[Column]:
         return [local(n, kind, w).alias(n) for n, (kind, _) in columns.items()]
 
+    hot_keys = _hot_keys(df if sized_by is None else sized_by, keys, order, hot_rows)
+    if hot_keys is None:
+        return given.select(*df.columns, *add(_ordered(keys, order)))
+    tagged = _sliced(given, keys, order, hot_keys)
     cold = tagged.filter(F.col(_SLICE).isNull())
     cold = cold.select(*df.columns, *add(_ordered(keys, order)))
 
