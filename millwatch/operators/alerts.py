@@ -155,7 +155,7 @@ def _firings(scope: Sequence[str]):
 
 
 def cooldown(alerts: DataFrame, scope: Sequence[str] = ("rule",), order: Sequence[str] = ("timestamp", "alert_id"),
-             seconds: int | str = COOLDOWN_SECONDS, slice_hours: int = 24) -> DataFrame:
+             seconds: int | str = COOLDOWN_SECONDS, slice_hours: int = 6) -> DataFrame:
     """Alerts left when a rule stays silent for ``seconds`` after each alert it raises.
 
     The rule is greedy in time, so it looks sequential over all alerts of a rule. It is

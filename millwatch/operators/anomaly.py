@@ -6,6 +6,7 @@ is more anomalous) and ``<name>`` (1 normal, -1 anomaly).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -15,9 +16,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml import Pipeline
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millwatch.operators.evaluation import best_model, binary_metrics, long_form, predictions_of_best
+from millwatch.operators.evaluation import best_model, binary_metrics, long_form, predictions_of_best, stratified_split
 from millwatch.operators.features import sequence_windows
 from millwatch.operators.voting import anomaly_vote
 
@@ -26,6 +27,8 @@ TREES, SAMPLE, CONTAMINATION, NU, SEED = 100, 256, 0.1, 0.1, 42
 ERROR_QUANTILE = 0.95
 RANDOM_FEATURES = 256
 CUT_ACCURACY = 100_000
+NODE = ["feature", "threshold", "left", "right", "depth"]
+FOREST = "tree int, node int, feature int, threshold double, left int, right int, depth double"
 
 
 def _stable_hash(seed: int, *columns: Column) -> Column:
@@ -133,7 +136,12 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str], row_id: Sequenc
     features = list(features)
     ids = [F.col(c) for c in row_id]
     values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"x{j}") for j, c in enumerate(features)]
-    pool = df.select(_stable_hash(seed, *ids).alias("_h"), *values).orderBy("_h").limit(trees * sample)
+    hashed = df.select(_stable_hash(seed, *ids).alias("_h"), *values)
+    rows = df.count()
+    if rows > 2 * trees * sample:
+        # About twice the pool by hash first, so that the tasks do not each keep a whole pool.
+        hashed = hashed.filter(F.pmod("_h", F.lit(1 << 40)) < int(2 * trees * sample / rows * (1 << 40)))
+    pool = hashed.orderBy("_h").limit(trees * sample)
     # Every tree takes its own few of the pool: a little more than needed, by hash.
     size = pool.agg(F.count(F.lit(1))).first()[0]
     share = min(1.0, 1.5 * sample / max(size, 1))
@@ -145,13 +153,12 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str], row_id: Sequenc
         points = pdf.nsmallest(sample, "_pick")[names].to_numpy()
         limit = max(int(np.ceil(np.log2(max(len(points), 2)))), 1)
         nodes = _grow(points, np.random.default_rng([seed, int(key[0])]), limit)
-        out = pd.DataFrame(nodes, columns=["feature", "threshold", "left", "right", "depth"])
+        out = pd.DataFrame(nodes, columns=NODE)
         return out.assign(tree=int(key[0]), node=range(len(out)))
 
-    shape = "tree int, node int, feature int, threshold double, left int, right int, depth double"
-    forest = drawn.groupBy("_tree").applyInPandas(grow, shape)
+    forest = drawn.groupBy("_tree").applyInPandas(grow, FOREST)
     grown = forest.toPandas().sort_values(["tree", "node"])
-    arrays = [tuple(g[c].to_numpy() for c in ("feature", "threshold", "left", "right", "depth")) for _, g in grown.groupby("tree")]
+    arrays = [tuple(g[c].to_numpy() for c in NODE) for _, g in grown.groupby("tree")]
     model = IsolationForest(features, arrays, min(sample, size))
     model.cut = _cut(model.scores(df), f"{model.name}_score", contamination)
     return model
@@ -255,6 +262,36 @@ def fit_sequence_reconstruction(df: DataFrame, column: str, order: Sequence[str]
     return model
 
 
+# --- storage ----------------------------------------------------------------------
+
+
+def save_detector(spark: SparkSession, model, path: str) -> None:
+    """Write a detector as tables: its numbers, and its trees or pipeline."""
+    facts: dict = {"kind": model.name, "cut": float(model.cut)}
+    if isinstance(model, IsolationForest):
+        facts |= {"features": model.features, "size": int(model.size)}
+        nodes = [(t, n, *(v.item() for v in node)) for t, tree in enumerate(model.trees) for n, node in enumerate(zip(*tree, strict=True))]
+        spark.createDataFrame(nodes, FOREST).write.mode("overwrite").parquet(f"{path}/trees")
+    elif isinstance(model, KernelOneClass):
+        facts |= {"features": model.features, **{n: getattr(model, n).tolist() for n in ("mean", "spread", "weights", "shift", "centre")}}
+    else:
+        facts |= {"column": model.column, "order": model.order, "length": model.length, "key": model.key}
+        model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    spark.createDataFrame([(json.dumps(facts),)], "facts string").write.mode("overwrite").parquet(f"{path}/facts")
+
+
+def load_detector(spark: SparkSession, path: str):
+    facts = json.loads(spark.read.parquet(f"{path}/facts").first()["facts"])
+    kind, cut = facts.pop("kind"), facts.pop("cut")
+    if kind == "isolation_forest":
+        nodes = spark.read.parquet(f"{path}/trees").toPandas().sort_values(["tree", "node"])
+        trees = [tuple(g[c].to_numpy() for c in NODE) for _, g in nodes.groupby("tree")]
+        return IsolationForest(facts["features"], trees, facts["size"], cut)
+    if kind == "one_class_kernel":
+        return KernelOneClass(facts.pop("features"), **{n: np.array(v) for n, v in facts.items()}, cut=cut)
+    return SequenceReconstruction(**facts, pipeline=PipelineModel.load(f"{path}/pipeline"), cut=cut)
+
+
 # --- family -----------------------------------------------------------------------
 
 
@@ -306,3 +343,15 @@ def train_anomaly_models(df: DataFrame, features: Sequence[str], row_id: Sequenc
         else:
             raise ValueError(f"Unknown model type: {name}")
     return AnomalyModels(made, config.get("voting_method", "majority"))
+
+
+def retrain_anomaly(df: DataFrame, features: Sequence[str], row_id: Sequence[str], label: str, base: str, version: int,
+                    config: Mapping | None = None) -> DataFrame:
+    """Fit on the training share, evaluate on the test share, store each detector. Returns the metrics."""
+    split = stratified_split(df, label, row_id)
+    train, test = (split.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
+    family = train_anomaly_models(train, features, row_id, config=config)
+    metrics = family.evaluate(family.score(test), label)
+    for name, model in family.models.items():
+        save_detector(df.sparkSession, model, f"{base}/detectors/{name}/version={version}")
+    return metrics

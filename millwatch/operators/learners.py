@@ -22,7 +22,7 @@ from millwatch.sources.models import save_model
 
 # Defaults of the model families.
 TREES, DEPTH, ROUNDS, RATE, BOOST_DEPTH, SEED = 100, 10, 100, 0.1, 6, 42
-CLUSTERS = 5
+CLUSTERS, FOLDS = 5, 5
 # The health bands a banded network learns, and their middle scores.
 BAND_EDGES, BAND_MIDDLES = [0.2, 0.4, 0.6, 0.8], [0.1, 0.3, 0.5, 0.7, 0.9]
 
@@ -204,30 +204,41 @@ class FailureModels:
         return out.withColumns({"failure_probability": F.col("_best"), "will_fail": (F.col("_best") > 0.5).cast("int")}).drop("_best")
 
 
+def makers(features: Sequence[str], label: str, config: Mapping) -> dict:
+    """How to fit each kind of failure model on some rows."""
+    return {
+        "failure_rf": lambda rows: fit_failure_forest(rows, features, label, config.get("trees", TREES), config.get("depth", DEPTH)),
+        "failure_gbt": lambda rows: fit_failure_boosting(rows, features, label, config.get("rounds", ROUNDS), config.get("rate", RATE)),
+        "failure_sequence": lambda rows: fit_failure_sequence(rows, config["sequence_column"], label, config["order"],
+                                                              config.get("sequence_length", 60)),
+    }
+
+
 def train_failure_models(df: DataFrame, features: Sequence[str], label: str, row_id: Column, config: Mapping | None = None) -> FailureModels:
     """Fit the classifiers a configuration asks for; ``weighted`` voting weighs them by fold AUC."""
     config = dict(config or {})
-    made = {}
+    known, made = makers(features, label, config), {}
     for name in config.get("models", ["failure_rf", "failure_gbt"]):
-        if name == "failure_rf":
-            made[name] = fit_failure_forest(df, features, label, config.get("trees", TREES), config.get("depth", DEPTH))
-        elif name == "failure_gbt":
-            made[name] = fit_failure_boosting(df, features, label, config.get("rounds", ROUNDS), config.get("rate", RATE))
-        elif name == "failure_sequence":
-            made[name] = fit_failure_sequence(df, config["sequence_column"], label, config["order"], config.get("sequence_length", 60))
-        else:
+        if name not in known:
             raise ValueError(f"Unknown model type: {name}")
+        made[name] = known[name](df)
     family = FailureModels(made, config.get("voting_method", "soft"))
     if family.voting_method == "weighted":
-        scored = df
-        for model in made.values():
-            scored = model.score(scored)
-        # One struct of as many numbers as models.
-        row = E.auc_weights(scored, family.columns(), label, row_id).first()["w"]
-        family.weights = F.struct(*[F.lit(float(row[n])).alias(n) for n in made])
+        found = {n: fold_auc(df, m, label, row_id, config.get("folds", FOLDS)) for n, m in makers(features, label, config).items() if n in made}
+        family.weights = F.struct(*[F.lit(float(found[n])).alias(n) for n in made])
     return family
 
 
+def fold_auc(df: DataFrame, fit, label: str, row_id: Column, folds: int = FOLDS) -> float:
+    """Mean AUC over hash folds, each scored by a model fitted on the others."""
+    placed, areas = df.withColumn("_fold", V.hash_bucket(row_id, folds)), []
+    for i in range(folds):
+        model = fit(placed.filter(F.col("_fold") != i).drop("_fold"))
+        scored = model.score(placed.filter(F.col("_fold") == i).drop("_fold"))
+        areas.append(V.auc(scored, label, model.name).first()["auc"])
+    return sum(areas) / folds
+
+
 @dataclass
 class HealthModels:
     """Fitted health scorers with their average, weighted or median ensemble."""
@@ -290,6 +301,20 @@ def retrain_failure(df: DataFrame, features: Sequence[str], label: str, row_id:
     return metrics
 
 
+def retrain_health(df: DataFrame, features: Sequence[str], label: str, row_id: Sequence[str], base: str, version: int,
+                   test_share: float = 0.2, config: Mapping | None = None) -> DataFrame:
+    """The same for health scorers; a number has no classes, so the split is by hash alone."""
+    tested = V.hash_bucket(F.concat_ws("|", *row_id), 1000) < int(test_share * 1000)
+    train, test = df.filter(~tested), df.filter(tested)
+    family = train_health_models(train, features, label, config)
+    metrics = family.evaluate(family.score(test), label)
+    found = {row["model"]: row.asDict() for row in metrics.collect()}
+    for name, model in family.models.items():
+        numbers = {k: v for k, v in found[name].items() if k != "model"}
+        save_model(df.sparkSession, model.pipeline, base, name, version, numbers)
+    return metrics
+
+
 def retrain_if_drifted(df: DataFrame, as_of: str, features: Sequence[str], retrain) -> DataFrame | None:
     """Run ``retrain()`` only when the recent days drifted; one row decides."""
     return retrain() if retrain_decision(df, as_of, features).first()["retrain"] else None

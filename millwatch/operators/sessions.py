@@ -4,53 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from millwatch.plans.slices import epoch_us
-
-
-def _stitch(df: DataFrame, by: Sequence[str], order: Sequence[str], gap_us: int) -> DataFrame:
-    """Number the stretches of rows (start, end) whose distance stays below the gap."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    before = F.lag(F.col("_end")).over(w)
-    fresh = (before.isNull() | (F.col("_start") - before > gap_us)).cast("long")
-    return df.withColumn("_fresh", fresh).withColumn(
-        "_session", F.sum("_fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+from millwatch.plans.slices import HOT_ROWS, epoch_us, lookback, running
 
 
 def operating_sessions(
     df: DataFrame,
     gap_seconds: int = 3600,
     keys: Sequence[str] = ("equipment_id",),
-    tie: Sequence[str] = ("reading_id",),
-    slice: str = "1 day",
+    order: Sequence[str] = ("timestamp", "reading_id"),
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Sessions per key, split where two readings lie more than the gap apart.
 
-    Rows are folded to sessions inside (key, slice) first; only those partial sessions are
-    ordered per key and joined across slice borders, so a hot key is spread over its slices.
+    A row that opens a session is told by the row before it; the number of openings so far
+    numbers the sessions. All steps share the partitioning by key; a hot key is sliced.
     """
     keys, gap = list(keys), gap_seconds * 1_000_000
-    at = epoch_us(F.col("timestamp"))
-    rows = df.select(
-        *keys, "timestamp", *tie, F.col("value").alias("_value"), at.alias("_start"), at.alias("_end"),
-        F.window("timestamp", slice)["start"].alias("_slice"),
-    )
-    parts = (
-        _stitch(rows, [*keys, "_slice"], ["timestamp", *tie], gap)
-        .groupBy(*keys, "_slice", "_session")
-        .agg(
-            F.min("timestamp").alias("session_start"), F.max("timestamp").alias("session_end"),
-            F.count(F.lit(1)).alias("readings"), F.sum("_value").alias("total"),
-            F.min("_start").alias("_start"), F.max("_end").alias("_end"),
-        ).drop("_session")
-    )
-    return (
-        _stitch(parts, keys, ["_start"], gap)
-        .groupBy(*keys, "_session")
-        .agg(
-            F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
-            F.sum("readings").alias("readings"), F.sum("total").alias("total"),
-        )
-        .withColumnRenamed("_session", "session_number")
-    )
+    rows = df.select(*keys, *order, "value", epoch_us(F.col(order[0])).alias("_at"))
+    rows = lookback(rows, keys, order, 1, {"_before": lambda w: F.lag("_at").over(w)}, hot_rows)
+    opens = (F.col("_before").isNull() | (F.col("_at") - F.col("_before") > gap)).cast("long")
+    rows = running(rows, keys, order, {"session_number": ("sum", opens)}, hot_rows)
+    return rows.groupBy(*keys, "session_number").agg(
+        F.min(order[0]).alias("session_start"), F.max(order[0]).alias("session_end"),
+        F.count(F.lit(1)).alias("readings"), F.sum("value").alias("total"))

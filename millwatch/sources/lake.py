@@ -16,25 +16,25 @@ def date_parts(df: DataFrame, time: str = "timestamp") -> DataFrame:
     return df.withColumns({"year": F.year(time), "month": F.month(time), "day": F.dayofmonth(time), "hour": F.hour(time)})
 
 
-def _store(df: DataFrame, path: str, parts: Sequence[str], writers: int, mode: str) -> None:
-    # Rows of one directory go to few tasks, so files stay large; the salt splits a busy one.
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in parts and c != "metadata"]), F.lit(writers))
-    spread = df.repartition(*[F.col(p) for p in parts], salt)
-    spread.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*parts).parquet(path)
+def _store(df: DataFrame, path: str, parts: Sequence[str], mode: str) -> None:
+    # Rows of one directory come together so that files stay large; adaptive execution
+    # splits a directory that is too much for one task.
+    gathered = df.hint("rebalance", *parts)
+    gathered.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*parts).parquet(path)
 
 
-def store_raw(df: DataFrame, base: str, writers: int = 1, mode: str = "append") -> str:
+def store_raw(df: DataFrame, base: str, mode: str = "append") -> str:
     """Readings by year, month, day and hour of their time. Returns the dataset path."""
     path = f"{base}/raw-data"
-    _store(date_parts(df), path, RAW_PARTS, writers, mode)
+    _store(date_parts(df), path, RAW_PARTS, mode)
     return path
 
 
-def store_processed(df: DataFrame, base: str, process_type: str, writers: int = 1, mode: str = "append") -> str:
+def store_processed(df: DataFrame, base: str, process_type: str, mode: str = "append") -> str:
     """Results by type of processing and date."""
     path = f"{base}/processed-data"
     dated = date_parts(df).drop("hour").withColumn("type", F.lit(process_type))
-    _store(dated, path, PROCESSED_PARTS, writers, mode)
+    _store(dated, path, PROCESSED_PARTS, mode)
     return path
 
 

@@ -56,6 +56,32 @@ def test_isolation_forest_is_the_same_on_every_run(planted):
     assert a.cut == b.cut and all((x[1] == y[1]).all() for x, y in zip(a.trees, b.trees, strict=True))
 
 
+def test_detectors_come_back_from_disk(spark, sf, planted, folder):
+    p = X.plant(spark, sf)
+    made = [(N.fit_isolation_forest(planted, FEATURES, ["id"], trees=8), planted), (N.fit_one_class(planted, FEATURES, size=32), planted),
+            (N.fit_sequence_reconstruction(p, "temperature", X.PLANT_ORDER, length=10, components=2), p)]
+    for model, df in made:
+        N.save_detector(spark, model, f"{folder}/{model.name}")
+        again = N.load_detector(spark, f"{folder}/{model.name}")
+        count = lambda m: m.score(df).filter(F.col(m.name) == -1).count()  # noqa: B023, E731
+        assert count(again) == count(model) > 0
+
+
+def test_retrain_detectors_and_scorers(spark, planted, failing, folder):
+    metrics = N.retrain_anomaly(planted, FEATURES, ["id"], "label", folder, 3, {"trees": 10, "contamination": 0.05, "nu": 0.05})
+    assert metrics.count() == 3
+    assert N.load_detector(spark, f"{folder}/detectors/isolation_forest/version=3").features == FEATURES
+    fits = Q.retrain_health(failing, WIDE, "health", ["id"], folder, 1, config={"trees": 10, "depth": 5, "rounds": 5})
+    assert fits.filter("model = 'health_rf'").first()["r2_score"] > 0.2
+    decided = []
+    moved = failing.select("x0", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(id % 31)").alias("timestamp"))
+    still = Q.retrain_if_drifted(moved.withColumn("x0", F.lit(1.0)), "2024-01-31", ["x0"], lambda: decided.append(1))
+    assert still is None and decided == []
+    shifted = moved.withColumn("x0", F.col("x0") + F.when(F.col("timestamp") > F.lit("2024-01-24").cast("timestamp_ntz"), 5.0).otherwise(0.0))
+    Q.retrain_if_drifted(shifted, "2024-01-31", ["x0"], lambda: decided.append(1))
+    assert decided == [1]
+
+
 def test_sequence_errors_and_padding(spark, sf):
     p = X.plant(spark, sf)
     model = N.fit_sequence_reconstruction(p, "temperature", X.PLANT_ORDER, length=20, components=4)

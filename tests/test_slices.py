@@ -7,7 +7,7 @@ from compare import differences
 from pyspark.sql import Window, functions as F
 
 from millwatch import fixtures as X
-from millwatch.operators import features as C, stream_rules as D
+from millwatch.operators import features as C, sessions, stream_rules as D
 from millwatch.plans.quantiles import exact_quantiles
 from millwatch.plans.slices import lookback, running
 
@@ -67,6 +67,12 @@ def test_zscore_and_runs_with_hot_keys(spark, sf):
     assert differences(D.anomaly_runs(cold, hot_rows=60).toPandas(), D.anomaly_runs(cold).toPandas()) == ""
 
 
+def test_sessions_with_hot_keys(spark, sf):
+    df = X.readings(spark, sf)
+    a, b = (sessions.operating_sessions(df, 12 * 3600, hot_rows=h).withColumn("total", F.round("total", 6)) for h in (10**6, 20))
+    assert differences(b.toPandas(), a.toPandas()) == ""
+
+
 def test_sequences_and_maintenance_with_hot_keys(spark, sf):
     df, log = X.plant(spark, sf), X.maintenance(spark, sf)
     a = C.sequence_windows(df, X.PLANT_ORDER, length=20).withColumn("sequence", F.concat_ws(",", "sequence"))

@@ -81,7 +81,7 @@ def test_unknown_time_is_stamped(spark):
 
 
 def test_lake_reads_only_the_days_asked_for(spark, sf, folder):
-    raw = L.store_raw(X.readings(spark, sf), folder, writers=2)
+    raw = L.store_raw(X.readings(spark, sf), folder)
     day = L.read_range(spark, raw, "2024-01-10 00:00:00", "2024-01-10 23:59:59", ["reading_id", "timestamp"])
     expected = X.readings(spark, sf).filter("timestamp >= timestamp_ntz'2024-01-10' AND timestamp < timestamp_ntz'2024-01-11'")
     assert day.count() == expected.count() > 0
