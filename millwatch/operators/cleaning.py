@@ -68,9 +68,10 @@ def impute_median(df: DataFrame, features: Sequence[str], targets: Sequence[str]
     return out.withColumns(filled).drop("_q").na.fill(0, list(targets))
 
 
-def iqr_bounds(df: DataFrame, column: str, factor: float = OUTLIER_FACTOR) -> tuple[float, float] | None:
+def iqr_bounds(df: DataFrame, column: str, factor: float = OUTLIER_FACTOR,
+               at_most: int | None = None) -> tuple[float, float] | None:
     """Lower and upper fence of one column; one two-row result comes back to the driver."""
-    found = {row["p"]: row["quantile"] for row in exact_quantiles(df, [column], [0.25, 0.75]).collect()}
+    found = {row["p"]: row["quantile"] for row in exact_quantiles(df, [column], [0.25, 0.75], at_most=at_most).collect()}
     if not found:
         return None
     low, high = found[0.25], found[0.75]
@@ -84,8 +85,9 @@ def remove_outliers(df: DataFrame, columns: Sequence[str] | None = None, factor:
     are settled one after the other. Only the fences are brought back, and the result is
     a plain chain of filters on the input.
     """
+    rows = df.count()
     for c in columns or numeric_columns(df):
-        fences = iqr_bounds(df, c, factor)
+        fences = iqr_bounds(df, c, factor, rows)
         if fences:
             df = df.filter(F.col(c).isNull() | F.col(c).between(*fences))
     return df

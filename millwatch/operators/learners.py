@@ -23,6 +23,8 @@ from millwatch.sources.models import save_model
 # Defaults of the model families.
 TREES, DEPTH, ROUNDS, RATE, BOOST_DEPTH, SEED = 100, 10, 100, 0.1, 6, 42
 CLUSTERS, FOLDS = 5, 5
+# Memory for split statistics: more nodes are split in one pass over the rows.
+SPLIT_MEMORY_MB = 1024
 # The health bands a banded network learns, and their middle scores.
 BAND_EDGES, BAND_MIDDLES = [0.2, 0.4, 0.6, 0.8], [0.1, 0.3, 0.5, 0.7, 0.9]
 
@@ -80,7 +82,8 @@ def fit_failure_forest(df: DataFrame, features: Sequence[str], label: str, trees
     """Random forest with balanced class weights."""
     weighted = _training(df, features, label, weighted=True)
     forest = RandomForestClassifier(labelCol=label, featuresCol="_x", weightCol="weight", probabilityCol="_p", predictionCol="_y",
-                                    rawPredictionCol="_r", numTrees=trees, maxDepth=depth, seed=seed)
+                                    rawPredictionCol="_r", numTrees=trees, maxDepth=depth, seed=seed,
+                                    maxMemoryInMB=SPLIT_MEMORY_MB)
     return Scorer("failure_rf", "probability", list(features), Pipeline(stages=[_assembler(features), forest]).fit(weighted))
 
 
@@ -125,7 +128,8 @@ def fit_failure_sequence(df: DataFrame, column: str, label: str, order: Sequence
 
 def fit_health_forest(df: DataFrame, features: Sequence[str], label: str, trees: int = TREES, depth: int = DEPTH,
                       seed: int = SEED) -> Scorer:
-    forest = RandomForestRegressor(labelCol=label, featuresCol="_x", predictionCol="_y", numTrees=trees, maxDepth=depth, seed=seed)
+    forest = RandomForestRegressor(labelCol=label, featuresCol="_x", predictionCol="_y", numTrees=trees, maxDepth=depth, seed=seed,
+                                    maxMemoryInMB=SPLIT_MEMORY_MB)
     return Scorer("health_rf", "value", list(features), Pipeline(stages=[_assembler(features), forest]).fit(_training(df, features, label)))
 
 

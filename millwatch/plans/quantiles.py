@@ -56,17 +56,19 @@ def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = ACCURACY,
-    small_rows: int = SMALL_ROWS, ordered_rows: int = ORDERED_ROWS,
+    small_rows: int = SMALL_ROWS, ordered_rows: int = ORDERED_ROWS, at_most: int | None = None,
 ) -> DataFrame:
     """Linear-interpolated quantiles as rows (column, p, quantile).
 
     Small columns use the built-in exact quantile. Large ones are bracketed by sketches
     until few values are left around each quantile; only those are put in order. What
     comes back to the driver on the way are two values and two counts per quantile.
+    ``at_most`` is a row count known not to be exceeded; a small one spares counting.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    sizes = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
-    if max(sizes) <= small_rows:
+    known_small = at_most is not None and at_most <= small_rows
+    sizes = [] if known_small else numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
+    if known_small or max(sizes) <= small_rows:
         row = numbers.agg(*[F.percentile(c, F.array(*[F.lit(float(p)) for p in probabilities])).alias(c) for c in columns])
         cells = F.array(*[
             F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("p"), F.col(c)[i].alias("quantile"))

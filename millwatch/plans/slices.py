@@ -51,8 +51,16 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows
     return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Add ``_slice``: NULL for ordinary keys, the slice number for rows of a hot key."""
+def _start(low: Column, width: Column, pos: Column) -> Column:
+    return low + F.floor((pos - low) / width) * width
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame, hot_rows: int) -> DataFrame:
+    """Add ``_slice``: NULL for ordinary keys, the start of the slice for rows of a hot key.
+
+    Slices are even in the order column, not in rows. One that a burst has made too large
+    is cut again, as often as needed, unless all of it lies at one position.
+    """
     pos = position(df, order[0])
     if keys:
         same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
@@ -60,10 +68,22 @@ def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataF
     else:
         whole = hot.first()
         tagged = df.withColumns({_LOW: F.lit(whole[_LOW]), _WIDTH: F.lit(whole[_WIDTH])})
-    # A missing position sorts first, so it belongs to the first slice.
-    cut = F.when(F.col(_WIDTH).isNotNull(),
-                 F.coalesce(F.floor((pos - F.col(_LOW)) / F.col(_WIDTH)), F.lit(-1)).cast("long"))
-    return tagged.select(*df.columns, cut.alias(_SLICE))
+    # A missing position sorts first, so it makes a slice of its own before all others.
+    cut = F.coalesce(_start(F.col(_LOW), F.col(_WIDTH), pos), F.lit(float("-inf")))
+    tagged = tagged.select(*df.columns, F.when(F.col(_WIDTH).isNotNull(), cut).alias(_SLICE))
+    while True:
+        width = (F.max(pos) - F.min(pos)) * hot_rows / (F.count(F.lit(1)) * SLICES_PER_HOT)
+        crowded = tagged.filter(F.col(_SLICE).isNotNull()).groupBy(
+            *[F.col(k).alias(f"_hot_{k}") for k in keys], F.col(_SLICE).alias("_hot_slice"),
+        ).agg(F.count(F.lit(1)).alias(_SIZE), F.min(pos).alias(_LOW), width.alias(_WIDTH))
+        crowded = crowded.filter((F.col(_SIZE) > hot_rows) & (F.col(_WIDTH) > 0)).drop(_SIZE)
+        found = crowded.collect()
+        if not found:
+            return tagged
+        table = df.sparkSession.createDataFrame(found, crowded.schema)
+        same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys] + [F.col(_SLICE) == F.col("_hot_slice")]
+        finer = F.coalesce(_start(F.col(_LOW), F.col(_WIDTH), pos), F.col(_SLICE))
+        tagged = tagged.join(F.broadcast(table), same, "left").select(*df.columns, finer.alias(_SLICE))
 
 
 def _ordered(by: Sequence[str], order: Sequence[str]) -> WindowSpec:
@@ -95,7 +115,7 @@ def lookback(
     hot_keys = _hot_keys(df, keys, order, hot_rows)
     if hot_keys is None:
         return add(df, plain)
-    tagged = _sliced(df, keys, order, hot_keys)
+    tagged = _sliced(df, keys, order, hot_keys, hot_rows)
     cold = add(tagged.filter(F.col(_SLICE).isNull()), plain).drop(_SLICE)
 
     hot = tagged.filter(F.col(_SLICE).isNotNull())
@@ -170,7 +190,7 @@ def running(
     hot_keys = _hot_keys(df if sized_by is None else sized_by, keys, order, hot_rows)
     if hot_keys is None:
         return given.select(*df.columns, *add(_ordered(keys, order)))
-    tagged = _sliced(given, keys, order, hot_keys)
+    tagged = _sliced(given, keys, order, hot_keys, hot_rows)
     cold = tagged.filter(F.col(_SLICE).isNull())
     cold = cold.select(*df.columns, *add(_ordered(keys, order)))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window, functions as F
 from millwatch import fixtures as X
 from millwatch.operators import features as C, sessions, stream_rules as D
 from millwatch.plans.quantiles import exact_quantiles
-from millwatch.plans.slices import lookback, running
+from millwatch.plans.slices import _hot_keys, _sliced, lookback, running
 
 
 def skewed(spark, sf):
@@ -67,6 +67,22 @@ def test_zscore_and_runs_with_hot_keys(spark, sf):
     assert differences(D.anomaly_runs(cold, hot_rows=60).toPandas(), D.anomaly_runs(cold).toPandas()) == ""
 
 
+def test_bursts_are_cut_again(spark):
+    """Nearly all rows lie in the last thousandth of the time span, many at one instant."""
+    rows = spark.range(3000).select(
+        F.lit("A").alias("k"), F.col("id"),
+        F.when(F.col("id") < 10, F.col("id") * 1e6).when(F.col("id") < 2000, 9e6 + F.col("id")).otherwise(9e6 + 5000).alias("at"))
+    hot = _hot_keys(rows, ["k"], ["at", "id"], 100)
+    sizes = _sliced(rows, ["k"], ["at", "id"], hot, 100).groupBy("_slice").agg(F.count("*").alias("n"), F.countDistinct("at").alias("places"))
+    assert sizes.filter("n > 100 AND places > 1").count() == 0 and sizes.count() > 20
+    made = {"p": ("count", None), "s": ("sum", F.col("id"))}
+    a, b = (running(rows, ["k"], ["at", "id"], made, h).toPandas() for h in (100, 10**6))
+    assert differences(a, b) == ""
+    back = {"b": lambda w: F.lag("id", 7).over(w)}
+    a, b = (lookback(rows, ["k"], ["at", "id"], 7, back, h).toPandas() for h in (100, 10**6))
+    assert differences(a, b) == ""
+
+
 def test_sessions_with_hot_keys(spark, sf):
     df = X.readings(spark, sf)
     a, b = (sessions.operating_sessions(df, 12 * 3600, hot_rows=h).withColumn("total", F.round("total", 6)) for h in (10**6, 20))
