@@ -13,6 +13,8 @@ from millwatch.plans.slices import HOT_ROWS, epoch_us, running
 from millwatch.schemas import SENSOR_WEIGHTS
 
 HISTORY_PAGE = 1000
+# Fixed value: the longest page of a list.
+MAX_PAGE = 1000
 STABLE_SLOPE = 1e-3
 
 
@@ -30,9 +32,12 @@ def equipment_list(dimension: DataFrame, health: DataFrame, status: str | None =
         wanted = wanted.filter(F.col("status") == status)
     if location is not None:
         wanted = wanted.filter(F.col("location") == location)
-    # Page first, then look up the health of the page only.
+    # Page first. Its ids, at most MAX_PAGE, then keep all other readings out of the health.
+    if limit > MAX_PAGE:
+        raise ValueError(f"A page holds at most {MAX_PAGE} rows")
     listed = page(wanted, ["equipment_id"], limit, offset)
-    out = listed.join(latest_health(health), "equipment_id", "left")
+    asked = health.join(F.broadcast(listed.select("equipment_id")), "equipment_id", "left_semi")
+    out = listed.join(latest_health(asked), "equipment_id", "left")
     return out.withColumn("health_status", F.when(F.col("health_score").isNotNull(), health_status(F.col("health_score"))))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -25,6 +26,7 @@ TREES, DEPTH, ROUNDS, RATE, BOOST_DEPTH, SEED = 100, 10, 100, 0.1, 6, 42
 CLUSTERS, FOLDS = 5, 5
 # Memory for split statistics: more nodes are split in one pass over the rows.
 SPLIT_MEMORY_MB = 1024
+ROWS_PER_TASK = 5_000_000
 # The health bands a banded network learns, and their middle scores.
 BAND_EDGES, BAND_MIDDLES = [0.2, 0.4, 0.6, 0.8], [0.1, 0.3, 0.5, 0.7, 0.9]
 
@@ -39,7 +41,8 @@ def _training(df: DataFrame, features: Sequence[str], label: str, weighted: bool
     rows = _inputs(df, features).select(*[f"_f{j}" for j in range(len(features))], label)
     if weighted:
         rows = V.with_class_weights(rows, label)
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # As many tasks as cores, more where their share would grow too large to cache.
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / ROWS_PER_TASK))
     return rows.repartition(tasks, F.xxhash64(*rows.columns))
 
 

@@ -37,13 +37,13 @@ def zscore_anomaly(
     window: int = Z_WINDOW,
     threshold: float = Z_THRESHOLD,
     min_count: int = Z_MIN_COUNT,
-    cold_start: str = "reference",
+    cold_start: str = "unit",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Flag readings far from the mean of the key's last ``window`` values, itself included.
 
     With fewer than ``min_count`` values the rule takes mean 0 and deviation 1
-    (``cold_start='reference'``) or flags nothing (``'skip'``).
+    (``cold_start='unit'``) or flags nothing (``'skip'``).
     """
     v = F.col(value)
     stats = {
@@ -54,7 +54,7 @@ def zscore_anomaly(
     source = complete(df, keys, value)
     spread = F.col("_spread")
     warm = F.when(spread > 0, F.abs(v - F.col("_mean")) / spread).otherwise(F.lit(0.0))
-    early = F.abs(v) if cold_start == "reference" else F.lit(0.0)
+    early = F.abs(v) if cold_start == "unit" else F.lit(0.0)
     z = F.col("z_score")
     return (
         lookback(source, keys, order, window - 1, stats, hot_rows)

@@ -46,7 +46,7 @@ def stream_zscore(
     window: int = D.Z_WINDOW,
     threshold: float = D.Z_THRESHOLD,
     min_count: int = D.Z_MIN_COUNT,
-    cold_start: str = "reference",
+    cold_start: str = "unit",
     idle: str | None = None,
 ) -> DataFrame:
     """``zscore_anomaly`` on a stream: each key keeps its last values as state.
@@ -70,7 +70,7 @@ def stream_zscore(
         n, mean, spread = recent_statistics(past, values, window)
         with np.errstate(divide="ignore", invalid="ignore"):
             warm = np.where(spread > 0, np.abs(values - mean) / spread, 0.0)
-        early = np.abs(values) if cold_start == "reference" else np.zeros(len(values))
+        early = np.abs(values) if cold_start == "unit" else np.zeros(len(values))
         z = np.where(n >= min_count, warm, early)
         state.update((np.concatenate([past, values])[-window:].tolist(),))
         if idle:
