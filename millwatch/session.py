@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -15,6 +19,8 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+_sent: set[str] = set()
+
 
 def get_session(app: str = "millwatch", master: str | None = None, **extra: str) -> SparkSession:
     """Build a session. On a cluster leave ``master`` out and let submit decide."""
@@ -27,7 +33,17 @@ def get_session(app: str = "millwatch", master: str | None = None, **extra: str)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the time zone, which results depend on, and the limit for generated methods."""
+    """Pin the time zone, which results depend on, and the limit for generated methods.
+
+    Also sends the package to the Python workers, once per application, so that it need
+    not be installed on the executors.
+    """
     for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
         spark.conf.set(key, SETTINGS[key])
+    context = spark.sparkContext
+    if context.applicationId not in _sent:
+        folder = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="millwatch-"), "millwatch")
+        context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(folder), os.path.basename(folder)))
+        _sent.add(context.applicationId)
     return spark
