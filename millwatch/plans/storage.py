@@ -8,19 +8,29 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_made: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; a local one only where none is set."""
+    """The shared checkpoint folder of the session.
+
+    Without one, a job in a single JVM (``local[...]``, as in tests) takes a temporary
+    folder; on a cluster this raises, as executors do not see each other's disks.
+    """
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set {SETTING} to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="millwatch-")
         spark.conf.set(SETTING, folder)
     return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -28,3 +38,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove what this application put into the shared folder, once its results are stored elsewhere."""
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -32,14 +32,8 @@ def get_session(app: str = "millwatch", master: str | None = None, **extra: str)
     return prepare(builder.getOrCreate())
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the time zone, which results depend on, and the limit for generated methods.
-
-    Also sends the package to the Python workers, once per application, so that it need
-    not be installed on the executors.
-    """
-    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
-        spark.conf.set(key, SETTINGS[key])
+def ship(spark: SparkSession) -> SparkSession:
+    """Send the package to the Python workers, once per application: it need not be installed there."""
     context = spark.sparkContext
     if context.applicationId not in _sent:
         folder = os.path.dirname(os.path.abspath(__file__))
@@ -47,3 +41,10 @@ def prepare(spark: SparkSession) -> SparkSession:
         context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(folder), os.path.basename(folder)))
         _sent.add(context.applicationId)
     return spark
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Pin the time zone, which results depend on, and the limit for generated methods; ship the package."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+        spark.conf.set(key, SETTINGS[key])
+    return ship(spark)

@@ -7,6 +7,7 @@ from compare import differences, duck
 from conftest import TINY
 
 from __spark_entry__ import entry, oracle_sql, queries
+from millwatch.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +19,7 @@ def test_oracles_belong_to_queries():
     assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, con, name):
     assert differences(queries()[name](spark, TINY).toPandas(), con.execute(oracle_sql()[name]).df()) == ""
 
