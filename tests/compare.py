@@ -45,7 +45,7 @@ def differences(ours: pd.DataFrame, theirs: pd.DataFrame) -> str:
             i = unlike.idxmax()
             notes.append(f"{c}: {int(unlike.sum())} differ, e.g. row {i}: {a[c][i]!r} vs {b[c][i]!r}")
         kinds = {str(a[c].dtype), str(b[c].dtype)}
-        if len(kinds) > 1 and len(a):
+        if len(kinds) > 1 and not (a[c].isna().all() and b[c].isna().all()):
             notes.append(f"{c}: types {a[c].dtype} vs {b[c].dtype}")
     return "; ".join(notes)
 
