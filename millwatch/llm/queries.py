@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from millwatch.llm import sharding
+from millwatch.llm import mixing, sharding
 
 QUERIES = {
+    "op7_mixing": mixing.op7_mixing,
     "op9_sharding": sharding.op9_sharding,
 }
 
 ORACLES = {
+    "op7_mixing": mixing.OP7_SQL,
     "op9_sharding": sharding.OP9_SQL,
 }
