@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from millwatch.llm import mixing, sharding
+from millwatch.llm import mixing, quality, sharding
 
 QUERIES = {
+    "op5_quality": quality.op5_quality,
     "op7_mixing": mixing.op7_mixing,
     "op9_sharding": sharding.op9_sharding,
 }
 
 ORACLES = {
+    "op5_quality": quality.OP5_SQL,
     "op7_mixing": mixing.OP7_SQL,
     "op9_sharding": sharding.OP9_SQL,
 }
