@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from millwatch.llm import mixing, quality, sharding
+from millwatch.llm import knn_join, mixing, quality, sharding
 
 QUERIES = {
+    "op3_topk": knn_join.op3_topk,
     "op5_quality": quality.op5_quality,
     "op7_mixing": mixing.op7_mixing,
     "op9_sharding": sharding.op9_sharding,
 }
 
 ORACLES = {
+    "op3_topk": knn_join.OP3_SQL,
     "op5_quality": quality.OP5_SQL,
     "op7_mixing": mixing.OP7_SQL,
     "op9_sharding": sharding.OP9_SQL,
