@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import codecs
 import functools
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +19,8 @@ from millwatch.session import ship
 #: Types of pieces in a model file: fixed values of the format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 SPACE = "▁"
+#: Marks a word without a space ahead.
+NO_SPACE = " "
 #: Words of a batch that are merged together, and words whose ids a task remembers; neither changes a result.
 ROUND_WORDS = 20000
 MEMORY_WORDS = 500000
@@ -210,12 +214,19 @@ class PieceModel:
         return ids, np.bincount(word[place], minlength=len(words))
 
     def split(self, text: str) -> list[str]:
-        """The escaped text cut before each run of spaces: no piece has a space after another character."""
+        """Words of a text, cut before each run of spaces: no piece has a space after another character.
+
+        A word stands for itself with one space ahead; one that begins with the escaped space is
+        complete as it is.
+        """
+        if self.dummy_prefix and text and text[0] != " " and text[-1] != " " and "  " not in text and SPACE not in text:
+            return text.split(" ")
         if not text:
             return []
         text = (SPACE if self.dummy_prefix else "") + text.replace(" ", SPACE)
         parts = text.split(SPACE)
-        words, spaces = ([parts[0]] if parts[0] else []), 0
+        # Without an added space the text may begin in the middle of a word; nothing marks such a word.
+        words, spaces = ([NO_SPACE + parts[0]] if parts[0] else []), 0
         for part in parts[1:]:
             spaces += 1
             if part:
@@ -223,43 +234,65 @@ class PieceModel:
                 spaces = 0
         return words + [SPACE * spaces] if spaces else words
 
-    def encode(self, texts: list[str | None], memory: dict[str, np.ndarray] | None = None) -> list[np.ndarray]:
+    def encode(self, texts: list[str | None], memory: WordIds | None = None) -> list[np.ndarray]:
         """Ids of whole texts, with begin and end. ``memory`` keeps ids of words between calls."""
-        memory = {} if memory is None else memory
+        memory = WordIds() if memory is None else memory
         cut = [self.split(text or "") for text in texts]
-        new = [w for w in dict.fromkeys(w for words in cut for w in words) if w not in memory]
-        if len(memory) + len(new) > MEMORY_WORDS:
+        seen = set(itertools.chain.from_iterable(cut))
+        if len(memory.number) + len(seen) > MEMORY_WORDS:
             memory.clear()
-            new = list(dict.fromkeys(w for words in cut for w in words))
+        new = [w for w in seen if w not in memory.number]
         for at in range(0, len(new), ROUND_WORDS):
             part = new[at:at + ROUND_WORDS]
-            ids, counts = self.encode_words(part)
-            memory.update(zip(part, np.split(ids, np.cumsum(counts)[:-1])))
-        begin, end = np.array([self.begin], "int32"), np.array([self.end], "int32")
-        return [np.concatenate([begin, *map(memory.__getitem__, words), end]) for words in cut]
+            memory.add(part, *self.encode_words([w[1:] if w[0] == NO_SPACE else w if w[0] == SPACE else SPACE + w for w in part]))
+        out = []
+        for words in cut:
+            at = np.fromiter(map(memory.number.__getitem__, words), "int64", len(words))
+            width = memory.width[at]
+            ids = np.empty(width.sum() + 2, "int32")
+            ids[0], ids[-1] = self.begin, self.end
+            shift = memory.start[at] - (np.cumsum(width) - width)
+            ids[1:-1] = memory.ids[np.repeat(shift, width) + np.arange(len(ids) - 2)]
+            out.append(ids)
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: control pieces drop out, bytes are put together, the added space goes.
 
-        Bytes that form no character become U+FFFD, one for each byte.
+        Neighbouring bytes that form no character become U+FFFD, one for each byte.
         """
-        ids = np.asarray(ids)
-        shown = [i for i in ids.tolist() if self.surface[i] or self.is_byte[i]]
-        raw = b"".join(map(self.surface.__getitem__, shown))
-        try:
-            text = raw.decode()
-        except UnicodeDecodeError:
-            text = raw.decode(errors="piece_bytes")
-        starts_with_piece = bool(shown) and not self.is_byte[shown[0]]
-        return text[1:] if self.dummy_prefix and starts_with_piece and text.startswith(" ") else text
+        ids = np.asarray(ids).tolist()
+        while ids and not self.surface[ids[0]] and not self.is_byte[ids[0]]:
+            ids = ids[1:]
+        surface = [self.surface[i] for i in ids]
+        if b"" in surface[:-1]:  # a control piece parts the bytes beside it
+            text = "".join(b"".join(run).decode(errors="piece_bytes") for text, run in itertools.groupby(surface, bool) if text)
+        else:
+            text = b"".join(surface).decode(errors="piece_bytes")
+        lead = self.dummy_prefix and ids and not self.is_byte[ids[0]] and ids[0] != self.unk and text.startswith(" ")
+        return text[1:] if lead else text
+
+
+class WordIds:
+    """Ids of words met so far in a task."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.start, self.width = np.zeros(0, "int32"), np.zeros(0, "int64"), np.zeros(0, "int64")
+
+    def add(self, words: list[str], ids: np.ndarray, width: np.ndarray) -> None:
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
+        self.start = np.r_[self.start, len(self.ids) + np.cumsum(width) - width]
+        self.ids, self.width = np.r_[self.ids, ids], np.r_[self.width, width]
 
 
 def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
     return "�", error.start + 1
 
 
-import codecs  # noqa: E402
-
 codecs.register_error("piece_bytes", _each_byte)
 
 
@@ -289,7 +322,7 @@ def encode_decode(docs: DataFrame, model: bytes, text: str = "text", digests: bo
     kinds = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, memory = _model(model), {}
+        pieces, memory = _model(model), WordIds()
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
