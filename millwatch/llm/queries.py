@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from millwatch.llm import knn_join, mixing, quality, sharding
+from millwatch.llm import knn_join, mixing, pieces, quality, sharding, warc
 
 QUERIES = {
+    "op4_pieces": pieces.op4_pieces,
+    "op10_warc": warc.op10_warc,
     "op3_topk": knn_join.op3_topk,
     "op5_quality": quality.op5_quality,
     "op7_mixing": mixing.op7_mixing,
@@ -12,6 +14,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op10_warc": warc.OP10_SQL,
     "op3_topk": knn_join.OP3_SQL,
     "op5_quality": quality.OP5_SQL,
     "op7_mixing": mixing.OP7_SQL,
