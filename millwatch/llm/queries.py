@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millwatch.llm import knn_join, mixing, pieces, quality, sharding, warc
+from millwatch.llm import knn_join, line_dedup, mixing, pieces, quality, sharding, warc
 
 QUERIES = {
+    "op6_line_dedup": line_dedup.op6_line_dedup,
     "op4_pieces": pieces.op4_pieces,
     "op10_warc": warc.op10_warc,
     "op3_topk": knn_join.op3_topk,
