@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millwatch.llm import knn_join, line_dedup, mixing, pieces, quality, sharding, warc
+from millwatch.llm import jaccard_join, knn_join, line_dedup, mixing, pieces, quality, sharding, warc
 
 QUERIES = {
+    "op2_jaccard": jaccard_join.op2_jaccard,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op4_pieces": pieces.op4_pieces,
     "op10_warc": warc.op10_warc,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_jaccard": jaccard_join.OP2_SQL,
     "op10_warc": warc.OP10_SQL,
     "op3_topk": knn_join.OP3_SQL,
     "op5_quality": quality.OP5_SQL,
