@@ -21,9 +21,11 @@ LETTERS = 32
 PIECE, STEP = 24, 12
 #: Bounds of the sample that the classifier is fitted on: labelled documents of each class, and landmarks.
 MAX_DOCS, LANDMARKS = 2000, 384
-FOLDS, ROUNDS, COST = 4, 3, 10.0
+FOLDS, ROUNDS, COST = 4, 3, 1.0
 #: Words of each text that may be its witness.
 TOPS = 8
+#: Standard deviations above chance from which a word of toxic texts is taken for a toxic word.
+SURE = 4.0
 #: Disguised forms of each witness that are learnt along with it, see ``disguises``.
 DISGUISES = 3
 #: Sightings that a subsequence must outweigh before the first guess believes it.
@@ -293,6 +295,9 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
     # A word that clean texts have as well is no witness, whatever the label of the text.
     rate = (df[1::2].sum(0)[words] / y.sum(), df[::2].sum(0)[words] / (1 - y).sum())
     telling = rate[0] > 4 * rate[1]
+    # One that far more toxic texts have than chance would give is a witness in any round.
+    seen = df[:, words].sum(0)
+    sure = telling & (df[1::2].sum(0)[words] - seen * y.mean() > SURE * np.sqrt(seen * y.mean() * (1 - y.mean()) + 1))
     # Landmarks: half of them words that tell toxic texts, the most frequent first, the others from the worst-looking of clean texts and at random.
     lead, often = np.unique(np.concatenate([t[telling[t]][:4] for t, label in zip(tops, y) if label]), return_counts=True)
     lead = lead[np.argsort(-often, kind="stable")][:LANDMARKS // 2]
@@ -319,7 +324,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
         return last[-1]
 
     everyone = np.arange(len(y))
-    witness = [t[telling[t]][:1] for t in tops]
+    witness = [np.union1d(t[telling[t]][:1], t[sure[t]]) for t in tops]
     margin = np.zeros(len(y))
     for _ in range(ROUNDS):
         new = list(witness)
@@ -330,7 +335,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
                 margin[i] = score[tops[i]].max() if len(tops[i]) else bias
                 # All words that look toxic now, so that a text with several teaches all of them.
                 able = tops[i][telling[tops[i]]]
-                new[i] = able[score[able] > 0]
+                new[i] = able[(score[able] > 0) | sure[able]]
         if sum(len(new[i]) > 0 for i in everyone[y == 1]) * 3 < y.sum():
             break
         witness = new
