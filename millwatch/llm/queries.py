@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millwatch.llm import jaccard_join, knn_join, line_dedup, mixing, pieces, quality, sharding, toxicity, warc
+from millwatch.llm import jaccard_join, knn_join, licenses, line_dedup, mixing, pieces, quality, sharding, toxicity, warc
 
 QUERIES = {
+    "op8_licenses": licenses.op8_licenses,
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_jaccard": jaccard_join.op2_jaccard,
     "op6_line_dedup": line_dedup.op6_line_dedup,
