@@ -85,8 +85,8 @@ class Scheme:
     Heavy pairs (the larger set above ``light``): the shingles are dealt by hash into ``blocks`` blocks.
     Linked sets differ in at most ``spare`` shingles, so at least ``blocks - spare`` blocks are equal;
     the contents of a block are a key, and the lists of sets under these keys are scanned. Empty
-    blocks say nothing and are no keys, but where ``blocks - spare`` or more blocks are empty,
-    each choice of so many empty ones is a key.
+    blocks say nothing and are no keys, but where ``blocks - spare`` or more blocks are empty, these
+    are keys too: each by itself in classes where that is rare, else (in small ones) each choice of so many.
 
     Light pairs: of linked sets the larger of which has ``b`` shingles, both contain a common subset
     of ``ceil(b * percent / 100)`` shingles; all subsets of that size are keys.
@@ -105,8 +105,8 @@ class Scheme:
             low = self.partners(low) + 1
         return low, self.partners(low) + 1
 
-    def blocks(self, low: int) -> tuple[int, int]:
-        """Number of blocks for the class that begins at ``low``, and shingles in which linked sets may differ."""
+    def blocks(self, low: int) -> tuple[int, int, bool]:
+        """Blocks for the class that begins at ``low``, shingles in which linked sets may differ, and whether too many empty ones are rare."""
         top = self.partners(low)
         spare = (100 - self.percent) * 2 * top // (100 + self.percent)
         smallest = -(-low * self.percent // 100)
@@ -116,9 +116,9 @@ class Scheme:
             below = sum(math.exp(k * math.log(mean) - mean - math.lgamma(k + 1)) for k in range(more)) if mean > 0 else 1.0
             return max(1.0 - below, 0.0)
 
-        choices = range(1, 13)
-        more = next((m for m in choices if tail(m) < EMPTY_SHARE), None) or min(choices, key=tail)
-        return spare + more, spare
+        # In large sets the empty blocks grow with the size, so do the blocks to spare for them.
+        more = next((m for m in range(1, max(13, spare + 1)) if tail(m) < EMPTY_SHARE), 0)
+        return (spare + more, spare, True) if more else (spare + min(range(1, 13), key=tail), spare, False)
 
     def light_keys(self, n: int) -> int:
         return sum(math.comb(n, -(-b * self.percent // 100)) for b in range(n, min(self.partners(n), self.light) + 1))
@@ -142,7 +142,7 @@ class Keys:
     def __init__(self, scheme: Scheme):
         self.scheme, self.known = scheme, {}
 
-    def _class(self, n: int) -> list[tuple[int, int, int]]:
+    def _class(self, n: int) -> list[tuple[int, int, int, bool]]:
         lows = self.scheme.classes(n)
         for low in lows:
             if low not in self.known:
@@ -161,7 +161,7 @@ class Keys:
                 sums = np.array([total - spread[list(c)].sum() for c in itertools.combinations(range(n), drop)], "uint64") if drop else np.array([total], "uint64")
                 out.append(_mix(sums + _mix(np.array([b], "uint64"))))
         if n > scheme.light or scheme.partners(n) > scheme.light:
-            for low, blocks, spare in self._class(n):
+            for low, blocks, spare, rare in self._class(n):
                 block = ((spread >> np.uint64(11)) % np.uint64(blocks)).astype("int64")
                 order = np.argsort(block, kind="stable")
                 at = np.flatnonzero(np.r_[True, np.diff(block[order]) > 0])
@@ -171,7 +171,7 @@ class Keys:
                 need, empty = blocks - spare, np.setdiff1d(np.arange(blocks), full)
                 if len(empty) >= need:
                     marks = _mix(empty.astype("uint64") + tag)
-                    out.append(_mix(np.array([marks[list(c)].sum() for c in itertools.combinations(range(len(empty)), need)], "uint64") + np.uint64(7)))
+                    out.append(_mix(np.array([marks[list(c)].sum() for c in itertools.combinations(range(len(empty)), 1 if rare else need)], "uint64") + np.uint64(7)))
         return np.unique(np.concatenate(out))
 
 
