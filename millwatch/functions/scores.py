@@ -93,12 +93,11 @@ def row_mean(columns: list[Column]) -> Column:
 
 
 def row_median(columns: list[Column]) -> Column:
-    """Median of non-null columns of one row."""
-    ordered = F.array_sort(F.array(*columns))
-    middle = len(columns) // 2
-    if len(columns) % 2:
-        return ordered[middle]
-    return (ordered[middle - 1] + ordered[middle]) / 2.0
+    """Median of the non-null columns of one row; NULL when all are NULL."""
+    ordered = F.array_sort(F.filter(F.array(*columns), lambda c: c.isNotNull()))
+    n = F.size(ordered)
+    low, high = F.get(ordered, ((n - 1) / 2).cast("int")), F.get(ordered, (n / 2).cast("int"))
+    return F.when(n > 0, (low + high) / 2.0)
 
 
 def whole_days(later: Column, earlier: Column) -> Column:

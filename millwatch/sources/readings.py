@@ -99,7 +99,11 @@ def read_batch(spark: SparkSession, path: str) -> DataFrame:
         rows = spark.read.schema(_RAW).option("mode", "FAILFAST").option("header", "true").option("escape", '"').csv(path)
     else:
         raise ValueError(f"Unknown file type: {path}")
-    return _typed(rows).withColumn("timestamp", F.coalesce("timestamp", F.raise_error(F.lit("timestamp missing or unreadable"))))
+    typed = _typed(rows).withColumn("timestamp", F.coalesce("timestamp", F.raise_error(F.lit("timestamp missing or unreadable"))))
+    # A filter stays whatever columns are selected later.
+    lacking = missing_fields()
+    return typed.filter(F.when(F.size(lacking) == 0, F.col("timestamp").isNotNull()).otherwise(
+        F.raise_error(F.concat(F.lit("missing fields: "), F.array_join(lacking, ", "))).cast("boolean")))
 
 
 def stream_readings(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

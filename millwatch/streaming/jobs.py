@@ -135,9 +135,13 @@ def alert_job(readings: DataFrame, path: str, checkpoint: str, window: str = "1
               confidence: float = D.ALERT_CONFIDENCE, health: float = D.ALERT_HEALTH, **trigger) -> StreamingQuery:
     """Readings to alerts: stateful z-scores, then health and alerts per micro-batch."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        scored = D.multisensor_health(batch, window)
-        alerts = D.stream_alerts(scored, confidence, health, data=["reading_id", "sensor_type", "value", "z_score"])
-        write_once(alerts, path, batch_id)
+        kept = batch.persist()  # read twice: without this the stateful step would run twice
+        try:
+            scored = D.multisensor_health(kept, window)
+            alerts = D.stream_alerts(scored, confidence, health, data=["reading_id", "sensor_type", "value", "z_score"])
+            write_once(alerts, path, batch_id)
+        finally:
+            kept.unpersist()
 
     return for_each_batch(stream_zscore(readings), handle, checkpoint, **trigger)
 
