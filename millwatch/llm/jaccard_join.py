@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from millwatch.llm.common import table
 from millwatch.llm.components import components
@@ -23,6 +23,10 @@ LIGHT_LIMIT = 32
 EMPTY_SHARE = 1e-6
 #: Bits of the filter that tells which sets are candidates: 2 MB, whatever the input.
 FILTER_BITS = 24
+#: Sets that one block of a key's list holds; blocks are compared in one task.
+BLOCK = 2048
+#: Bits of a parity sketch: a power of two near the set's size, between these. It only rules pairs out, at any width.
+SKETCH_BITS = (512, 1 << 14)
 #: Copies of a component's smallest id, so that a hot component meets it in many tasks.
 SALTS = 16
 
@@ -149,30 +153,56 @@ class Keys:
                 self.known[low] = (low, *self.scheme.blocks(low))
         return [self.known[low] for low in lows]
 
-    def of(self, items: np.ndarray) -> np.ndarray:
-        n, scheme, out = len(items), self.scheme, []
+    def of(self, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of a set, and which of them are of its own class; keys of the next class only meet larger sets there."""
+        n, scheme, out, own = len(items), self.scheme, [], []
+
+        def add(keys: np.ndarray, is_own: bool) -> None:
+            out.append(keys)
+            own.append(np.full(len(keys), is_own))
+
         if not n:
-            return items
+            return items, np.zeros(0, bool)
         spread = _mix(items + np.uint64(0x632BE59BD9B4E019))
         if n <= scheme.light:
             total = spread.sum()
             for b in range(n, min(scheme.partners(n), scheme.light) + 1):
                 drop = n - -(-b * scheme.percent // 100)
                 sums = np.array([total - spread[list(c)].sum() for c in itertools.combinations(range(n), drop)], "uint64") if drop else np.array([total], "uint64")
-                out.append(_mix(sums + _mix(np.array([b], "uint64"))))
+                add(_mix(sums + _mix(np.array([b], "uint64"))), b == n)
         if n > scheme.light or scheme.partners(n) > scheme.light:
-            for low, blocks, spare, rare in self._class(n):
+            for at_class, (low, blocks, spare, rare) in enumerate(self._class(n)):
                 block = ((spread >> np.uint64(11)) % np.uint64(blocks)).astype("int64")
                 order = np.argsort(block, kind="stable")
                 at = np.flatnonzero(np.r_[True, np.diff(block[order]) > 0])
                 full = block[order][at]
                 tag = _mix(np.array([low], "uint64") + _BASE)
-                out.append(_mix(_mix(np.add.reduceat(spread[order], at) + tag) + full.astype("uint64") * _BASE))
+                add(_mix(_mix(np.add.reduceat(spread[order], at) + tag) + full.astype("uint64") * _BASE), at_class == 0)
                 need, empty = blocks - spare, np.setdiff1d(np.arange(blocks), full)
                 if len(empty) >= need:
                     marks = _mix(empty.astype("uint64") + tag)
-                    out.append(_mix(np.array([marks[list(c)].sum() for c in itertools.combinations(range(len(empty)), 1 if rare else need)], "uint64") + np.uint64(7)))
-        return np.unique(np.concatenate(out))
+                    add(_mix(np.array([marks[list(c)].sum() for c in itertools.combinations(range(len(empty)), 1 if rare else need)], "uint64") + np.uint64(7)), at_class == 0)
+        keys, is_own = np.concatenate(out), np.concatenate(own)
+        order = np.lexsort((~is_own, keys))
+        keys, is_own = keys[order], is_own[order]
+        first = np.r_[True, keys[1:] != keys[:-1]]
+        return keys[first], is_own[first]
+
+
+def sketch(items: np.ndarray) -> np.ndarray:
+    """Bytes of the parities of a set's hashes by position. Each bit in which two sketches differ is a shingle that only one set has."""
+    bits = min(max(1 << max(len(items) - 1, 0).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    at = ((_mix(items + np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(17)) % np.uint64(bits)).astype("int64")
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype("uint8"))
+
+
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches of any widths as rows of words of the narrowest: a wider one is folded by exclusive or."""
+    width = min(map(len, sketches))
+    rows = np.empty((len(sketches), width), "uint8")
+    for i, raw in enumerate(sketches):
+        rows[i] = np.bitwise_xor.reduce(np.frombuffer(raw, "uint8").reshape(-1, width), axis=0)
+    return rows.view("uint64")
 
 
 def _sets(docs: DataFrame, width: int, emit, schema: str) -> DataFrame:
@@ -203,25 +233,26 @@ def _figures(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _postings(docs: DataFrame, width: int, scheme: Scheme) -> DataFrame:
-    """Keys and set ids, of keys that two different sets share: one shuffle of all keys, sorted, most of them dropped there."""
+    """Keys and set ids, of keys that two different sets share, one of them in its own class: one shuffle of all keys, sorted, most of them dropped there."""
     def emit(rows, state):
         keys, seen = state.setdefault("keys", Keys(scheme)), state.setdefault("seen", set())
         fresh = [(r[1], r[3]) for r in rows if r[1] not in seen and not seen.add(r[1])]
-        found = [keys.of(items).view("int64") for _, items in fresh]
-        flat = np.concatenate(found) if found else np.zeros(0, "int64")
-        ids = np.repeat(np.array([i for i, _ in fresh], "int64"), [len(f) for f in found])
-        return pa.RecordBatch.from_arrays([pa.array(flat), pa.array(ids)], names=["key", "id"])
-
-    postings = _sets(docs, width, emit, "key long, id long")
-    order = W.partitionBy("key").orderBy("id")
+        found = [keys.of(items) for _, items in fresh]
+        flat = np.concatenate([k.view("int64") for k, _ in found]) if found else np.zeros(0, "int64")
+        own = np.concatenate([o for _, o in found]) if found else np.zeros(0, bool)
+        ids = np.repeat(np.array([i for i, _ in fresh], "int64"), [len(k) for k, _ in found])
+        return pa.RecordBatch.from_arrays([pa.array(flat), pa.array(ids), pa.array(own)], names=["key", "id", "own"])
+
+    postings = _sets(docs, width, emit, "key long, id long, own boolean")
+    order = W.partitionBy("key").orderBy(F.desc("own"), "id")
     other = lambda c: c.isNotNull() & (c != F.col("id"))
-    shared = (postings.withColumn("before", F.lag("id").over(order)).withColumn("after", F.lead("id").over(order))
-              .where(other(F.col("before")) | other(F.col("after"))).select("key", "id").distinct())
+    shared = (postings.withColumn("before", F.lag("id").over(order)).withColumn("after", F.lead("id").over(order)).withColumn("met", F.first("own").over(order))
+              .where(F.col("met") & (other(F.col("before")) | other(F.col("after")))).select("key", "id").distinct())
     return written(shared, "jaccard-postings")
 
 
 def _items(docs: DataFrame, width: int, ids: DataFrame) -> DataFrame:
-    """The sets of the given ids. A bit for each id's prefix keeps most other sets from being moved."""
+    """The sets of the given ids, with sizes and sketches. A bit for each id's prefix keeps most other sets from being moved."""
     word = F.shiftrightunsigned("id", 64 - FILTER_BITS)
     bits = np.zeros(1 << (FILTER_BITS - 3), "uint8")
     # One row for each of at most 2**FILTER_BITS / 32 words.
@@ -236,10 +267,12 @@ def _items(docs: DataFrame, width: int, ids: DataFrame) -> DataFrame:
             spot = (id_ & 0xFFFFFFFFFFFFFFFF) >> (64 - FILTER_BITS)
             if bits[spot >> 3] >> (spot & 7) & 1 and id_ not in seen:
                 seen.add(id_)
-                kept.append((id_, items.view("int64")))
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.list_(pa.int64()))], names=["id", "items"])
+                kept.append((id_, items))
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1].view("int64") for k in kept], pa.list_(pa.int64())),
+                                           pa.array([len(k[1]) for k in kept], pa.int64()), pa.array([sketch(k[1]).tobytes() for k in kept], pa.binary())],
+                                          names=["id", "items", "size", "sketch"])
 
-    found = _sets(docs, width, emit, "id long, items array<long>")
+    found = _sets(docs, width, emit, "id long, items array<long>, size long, sketch binary")
     return written(found.join(ids, "id", "left_semi").dropDuplicates(["id"]), "jaccard-sets")
 
 
@@ -260,22 +293,83 @@ def _chains(postings: DataFrame) -> DataFrame:
     return pairs[0].unionByName(pairs[1]).where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _crossings(postings: DataFrame, roots: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs under one key that are not yet known to be connected and whose sizes allow a link.
+def _compare(group: dict[str, np.ndarray | list], percent: int, whole: bool) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Pairs of one block of askers and one of others that the sketches do not rule out, and whether pairs were left for later.
+
+    Unless ``whole``, more pairs than sets are cut to the most alike pair of each two components.
+    """
+    asks = group["asks"]
+    if asks.all() or not asks.any():
+        return np.zeros(0, "int64"), np.zeros(0, "int64"), False
+    words = _folded(group["sketch"])
+    ids, roots, sizes = group["id"], group["root"], group["size"]
+    x, y = np.flatnonzero(asks), np.flatnonzero(~asks)
+    told = group["outside"][y]
+    found = []
+    step = max(1, (1 << 20) // (len(y) * words.shape[1]))
+    for at in range(0, len(x), step):
+        part = x[at:at + step, None]
+        apart = (roots[part] != roots[y]) & (~told | (ids[part] < ids[y]))
+        total = sizes[part] + sizes[y]
+        near = np.minimum(sizes[part], sizes[y]) * 100 >= np.maximum(sizes[part], sizes[y]) * percent
+        differ = np.bitwise_count(words[part] ^ words[y]).sum(axis=2, dtype="int64")
+        i, j = np.nonzero(apart & near & (differ * (100 + percent) <= (100 - percent) * total))
+        found.append((part[i, 0], y[j], differ[i, j] / total[i, j]))
+    i, j, far = (np.concatenate(c) for c in zip(*found))
+    cut = not whole and len(i) > len(ids)
+    if cut:
+        low, high = np.minimum(roots[i], roots[j]), np.maximum(roots[i], roots[j])
+        order = np.lexsort((far, high, low))
+        best = order[np.r_[True, (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)]]
+        cut = len(best) < len(i)
+        i, j = i[best], j[best]
+    return np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), cut
+
+
+def _crossings(postings: DataFrame, roots: DataFrame, items: DataFrame, percent: int, whole: bool) -> DataFrame:
+    """Pairs (a, b) under one key that are not yet connected and that sizes and sketches allow to be linked; ``cut`` where more are left.
 
     Of the sets under a key only those outside its most frequent component look for others, so a
-    large group that is connected already costs nothing.
+    large group that is connected already costs nothing. Askers and others are dealt into blocks
+    and compared inside tasks; a row is made for each set of a block, not for each pair.
     """
-    told = (postings.join(roots, postings.id == roots.node, "left").withColumn("root", F.coalesce("root", "id")).drop("node")
-            .join(sizes, "id"))
+    told = postings.join(roots, postings.id == roots.node, "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     counts = told.groupBy("key", "root").agg(F.count("*").alias("n"))
-    main = counts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    told = told.join(main, "key")
-    ask = told.where("root <> main").select("key", F.col("id").alias("a"), F.col("root").alias("a_root"), F.col("size").alias("a_size"))
-    rest = told.select("key", F.col("id").alias("b"), F.col("root").alias("b_root"), "main", F.col("size").alias("b_size"))
-    apart = (F.col("a_root") != F.col("b_root")) & ((F.col("b_root") == F.col("main")) | (F.col("a") < F.col("b")))
-    near = F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent
-    return ask.join(rest, "key").where(apart & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    main = (counts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"), F.count("*").alias("roots"))
+            .where("roots > 1").select("key", "main", blocks(F.col("n") - F.col("most")).alias("ask_blocks"), blocks(F.col("n")).alias("all_blocks")))
+    told = told.join(main, "key").withColumn("outside", F.col("root") != F.col("main"))
+    at = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asks = told.where("outside").select("key", "id", "root", "outside", at(F.col("ask_blocks")).alias("i"), upto("all_blocks").alias("j"), F.lit(True).alias("asks"))
+    rest = told.select("key", "id", "root", "outside", at(F.col("all_blocks")).alias("j"), upto("ask_blocks").alias("i"), F.lit(False).alias("asks"))
+    met = asks.unionByName(rest).join(items.select("id", "size", "sketch"), "id")
+    names = ["id", "root", "size", "outside", "asks"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+            columns = {c: rows.column(c).to_numpy() for c in names}
+            raw = rows.column("sketch").to_pylist()
+            out = [_compare({c: v[a:b] for c, v in columns.items()} | {"sketch": raw[a:b]}, percent, whole) for a, b in zip(starts[:-1], starts[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in (0, 1)] + [pa.array(np.repeat([o[2] for o in out], [len(o[0]) for o in out]))], names=["a", "b", "cut"])
+
+        held = None  # rows of a block that may go on in the next batch
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            if not held.num_rows:
+                continue
+            group = [held.column(c).to_numpy() for c in ("key", "i", "j")]
+            starts = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in group], axis=0)])
+            if len(starts) > 1:
+                yield pairs(held.slice(0, starts[-1]), starts)
+                held = held.slice(starts[-1])
+        if held is not None and held.num_rows:
+            yield pairs(held, np.array([0, held.num_rows]))
+
+    ship(postings.sparkSession)
+    dealt = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", *names, "sketch")
+    return dealt.mapInArrow(run, "a long, b long, cut boolean").groupBy("a", "b").agg(F.max("cut").alias("cut"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -283,9 +377,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Two documents are linked when their sets of word shingles overlap by ``percent`` of their union;
     a set without shingles is linked with nothing. Equal sets are one set from the start. Candidates
-    come from ``Scheme``; all are checked on the whole sets. They are taken in two goes: chains of
-    neighbours first, then all pairs that are not connected by then, so that a group of near copies
-    needs far fewer checks than it has pairs, yet no link that matters is missed.
+    come from ``Scheme``; all are checked on the whole sets, but for those that sketches prove apart.
+    They are taken in goes: chains of neighbours first, then the pairs that are not connected by then
+    (of many between two components the most alike, and in a last go the others, where they still are
+    apart), so that a group of near copies needs far fewer checks than it has pairs, yet no link that
+    matters is missed.
 
     Null and empty texts have no shingles. A document without id is linked like others but names no
     component; one of such only has a null component_id. Rows that repeat an id belong
@@ -304,11 +400,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     tried = written(_chains(postings), "jaccard-pairs")
     links = written(_linked(tried, items, percent), "jaccard-links")
     roots = components(links)
-    candidate_sizes = items.select("id", F.size("items").alias("size"))
-    rest = _crossings(postings, roots, candidate_sizes, percent).join(tried, ["a", "b"], "left_anti")
-    more = written(_linked(rest, items, percent), "jaccard-links")
-    if not more.isEmpty():
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    for whole in (False, True):
+        rest = written(_crossings(postings, roots, items, percent, whole).join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+        more = written(_linked(rest.select("a", "b"), items, percent), "jaccard-links")
+        if not more.isEmpty():
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+        if rest.where("cut").isEmpty():
+            break
+        tried = tried.unionByName(rest.select("a", "b"))
     return _with_components(figures, roots)
 
 

@@ -122,7 +122,40 @@ def test_linked_sets_share_a_key(percent):
                 add = int(rng.integers(0, add + 1))
                 b = np.r_[a[drop:], rng.integers(0, 2 ** 63, add).astype("uint64")]
                 if 100 * (n - drop) >= percent * (n + add):
-                    assert len(np.intersect1d(keys.of(np.unique(a)), keys.of(np.unique(b))))
+                    (x, x_own), (y, y_own) = keys.of(np.unique(a)), keys.of(np.unique(b))
+                    assert len(np.intersect1d(x[x_own], y)) or len(np.intersect1d(x, y[y_own]))
+
+
+def test_sketches_never_rule_a_link_out():
+    rng = np.random.default_rng(5)
+    for n in (1, 7, 100, 700, 1030, 40000):
+        for differ in (0, 1, n // 20, n // 5):
+            pool = rng.integers(0, 2 ** 63, n + differ).astype("uint64")
+            a, b = np.unique(pool[:n]), np.unique(pool[differ:])
+            words = jaccard_join._folded([jaccard_join.sketch(a).tobytes(), jaccard_join.sketch(b).tobytes()])
+            assert np.bitwise_count(words[0] ^ words[1]).sum() <= len(np.setxor1d(a, b))
+
+
+@pytest.mark.parametrize("block", [3, 2048])
+def test_components_equal_brute_force(spark, block, monkeypatch):
+    """A crowd of near copies around the threshold, in blocks of any size."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(90):
+        words = [f"v{k}" for k in range(90 + i % 7)]
+        for k in rng.choice(90, i % 6, replace=False):
+            words[k] = f"n{int(rng.integers(0, 4))}"
+        rows.append((i, " ".join(words), None, None, 0))
+    sets = [set(s.tolist()) for s in jaccard_join.shingle_sets([r[1] for r in rows], 3)]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    out = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(docs(spark, rows), 3, 90).collect()}
+    assert len(set(root)) > 5 and out == dict(enumerate(root))
 
 
 def test_near_duplicates_of_odd_rows(spark):
