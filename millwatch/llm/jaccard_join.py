@@ -401,11 +401,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links = written(_linked(tried, items, percent), "jaccard-links")
     roots = components(links)
     for whole in (False, True):
-        rest = written(_crossings(postings, roots, items, percent, whole).join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+        crossings = written(_crossings(postings, roots, items, percent, whole), "jaccard-pairs")
+        rest = crossings.join(tried, ["a", "b"], "left_anti")
         more = written(_linked(rest.select("a", "b"), items, percent), "jaccard-links")
         if not more.isEmpty():
             roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-        if rest.where("cut").isEmpty():
+        # Asked of all crossings: the one pair left of a cut block may have been tried, its others were not.
+        if crossings.where("cut").isEmpty():
             break
         tried = tried.unionByName(rest.select("a", "b"))
     return _with_components(figures, roots)

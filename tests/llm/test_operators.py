@@ -158,6 +158,40 @@ def test_components_equal_brute_force(spark, block, monkeypatch):
     assert len(set(root)) > 5 and out == dict(enumerate(root))
 
 
+def test_cut_block_whose_best_pair_was_tried(spark, monkeypatch):
+    """Two crowds that few pairs link, while the pair with the nearest sketches does not and was tried before."""
+    ids = lambda s: int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=16).digest()[:8], "little", signed=True)
+
+    def crowds(seed):
+        texts = []
+        for i in range(24):
+            words, side = [f"v{k}" for k in range(500)], i % 2
+            for k in range(5 if i == 0 else 6):
+                words[20 + 40 * k + 20 * side] = f"s{seed}n{i}k{k}"
+            texts.append(" ".join(words))
+        sets = jaccard_join.shingle_sets(texts, 5)
+        far = {}
+        for a in range(0, 24, 2):
+            for b in range(1, 24, 2):
+                words = jaccard_join._folded([jaccard_join.sketch(sets[a]).tobytes(), jaccard_join.sketch(sets[b]).tobytes()])
+                far[a, b] = np.bitwise_count(words[0] ^ words[1]).sum() / (len(sets[a]) + len(sets[b]))
+        return texts, sets, far
+
+    linked = lambda s, t: 100 * len(np.intersect1d(s, t)) >= 80 * len(np.union1d(s, t))
+    for seed in range(50):
+        texts, sets, far = crowds(seed)
+        best = min(far, key=far.get)
+        if not linked(sets[best[0]], sets[best[1]]) and sorted(far.values())[1] > far[best]:
+            break
+    assert [p for p in far if linked(sets[p[0]], sets[p[1]])] == [(0, b) for b in range(1, 24, 2)]
+    tried = [(i, i + 2) for i in range(22)] + [best]
+    pairs = [tuple(sorted((ids(sets[a]), ids(sets[b])))) for a, b in tried]
+    monkeypatch.setattr(jaccard_join, "_postings", lambda *_: spark.createDataFrame([(1, ids(s)) for s in sets], "key long, id long"))
+    monkeypatch.setattr(jaccard_join, "_chains", lambda _: spark.createDataFrame(pairs, "a long, b long"))
+    out = jaccard_join.near_duplicates(docs(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)]), 5, 80).collect()
+    assert {r["component_id"] for r in out} == {0}
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in jaccard_join.near_duplicates(docs(spark)).collect()}
     assert rows[2, 0] == 2 and rows[3, 0] == 3 and rows[4, 0] == 4 and rows[None, 2] == 1 and rows[7, 1] == 7
