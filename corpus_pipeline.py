@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without chunks of lines that an earlier document has; a document with nothing left goes."""
-    clean = line_dedup.dedup_lines(docs).where((F.col("lines_removed") == 0) | (n_words(F.col("text")) > 0))
+    """Texts without chunks and runs of lines that an earlier document has; a document with nothing left goes."""
+    clean = line_dedup.dedup_passages(docs).where((F.col("lines_removed") == 0) | (n_words(F.col("text")) > 0))
     return clean.withColumn("n_chars", F.when(F.col("lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 

@@ -262,6 +262,62 @@ def test_line_dedup_equals_plain(spark):
     assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(table).collect()} == want
 
 
+def _runs_elsewhere(rows):
+    """Brute force: the lines (doc_id, line) of runs of 50 words that equal, line by line, a run in an earlier place."""
+    places, gone = {}, set()
+    for doc_id, text in sorted(rows):
+        lines = text.split("\n")
+        sizes = [len(x.split()) for x in lines]
+        for i, line in enumerate(lines):
+            for other, f in places.get(line, []) + [(lines, f) for f in range(i) if lines[f] == line]:
+                if i and f and lines[i - 1] == other[f - 1] and other is not lines:
+                    continue  # part of a match that began before
+                limit, n, words = i - f if other is lines else len(lines), 0, 0
+                while n < limit and i + n < len(lines) and f + n < len(other) and lines[i + n] == other[f + n]:
+                    words += sizes[i + n]
+                    n += 1
+                if words >= 50:
+                    gone |= {(doc_id, i + k) for k in range(n)}
+        for f, line in enumerate(lines):
+            places.setdefault(line, []).append((lines, f))
+    return gone
+
+
+def _without(rows, gone):
+    return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in rows}
+
+
+def test_repeated_runs_equal_brute_force(spark):
+    rng = np.random.default_rng(6)
+    pool = [" ".join(f"l{k}w{j}" for j in range(n)) for k, n in enumerate([0, 1, 3, 8, 12, 19, 25, 31, 40, 49, 50, 70])]
+    passages = [[" ".join(f"p{p}l{k}w{j}" for j in range(60 // n)) for k in range(n)] for p, n in enumerate((1, 2, 3, 4, 6, 12, 30))]
+    rows = []
+    for d in range(60):
+        lines = [f"own {d} {k}" if rng.random() < 0.4 else str(rng.choice(pool)) for k in range(int(rng.integers(1, 15)))]
+        for _ in range(2):
+            at = int(rng.integers(0, len(lines) + 1))
+            lines[at:at] = passages[int(rng.integers(0, len(passages)))]
+        rows.append((d, "\n".join(lines)))
+    rows += [(60, "\n".join(["same ten words in every line of this one text"] * 23)), (61, "\n".join([pool[6]] * 9))]
+    table = docs(spark, [(d, t, None, None, 0) for d, t in rows])
+    gone = _runs_elsewhere(rows)
+    out = line_dedup.dedup_lines(table, line_dedup.run_spans).collect()
+    assert len(gone) > 200 and {r["doc_id"]: r["text"] for r in out} == _without(rows, gone)
+    assert sum(r["lines_removed"] for r in out) == len(gone)
+
+
+def test_repeated_passages_leave_the_query(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{TINY}/documents.parquet").collect()]
+    gone, seen = _runs_elsewhere(rows), set()
+    for doc_id, text in sorted(rows):
+        for a, b, n in line_dedup.chunks(text):
+            chunk = "\n".join(text.split("\n")[a:b])
+            if n >= 50 or b - a >= 2 and n >= 10:
+                gone |= {(doc_id, i) for i in range(a, b)} if chunk in seen else set()
+                seen.add(chunk)
+    assert {r["doc_id"]: r["text"] for r in QUERIES["op6_line_dedup"](spark, TINY).collect()} == _without(rows, gone)
+
+
 def test_line_dedup_of_odd_rows(spark):
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [(1, f"head one\n{passage}\ntail", "a", "b", 1), (2, f"{passage}\nmore", None, None, 1), (3, "own words here", None, None, 1), (4, None, None, None, 1),
