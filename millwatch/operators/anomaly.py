@@ -19,7 +19,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millwatch.operators.evaluation import best_model, binary_metrics, long_form, predictions_of_best, stratified_split
-from millwatch.operators.features import sequence_windows
+from millwatch.operators.features import filled_sequence, sequence_windows
 from millwatch.operators.voting import anomaly_vote
 
 # Defaults of the model families.
@@ -233,9 +233,9 @@ class SequenceReconstruction:
     name: str = "sequence_reconstruction"
 
     def scores(self, df: DataFrame) -> DataFrame:
-        rows = sequence_windows(df, self.order, self.column, self.length, self.key, keep_short=True)
-        full = F.size("sequence") == self.length
-        # Too short a history is padded for the transform and gets no error.
+        rows = sequence_windows(df, self.order, self.column, self.length, self.key, keep_short=True).withColumn("sequence", filled_sequence())
+        full = F.col("sequence").isNotNull() & (F.size("sequence") == self.length)
+        # Too short a history, or one without any value, is padded for the transform and gets no error.
         padded = F.when(full, F.col("sequence")).otherwise(F.array_repeat(F.lit(0.0), self.length))
         out = self.pipeline.transform(rows.withColumn("_raw", array_to_vector(padded)))
 
@@ -253,7 +253,8 @@ class SequenceReconstruction:
 
 def fit_sequence_reconstruction(df: DataFrame, column: str, order: Sequence[str], length: int = 60, components: int = 8,
                                 key: str = "equipment_id", quantile: float = ERROR_QUANTILE) -> SequenceReconstruction:
-    rows = sequence_windows(df, order, column, length, key).select(array_to_vector("sequence").alias("_raw"))
+    rows = sequence_windows(df, order, column, length, key).withColumn("sequence", filled_sequence()).where("sequence is not null")
+    rows = rows.select(array_to_vector("sequence").alias("_raw"))
     stages = [StandardScaler(withMean=True, withStd=False, inputCol="_raw", outputCol="_centred"),
               PCA(k=min(components, length), inputCol="_centred", outputCol="_kept")]
     model = SequenceReconstruction(column, list(order), length, key, Pipeline(stages=stages).fit(rows))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
 from millwatch.functions import scores as S
 from millwatch.operators.cleaning import numeric_columns
@@ -214,14 +214,26 @@ def feature_importance(df: DataFrame, target: str = "health_score", features: Se
 
 def sequence_windows(df: DataFrame, order: Sequence[str], column: str = "value", length: int = SEQUENCE_LENGTH,
                      key: str = "equipment_id", hot_rows: int = HOT_ROWS, keep_short: bool = False) -> DataFrame:
-    """The last ``length`` values up to each row, as an array; rows with fewer are left out."""
+    """The last ``length`` values up to each row, as an array; rows with fewer are left out.
+
+    A missing value keeps its place as NULL.
+    """
     made = {
-        "sequence": lambda w: F.collect_list(F.col(column)).over(w.rowsBetween(1 - length, 0)),
+        # Collected in structs, as a NULL by itself would be skipped.
+        "sequence": lambda w: F.collect_list(F.struct(F.col(column).alias("v"))).over(w.rowsBetween(1 - length, 0)).getField("v"),
     }
     out = lookback(df, [key], order, length - 1, made, hot_rows)
     return out if keep_short else out.filter(F.size("sequence") == length)
 
 
+def filled_sequence(sequence: str = "sequence") -> Column:
+    """A sequence with its gaps filled by the value before, at its start by the first value; NULL where all are missing."""
+    known = lambda c: F.filter(c, lambda x: x.isNotNull())
+    filled = F.transform(sequence, lambda x, i: F.coalesce(
+        x, F.try_element_at(known(F.slice(sequence, F.lit(1), i)), F.lit(-1)), F.try_element_at(known(F.col(sequence)), F.lit(1))))
+    return F.when(F.exists(sequence, lambda x: x.isNotNull()), filled)
+
+
 def model_data(df: DataFrame, targets: Sequence[str], features: Sequence[str] | None = None) -> DataFrame:
     """Feature and target columns with the last gaps filled: median for features, 0 for targets."""
     from millwatch.operators.cleaning import impute_median

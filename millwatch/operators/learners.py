@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from millwatch.functions.scores import clip
 from millwatch.operators import evaluation as V, voting as E
 from millwatch.operators.drift import retrain_decision
-from millwatch.operators.features import sequence_windows
+from millwatch.operators.features import filled_sequence, sequence_windows
 from millwatch.operators.health import distance_health
 from millwatch.sources.models import save_model
 
@@ -100,7 +100,7 @@ def fit_failure_boosting(df: DataFrame, features: Sequence[str], label: str, rou
 
 @dataclass
 class SequenceClassifier:
-    """A network over each key's latest values; rows with too short a history get 0."""
+    """A network over each key's latest values; rows with too short a history, or one without any value, get 0."""
 
     column: str
     order: list[str]
@@ -110,8 +110,8 @@ class SequenceClassifier:
     name: str = "failure_sequence"
 
     def score(self, df: DataFrame) -> DataFrame:
-        rows = sequence_windows(df, self.order, self.column, self.length, self.key, keep_short=True)
-        full = F.size("sequence") == self.length
+        rows = sequence_windows(df, self.order, self.column, self.length, self.key, keep_short=True).withColumn("sequence", filled_sequence())
+        full = F.col("sequence").isNotNull() & (F.size("sequence") == self.length)
         padded = F.when(full, F.col("sequence")).otherwise(F.array_repeat(F.lit(0.0), self.length))
         out = self.pipeline.transform(rows.withColumn("_raw", array_to_vector(padded)))
         return out.select(*df.columns, F.when(full, vector_to_array("_p")[1]).otherwise(0.0).alias(self.name))
@@ -119,7 +119,8 @@ class SequenceClassifier:
 
 def fit_failure_sequence(df: DataFrame, column: str, label: str, order: Sequence[str], length: int = 60,
                          key: str = "equipment_id", hidden: Sequence[int] = (32, 16), rounds: int = 50, seed: int = SEED) -> SequenceClassifier:
-    rows = sequence_windows(df, order, column, length, key).withColumn("_raw", array_to_vector("sequence"))
+    rows = sequence_windows(df, order, column, length, key).withColumn("sequence", filled_sequence()).where("sequence is not null")
+    rows = rows.withColumn("_raw", array_to_vector("sequence"))
     stages = [StandardScaler(withMean=True, inputCol="_raw", outputCol="_x"),
               MultilayerPerceptronClassifier(labelCol=label, featuresCol="_x", probabilityCol="_p", predictionCol="_y", rawPredictionCol="_r",
                                              layers=[length, *hidden, 2], maxIter=rounds, seed=seed)]

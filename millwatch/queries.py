@@ -262,7 +262,7 @@ def scale_robust(spark, d):
 @query
 def sequence_windows(spark, d):
     s = C.sequence_windows(X.plant(spark, d), X.PLANT_ORDER, "temperature")
-    total = F.aggregate("sequence", F.lit(0.0), lambda a, x: a + x)
+    total = F.aggregate("sequence", F.lit(None).cast("double"), lambda a, x: F.coalesce(a + x, x, a))
     return s.select(*PLANT_ID, F.size("sequence").alias("length"), F.col("sequence")[0].alias("first"),
                     F.element_at("sequence", -1).alias("last"), r(total, 3).alias("total"))
 

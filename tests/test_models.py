@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millwatch import fixtures as X
-from millwatch.operators import anomaly as N, evaluation as V, failure as P, knn as K, learners as Q
+from millwatch.operators import anomaly as N, evaluation as V, failure as P, features as C, knn as K, learners as Q
 from millwatch.operators.cleaning import clean
 from millwatch.sources.models import list_models, load_model
 
@@ -91,6 +91,24 @@ def test_sequence_errors_and_padding(spark, sf):
     assert 0.02 < (out["sequence_reconstruction"] == -1).mean() < 0.06
 
 
+def test_sequences_with_gaps(spark):
+    """One missing value costs no window: it keeps its place, and the models see the value before it."""
+    value = lambda i: float(i * i % 23 + 80 * (i == 33))
+    rows = [(f"e{k}", i, value(i + 3 * k), None if (k, i) in ((0, 0), (0, 9), (0, 10)) or k == 2 else value(i + 3 * k), i % 2) for k in range(3) for i in range(40)]
+    df = spark.createDataFrame(rows, "equipment_id string, at int, plain double, gaps double, y int")
+    windows = {(r["equipment_id"], r["at"]): r["sequence"] for r in C.sequence_windows(df, ["at"], "gaps", length=4).collect()}
+    assert len(windows) == 3 * 37 and windows["e0", 11] == [value(8), None, None, value(11)] and windows["e2", 20] == [None] * 4
+    filled = {(r["equipment_id"], r["at"]): r["f"] for r in C.sequence_windows(df, ["at"], "gaps", length=4).select("*", C.filled_sequence().alias("f")).collect()}
+    assert filled["e0", 11] == [value(8)] * 3 + [value(11)] and filled["e0", 3] == [value(1)] + [value(i) for i in (1, 2, 3)]
+    assert filled["e2", 20] is None and filled["e1", 20] == windows["e1", 20]
+    errors = N.fit_sequence_reconstruction(df, "gaps", ["at"], length=4, components=2).score(df).toPandas()
+    seen = errors[errors["sequence_reconstruction_score"] != 0]
+    assert len(errors) == 120 and set(seen["equipment_id"]) == {"e0", "e1"} and {9, 10, 11, 12} <= set(seen[seen["equipment_id"] == "e0"]["at"])
+    out = Q.fit_failure_sequence(df, "gaps", "y", ["at"], length=4, hidden=(3,), rounds=5).score(df).toPandas()
+    full = (out["at"] >= 3) & (out["equipment_id"] != "e2")
+    assert len(out) == 120 and (out[full]["failure_sequence"] > 0).all() and (out[~full]["failure_sequence"] == 0).all()
+
+
 def test_unknown_kinds_raise(planted, failing):
     for call in (lambda: N.train_anomaly_models(planted, FEATURES, ["id"], config={"models": ["x"]}),
                  lambda: Q.train_failure_models(failing, WIDE, "y", F.col("id"), {"models": ["x"]}),
