@@ -130,27 +130,23 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str], row_id: Sequenc
                          sample: int = SAMPLE, contamination: float = CONTAMINATION, seed: int = SEED) -> IsolationForest:
     """Grow the trees in parallel on hash samples, then set the cut from all scores.
 
-    The pool of samples has at most ``trees * sample`` rows, the forest at most twice as
-    many nodes: both are fixed by the parameters, not by the data.
+    Each tree takes the ``sample`` rows of its smallest hashes, at any number of rows. Rows whose
+    hash is beyond twice the expected bound are left out first by that same hash, so that about
+    ``2 * trees * sample`` rows move; fixed by the parameters, not by the data.
     """
     features = list(features)
     ids = [F.col(c) for c in row_id]
     values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"x{j}") for j, c in enumerate(features)]
     hashed = df.select(_stable_hash(seed, *ids).alias("_h"), *values)
-    rows = df.count()
-    if rows > 2 * trees * sample:
-        # About twice the pool by hash first, so that the tasks do not each keep a whole pool.
-        hashed = hashed.filter(F.pmod("_h", F.lit(1 << 40)) < int(2 * trees * sample / rows * (1 << 40)))
-    pool = hashed.orderBy("_h").limit(trees * sample)
-    # Every tree takes its own few of the pool: a little more than needed, by hash.
-    size = pool.agg(F.count(F.lit(1))).first()[0]
-    share = min(1.0, 1.5 * sample / max(size, 1))
-    drawn = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("_tree"))
-    drawn = drawn.withColumn("_pick", F.xxhash64("_tree", "_h")).filter(F.pmod("_pick", F.lit(1_000_000)) < share * 1_000_000)
+    size = df.count()
+    # Fewer than ``sample`` of the expected rows would be over ten deviations off at the default; the slack is for small samples.
+    bound = min(int(2 * (sample + 32) / max(size, 1) * (1 << 63)), (1 << 63) - 1)
+    drawn = hashed.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("_tree"))
+    drawn = drawn.withColumn("_pick", F.shiftrightunsigned(F.xxhash64("_tree", "_h"), 1)).filter(F.col("_pick") <= F.lit(bound))
     names = [f"x{j}" for j in range(len(features))]
 
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        points = pdf.nsmallest(sample, "_pick")[names].to_numpy()
+        points = pdf.sort_values(["_pick", *names]).head(sample)[names].to_numpy()
         limit = max(int(np.ceil(np.log2(max(len(points), 2)))), 1)
         nodes = _grow(points, np.random.default_rng([seed, int(key[0])]), limit)
         out = pd.DataFrame(nodes, columns=NODE)

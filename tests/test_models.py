@@ -56,6 +56,19 @@ def test_isolation_forest_is_the_same_on_every_run(planted):
     assert a.cut == b.cut and all((x[1] == y[1]).all() for x, y in zip(a.trees, b.trees, strict=True))
 
 
+@pytest.mark.parametrize("rows", [40, 200, 1050])
+def test_isolation_forest_draws_by_one_rule(planted, rows):
+    """Each tree has the rows of its smallest hashes among all, below and above twice the pool of 4 * 16 rows."""
+    df = planted.filter(F.col("id") < rows)
+    forest = N.fit_isolation_forest(df, FEATURES, ["id"], trees=4, sample=16)
+    for t, tree in enumerate(forest.trees):
+        pick = F.shiftrightunsigned(F.xxhash64(F.lit(t), F.xxhash64(F.lit(N.SEED), "id")), 1)
+        points = df.orderBy(pick, *FEATURES).limit(16).select(*FEATURES).toPandas().to_numpy()
+        nodes = N._grow(points, np.random.default_rng([N.SEED, t]), 4)
+        want = N.pd.DataFrame(nodes, columns=N.NODE)
+        assert all((want[c].to_numpy() == got).all() for c, got in zip(N.NODE, tree, strict=True))
+
+
 def test_detectors_come_back_from_disk(spark, sf, planted, folder):
     p = X.plant(spark, sf)
     made = [(N.fit_isolation_forest(planted, FEATURES, ["id"], trees=8), planted), (N.fit_one_class(planted, FEATURES, size=32), planted),
