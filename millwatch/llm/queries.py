@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millwatch.llm import jaccard_join, knn_join, licenses, line_dedup, mixing, pieces, quality, sharding, toxicity, warc
+from millwatch.llm import jaccard_join, knn_join, licenses, line_dedup, mixing, pieces, quality, sharding, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op8_licenses": licenses.op8_licenses,
@@ -15,6 +15,7 @@ QUERIES = {
     "op5_quality": quality.op5_quality,
     "op7_mixing": mixing.op7_mixing,
     "op9_sharding": sharding.op9_sharding,
+    "op12_suffix_dedup": suffix_dedup.op12_suffix_dedup,
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op5_quality": quality.OP5_SQL,
     "op7_mixing": mixing.OP7_SQL,
     "op9_sharding": sharding.OP9_SQL,
+    "op12_suffix_dedup": suffix_dedup.OP12_SQL,
 }
