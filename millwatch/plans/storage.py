@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -37,11 +38,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: later steps survive lost executors."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove ``written`` tables that nothing reads any more, and let go of the shuffle files of finished steps.
+
+    Spark removes shuffle files once the driver has collected what refers to them, which a long run of
+    large steps on a small driver may put off until the disks are full.
+    """
+    for table in tables:
+        spark, path = table.sparkSession, table._stored_at
+        _remove(spark, path)
+        _made[spark.sparkContext.applicationId].remove(path)
+    gc.collect()
+    SparkSession.getActiveSession()._jvm.System.gc()
 
 
 def release(spark: SparkSession) -> None:
     """Remove what this application put into the shared folder, once its results are stored elsewhere."""
     for path in _made.pop(spark.sparkContext.applicationId, []):
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        _remove(spark, path)
