@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millwatch.llm import jaccard_join, knn_join, licenses, line_dedup, mixing, pieces, quality, sharding, suffix_dedup, toxicity, warc
+from millwatch.llm import jaccard_join, knn_join, lexical, licenses, line_dedup, mixing, pieces, quality, sharding, suffix_dedup, toxicity, warc, whitening
 
 QUERIES = {
     "op8_licenses": licenses.op8_licenses,
@@ -16,6 +16,8 @@ QUERIES = {
     "op7_mixing": mixing.op7_mixing,
     "op9_sharding": sharding.op9_sharding,
     "op12_suffix_dedup": suffix_dedup.op12_suffix_dedup,
+    "op11_lexical": lexical.op11_lexical,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLES = {
@@ -26,4 +28,5 @@ ORACLES = {
     "op7_mixing": mixing.OP7_SQL,
     "op9_sharding": sharding.OP9_SQL,
     "op12_suffix_dedup": suffix_dedup.OP12_SQL,
+    "op11_lexical": lexical.OP11_SQL,
 }
