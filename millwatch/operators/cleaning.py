@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millwatch.plans.quantiles import exact_quantiles, quantile_row
+from millwatch.plans.quantiles import exact_quantiles, quantile_struct
 from millwatch.schemas import MEASURES
 
 MISSING_THRESHOLD = 0.5
@@ -63,18 +63,17 @@ def impute_mode(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 def impute_median(df: DataFrame, features: Sequence[str], targets: Sequence[str] = ()) -> DataFrame:
     """Missing features get the column's median, missing targets get 0."""
-    out = df.withColumn("_q", quantile_row(df, features, [0.5]).scalar())
+    out = df.withColumn("_q", quantile_struct(df, features, [0.5]))
     filled = {c: F.coalesce(F.col(c).cast("double"), F.col("_q")[f"{c}_0"]) for c in features}
     return out.withColumns(filled).drop("_q").na.fill(0, list(targets))
 
 
-def iqr_bounds(df: DataFrame, column: str, factor: float = OUTLIER_FACTOR,
-               at_most: int | None = None) -> tuple[float, float] | None:
-    """Lower and upper fence of one column; one two-row result comes back to the driver."""
-    found = {row["p"]: row["quantile"] for row in exact_quantiles(df, [column], [0.25, 0.75], at_most=at_most).collect()}
+def iqr_bounds(df: DataFrame, column: str, factor: float = OUTLIER_FACTOR) -> tuple[float, float] | None:
+    """Lower and upper fence of one column, None without values."""
+    found = exact_quantiles(df, [column], [0.25, 0.75])
     if not found:
         return None
-    low, high = found[0.25], found[0.75]
+    low, high = found[column, 0.25], found[column, 0.75]
     return low - factor * (high - low), high + factor * (high - low)
 
 
@@ -85,9 +84,8 @@ def remove_outliers(df: DataFrame, columns: Sequence[str] | None = None, factor:
     are settled one after the other. Only the fences are brought back, and the result is
     a plain chain of filters on the input.
     """
-    rows = df.count()
     for c in columns or numeric_columns(df):
-        fences = iqr_bounds(df, c, factor, rows)
+        fences = iqr_bounds(df, c, factor)
         if fences:
             df = df.filter(F.col(c).isNull() | F.col(c).between(*fences))
     return df

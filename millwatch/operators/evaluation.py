@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millwatch.plans.slices import HOT_ROWS, running
+from millwatch.plans.prefix import running_sums
 
 EPS = 1e-8
 
@@ -83,18 +83,17 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[
     ).select(*by, "mse", F.sqrt("mse").alias("rmse"), "mae", (1 - F.col("mse") / F.col("_v")).alias("r2_score"))
 
 
-def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve; equal scores count half.
 
-    Rows are folded to distinct scores first. The running count of negatives over the
-    ordered scores is taken slice by slice, so no single task orders all of them.
+    Rows are folded to distinct scores first; the negatives up to each score are a running
+    total over ranges of the scores.
     """
     by = list(by)
-    known = df.filter(F.col(score).isNotNull())
-    folded = known.groupBy(*by, score).agg(
+    folded = df.filter(F.col(score).isNotNull()).groupBy(*by, score).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("_pos"), F.sum((F.col(label) != 1).cast("long")).alias("_neg"))
-    ordered = running(folded, by, [score], {"_upto": ("sum", F.col("_neg"))}, hot_rows, known)
-    wins = F.col("_pos").cast("double") * (2 * F.col("_upto") - F.col("_neg"))
+    ordered = running_sums(folded, by, [score], ["_neg"])
+    wins = F.col("_pos").cast("double") * (2 * F.col("_upto__neg") - F.col("_neg"))
     return ordered.groupBy(*by).agg(
         (F.sum(wins) / 2 / F.sum("_pos") / F.sum("_neg")).alias("auc"))
 
@@ -111,18 +110,30 @@ def hash_bucket(id_column: Column, buckets: int) -> Column:
     return (F.conv(F.substring(F.md5(id_column.cast("string")), 1, 7), 16, 10).cast("long") % buckets).cast("int")
 
 
-def stratified_split(df: DataFrame, label: str, row_id: Sequence[str], test_share: float = 0.2,
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
+def stratified_split(df: DataFrame, label: str, row_id: Sequence[str], test_share: float = 0.2) -> DataFrame:
     """Mark each row ``train`` or ``test``: the exact share of each class, by md5 order.
 
-    The md5 is even, so a class too large for one task is cut into even slices.
+    The rank of a row in its class is a running total over ranges of the md5, which is even, so a class
+    of any size is spread evenly. The rank where the test share ends is looked up in a map of the classes.
     """
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in row_id])
-    placed = df.withColumn("_hash", F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long"))
-    ranked = running(placed, [label], ["_hash", *row_id], {"_rank": ("count", None)}, hot_rows)
-    sizes = df.groupBy(F.col(label).alias("_class")).agg(F.ceil(F.count(F.lit(1)) * test_share).alias("_tests"))
-    joined = ranked.join(sizes, F.col(label).eqNullSafe(F.col("_class")))
-    return joined.select(*df.columns, F.when(F.col("_rank") <= F.col("_tests"), "test").otherwise("train").alias("split"))
+    placed = df.withColumns({"_hash": F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long"), "_one": F.lit(1)})
+    ranked = running_sums(placed, [label], ["_hash", *row_id], ["_one"])
+    tests = F.ceil(F.col("n") * test_share)
+    out = _of_class(ranked, df, label, tests, "_tests")
+    return out.select(*df.columns, F.when(F.col("_upto__one") <= F.col("_tests"), "test").otherwise("train").alias("split"))
+
+
+def _of_class(rows: DataFrame, counted: DataFrame, label: str, figure: Column, name: str) -> DataFrame:
+    """Add a figure of the row's class, made of its count ``n``, from one map of all classes: rows stay where they are.
+
+    A label has few values by its nature; that of a regression is none.
+    """
+    counts = counted.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("n"))
+    key = F.coalesce(F.col("_class").cast("string"), F.lit("\u0000"))
+    table = counts.select(F.struct(key.alias("key"), figure.alias("value")).alias("e"))
+    table = table.agg(F.map_from_entries(F.collect_list("e")).alias("m")).scalar()
+    return rows.withColumn(name, F.element_at(table, F.coalesce(F.col(label).cast("string"), F.lit("\u0000"))))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -134,5 +145,8 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str) -> DataFrame:
-    weights = class_weights(df, label).select(F.col(label).alias("_class"), "weight")
-    return df.join(weights, F.col(label) == F.col("_class")).drop("_class")
+    """Add the weight of each row's class; rows without a label have none and go."""
+    whole = df.where(F.col(label).isNotNull())
+    q = whole.agg(F.struct(F.count(F.lit(1)).alias("rows"), F.count_distinct(label).alias("classes")).alias("q")).scalar()
+    out = _of_class(whole.withColumn("_q", q), whole, label, F.col("n"), "_n")
+    return out.withColumn("weight", F.col("_q")["rows"] / (F.col("_q")["classes"] * F.col("_n"))).drop("_q", "_n")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
 from millwatch.functions import scores as S
 from millwatch.operators.cleaning import numeric_columns
-from millwatch.plans.quantiles import quantile_row
+from millwatch.plans.quantiles import quantile_struct
 from millwatch.plans.slices import HOT_ROWS, lookback, running
 from millwatch.schemas import MEASURES
 
@@ -179,22 +179,22 @@ def scale(df: DataFrame, method: str = "standard", columns: Sequence[str] | None
     """Scale columns in place: ``standard`` (population deviation), ``minmax`` or ``robust``.
 
     A column without spread is only centred. The figures come from one aggregate that is
-    read as a scalar, so the rows are not shuffled.
+    read as a scalar, for ``robust`` from counted bins, so the rows are not shuffled.
     """
     columns = list(columns or numeric_columns(df, NOT_FEATURES))
     if method == "standard":
-        row = df.agg(F.struct(*[f(c).alias(f"{c}_{n}") for c in columns
-                                for f, n in ((F.avg, "mid"), (F.stddev_pop, "spread"))]).alias("q"))
+        figures_of = df.agg(F.struct(*[f(c).alias(f"{c}_{n}") for c in columns
+                                       for f, n in ((F.avg, "mid"), (F.stddev_pop, "spread"))]).alias("q")).scalar()
         figures = {c: (f"{c}_mid", lambda q, c=c: q[f"{c}_spread"]) for c in columns}
     elif method == "minmax":
-        row = _extremes(df, columns)
+        figures_of = _extremes(df, columns).scalar()
         figures = {c: (f"{c}_low", lambda q, c=c: q[f"{c}_high"] - q[f"{c}_low"]) for c in columns}
     elif method == "robust":
-        row = quantile_row(df, columns, [0.25, 0.5, 0.75])
+        figures_of = quantile_struct(df, columns, [0.25, 0.5, 0.75])
         figures = {c: (f"{c}_1", lambda q, c=c: q[f"{c}_2"] - q[f"{c}_0"]) for c in columns}
     else:
         raise ValueError(f"Unknown scaling method: {method}")
-    out, q = df.withColumn("_q", row.scalar()), F.col("_q")
+    out, q = df.withColumn("_q", figures_of), F.col("_q")
     scaled = {}
     for c, (mid, spread) in figures.items():
         width = spread(q)
@@ -231,7 +231,9 @@ def filled_sequence(sequence: str = "sequence") -> Column:
     known = lambda c: F.filter(c, lambda x: x.isNotNull())
     filled = F.transform(sequence, lambda x, i: F.coalesce(
         x, F.try_element_at(known(F.slice(sequence, F.lit(1), i)), F.lit(-1)), F.try_element_at(known(F.col(sequence)), F.lit(1))))
-    return F.when(F.exists(sequence, lambda x: x.isNotNull()), filled)
+    present = F.size(F.array_compact(sequence))
+    # Only a sequence with a gap is gone through element by element.
+    return F.when(present == F.size(sequence), F.col(sequence)).when(present > 0, filled)
 
 
 def model_data(df: DataFrame, targets: Sequence[str], features: Sequence[str] | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ ones: ``sqrt(all / shared * sum of squares)``. A missing cell gets the mean of t
 over the ``neighbours`` nearest rows that have it.
 
 Comparing every incomplete row with every row of its block would be quadratic. Instead the
-rows of a block are counted in nested grid cells with the bounds of what each cell holds.
+rows of a block are counted in nested cells, cut at even ranks, with the bounds of what each cell holds.
 For an incomplete row, the bounds tell the least and greatest distance to a cell; cells
 that cannot hold one of the nearest rows are left out, the rest are refined level by
 level, and only rows of the last surviving cells are measured. Nothing is approximated.
@@ -23,6 +23,7 @@ NEIGHBOURS = 5
 CELLS_PER_AXIS = 4
 ROWS_PER_CELL = 100
 MAX_LEVELS = 6
+CUT_ACCURACY = 10_000
 # Guards the pruning against rounding of the bounds; it only ever keeps more.
 SLACK = 1 + 1e-9
 
@@ -34,6 +35,22 @@ def _levels(base: DataFrame, dimensions: int) -> int:
     return min(max(math.ceil(depth), 1), MAX_LEVELS)
 
 
+def _placed(base: DataFrame, xs: Sequence[str], finest: int) -> DataFrame:
+    """Add the cell of each measure, cut at even ranks of the block's values, so that a far value stretches no cell; a missing measure is cell -1.
+
+    The cuts are approximate: they shape cells, whose true bounds settle what is near.
+    """
+    cuts = base.groupBy(F.col("_block").alias("_of")).agg(*[F.percentile_approx(x, [i / finest for i in range(1, finest)], CUT_ACCURACY).alias(f"c{x}") for x in xs])
+    steps = F.array(*[F.lit(finest >> k) for k in range(1, finest.bit_length())])
+
+    def place(x: str) -> Column:
+        # Half of the cuts, then half of the rest, and so on.
+        return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(f"c{x}", at + step - 1) <= F.col(x), at + step).otherwise(at))
+
+    cells = [F.when(F.col(x).isNull(), -1).otherwise(place(x)).cast("long").alias(f"i{x}") for x in xs]
+    return base.join(cuts, F.col("_block").eqNullSafe(F.col("_of"))).select("_id", "_block", *xs, *cells)
+
+
 def _total(parts: list[Column]) -> Column:
     return sum(parts[1:], parts[0])
 
@@ -65,16 +82,7 @@ def impute_knn(df: DataFrame, columns: Sequence[str], row_id: Sequence[str] = ()
     levels = levels or _levels(base, d)
     finest = CELLS_PER_AXIS ** levels
 
-    # Grid coordinates over the range of the whole table; a missing measure is cell -1.
-    span = base.agg(F.struct(*[f(x).alias(f"{n}{x}") for x in xs for f, n in ((F.min, "lo"), (F.max, "hi"))]).alias("q"))
-    placed = base.withColumn("_q", span.scalar())
-    q = F.col("_q")
-    cells = []
-    for x in xs:
-        width = F.nullif(q[f"hi{x}"] - q[f"lo{x}"], F.lit(0.0))
-        share = F.coalesce((F.col(x) - q[f"lo{x}"]) / width, F.lit(0.0))
-        cells.append(F.when(F.col(x).isNull(), -1).otherwise(F.least(F.floor(share * finest), F.lit(finest - 1))).cast("long").alias(f"i{x}"))
-    placed = placed.select("_id", "_block", *xs, *cells)
+    placed = _placed(base, xs, finest)
 
     def cell(level: int) -> Column:
         step = CELLS_PER_AXIS ** (levels - level)
@@ -93,6 +101,9 @@ def impute_knn(df: DataFrame, columns: Sequence[str], row_id: Sequence[str] = ()
         directory = donors.groupBy("_block", cell(level).alias("_cell"), cell(level - 1).alias("_parent")).agg(
             F.sum("_copies").alias("_copies"),
             *[F.min(x).alias(f"lo{x}") for x in xs], *[F.max(x).alias(f"hi{x}") for x in xs])
+        if level == 1 and not block:
+            # One block, and no more than (CELLS_PER_AXIS + 1) ** d cells of it, whatever the rows.
+            directory = F.broadcast(directory)
         parent = F.col("_parent") == F.col("_qcell") if level > 1 else F.lit(True)
         pairs = candidates.join(directory, (F.col("_qblock") == F.col("_block")) & parent)
         shared = [F.col(f"q{x}").isNotNull() & F.col(f"lo{x}").isNotNull() for x in xs]

@@ -1,107 +1,116 @@
-"""Exact quantiles of large columns without holding a column's values in one task."""
+"""Exact quantiles by counted bins, refined three times: no values are sorted and no column is held anywhere.
+
+A double falls into one of about 1000 bins for each power of two; the bin of a wanted rank is cut evenly
+into ``CUTS``, and of the cut that holds the rank the single values are counted. All columns and
+probabilities go through the same three scans. Counts add up on the map side, so what moves are bins; the
+same plan runs at any number of rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-ACCURACY = 10_000
-# Up to this many values, the built-in exact quantile holds a column in one buffer.
-SMALL_ROWS = 2_000_000
-# Up to this many values are put in order in one task.
-ORDERED_ROWS = 5_000_000
+#: Bins for each power of two: a bin holds at most 2**42 different doubles.
+PER_POWER = 1024
+#: Even cuts of a bin: each holds about 2**20 different doubles, however the values lie.
+CUTS = 1 << 22
+#: Above the bin of any finite number's size.
+_ZERO = 4 * PER_POWER * PER_POWER
 
 
 @dataclass
-class _Bracket:
-    """Where one quantile lies: between two values, with what lies below and inside."""
-
-    column: str
-    p: float
-    n: int
-    low: float = float("-inf")
-    high: float = float("inf")
+class _Target:
+    """The value of one rank (from 0) of one column: the range it lies in, and how many values are below the range."""
+
+    column: int
+    rank: int
+    low: float | None = None
+    high: float | None = None
     below: int = 0
-    inside: int = 0
 
-    @property
-    def rank(self) -> float:
-        return self.p * (self.n - 1)
 
-    def holds(self) -> Column:
-        return F.col(self.column).between(self.low, self.high)
+def _bin(v: Column) -> Column:
+    """A whole number that never falls as the value rises; not-a-number is above all."""
+    size = F.lit(_ZERO) + F.floor(F.log2(F.abs(v)) * PER_POWER)
+    endless = F.lit(2 * _ZERO)
+    return (F.when(F.isnan(v), 2 * endless).when(v == float("inf"), endless).when(v == float("-inf"), -endless)
+            .when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size)).cast("long")
 
 
-def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
-    """Shrink each bracket by a sketch of what it holds, then count below and inside it.
+def _settle(counted: DataFrame, targets: Sequence[_Target]) -> None:
+    """Move each target to the bin that holds its rank. ``counted``: (target, bin, n, low, high), bounded by the number of bins."""
+    upto = F.sum("n").over(W.partitionBy("target").orderBy("bin"))
+    ranks = F.array(*[F.lit(t.rank - t.below) for t in targets])
+    at = counted.withColumn("upto", upto).withColumn("rank", ranks[F.col("target")])
+    found = at.where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank"))).select("target", "low", "high", (F.col("upto") - F.col("n")).alias("below"))
+    for row in found.collect():
+        t = targets[row["target"]]
+        t.low, t.high, t.below = row["low"], row["high"], t.below + row["below"]
 
-    The rank error of the sketch is at most one part in ``accuracy``, so its answers two
-    such parts below and above the wanted rank enclose it.
-    """
-    marks = []
-    for b in brackets:
-        low = (int(b.rank) - b.below) / max(b.inside, 1) - 2.0 / accuracy
-        high = (int(b.rank) + 1 - b.below) / max(b.inside, 1) + 2.0 / accuracy
-        marks.append(F.percentile_approx(F.when(b.holds(), F.col(b.column)), [max(low, 0.0), min(high, 1.0)], accuracy))
-    found = df.agg(*[m.alias(f"m{i}") for i, m in enumerate(marks)]).first()
-    for b, (low, high) in zip(brackets, found, strict=True):
-        b.low, b.high = low, high
-    counts = [c for b in brackets for c in (F.count(F.when(F.col(b.column) < b.low, 1)), F.count(F.when(b.holds(), 1)))]
-    found = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
-    for b, below, inside in zip(brackets, found[0::2], found[1::2], strict=True):
-        b.below, b.inside = below, inside
-
-
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = ACCURACY,
-    small_rows: int = SMALL_ROWS, ordered_rows: int = ORDERED_ROWS, at_most: int | None = None,
-) -> DataFrame:
-    """Linear-interpolated quantiles as rows (column, p, quantile).
-
-    Small columns use the built-in exact quantile. Large ones are bracketed by sketches
-    until few values are left around each quantile; only those are put in order. What
-    comes back to the driver on the way are two values and two counts per quantile.
-    ``at_most`` is a row count known not to be exceeded; a small one spares counting.
+
+def _counts(numbers: DataFrame, targets: Sequence[_Target], names: Sequence[str], cut) -> DataFrame:
+    """Counts of the bins that ``cut`` gives the values in each target's range."""
+    cells = []
+    for i, t in enumerate(targets):
+        v = F.col(names[t.column])
+        held = v.between(t.low, t.high)
+        cells.append(F.when(held, F.struct(F.lit(i).alias("target"), cut(t, v).alias("bin"), v.alias("v"))))
+    rows = numbers.select(F.inline(F.filter(F.array(*cells), lambda c: c.isNotNull())))
+    return rows.groupBy("target", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+
+
+def rank_values(df: DataFrame, columns: Sequence[str], ranks) -> dict[tuple[str, int], float]:
+    """The values of some ranks (from 0) of each column, as numbers: ``ranks`` gives them for a count of values.
+
+    What comes back to the driver are one range a rank and column.
     """
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    known_small = at_most is not None and at_most <= small_rows
-    sizes = [] if known_small else numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
-    if known_small or max(sizes) <= small_rows:
-        row = numbers.agg(*[F.percentile(c, F.array(*[F.lit(float(p)) for p in probabilities])).alias(c) for c in columns])
-        cells = F.array(*[
-            F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("p"), F.col(c)[i].alias("quantile"))
-            for c in columns for i, p in enumerate(probabilities)])
-        return row.select(F.inline(cells)).filter(F.col("quantile").isNotNull())
-
-    brackets = [_Bracket(c, float(p), n, inside=n) for c, n in zip(columns, sizes, strict=True) if n for p in probabilities]
-    wide = brackets
-    while wide:
-        before = [b.inside for b in wide]
-        _narrow(numbers, wide, accuracy)
-        # A bracket of one value, or one that shrinks no more, is done.
-        wide = [b for b, n in zip(wide, before, strict=True) if ordered_rows < b.inside < n and b.low < b.high]
-
-    held = F.array(*[F.when(b.holds(), F.struct(F.lit(i).alias("bracket"), F.col(b.column).alias("value"))) for i, b in enumerate(brackets)])
-    values = numbers.select(F.inline(F.filter(held, lambda v: v.isNotNull())))
-    counted = values.groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("times"))
-    upto = Window.partitionBy("bracket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    facts = F.array(*[F.struct(F.lit(b.column).alias("column"), F.lit(b.p).alias("p"), F.lit(b.rank).alias("rank"),
-                               F.lit(b.below).alias("below")) for b in brackets])
-    ranked = counted.withColumns({"upto": F.sum("times").over(upto), "b": facts[F.col("bracket")]})
-    ranked = ranked.withColumn("upto", F.col("upto") + F.col("b.below"))
-    at = F.min(F.when(F.col("upto") > F.floor("b.rank"), F.col("value")))
-    above = F.min(F.when(F.col("upto") > F.ceil("b.rank"), F.col("value")))
-    part = F.max(F.col("b.rank") - F.floor("b.rank"))
-    return ranked.groupBy(F.col("b.column").alias("column"), F.col("b.p").alias("p")).agg(
-        (at + (above - at) * part).alias("quantile"))
-
-
-def quantile_row(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
-    """The same, as one row with a struct ``q`` of fields ``<column>_<index of p>``."""
-    rows = exact_quantiles(df, columns, probabilities, accuracy)
-    return rows.agg(F.struct(*[
-        F.max(F.when((F.col("column") == c) & (F.col("p") == float(p)), F.col("quantile"))).alias(f"{c}_{i}")
-        for c in columns for i, p in enumerate(probabilities)
-    ]).alias("q"))
+    numbers = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    names = [f"v{i}" for i in range(len(columns))]
+    cells = F.array(*[F.when(F.col(n).isNotNull(), F.struct(F.lit(i).alias("column"), _bin(F.col(n)).alias("bin"), F.col(n).alias("v"))) for i, n in enumerate(names)])
+    binned = numbers.select(F.inline(F.filter(cells, lambda c: c.isNotNull()))).groupBy("column", "bin").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    upto = binned.withColumn("upto", F.sum("n").over(W.partitionBy("column").orderBy("bin")))
+    whole = F.sum("n").over(W.partitionBy("column"))
+    # A wanted rank as a share of the count is settled where the count is known: in the same job.
+    wanted = F.filter(ranks(F.col("whole")), lambda k: (k < F.col("upto")) & (k >= F.col("upto") - F.col("n")))
+    found = upto.withColumn("whole", whole).withColumn("ranks", wanted).where(F.size("ranks") > 0).collect()
+    targets = [_Target(r["column"], k, r["low"], r["high"], r["upto"] - r["n"]) for r in found for k in sorted(set(r["ranks"]))]
+
+    def even(t: _Target, v: Column) -> Column:
+        # Halves are taken first: the width of a range may be beyond the largest double.
+        width = t.high / 2 - t.low / 2
+        return F.floor((v / 2 - t.low / 2) / width * CUTS).cast("long") if width > 0 else F.lit(0).cast("long")
+
+    for cut in (even, lambda t, v: v):
+        wide = [t for t in targets if t.low < t.high]
+        if wide:
+            _settle(_counts(numbers, wide, names, cut), wide)
+    return {(columns[t.column], t.rank): t.low for t in targets}
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[tuple[str, float], float]:
+    """Linear-interpolated quantiles by (column, probability); NULL does not count, a column without values is left out."""
+    def place(n: Column, p: float) -> Column:
+        return F.lit(float(p)) * (n - 1)
+
+    def ranks(n: Column) -> Column:
+        return F.array(*[f(place(n, p)).cast("long") for p in probabilities for f in (F.floor, F.ceil)])
+
+    values = rank_values(df, columns, ranks)
+    sizes = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    out = {}
+    for c, n in zip(columns, sizes, strict=True):
+        for p in probabilities if n else ():
+            at = float(p) * (n - 1)
+            low, high = values[c, int(at)], values[c, int(-(-at // 1))]
+            out[c, float(p)] = low + (high - low) * (at - int(at)) if low != high else low
+    return out
+
+
+def quantile_struct(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> Column:
+    """The same as one struct of numbers with fields ``<column>_<index of p>``."""
+    found = exact_quantiles(df, columns, probabilities)
+    return F.struct(*[F.lit(found.get((c, float(p)))).cast("double").alias(f"{c}_{i}") for c in columns for i, p in enumerate(probabilities)])

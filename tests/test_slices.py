@@ -99,12 +99,10 @@ def test_sequences_and_maintenance_with_hot_keys(spark, sf):
     assert differences(b.toPandas(), a.toPandas()) == ""
 
 
-@pytest.mark.parametrize("accuracy,ordered", [(20, 10_000), (20, 50), (1000, 1)])
-def test_exact_quantiles_by_brackets(spark, sf, accuracy, ordered):
+def test_exact_quantiles(spark, sf):
     df = X.dirty_plant(spark, sf)
     asked = [0.0, 0.25, 0.5, 0.9, 1.0]
-    rows = exact_quantiles(df, ["value", "rpm"], asked, accuracy, small_rows=0, ordered_rows=ordered).collect()
-    got = {(r["column"], r["p"]): r["quantile"] for r in rows}
+    got = exact_quantiles(df, ["value", "rpm"], asked)
     pdf = df.select("value", "rpm").toPandas()
     for (c, p), q in got.items():
         assert q == pytest.approx(pdf[c].quantile(p), abs=1e-9)
