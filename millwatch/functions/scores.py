@@ -94,9 +94,10 @@ def row_mean(columns: list[Column]) -> Column:
 
 def row_median(columns: list[Column]) -> Column:
     """Median of the non-null columns of one row; NULL when all are NULL."""
-    ordered = F.array_sort(F.filter(F.array(*columns), lambda c: c.isNotNull()))
-    n = F.size(ordered)
-    low, high = F.get(ordered, ((n - 1) / 2).cast("int")), F.get(ordered, (n / 2).cast("int"))
+    # Largest first, as this puts NULLs last; the middle is the same from either end.
+    ordered = F.sort_array(F.array(*columns), asc=False)
+    n = sum((c.isNotNull().cast("int") for c in columns), F.lit(0))
+    low, high = F.get(ordered, F.floor((n - 1) / 2).cast("int")), F.get(ordered, F.floor(n / 2).cast("int"))
     return F.when(n > 0, (low + high) / 2.0)
 
 

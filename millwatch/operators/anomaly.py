@@ -16,18 +16,22 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml import Pipeline
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from millwatch.operators.ensembles import AnomalyEnsemble, AnomalyEnsembleModel
 from millwatch.operators.evaluation import best_model, binary_metrics, long_form, predictions_of_best, stratified_split
 from millwatch.operators.features import filled_sequence, sequence_windows
-from millwatch.operators.voting import anomaly_vote
+from millwatch.plans.quantiles import exact_quantiles
+from millwatch.plans.storage import discard, written
+from millwatch.session import ship
 
 # Defaults of the model families.
 TREES, SAMPLE, CONTAMINATION, NU, SEED = 100, 256, 0.1, 0.1, 42
 ERROR_QUANTILE = 0.95
 RANDOM_FEATURES = 256
-CUT_ACCURACY = 100_000
 NODE = ["feature", "threshold", "left", "right", "depth"]
+# Number of the draw that orders a tree's rows: beyond those that pick its trees.
+_ORDER = 1 << 20
 FOREST = "tree int, node int, feature int, threshold double, left int, right int, depth double"
 
 
@@ -36,8 +40,8 @@ def _stable_hash(seed: int, *columns: Column) -> Column:
 
 
 def _cut(df: DataFrame, score: str, share: float) -> float:
-    """Score below which the given share of rows lies; one number comes back."""
-    return df.agg(F.percentile_approx(score, share, CUT_ACCURACY)).first()[0]
+    """Score below which the given share of rows lies, exact; scores are made once and written, as they are counted three times."""
+    return exact_quantiles(written(df.select(score), "scores"), [score], [share])[score, float(share)]
 
 
 def _judged(df: DataFrame, name: str, cut: float) -> DataFrame:
@@ -126,37 +130,90 @@ class IsolationForest:
         return _judged(self.scores(df), self.name, self.cut)
 
 
+def _uniform(seed: np.ndarray, turn: int) -> np.ndarray:
+    """Numbers above 0 and up to 1, from hashes and the number of the draw."""
+    x = seed + np.uint64((turn + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype("float64") / (1 << 53) + 2.0 ** -53
+
+
+def _draws(hashes: np.ndarray, trees: int, rate: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, their trees and their place in the tree's order: each row is in each tree with chance ``rate``.
+
+    The trees between one that a row is in and the next are skipped at once, by one geometric
+    number; so a row costs as many steps as it has trees, not as there are trees.
+    """
+    rows, at = np.arange(len(hashes)), np.full(len(hashes), -1.0)
+    out, turn = [], 0
+    while len(rows):
+        skip = np.floor(np.log(_uniform(hashes[rows], turn)) / np.log1p(-rate)) if rate < 1 else np.zeros(len(rows))
+        at = at + 1 + skip
+        rows, at = rows[at < trees], at[at < trees]
+        out.append((rows, at.astype("int64")))
+        turn += 1
+    row, tree = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, "int64"),) * 2
+    place = _uniform(hashes[row] ^ (tree.astype("uint64") * np.uint64(0xD6E8FEB86659FD93)), _ORDER)
+    return row, tree, place
+
+
+def _samples(hashed: DataFrame, names: Sequence[str], trees: int, rate: float) -> DataFrame:
+    """(_tree, _pick, values, n): the rows drawn for each tree, alike ones counted; it hangs on ids and values alone, not on partitions."""
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            row, tree, place = _draws(pdf["_h"].to_numpy().astype("int64").view("uint64"), trees, rate)
+            yield pdf.iloc[row].drop(columns="_h").assign(_tree=tree, _pick=place)
+
+    ship(hashed.sparkSession)
+    kinds = ", ".join(f"{n} double" for n in names)
+    return hashed.mapInPandas(draw, f"{kinds}, _tree long, _pick double").groupBy("_tree", "_pick", *names).agg(F.count(F.lit(1)).alias("n"))
+
+
 def fit_isolation_forest(df: DataFrame, features: Sequence[str], row_id: Sequence[str], trees: int = TREES,
                          sample: int = SAMPLE, contamination: float = CONTAMINATION, seed: int = SEED) -> IsolationForest:
     """Grow the trees in parallel on hash samples, then set the cut from all scores.
 
-    Each tree takes the ``sample`` rows of its smallest hashes, at any number of rows. Rows whose
-    hash is beyond twice the expected bound are left out first by that same hash, so that about
-    ``2 * trees * sample`` rows move; fixed by the parameters, not by the data.
+    Each row is drawn for each tree with a chance that gives about twice the rows a tree takes; of these
+    the tree takes the ``sample`` first in its own order. Both come from a hash of id and
+    values: the forest is the same at any partitioning, and alike rows are drawn together and counted. Where
+    many rows are alike, so that a tree has too few, all are drawn again with a larger chance.
     """
     features = list(features)
-    ids = [F.col(c) for c in row_id]
-    values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"x{j}") for j, c in enumerate(features)]
-    hashed = df.select(_stable_hash(seed, *ids).alias("_h"), *values)
-    size = df.count()
-    # Fewer than ``sample`` of the expected rows would be over ten deviations off at the default; the slack is for small samples.
-    bound = min(int(2 * (sample + 32) / max(size, 1) * (1 << 63)), (1 << 63) - 1)
-    drawn = hashed.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("_tree"))
-    drawn = drawn.withColumn("_pick", F.shiftrightunsigned(F.xxhash64("_tree", "_h"), 1)).filter(F.col("_pick") <= F.lit(bound))
     names = [f"x{j}" for j in range(len(features))]
+    values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(n) for c, n in zip(features, names)]
+    hashed = df.select(_stable_hash(seed, *[F.col(c) for c in row_id], *values).alias("_h"), *values)
+    size = df.count()
+    if not size:
+        raise ValueError("no rows to fit a forest on")
+    rate = 2 * (sample + 32) / size
+    while True:
+        drawn = written(_samples(hashed, names, trees, min(rate, 1.0)), "forest-samples")
+        filled = drawn.groupBy("_tree").agg(F.sum("n").alias("n")).where(F.col("n") >= min(sample, size)).count()
+        if filled == trees:
+            break
+        discard(drawn)
+        rate *= 4
 
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        points = pdf.sort_values(["_pick", *names]).head(sample)[names].to_numpy()
+        pdf = pdf.sort_values(["_pick", *names])
+        before = pdf["n"].cumsum() - pdf["n"]
+        pdf = pdf.assign(n=np.minimum(pdf["n"], sample - before))[before < sample]
+        points = pdf[names].to_numpy().repeat(pdf["n"].to_numpy(), axis=0)
         limit = max(int(np.ceil(np.log2(max(len(points), 2)))), 1)
         nodes = _grow(points, np.random.default_rng([seed, int(key[0])]), limit)
         out = pd.DataFrame(nodes, columns=NODE)
         return out.assign(tree=int(key[0]), node=range(len(out)))
 
-    forest = drawn.groupBy("_tree").applyInPandas(grow, FOREST)
+    # The first of a tree's order, some more than it takes: what is alike is one row of these.
+    first = drawn.withColumn("_rank", F.row_number().over(Window.partitionBy("_tree").orderBy("_pick", *names))).where(F.col("_rank") <= sample)
+    forest = first.groupBy("_tree").applyInPandas(grow, FOREST)
     grown = forest.toPandas().sort_values(["tree", "node"])
     arrays = [tuple(g[c].to_numpy() for c in NODE) for _, g in grown.groupby("tree")]
+    if len(arrays) != trees:
+        raise RuntimeError(f"{len(arrays)} of {trees} trees were grown")
     model = IsolationForest(features, arrays, min(sample, size))
     model.cut = _cut(model.scores(df), f"{model.name}_score", contamination)
+    discard(drawn)
     return model
 
 
@@ -292,17 +349,22 @@ def load_detector(spark: SparkSession, path: str):
 # --- family -----------------------------------------------------------------------
 
 
+def member_scores(df: DataFrame, models: Mapping) -> DataFrame:
+    """The columns of each model, one after the other."""
+    for model in models.values():
+        df = model.score(df)
+    return df
+
+
 @dataclass
 class AnomalyModels:
     """Several fitted detectors, their votes, and the choice of the best."""
 
     models: dict
-    voting_method: str = "majority"
+    ensemble: AnomalyEnsembleModel
 
     def score(self, df: DataFrame) -> DataFrame:
-        for model in self.models.values():
-            df = model.score(df)
-        return anomaly_vote(df, {n: F.col(n) for n in self.models}, {n: F.col(f"{n}_score") for n in self.models}, self.voting_method)
+        return self.ensemble.transform(member_scores(df, self.models))
 
     def predictions(self) -> Mapping[str, Column]:
         return {**{n: F.col(n) for n in self.models}, "ensemble": F.col("ensemble_prediction")}
@@ -339,16 +401,21 @@ def train_anomaly_models(df: DataFrame, features: Sequence[str], row_id: Sequenc
             made[name] = fit_sequence_reconstruction(df, sequence_column, order, config.get("sequence_length", 60))
         else:
             raise ValueError(f"Unknown model type: {name}")
-    return AnomalyModels(made, config.get("voting_method", "majority"))
+    ensemble = AnomalyEnsemble(members=list(made), method=config.get("voting_method", "majority"))
+    return AnomalyModels(made, ensemble.fit(member_scores(df, made)))
 
 
 def retrain_anomaly(df: DataFrame, features: Sequence[str], row_id: Sequence[str], label: str, base: str, version: int,
                     config: Mapping | None = None) -> DataFrame:
-    """Fit on the training share, evaluate on the test share, store each detector. Returns the metrics."""
+    """Fit on the training share, evaluate on the test share, store the family and each detector. Returns the metrics."""
+    from millwatch.operators.families import save_family
+
     split = stratified_split(df, label, row_id)
     train, test = (split.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
     family = train_anomaly_models(train, features, row_id, config=config)
     metrics = family.evaluate(family.score(test), label)
+    found = {row["model"]: {k: v for k, v in row.asDict().items() if k != "model"} for row in metrics.collect()}
+    save_family(df.sparkSession, family, base, version, found)
     for name, model in family.models.items():
         save_detector(df.sparkSession, model, f"{base}/detectors/{name}/version={version}")
     return metrics

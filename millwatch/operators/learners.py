@@ -15,11 +15,12 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millwatch.functions.scores import clip
-from millwatch.operators import evaluation as V, voting as E
+from millwatch.operators import evaluation as V
+from millwatch.operators.anomaly import member_scores
 from millwatch.operators.drift import retrain_decision
+from millwatch.operators.ensembles import FailureEnsembleModel, HealthEnsemble, HealthEnsembleModel
 from millwatch.operators.features import filled_sequence, sequence_windows
 from millwatch.operators.health import distance_health
-from millwatch.sources.models import save_model
 
 # Defaults of the model families.
 TREES, DEPTH, ROUNDS, RATE, BOOST_DEPTH, SEED = 100, 10, 100, 0.1, 6, 42
@@ -186,13 +187,10 @@ class FailureModels:
     """Fitted failure models with their soft, hard or weighted ensemble."""
 
     models: dict
-    voting_method: str = "soft"
-    weights: Column | None = None
+    ensemble: FailureEnsembleModel
 
     def score(self, df: DataFrame) -> DataFrame:
-        for model in self.models.values():
-            df = model.score(df)
-        return E.failure_vote(df, self.columns(), self.voting_method, self.weights)
+        return self.ensemble.transform(member_scores(df, self.models))
 
     def columns(self) -> Mapping[str, Column]:
         return {n: F.col(n) for n in self.models}
@@ -230,11 +228,12 @@ def train_failure_models(df: DataFrame, features: Sequence[str], label: str, row
         if name not in known:
             raise ValueError(f"Unknown model type: {name}")
         made[name] = known[name](df)
-    family = FailureModels(made, config.get("voting_method", "soft"))
-    if family.voting_method == "weighted":
-        found = {n: fold_auc(df, m, label, row_id, config.get("folds", FOLDS)) for n, m in makers(features, label, config).items() if n in made}
-        family.weights = F.struct(*[F.lit(float(found[n])).alias(n) for n in made])
-    return family
+    method, weights = config.get("voting_method", "soft"), dict.fromkeys(made, 1.0)
+    if method == "weighted":
+        # Models of the folds, not the final ones, are weighed: each on rows that it has not seen.
+        weights = {n: fold_auc(df, known[n], label, row_id, config.get("folds", FOLDS)) for n in made}
+    ensemble = FailureEnsembleModel(weights)
+    return FailureModels(made, ensemble._set(members=list(made), method=method))
 
 
 def fold_auc(df: DataFrame, fit, label: str, row_id: Column, folds: int = FOLDS) -> float:
@@ -252,14 +251,10 @@ class HealthModels:
     """Fitted health scorers with their average, weighted or median ensemble."""
 
     models: dict
-    voting_method: str = "average"
-    label: str | None = None
+    ensemble: HealthEnsembleModel
 
     def score(self, df: DataFrame) -> DataFrame:
-        for model in self.models.values():
-            df = model.score(df)
-        label = F.col(self.label) if self.label else None
-        return df.withColumn("health_score", E.health_vote(df, self.columns(), self.voting_method, label))
+        return self.ensemble.transform(member_scores(df, self.models))
 
     def columns(self) -> Mapping[str, Column]:
         return {n: F.col(n) for n in self.models}
@@ -288,8 +283,8 @@ def train_health_models(df: DataFrame, features: Sequence[str], label: str, conf
         if name not in makers:
             raise ValueError(f"Unknown model type: {name}")
         made[name] = makers[name]()
-    method = config.get("voting_method", "average")
-    return HealthModels(made, method, label if method == "weighted" else None)
+    ensemble = HealthEnsemble(members=list(made), method=config.get("voting_method", "average"), label=label)
+    return HealthModels(made, ensemble.fit(member_scores(df, made)))
 
 
 # --- retraining -------------------------------------------------------------------
@@ -297,29 +292,27 @@ def train_health_models(df: DataFrame, features: Sequence[str], label: str, conf
 
 def retrain_failure(df: DataFrame, features: Sequence[str], label: str, row_id: Sequence[str], base: str, version: int,
                     config: Mapping | None = None) -> DataFrame:
-    """Split, train, evaluate on the test share, store every model. Returns the metrics."""
+    """Split, train, evaluate on the test share, store the family and every model. Returns the metrics."""
+    from millwatch.operators.families import store_trained
+
     split = V.stratified_split(df, label, row_id)
     train, test = (split.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
     family = train_failure_models(train, features, label, F.concat_ws("|", *row_id), config)
     metrics = family.evaluate(family.score(test), label)
-    found = {row["model"]: row.asDict() for row in metrics.collect()}
-    for name, model in family.models.items():
-        numbers = {k: v for k, v in found[name].items() if k != "model"}
-        save_model(df.sparkSession, model.pipeline, base, name, version, numbers)
+    store_trained(df.sparkSession, family, base, version, metrics)
     return metrics
 
 
 def retrain_health(df: DataFrame, features: Sequence[str], label: str, row_id: Sequence[str], base: str, version: int,
                    test_share: float = 0.2, config: Mapping | None = None) -> DataFrame:
     """The same for health scorers; a number has no classes, so the split is by hash alone."""
+    from millwatch.operators.families import store_trained
+
     tested = V.hash_bucket(F.concat_ws("|", *row_id), 1000) < int(test_share * 1000)
     train, test = df.filter(~tested), df.filter(tested)
     family = train_health_models(train, features, label, config)
     metrics = family.evaluate(family.score(test), label)
-    found = {row["model"]: row.asDict() for row in metrics.collect()}
-    for name, model in family.models.items():
-        numbers = {k: v for k, v in found[name].items() if k != "model"}
-        save_model(df.sparkSession, model.pipeline, base, name, version, numbers)
+    store_trained(df.sparkSession, family, base, version, metrics)
     return metrics
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millwatch.functions.scores import clip, row_median
 from millwatch.operators.evaluation import EPS, auc, hash_bucket, long_form
-from millwatch.plans.slices import HOT_ROWS
 
 
 def total(columns: Sequence[Column]) -> Column:
@@ -19,8 +18,10 @@ def mean(columns: Sequence[Column]) -> Column:
     return total(columns) / float(len(columns))
 
 
-def weighted_mean(columns: Mapping[str, Column], weights: Column) -> Column:
-    """Weighted mean with weights given as a struct column; they need not sum to 1."""
+def weighted_mean(columns: Mapping[str, Column], weights: Column | Mapping[str, float]) -> Column:
+    """Weighted mean with weights given as numbers or as a struct column; they need not sum to 1."""
+    if isinstance(weights, Mapping):
+        return total([c * float(weights[n]) for n, c in columns.items()]) / float(sum(weights[n] for n in columns))
     return total([c * weights[n] for n, c in columns.items()]) / total([weights[n] for n in columns])
 
 
@@ -30,31 +31,31 @@ def inverse_score_weights(df: DataFrame, scores: Mapping[str, Column]) -> DataFr
 
 
 def anomaly_vote(df: DataFrame, predictions: Mapping[str, Column], scores: Mapping[str, Column],
-                 method: str = "majority") -> DataFrame:
+                 method: str = "majority", weights: Mapping[str, float] | None = None) -> DataFrame:
     """Join detectors that say 1 (normal) or -1: normal needs more than half of the vote.
 
-    ``majority`` and ``average`` weigh all alike; ``weighted`` uses inverse mean scores.
+    ``majority`` and ``average`` weigh all alike; ``weighted`` takes the given weights, which are worked
+    out beforehand on training rows (``ensembles.AnomalyEnsemble``).
     A tie is an anomaly. Adds ``ensemble_prediction`` and ``ensemble_score``.
     """
     normal = {n: (c == 1).cast("double") for n, c in predictions.items()}
     if method in ("majority", "average"):
-        out, share, score = df, mean(list(normal.values())), mean(list(scores.values()))
+        share, score = mean(list(normal.values())), mean(list(scores.values()))
+    elif method == "weighted" and weights:
+        share, score = weighted_mean(normal, weights), weighted_mean(scores, weights)
     elif method == "weighted":
-        out = df.withColumn("_w", inverse_score_weights(df, scores).scalar())
-        share, score = weighted_mean(normal, F.col("_w")), weighted_mean(scores, F.col("_w"))
+        raise ValueError("weights come from a fit on training rows")
     else:
         raise ValueError(f"Unknown voting method: {method}")
-    return out.withColumns({
-        "ensemble_prediction": F.when(share > 0.5, 1).otherwise(-1), "ensemble_score": score}).drop("_w")
+    return df.withColumns({"ensemble_prediction": F.when(share > 0.5, 1).otherwise(-1), "ensemble_score": score})
 
 
-def auc_weights(df: DataFrame, probabilities: Mapping[str, Column], label: str, row_id: Column, folds: int = 5,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+def auc_weights(df: DataFrame, probabilities: Mapping[str, Column], label: str, row_id: Column, folds: int = 5) -> DataFrame:
     """Mean AUC of each model over hash folds, as one struct row of weights."""
     rows = df.select(F.col(label).alias("_y"), hash_bucket(row_id, folds).alias("fold"),
                      *[c.alias(f"_p_{n}") for n, c in probabilities.items()])
     cells = long_form(rows, {n: F.col(f"_p_{n}") for n in probabilities}, ["_y", "fold"], "model", "score")
-    areas = auc(cells, "_y", "score", ["model", "fold"], hot_rows)
+    areas = auc(cells, "_y", "score", ["model", "fold"])
     return areas.agg(F.struct(*[F.avg(F.when(F.col("model") == n, F.col("auc"))).alias(n) for n in probabilities]).alias("w"))
 
 
@@ -86,13 +87,12 @@ def r2_weights(df: DataFrame, scores: Mapping[str, Column], label: Column) -> Da
     return row.select(F.struct(*[F.when(none, 1.0).otherwise(F.col(n)).alias(n) for n in scores]).alias("w"))
 
 
-def health_vote(df: DataFrame, scores: Mapping[str, Column], method: str = "average",
-                label: Column | None = None) -> Column:
-    """Join health scores by ``average``, ``median`` or R²-``weighted`` mean, kept in 0-1."""
+def health_vote(scores: Mapping[str, Column], method: str = "average", weights: Mapping[str, float] | None = None) -> Column:
+    """Join health scores by ``average``, ``median`` or ``weighted`` mean with weights from a fit, kept in 0-1."""
     if method == "average":
         return clip(mean(list(scores.values())))
     if method == "median":
         return clip(row_median(list(scores.values())))
-    if method == "weighted":
-        return clip(weighted_mean(scores, r2_weights(df, scores, label).scalar()))
-    raise ValueError(f"Unknown voting method: {method}")
+    if method == "weighted" and weights:
+        return clip(weighted_mean(scores, weights))
+    raise ValueError("weights come from a fit on training rows" if method == "weighted" else f"Unknown voting method: {method}")
