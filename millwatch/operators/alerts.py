@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -13,6 +14,7 @@ from millwatch.functions.scores import health_status
 from millwatch.plans.slices import HOT_ROWS, epoch_us, lookback
 from millwatch.plans.storage import written
 from millwatch.schemas import SEVERITIES
+from millwatch.session import ship
 
 COOLDOWN_SECONDS = 300
 PAGE_SIZE = 100
@@ -92,6 +94,11 @@ def metric_alerts(df: DataFrame, row_id: str, rules: Sequence[AlertRule] = HOST_
 # --- cool-down --------------------------------------------------------------------
 
 
+#: Maps that one step of the scan joins.
+FAN = 64
+_NEVER = np.iinfo(np.int64).min
+
+
 def _last_fired(at: np.ndarray, gap: int) -> np.ndarray:
     """For each instant: the last firing inside the slice if that instant fires.
 
@@ -109,32 +116,78 @@ def _last_fired(at: np.ndarray, gap: int) -> np.ndarray:
         jump = jump[jump]
 
 
-def _steps(scope: Sequence[str]):
-    """Per slice: which last firing follows from which entry, as few ranges."""
+class EntryMap(NamedTuple):
+    """What a stretch of time makes of the instant from which an alert may fire: "up to here, the last firing is there".
+
+    From an instant beyond the last of ``upto`` nothing fires. Chains of firings soon meet, so there are
+    few pieces; at most one for each instant of the first gap, as nothing later can be the first to fire.
+    """
+
+    upto: np.ndarray
+    last: np.ndarray
+
+    @classmethod
+    def of(cls, at: np.ndarray, gap: int) -> EntryMap:
+        # A firing before the slice lets the next follow less than a gap after the slice's first instant.
+        upto = int(np.searchsorted(at, at[0] + gap, side="left")) + 1
+        return cls(at[:upto], _last_fired(at, gap)[:upto]).folded()
+
+    def folded(self) -> EntryMap:
+        ends = np.append(self.last[1:] != self.last[:-1], True)[:len(self.last)]
+        return EntryMap(self.upto[ends], self.last[ends])
+
+    def leave(self, entry: np.ndarray, gap: int) -> np.ndarray:
+        """The instant from which an alert may fire after the stretch."""
+        at = np.searchsorted(self.upto, entry, side="left")
+        fires = at < len(self.upto)
+        return np.where(fires, np.append(self.last, 0)[at] + gap, entry)
+
+    def then(self, after: EntryMap, gap: int) -> EntryMap:
+        """Both stretches as one."""
+        own = after.leave(self.last + gap, gap) - gap
+        late = np.searchsorted(after.upto, self.upto[-1] if len(self.upto) else _NEVER, side="right")
+        return EntryMap(np.append(self.upto, after.upto[late:]), np.append(own, after.last[late:])).folded()
+
+
+def _maps(pdf: pd.DataFrame) -> list[EntryMap]:
+    return [EntryMap(np.asarray(u, "int64"), np.asarray(v, "int64")) for u, v in zip(pdf["_upto"], pdf["_last"])]
+
+
+def _named(scope: Sequence[str], key: tuple, **columns) -> pd.DataFrame:
+    out = pd.DataFrame(columns)
+    return out.assign(**dict(zip(scope, key)))
+
+
+def _slice_maps(scope: Sequence[str]):
+    """Per slice: its map."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        at, gap = np.sort(pdf["_at"].to_numpy()), int(pdf["_gap"].iloc[0])
-        last = _last_fired(at, gap)
-        ends = np.append(last[1:] != last[:-1], True)
-        out = pd.DataFrame({"_upto": at[ends], "_last": last[ends], "_gap": gap})
-        for name, value in zip([*scope, "_slice"], key, strict=True):
-            out[name] = value
-        return out
+        gap = int(pdf["_gap"].iloc[0])
+        made = EntryMap.of(np.sort(pdf["_at"].to_numpy()), gap)
+        return _named(scope, key, _node=[int(key[-1])], _gap=[gap], _upto=[made.upto], _last=[made.last])
     return run
 
 
-def _entries(scope: Sequence[str]):
-    """Per scope: walk the slices in order and note the earliest instant that may fire in each."""
+def _joined_maps(scope: Sequence[str]):
+    """Per ``FAN`` neighbours: one map."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        gap, earliest, rows = int(pdf["_gap"].iloc[0]), np.iinfo(np.int64).min, []
-        for number, part in pdf.sort_values(["_slice", "_upto"]).groupby("_slice", sort=True):
-            rows.append((number, earliest))
-            i = int(np.searchsorted(part["_upto"].to_numpy(), earliest, side="left"))
-            if i < len(part):
-                earliest = int(part["_last"].iloc[i]) + gap
-        out = pd.DataFrame(rows, columns=["_slice", "_earliest"])
-        for name, value in zip(scope, key, strict=True):
-            out[name] = value
-        return out
+        pdf, gap = pdf.sort_values("_node"), int(pdf["_gap"].iloc[0])
+        maps = _maps(pdf)
+        made = maps[0]
+        for m in maps[1:]:
+            made = made.then(m, gap)
+        return _named(scope, key, _node=[int(key[-1])], _gap=[gap], _upto=[made.upto], _last=[made.last])
+    return run
+
+
+def _entries(scope: Sequence[str]):
+    """Per ``FAN`` neighbours and the instant from which the first may fire: that of each."""
+    def run(key: tuple, pdf: pd.DataFrame, entered: pd.DataFrame) -> pd.DataFrame:
+        pdf, rows = pdf.sort_values("_node"), []
+        entry = int(entered["_earliest"].iloc[0]) if len(entered) else _NEVER
+        for node, gap, m in zip(pdf["_node"], pdf["_gap"], _maps(pdf)):
+            rows.append((int(node), entry))
+            entry = int(m.leave(np.array([entry]), int(gap))[0])
+        return _named(scope, key, _node=[n for n, _ in rows], _earliest=[e for _, e in rows])
     return run
 
 
@@ -147,44 +200,52 @@ def _firings(scope: Sequence[str]):
         while i < len(at):
             fired.append(at[i])
             i = int(np.searchsorted(at, at[i] + gap, side="left"))
-        out = pd.DataFrame({"_at": np.array(fired, dtype="int64")})
-        for name, value in zip(scope, key[:len(scope)], strict=True):
-            out[name] = value
-        return out
+        return _named(scope, key[:len(scope)], _at=np.array(fired, dtype="int64"))
     return run
 
 
 def cooldown(alerts: DataFrame, scope: Sequence[str] = ("rule",), order: Sequence[str] = ("timestamp", "alert_id"),
-             seconds: int | str = COOLDOWN_SECONDS, slice_hours: int = 6) -> DataFrame:
+             seconds: int | str = COOLDOWN_SECONDS) -> DataFrame:
     """Alerts left when a rule stays silent for ``seconds`` after each alert it raises.
 
-    The rule is greedy in time, so it looks sequential over all alerts of a rule. It is
-    worked out in time slices instead: each slice is reduced to "if the first firing is
-    here, the last one is there", which is a handful of ranges because the chains of
-    firings soon meet. Only those ranges are walked per rule. Then every slice knows its
-    entry and emits its own firings. ``seconds`` may name a column with the rule's value.
-    An alert exactly ``seconds`` after the last one fires.
+    The rule is greedy in time, so it looks sequential over all alerts of a rule. It is a parallel scan
+    instead. Instants are dealt by ranges of rule and time, so dense times make more slices, not larger
+    ones. Each slice is reduced to a map from the instant at which it is entered to that at which it is left;
+    maps of ``FAN`` neighbours are composed, level by level, until one is left of each rule; going down again,
+    every slice learns its entry and emits its own firings. ``seconds`` may name a column with the
+    rule's value. An alert exactly ``seconds`` after the last one fires.
     """
     scope, order = list(scope), list(order)
+    spark = ship(alerts.sparkSession)
     gap = (F.col(seconds) if isinstance(seconds, str) else F.lit(seconds)).cast("long") * 1_000_000
     # Of several alerts at one instant only the first can fire; it is carried whole, so the
     # alerts are computed once.
     instants = (
         alerts.groupBy(*scope, epoch_us(F.col(order[0])).alias("_at"), gap.alias("_gap"))
         .agg(F.min_by(F.struct(*alerts.columns), F.struct(*order)).alias("_alert"))
-        .withColumn("_slice", F.floor(F.col("_at") / (slice_hours * 3_600_000_000)).cast("long"))
     )
-    # Three steps read them: a written table spares computing the alerts again each time.
-    instants = written(instants, "instants")
-    bare = instants.select(*scope, "_slice", "_at", "_gap")
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The steps read them several times: a written table keeps one cut into slices.
+    instants = written(instants.repartitionByRange(slices, *scope, "_at").withColumn("_node", F.spark_partition_id().cast("long")), "instants")
+    bare = instants.select(*scope, "_node", "_at", "_gap")
     kinds = [alerts.schema[c] for c in scope]
 
-    def shape(*fields: str) -> T.StructType:
-        return T.StructType([*[T.StructField(f, T.LongType()) for f in fields], *kinds])
-
-    steps = bare.groupBy(*scope, "_slice").applyInPandas(_steps(scope), shape("_upto", "_last", "_gap", "_slice"))
-    entries = steps.groupBy(*scope).applyInPandas(_entries(scope), shape("_slice", "_earliest"))
-    fired = bare.join(entries, [*scope, "_slice"]).groupBy(*scope, "_slice").applyInPandas(_firings(scope), shape("_at"))
+    def shape(*fields: T.StructField | str) -> T.StructType:
+        return T.StructType([*[T.StructField(f, T.LongType()) if isinstance(f, str) else f for f in fields], *kinds])
+
+    lists = [T.StructField(f, T.ArrayType(T.LongType())) for f in ("_upto", "_last")]
+    up = F.floor(F.col("_node") / FAN).cast("long").alias("_node")
+    levels = [written(bare.groupBy(*scope, "_node").applyInPandas(_slice_maps(scope), shape("_node", "_gap", *lists)), "cooldown-maps")]
+    span = slices
+    while span > FAN:
+        made = levels[-1].groupBy(*scope, up.alias("_above")).applyInPandas(_joined_maps(scope), shape("_node", "_gap", *lists))
+        levels.append(written(made, "cooldown-maps"))
+        span = -(-span // FAN)
+    entered = spark.createDataFrame([], shape("_node", "_earliest"))
+    for maps in reversed(levels):
+        above = F.floor(F.col("_node") / FAN).cast("long").alias("_above")
+        entered = maps.groupBy(*scope, above).cogroup(entered.groupBy(*scope, F.col("_node").alias("_above"))).applyInPandas(_entries(scope), shape("_node", "_earliest"))
+    fired = bare.join(entered, [*scope, "_node"]).groupBy(*scope, "_node").applyInPandas(_firings(scope), shape("_at"))
     return instants.join(fired, [*scope, "_at"], "left_semi").select("_alert.*")
 
 

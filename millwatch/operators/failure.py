@@ -55,11 +55,9 @@ def forecast(df: DataFrame, periods: int = 30, value: str = "value", key: str =
     """Trend times season for the next ``periods`` steps of each key, and the failure risk."""
     trends = trend(df, value, key)
     indexes = season_indexes(df, trends, value, key, seasons)
-    future = trends.select(
-        key, "slope", "intercept",
-        F.explode(F.expr(f"sequence(last_seen + INTERVAL {step}, last_seen + {int(periods)} * INTERVAL {step}, INTERVAL {step})")
-                  ).alias("timestamp"),
-    )
+    steps = f"sequence(last_seen + INTERVAL {step}, last_seen + {int(periods)} * INTERVAL {step}, INTERVAL {step})"
+    ahead = F.expr(steps) if periods > 0 else F.slice(F.array("last_seen"), 1, 0)
+    future = trends.select(key, "slope", "intercept", F.explode(ahead).alias("timestamp"))
     out = future.withColumn("yhat", F.col("intercept") + F.col("slope") * _days(F.col("timestamp")))
     for s in seasons:
         part = indexes.filter(F.col("season") == s).select(F.col(key).alias("_key"), F.col("slot").alias("_slot"), "index")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 READINGS = """readings AS (
   SELECT event_id AS reading_id, ts AS "timestamp", 'EQ_' || user_id AS equipment_id,
     CASE event_type WHEN 'click' THEN 'vibration' WHEN 'view' THEN 'temperature'
@@ -257,7 +259,8 @@ pr AS (SELECT model, (n - fp - fn) / n AS accuracy, tp / (tp + fp + 1e-8) AS pre
 metrics AS (SELECT *, 2 * precision * recall / (precision + recall + 1e-8) AS f1_score FROM pr)"""
 
 ORACLES["anomaly_vote"] = f"""WITH {DETECTORS},
-w AS (SELECT 1 / (avg(abs(s1)) + 1e-8) AS w1, 1 / (avg(abs(s2)) + 1e-8) AS w2, 1 / (avg(abs(s3)) + 1e-8) AS w3 FROM detectors)
+w AS (SELECT 1 / (avg(abs(s1)) + 1e-8) AS w1, 1 / (avg(abs(s2)) + 1e-8) AS w2, 1 / (avg(abs(s3)) + 1e-8) AS w3 FROM detectors
+  WHERE ('0x' || substr(md5(reading_id::VARCHAR), 1, 7))::BIGINT % 5 <> 0)
 SELECT reading_id, CASE WHEN ((p1 = 1)::INT + (p2 = 1)::INT + (p3 = 1)::INT) / 3.0 > 0.5 THEN 1 ELSE -1 END AS majority_vote,
   round((s1 + s2 + s3) / 3, 4) AS mean_score,
   CASE WHEN ((p1 = 1)::INT * w1 + (p2 = 1)::INT * w2 + (p3 = 1)::INT * w3) / (w1 + w2 + w3) > 0.5 THEN 1 ELSE -1 END AS weighted_vote,
@@ -332,6 +335,41 @@ yh AS (SELECT f.equipment_id, f."timestamp", (b + a * epoch(f."timestamp") / 864
 SELECT equipment_id, "timestamp", round(yhat, 6) AS yhat,
   round(greatest(0, least(1, CASE WHEN yhat > 0.8 THEN (yhat - 0.8) / (1 - 0.8) ELSE 0 END)), 6) AS failure_probability FROM yh"""
 
+
+
+def _normal_equations(terms: int, penalties: list[float], source: str, name: str) -> str:
+    """Least squares of ``y`` on the list ``t`` for each key: sums of products, then elimination row by row."""
+    rows = ",\n".join("[" + ", ".join([f"sum(t[{i}] * t[{j}]){f' + {penalties[i - 1]!r}' if i == j else ''}" for j in range(1, terms + 1)] + [f"sum(t[{i}] * y)"]) + "]"
+                      for i in range(1, terms + 1))
+    return f"""{name}_sums AS (SELECT equipment_id, 1 AS k, [{rows}] AS m FROM {source} GROUP BY 1),
+{name}_steps AS (SELECT * FROM {name}_sums UNION ALL
+  SELECT equipment_id, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / r[k])
+    ELSE list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) END) FROM {name}_steps WHERE k <= {terms}),
+{name} AS (SELECT equipment_id, list_transform(m, lambda r: r[{terms + 1}]) AS b FROM {name}_steps WHERE k = {terms + 1})"""
+
+
+_BENDS = [0.8 * (j + 1) / 26 for j in range(25)]
+_TURNS = [(f, 2 * math.pi * k / length) for length, n in ((365.25, 10), (7.0, 3), (1.0, 4)) for k in range(1, n + 1) for f in ("sin", "cos")]
+_TREND_LIST = "[1, x, " + ", ".join(f"greatest(x - {b!r}, 0)" for b in _BENDS) + "]"
+_SEASON_LIST = "[" + ", ".join(f"{f}({w!r} * day)" for f, w in _TURNS) + "]"
+
+ORACLES["forecast_history"] = f"""WITH RECURSIVE {PLANT.strip().removeprefix("WITH ")},
+seen AS (SELECT equipment_id, "timestamp", epoch("timestamp") / 86400 AS day, value AS v FROM plant),
+span AS (SELECT min(day) AS a, greatest(max(day) - min(day), 1) AS s FROM seen),
+sizes AS (SELECT equipment_id, max(abs(v)) AS scale, max("timestamp") AS last_seen FROM seen GROUP BY 1),
+line_rows AS (SELECT equipment_id, v / scale AS y, {_TREND_LIST} AS t FROM (SELECT *, (day - a) / s AS x FROM seen, span) JOIN sizes USING (equipment_id)),
+{_normal_equations(27, [1e-9, 1e-9] + [1.0] * 25, "line_rows", "line")},
+levels AS (SELECT equipment_id, day, v / scale AS v, list_dot_product(b, {_TREND_LIST}) AS level
+  FROM (SELECT *, (day - a) / s AS x FROM seen, span) JOIN sizes USING (equipment_id) JOIN line USING (equipment_id)),
+wave_rows AS (SELECT equipment_id, v - level AS y, list_transform({_SEASON_LIST}, lambda q: q * level) AS t FROM levels),
+{_normal_equations(34, [0.01] * 34, "wave_rows", "wave")},
+times AS (SELECT DISTINCT equipment_id, "timestamp" FROM seen UNION ALL SELECT equipment_id, last_seen + k * INTERVAL 1 DAY FROM sizes, range(1, 31) r(k)),
+yh AS (SELECT equipment_id, "timestamp", scale * list_dot_product(l.b, {_TREND_LIST}) * (1 + list_dot_product(w.b, {_SEASON_LIST})) AS yhat
+  FROM (SELECT *, (day - a) / s AS x FROM (SELECT *, epoch("timestamp") / 86400 AS day FROM times), span)
+  JOIN sizes USING (equipment_id) JOIN line l USING (equipment_id) JOIN wave w USING (equipment_id))
+SELECT equipment_id, "timestamp", round(yhat, 6) AS yhat,
+  round(greatest(0, least(1, CASE WHEN yhat > 0.8 THEN (yhat - 0.8) / (1 - 0.8) ELSE 0 END)), 6) AS failure_probability FROM yh"""
+
 # --- health -----------------------------------------------------------------------
 
 WIDE = PLANT + """, wide AS (
@@ -353,7 +391,8 @@ HEALTH_SCORES = WIDE + ", " + TARGET.replace("FROM plant", "FROM wide").replace(
 ORACLES["health_vote"] = f"""WITH {HEALTH_SCORES}, r2 AS (
   SELECT greatest(0, 1 - avg((health_score - sensors) ** 2) / var_pop(health_score)) AS w1,
     greatest(0, 1 - avg((health_score - vib) ** 2) / var_pop(health_score)) AS w2,
-    greatest(0, 1 - avg((health_score - heat) ** 2) / var_pop(health_score)) AS w3 FROM target)
+    greatest(0, 1 - avg((health_score - heat) ** 2) / var_pop(health_score)) AS w3 FROM target
+  WHERE ('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, equipment_id)), 1, 7))::BIGINT % 5 <> 0)
 SELECT {PLANT_ID}, round((sensors + vib + heat) / 3, 8) AS average,
   round(CASE WHEN w1 + w2 + w3 > 0 THEN (sensors * w1 + vib * w2 + heat * w3) / (w1 + w2 + w3) ELSE (sensors + vib + heat) / 3 END, 8) AS weighted,
   round(list_median([sensors, vib, heat]), 8) AS median FROM target, r2"""

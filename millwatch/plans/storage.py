@@ -48,6 +48,11 @@ def _remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove ``written`` tables that nothing reads any more, and let go of the shuffle files of finished steps.
 

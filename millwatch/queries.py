@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millwatch import fixtures as X
 from millwatch.functions import scores as S
 from millwatch.operators import (
-    alerts as I, anomaly as N, cleaning as B, drift as H, equipment as J, evaluation as V, failure as P, features as C, health as G,
+    alerts as I, anomaly as N, cleaning as B, drift as H, ensembles as Z, equipment as J, evaluation as V, failure as P, features as C, forecast as Y, health as G,
     knn as K, learners as Q, metrics as M, registry as R, sessions, stream_rules as D, voting as E,
 )
 from millwatch.plans import storage
@@ -286,16 +286,17 @@ def detectors(spark, d):
 DETECTORS = ["zscore", "limit", "health"]
 
 
-def _votes():
-    return {n: F.col(n) for n in DETECTORS}, {n: F.col(f"{n}_score") for n in DETECTORS}
+def training_rows(df, row_id):
+    """Four rows in five, by a hash of the id: ensembles are fitted on these and score all."""
+    return df.where(V.hash_bucket(F.col(row_id), 5) != 0)
 
 
 @query
 def anomaly_vote(spark, d):
     rows = detectors(spark, d)
-    out = E.anomaly_vote(rows, *_votes(), "majority").withColumnsRenamed(
+    out = Z.AnomalyEnsemble(members=DETECTORS, method="majority").fit(rows).transform(rows).withColumnsRenamed(
         {"ensemble_prediction": "majority_vote", "ensemble_score": "mean_score"})
-    out = E.anomaly_vote(out, *_votes(), "weighted")
+    out = Z.AnomalyEnsemble(members=DETECTORS, method="weighted").fit(training_rows(rows, "reading_id")).transform(out)
     return out.select("reading_id", "majority_vote", r("mean_score").alias("mean_score"),
                       F.col("ensemble_prediction").alias("weighted_vote"), r("ensemble_score").alias("weighted_score"))
 
@@ -384,6 +385,12 @@ def forecast_trend_season(spark, d):
     return f.select("equipment_id", "timestamp", r("yhat", 6).alias("yhat"), r("failure_probability", 6).alias("failure_probability"))
 
 
+@query
+def forecast_history(spark, d):
+    f = Y.fit_forecast(X.plant(spark, d)).predict(30)
+    return f.select("equipment_id", "timestamp", r("yhat", 6).alias("yhat"), r("failure_probability", 6).alias("failure_probability"))
+
+
 # --- health scoring ---------------------------------------------------------------
 
 WIDE_SENSORS = {"value": "vibration", "temperature": "temperature", "load": "pressure", "rpm": "rpm"}
@@ -416,10 +423,12 @@ HEALTH_SCORES = ["sensors", "vibration", "heat"]
 
 @query
 def health_vote(spark, d):
-    p = health_scores(spark, d)
-    scores = {c: F.col(c) for c in HEALTH_SCORES}
-    out = p.withColumns({m: E.health_vote(p, scores, m, F.col("target")) for m in ("average", "weighted", "median")})
-    return out.select(*PLANT_ID, *[r(c, 8).alias(c) for c in ("average", "weighted", "median")])
+    p = health_scores(spark, d).withColumn("row_id", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "equipment_id"))
+    train = training_rows(p, "row_id")
+    for method in ("average", "weighted", "median"):
+        model = Z.HealthEnsemble(members=HEALTH_SCORES, method=method, label="target").fit(train)
+        p = model.transform(p).withColumnRenamed("health_score", method)
+    return p.select(*PLANT_ID, *[r(c, 8).alias(c) for c in ("average", "weighted", "median")])
 
 
 @query

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import pickle
+import threading
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millwatch.operators import stream_rules as D
 from millwatch.operators.alerts import COOLDOWN_SECONDS
+from millwatch.session import ship
 
 ROWS_AT_ONCE = 20_000
 
@@ -39,6 +43,88 @@ def recent_statistics(past: np.ndarray, new: np.ndarray, window: int) -> tuple[n
     return np.concatenate(counts), np.concatenate(means), np.concatenate(spreads)
 
 
+#: The state store that ``transformWithStateInPandas`` needs; it keeps state on disk.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Rows of a key that arrive in more than one part are put aside by slices of so many microseconds.
+SLICE_US = 60_000_000
+
+
+class ZScores(StatefulProcessor):
+    """Per key: the last ``window`` values as a list, rows put aside by time as a map, the last time seen as a value.
+
+    The rows of a key in a micro-batch come in parts of bounded size and in no order. A single part is put in
+    order and scored. Of several, all are put aside by time slice as they come, and the slices are
+    scored one after the other: memory holds a part or a slice, never a key's whole micro-batch.
+    """
+
+    def __init__(self, order: list[str], window: int, threshold: float, min_count: int, cold_start: str, idle_ms: int, ttl_ms: int) -> None:
+        self.order, self.window, self.threshold, self.min_count, self.cold_start = order, window, threshold, min_count, cold_start
+        self.idle_ms, self.ttl_ms = idle_ms, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        lifetime = {"ttlDurationMs": self.ttl_ms} if self.ttl_ms else {}
+        self.values = handle.getListState("values", "value double", **lifetime)
+        self.aside = handle.getMapState("aside", "slice long, part int", "rows binary")
+        if self.idle_ms:
+            self.seen = handle.getValueState("seen", "ms long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        past = np.array([v[0] for v in self.values.get()], dtype="float64")
+        last, first, slices = None, next(rows), {}
+        for part, more in enumerate(rows):
+            if first is not None:
+                self._put(first, -1, slices)
+                first = None
+            self._put(more, part, slices)
+        parts = [first] if first is not None else (self._take(s, slices[s]) for s in sorted(slices))
+        for one in parts:
+            scored, past = self._scored(one.sort_values(self.order, kind="stable"), past)
+            last = scored["timestamp"].iloc[-1]
+            yield scored
+        self.values.put([(float(v),) for v in past])
+        if self.idle_ms:
+            ms = max(int(last.timestamp() * 1000), timerValues.getCurrentWatermarkInMs())
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.seen.update((ms,))
+            self.handle.registerTimer(ms + self.idle_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.seen.exists() and self.seen.get()[0] + self.idle_ms <= expiredTimerInfo.getExpiryTimeInMs():
+            self.values.clear()
+            self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+    def _put(self, rows: pd.DataFrame, part: int, slices: dict[int, list[int]]) -> None:
+        """Rows aside in the state, by slice of their time."""
+        at = rows[self.order[0]].to_numpy().astype("datetime64[us]").astype("int64") // SLICE_US
+        for s in np.unique(at):
+            self.aside.updateValue((int(s), part), (pickle.dumps(rows[at == s]),))
+            slices.setdefault(int(s), []).append(part)
+
+    def _take(self, s: int, parts: list[int]) -> pd.DataFrame:
+        found = []
+        for part in parts:
+            found.append(pickle.loads(self.aside.getValue((s, part))[0]))
+            self.aside.removeKey((s, part))
+        return pd.concat(found)
+
+    def _scored(self, rows: pd.DataFrame, past: np.ndarray) -> tuple[pd.DataFrame, np.ndarray]:
+        values = rows["value"].to_numpy(dtype="float64")
+        n, mean, spread = recent_statistics(past, values, self.window)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            warm = np.where(spread > 0, np.abs(values - mean) / spread, 0.0)
+        early = np.abs(values) if self.cold_start == "unit" else np.zeros(len(values))
+        z = np.where(n >= self.min_count, warm, early)
+        flagged = z > self.threshold
+        scored = rows.assign(z_score=z, is_anomaly=flagged, anomaly_confidence=np.where(flagged, np.minimum(z / self.threshold, 1.0), 0.0))
+        return scored, np.concatenate([past, values])[-self.window:]
+
+
 def stream_zscore(
     df: DataFrame,
     keys: Sequence[str] = D.READING_KEY,
@@ -48,39 +134,25 @@ def stream_zscore(
     min_count: int = D.Z_MIN_COUNT,
     cold_start: str = "unit",
     idle: str | None = None,
+    ttl: str | None = None,
 ) -> DataFrame:
     """``zscore_anomaly`` on a stream: each key keeps its last values as state.
 
     Rows of one key are put in order inside a micro-batch and the state carries across
-    them. ``idle`` (needs a watermark) forgets a key that stays silent that long.
+    them. ``idle`` (needs a watermark) forgets a key that stays silent that long in event time, by a
+    timer; ``ttl`` forgets values that long after they were last written, by the clock. One of them at most.
+    Sets the session's state store to the one that this needs.
     """
-    keys, order = list(keys), list(order)
+    if idle and ttl:
+        raise ValueError("either idle or ttl")
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     shape = T.StructType([*df.schema.fields, T.StructField("z_score", T.DoubleType()),
                           T.StructField("is_anomaly", T.BooleanType()), T.StructField("anomaly_confidence", T.DoubleType())])
-    timeout = GroupStateTimeout.EventTimeTimeout if idle else GroupStateTimeout.NoTimeout
-    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000) if idle else 0
-
-    def score(_key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(parts)).sort_values(order, kind="stable")
-        past = np.array(state.get[0], dtype="float64") if state.exists else np.empty(0)
-        values = rows["value"].to_numpy(dtype="float64")
-        n, mean, spread = recent_statistics(past, values, window)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            warm = np.where(spread > 0, np.abs(values - mean) / spread, 0.0)
-        early = np.abs(values) if cold_start == "unit" else np.zeros(len(values))
-        z = np.where(n >= min_count, warm, early)
-        state.update((np.concatenate([past, values])[-window:].tolist(),))
-        if idle:
-            state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), int(rows["timestamp"].max().timestamp() * 1000)) + idle_ms)
-        flagged = z > threshold
-        yield rows.assign(z_score=z, is_anomaly=flagged,
-                          anomaly_confidence=np.where(flagged, np.minimum(z / threshold, 1.0), 0.0))
-
-    return D.complete(df, keys).groupBy(*keys).applyInPandasWithState(
-        score, shape, "values array<double>", "append", timeout)
+    idle_ms, ttl_ms = (int(pd.Timedelta(t).total_seconds() * 1000) if t else 0 for t in (idle, ttl))
+    processor = ZScores(list(order), window, threshold, min_count, cold_start, idle_ms, ttl_ms)
+    mode = "EventTime" if idle else "ProcessingTime" if ttl else "None"
+    ship(df.sparkSession)
+    return D.complete(df, list(keys)).groupBy(*keys).transformWithStateInPandas(processor, shape, "Append", mode)
 
 
 # --- alert cool-down --------------------------------------------------------------
@@ -118,9 +190,49 @@ def stream_sessions(df: DataFrame, gap: str, keys: Sequence[str] = ("equipment_i
     ).drop("s")
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that came after the watermark and so were left out of the windows."""
-    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+class LateRows(StreamingQueryListener):
+    """Counts rows that came after the watermark and so were left out, of every micro-batch of every query.
+
+    A query only remembers its last hundred micro-batches; this adds up all from the time it is
+    registered, under the query's id, which a restart from the same checkpoint keeps.
+    """
+
+    def __init__(self) -> None:
+        self.totals: Counter[str] = Counter()
+        self.batches: Counter[str] = Counter()
+        self.ended: set[str] = set()
+        self.told = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        with self.told:
+            progress = event.progress
+            self.totals[str(progress.id)] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+            self.batches[str(progress.id)] += 1
+
+    def onQueryTerminated(self, event) -> None:
+        with self.told:
+            self.ended.add(str(event.runId))
+            self.told.notify_all()
+
+    def total(self, query: StreamingQuery, seconds: float = 60.0) -> int:
+        """Late rows of the query so far; of one that has ended, once its last events have come in."""
+        with self.told:
+            if not query.isActive and not self.told.wait_for(lambda: str(query.runId) in self.ended, seconds):
+                raise TimeoutError("the end of the query has not been told")
+            return self.totals[str(query.id)]
+
+
+def count_late_rows(spark: SparkSession) -> LateRows:
+    """Register a counter before queries start; ``spark.streams.removeListener`` takes it off."""
+    counter = LateRows()
+    spark.streams.addListener(counter)
+    return counter
 
 
 # --- the alert job ----------------------------------------------------------------

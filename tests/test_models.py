@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from millwatch import fixtures as X
 from millwatch.operators import anomaly as N, evaluation as V, failure as P, features as C, knn as K, learners as Q
 from millwatch.operators.cleaning import clean
+from millwatch.operators.ensembles import FailureEnsembleModel
+from millwatch.operators.families import load_family
 from millwatch.sources.models import list_models, load_model
 
 FEATURES = [f"f{i}" for i in range(5)]
@@ -140,7 +142,10 @@ def test_failure_family_retrain_and_store(spark, failing, folder):
     scorer = Q.Scorer("failure_rf", "probability", WIDE, load_model(spark, folder, "failure_rf"))
     assert scorer.score(failing).agg(F.min("failure_rf") >= 0, F.max("failure_rf") <= 1).first() == (True, True)
     assert [r["feature"] for r in scorer.importances(spark).limit(2).collect()] in (["x0", "x1"], ["x1", "x0"])
-    scored = Q.FailureModels({"failure_rf": scorer}).score(failing)
+    family = load_family(spark, folder, "failure", 1)
+    assert set(family.models) == {"failure_rf", "failure_gbt"} and sum(family.ensemble.weights.values()) == pytest.approx(1)
+    alone = Q.FailureModels({"failure_rf": scorer}, FailureEnsembleModel({"failure_rf": 1.0})._set(members=["failure_rf"], method="soft"))
+    scored = alone.score(failing)
     one = V.binary_evaluation(scored, "y", "failure_probability").first()
     assert one["auc"] > 0.9 and set(P.maintenance_recommendations(scored).select("urgency").distinct().toPandas()["urgency"]) <= {"high", "medium"}
 
@@ -230,6 +235,16 @@ def test_knn_equals_brute_force(spark, levels):
     assert np.allclose(got[["a", "b", "c"]].to_numpy(), expected, atol=1e-9)
 
 
+def test_a_far_value_fills_no_cell(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, 0, *map(float, rng.normal(size=2))) for i in range(4000)]
+    largest = []
+    for far in ([], [(9999, 0, 1e15, -1e15)]):
+        df = spark.createDataFrame(rows + far, "_id int, _block int, x0 double, x1 double")
+        largest.append(K._placed(df, ["x0", "x1"], 16).groupBy("ix0", "ix1").count().agg(F.max("count")).first()[0])
+    assert largest[0] < 60 and largest[1] <= 1.2 * largest[0]
+
+
 def test_knn_stays_inside_its_block_or_not(spark):
     rows = [(i, "A", 1.0, float(i)) for i in range(6)] + [(i + 10, "B", 1.0, 100.0 + i) for i in range(6)] + [(99, "B", 1.0, None)]
     df = spark.createDataFrame(rows, "id int, equipment_id string, a double, b double")
