@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millwatch.functions.scores import banded
 from millwatch.operators.cleaning import keep_recent, numeric_columns
@@ -53,6 +53,14 @@ def drift_summary(drifts: DataFrame) -> DataFrame:
     ).withColumn("recommendation", recommendation(F.col("has_drift"), F.col("drift_score")))
 
 
+def with_summary(drifts: DataFrame) -> DataFrame:
+    """Each feature's drift beside the overall verdict: a window over as many rows as there are features, so nothing is scanned again."""
+    whole = Window.partitionBy()
+    any_drift, score = F.max("has_drift").over(whole), F.avg("drift").over(whole)
+    return drifts.withColumns({"any_drift": any_drift, "drift_score": score, "max_drift": F.max("drift").over(whole)}).withColumn(
+        "recommendation", recommendation(F.col("any_drift"), F.col("drift_score")))
+
+
 def refresh_reference(reference: DataFrame, new: DataFrame, as_of: str, days: int = REFERENCE_DAYS) -> DataFrame:
     """Append new rows to the reference and keep the recent days of it."""
     return keep_recent(reference.unionByName(new, allowMissingColumns=True), as_of, days)

@@ -73,11 +73,12 @@ def health_history(readings: DataFrame, granularity: str = "day", start: str | N
     Two aggregates of the readings meet on (equipment, period); the rows never join.
     """
     bucket = period_start(F.col("timestamp"), granularity)
+    if end is not None:
+        # Scores look back only: what comes later is left out before they are made.
+        readings = readings.filter(F.col("timestamp") < F.lit(end).cast("timestamp_ntz"))
     scored = zscore_anomaly(readings, hot_rows=hot_rows)
     if start is not None:
         readings, scored = (x.filter(F.col("timestamp") >= F.lit(start).cast("timestamp_ntz")) for x in (readings, scored))
-    if end is not None:
-        readings, scored = (x.filter(F.col("timestamp") < F.lit(end).cast("timestamp_ntz")) for x in (readings, scored))
     health = health_by_window(readings, bucket=bucket).select("equipment_id", "window_start", "overall_health")
     anomalies = scored.groupBy("equipment_id", bucket.alias("window_start")).agg(
         F.sum(F.col("is_anomaly").cast("long")).alias("anomalies"))

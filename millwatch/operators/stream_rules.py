@@ -206,6 +206,12 @@ def critical_health_alerts(df: DataFrame, limit: float = 0.2) -> DataFrame:
         "message", alert_message("critical_health"))
 
 
+def fixed_threshold_alerts(df: DataFrame, threshold: float = 0.8, confidence: float = 0.8) -> DataFrame:
+    """An alert for each reading above the fixed value, with the message to send."""
+    return fixed_threshold_anomaly(df, threshold, confidence).withColumn("health_score", F.lit(None).cast("double")).withColumn(
+        "message", alert_message("anomaly_detected"))
+
+
 def anomaly_runs(
     df: DataFrame,
     min_length: int = 3,

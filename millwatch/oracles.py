@@ -99,6 +99,11 @@ ORACLES["fixed_threshold_anomaly"] = f"""WITH {READINGS}
 SELECT sensor_type, count(*) AS anomalies_detected, 0.8::DOUBLE AS confidence, min(value) AS lowest, max(value) AS highest
 FROM readings WHERE value > 0.8 GROUP BY sensor_type"""
 
+ORACLES["fixed_threshold_alerts"] = f"""WITH {READINGS}
+SELECT reading_id, 1 AS is_anomaly, 0.8::DOUBLE AS anomaly_confidence, 'anomaly_detected' AS alert_type, equipment_id AS message_equipment,
+  sensor_type AS message_sensor, strftime("timestamp", '%Y-%m-%dT%H:%M:%S') AS message_time, round(value, 6) AS message_value, 0::DOUBLE AS message_score
+FROM readings WHERE value > 0.8"""
+
 ORACLES["critical_health_alerts"] = f"""WITH {READINGS}, h AS (SELECT *, {single_health()} AS s FROM readings)
 SELECT reading_id, equipment_id, {status('s')} AS health_status, {urgency('s')} AS maintenance_urgency,
   'critical_health' AS alert_type, equipment_id AS message_equipment,

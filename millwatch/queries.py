@@ -86,6 +86,15 @@ def fixed_threshold_anomaly(spark, d):
         F.min("value").alias("lowest"), F.max("value").alias("highest"))
 
 
+@query
+def fixed_threshold_alerts(spark, d):
+    a = D.fixed_threshold_alerts(X.readings(spark, d))
+    told = lambda name: F.get_json_object("message", f"$.{name}")
+    return a.select("reading_id", flag("is_anomaly").alias("is_anomaly"), "anomaly_confidence", told("alert_type").alias("alert_type"),
+                    told("equipment_id").alias("message_equipment"), told("sensor_type").alias("message_sensor"), told("timestamp").alias("message_time"),
+                    r(told("value").cast("double"), 6).alias("message_value"), told("health_score").cast("double").alias("message_score"))
+
+
 @query
 def critical_health_alerts(spark, d):
     a = D.critical_health_alerts(X.readings(spark, d))
@@ -462,11 +471,8 @@ def drift_report(spark, d):
     split = F.lit(X.DRIFT_SPLIT).cast("timestamp_ntz")
     moved = p.filter(F.col("timestamp") >= split).withColumn("temperature", F.col("temperature") + 10)
     drifts = H.feature_drift(p.filter(F.col("timestamp") < split), moved, MEASURES)
-    whole = H.drift_summary(drifts).select(F.struct("*").alias("q")).scalar()
-    out = drifts.withColumn("_q", whole)
-    return out.select("feature", r("drift", 6).alias("drift"), flag("has_drift").alias("has_drift"),
-                      r("_q.drift_score", 6).alias("drift_score"), r("_q.max_drift", 6).alias("max_drift"),
-                      F.col("_q.recommendation").alias("recommendation"))
+    return H.with_summary(drifts).select("feature", r("drift", 6).alias("drift"), flag("has_drift").alias("has_drift"),
+                                         r("drift_score", 6).alias("drift_score"), r("max_drift", 6).alias("max_drift"), "recommendation")
 
 
 @query

@@ -67,16 +67,21 @@ def list_objects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def object_summary(spark: SparkSession, path: str) -> DataFrame:
-    """Objects, bytes, last change and the date range told by the keys."""
+    """Objects, bytes, last change, and the date range and equipment told by the keys.
+
+    A key tells an equipment as ``equipment_<id>_`` or ``equipment_id=<id>/``; ids are sorted, one for each machine.
+    """
     def part(name: str) -> Column:
         return F.expr("try_cast(regexp_extract(key, '%s=([0-9]+)', 1) AS INT)" % name)
 
     date = F.make_date("y", "m", "d")
+    told = F.regexp_extract("key", "equipment_(?:id=([^/]+)|([^_/.]+))", 0)
+    equipment = F.nullif(F.regexp_replace(told, "^equipment_(id=)?", ""), F.lit(""))
     dated = list_objects(spark, path).withColumns({"y": part("year"), "m": part("month"), "d": part("day")})
     return dated.agg(
         F.count(F.lit(1)).alias("total_objects"), F.sum("size").alias("total_size_bytes"),
         (F.sum("size") / (1024 * 1024)).alias("total_size_mb"), F.max("last_modified").alias("last_modified"),
-        F.min(date).alias("start_date"), F.max(date).alias("end_date"))
+        F.min(date).alias("start_date"), F.max(date).alias("end_date"), F.array_sort(F.collect_set(equipment)).alias("equipment_ids"))
 
 
 def data_summary(df: DataFrame, payload: Column) -> DataFrame:

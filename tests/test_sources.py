@@ -94,6 +94,14 @@ def test_lake_reads_only_the_days_asked_for(spark, sf, folder):
     assert found["total_objects"] == L.list_objects(spark, raw).count() and found["total_size_bytes"] > 0
 
 
+def test_objects_tell_their_equipment(spark, tmp_path):
+    for key in ("year=2024/month=01/day=02/equipment_A7_0001.json", "x/equipment_B_9.json", "x/equipment_id=C-1/part-0", "x/equipment_A7_0002.json", "x/other.json"):
+        (tmp_path / key).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / key).write_text("{}")
+    found = L.object_summary(spark, str(tmp_path)).first()
+    assert found["equipment_ids"] == ["A7", "B", "C-1"] and found["total_objects"] == 5 and str(found["start_date"]) == "2024-01-02"
+
+
 def test_processed_data_by_type(spark, sf, folder):
     path = L.store_processed(X.readings(spark, sf), folder, "cleaned")
     L.store_processed(X.readings(spark, sf).limit(5), folder, "features")

@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import json
+import os
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from compare import differences
 from pyspark.sql import functions as F
@@ -51,6 +57,117 @@ def test_zscore_across_batches_and_a_restart(spark, sf, folder, days):
     assert differences(rounded(out, "z_score", "anomaly_confidence"), rounded(batch, "z_score", "anomaly_confidence")) == ""
 
 
+def test_zscore_of_a_key_in_many_parts(spark, sf, folder, days):
+    path, rows = days
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        one = T.stream_zscore(spark.readStream.schema(rows.schema).parquet(path), ttl="2 days")
+        out = run(spark, one, folder, "parts")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    batch = D.zscore_anomaly(rows)
+    assert differences(rounded(out, "z_score", "anomaly_confidence"), rounded(batch, "z_score", "anomaly_confidence")) == ""
+
+
+class _State(dict):
+    """What a processor asks of a state, kept in memory."""
+
+    def get(self, *_):
+        return iter(self["list"]) if "list" in self else self["one"]
+
+    def put(self, rows):
+        self["list"] = rows
+
+    def update(self, one):
+        self["one"] = one
+
+    def exists(self):
+        return "one" in self
+
+    def updateValue(self, key, value):
+        self["most"] = max(self["most"], len(value[0])) if "most" in self else len(value[0])
+        self[key] = value
+
+    def getValue(self, key):
+        return self[key]
+
+    def removeKey(self, key):
+        del self[key]
+
+
+class _Handle:
+    def __init__(self):
+        self.timers, self.states = [], {}
+
+    def state(self, name, *_, **given):
+        return self.states.setdefault(name, _State({"list": []} if name == "values" else {}))
+
+    getListState = getMapState = getValueState = state
+
+    def listTimers(self):
+        return self.timers
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class _Times:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def test_parts_are_put_aside_by_time_and_forgotten_when_idle():
+    rng = np.random.default_rng(3)
+    at = pd.Timestamp("2024-01-01") + pd.to_timedelta(rng.permutation(3000), unit="s")
+    rows = pd.DataFrame({"timestamp": at, "reading_id": range(3000), "value": rng.normal(size=3000)})
+    made = []
+    for size in (3000, 100):
+        job, handle = T.ZScores(["timestamp", "reading_id"], 20, 2.0, 10, "unit", 60_000, 0), _Handle()
+        job.init(handle)
+        parts = [rows.iloc[i:i + size] for i in range(0, 3000, size)]
+        out = list(job.handleInputRows(("a",), iter(parts), _Times(0)))
+        assert len(out) == (1 if size == 3000 else 50)  # one for each slice of a minute
+        made.append(pd.concat(out).reset_index(drop=True))
+        aside = handle.states["aside"]
+        assert not [k for k in aside if isinstance(k, tuple)]  # nothing is left aside
+        last = int(at.max().timestamp() * 1000)
+        assert handle.timers == [last + 60_000] and len(handle.states["values"]["list"]) == 20
+    pd.testing.assert_frame_equal(*made)
+    assert list(job.handleExpiredTimer(("a",), None, _Times(last + 59_999))) == [] and "one" in handle.states["seen"]
+    job.handleExpiredTimer(("a",), None, _Times(last + 60_000))
+    assert "one" not in handle.states["seen"] and "list" not in handle.states["values"]
+    with pytest.raises(ValueError):
+        T.stream_zscore(None, idle="1 hour", ttl="1 hour")
+
+
+def test_late_rows_of_more_micro_batches_than_a_query_remembers(spark, tmp_path):
+    """Each file but the first brings one row in time and one far too late."""
+    counter = T.count_late_rows(spark)
+    (tmp_path / "in").mkdir()
+    files = 110
+    for i in range(files):
+        times = [dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)] + ([dt.datetime(2023, 1, 1)] if i > 1 else [])
+        path = tmp_path / "in" / f"{i:04}.parquet"
+        pq.write_table(pa.table({"timestamp": pa.array(times, pa.timestamp("us", "UTC")), "equipment_id": ["a"] * len(times), "value": [1.0] * len(times)}), path)
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    try:
+        source = spark.readStream.schema("timestamp timestamp, equipment_id string, value double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        counts = source.withWatermark("timestamp", "1 hour").groupBy(F.window("timestamp", "1 hour")).count()
+        query = T.await_done(T.to_parquet(counts, str(tmp_path / "out"), str(tmp_path / "c")))
+        assert counter.total(query) == files - 2 and counter.batches[str(query.id)] >= files
+        assert len(query.recentProgress) <= 100
+    finally:
+        spark.streams.removeListener(counter)
+
+
 def test_alert_job_equals_batch(spark, folder, days):
     path, rows = days
     T.await_done(T.alert_job(stream(spark, path, rows.schema), f"{folder}/alerts", f"{folder}/c"))
@@ -73,13 +190,15 @@ def test_windows_with_late_rows(spark, sf, folder):
     for i, low in enumerate((1, 15, 3)):  # the third file comes far too late
         rows.filter(F.dayofmonth("timestamp").between(low, low + 1)).coalesce(1).write.mode("append").parquet(f"{folder}/in{i}")
     source, total = f"{folder}/all", 0
+    counter = T.count_late_rows(spark)
     query_rows = None
     for i in range(3):
         spark.read.parquet(f"{folder}/in{i}").coalesce(1).write.mode("append").parquet(source)
         stats = D.window_stats(T.with_event_time(stream(spark, source, rows.schema), "1 day"), "6 hours")
         query = T.await_done(T.to_parquet(stats, f"{folder}/w", f"{folder}/wc"))
-        total += T.late_rows(query)
+        total += counter.total(query) - total
         query_rows = stats.schema
+    spark.streams.removeListener(counter)
     late = rows.filter(F.dayofmonth("timestamp").between(3, 4)).count()
     assert total >= 1 and late >= total
     out = spark.read.schema(query_rows).parquet(f"{folder}/w")
