@@ -102,8 +102,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 11) -
 
     Each source's documents are put on a line in seeded-shuffled order and cut into blocks of
     ``BLOCK`` words, across document ends; ``schedule`` deals the blocks. Returns doc_id, size,
-    source_size, target, taken and ``ord``, ``start`` (the document's place: its source's number and
-    the words ahead of it).
+    source_size, target, taken, ``ord``, ``start`` (the document's place: its source's number and
+    the words ahead of it) and ``first_slot``, ``slot_offset``: the first slot of the schedule that takes words of
+    it and the word of the slot's block at which it begins there, -1 where none does. Sorted by these two, documents
+    come in the order of the mix.
 
     Nulls: a null source is a source of its own, last; a null text has no words. Documents
     without words are never taken. Ids that tie are ordered by id and size, and rows that still tie
@@ -119,26 +121,31 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 11) -
     whole = F.least(F.lit(BLOCK).cast("long"), F.col("source_size") - F.col("block") * BLOCK)
     blocks = (schedule(sources).join(sources.select("ord", "source_size"), "ord").groupBy("ord", "block")
               .agg(F.count(F.when(F.col("words") == whole, 1)).alias("times"),
-                   F.coalesce(F.max(F.when(F.col("words") < whole, F.col("words"))), F.lit(0)).alias("cut")))
+                   F.min(F.when(F.col("words") == whole, F.col("slot"))).alias("whole_slot"),
+                   F.coalesce(F.max(F.when(F.col("words") < whole, F.col("words"))), F.lit(0)).alias("cut"),
+                   F.min(F.when(F.col("words") < whole, F.col("slot"))).alias("cut_slot")))
     pieces = (placed.where("size > 0")
               .withColumn("block", F.explode(F.sequence(F.expr(f"start div {BLOCK}"), F.expr(f"(start + size - 1) div {BLOCK}"))))
               .withColumn("since", F.greatest(F.col("start") - F.col("block") * BLOCK, F.lit(0)))
               .withColumn("upto", F.least(F.col("start") + F.col("size") - F.col("block") * BLOCK, F.lit(BLOCK))))
     took = F.col("times") * (F.col("upto") - F.col("since")) + F.greatest(F.least("upto", "cut") - F.col("since"), F.lit(0))
-    taken = pieces.join(blocks, ["ord", "block"]).groupBy("ord", "start").agg(F.sum(took).alias("taken"))
+    slot = F.least("whole_slot", F.when(F.col("since") < F.col("cut"), F.col("cut_slot")))
+    taken = pieces.join(blocks, ["ord", "block"]).groupBy("ord", "start").agg(F.sum(took).alias("taken"), F.min(slot * BLOCK + F.col("since")).alias("first"))
     # Words ahead of it name a document with words: no other in its source has the same.
     found = placed.where("size > 0").join(taken, ["ord", "start"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
-    return found.unionByName(placed.where("size = 0").withColumn("taken", F.lit(0))).select(
-        "doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "ord", "start")
+    none = placed.where("size = 0").withColumn("taken", F.lit(0)).withColumn("first", F.lit(None).cast("long"))
+    return found.unionByName(none).select(
+        "doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "ord", "start",
+        F.coalesce(F.expr(f"first div {BLOCK}"), F.lit(-1)).cast("long").alias("first_slot"), F.coalesce(F.expr(f"first % {BLOCK}"), F.lit(-1)).cast("long").alias("slot_offset"))
 
 
 def op7_mixing(spark, sf_dir):
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "first_slot", "slot_offset")
 
 
 # The same rules for SQL. What a document gets is counted from its source's line directly: each full pass takes it once, the last
-# one up to its cut.
-OP7_SQL = """
+# one up to its cut. Its first slot comes from the schedule, point by point.
+OP7_SQL = f"""
 WITH rows AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
          md5('11:' || coalesce(doc_id::VARCHAR, 'null')) AS key
@@ -152,10 +159,29 @@ s4 AS (SELECT *, ((total - (sum(cap) OVER (ORDER BY ratio, ord ROWS UNBOUNDED PR
 k AS (SELECT ratio AS at_ratio, ord AS at_ord, level AS at_level FROM s4 WHERE level <= ratio ORDER BY ratio, ord LIMIT 1),
 s5 AS (SELECT *, CASE WHEN ratio < at_ratio OR (ratio = at_ratio AND ord < at_ord) THEN cap::DOUBLE
                       ELSE least(at_level * weight, cap::DOUBLE) END AS target FROM s4, k),
-s6 AS (SELECT source, source_size, target, least(floor(target + 0.5)::BIGINT, cap) AS quota FROM s5),
-placed AS (SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING))::BIGINT - size AS start FROM rows)
+s6 AS (SELECT source, ord, source_size, target, least(floor(target + 0.5)::BIGINT, cap) AS quota, (source_size + {BLOCK - 1}) // {BLOCK} AS blocks FROM s5),
+s7 AS (SELECT *, CASE WHEN quota > 0 THEN (quota // source_size) * blocks + (quota % source_size + {BLOCK - 1}) // {BLOCK} ELSE 0 END::BIGINT AS slots FROM s6),
+spans AS (SELECT ord, (sum(slots) OVER (ORDER BY ord))::BIGINT - slots AS since, (sum(slots) OVER (ORDER BY ord))::BIGINT AS upto, (sum(slots) OVER ())::BIGINT AS n FROM s7),
+points AS (SELECT i AS slot, n, ((i + 1) // {2 ** 20})::DOUBLE * {PHI_20!r}::DOUBLE + ((i + 1) % {2 ** 20})::DOUBLE * {PHI!r}::DOUBLE AS x
+           FROM (SELECT max(n) AS n FROM spans) t, LATERAL (SELECT unnest(range(n)) AS i)),
+drawn AS (SELECT slot, ord, row_number() OVER (PARTITION BY ord ORDER BY slot) - 1 AS rank
+          FROM points p JOIN spans s ON least((x - floor(x)) * p.n, p.n - 0.5::DOUBLE) >= since AND least((x - floor(x)) * p.n, p.n - 0.5::DOUBLE) < upto),
+got AS (SELECT ord, slots, n, count(slot) AS got FROM s7 JOIN spans USING (ord) LEFT JOIN drawn USING (ord) GROUP BY ord, slots, n),
+slotted AS (
+  SELECT slot, ord, rank FROM drawn
+  UNION ALL SELECT n + k, ord, got + k FROM got, LATERAL (SELECT unnest(range(slots - got)) AS k) WHERE got < slots),
+dealt AS (
+  SELECT slot, ord, rank % blocks AS block, source_size,
+         least({BLOCK}, source_size - (rank % blocks) * {BLOCK}, quota - (rank // blocks) * source_size - (rank % blocks) * {BLOCK}) AS words
+  FROM slotted JOIN s7 USING (ord) WHERE rank < slots),
+placed AS (SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING))::BIGINT - size AS start FROM rows),
+pieces AS (
+  SELECT ord, start, b AS block, greatest(start - b * {BLOCK}, 0) AS since
+  FROM placed p JOIN s7 ON p.source IS NOT DISTINCT FROM s7.source, LATERAL (SELECT unnest(range(start // {BLOCK}, (start + size - 1) // {BLOCK} + 1)) AS b) WHERE size > 0),
+firsts AS (SELECT ord, start, min(slot * {BLOCK} + since) AS first FROM pieces JOIN dealt USING (ord, block) WHERE since < words GROUP BY ord, start)
 SELECT p.doc_id, p.size, s.source_size, round(s.target, 6) AS target,
        (CASE WHEN s.source_size = 0 THEN 0 ELSE (s.quota // s.source_size) * p.size
-        + greatest(least(p.start + p.size, s.quota % s.source_size) - p.start, 0) END)::BIGINT AS taken
-FROM placed p JOIN s6 s ON p.source IS NOT DISTINCT FROM s.source
+        + greatest(least(p.start + p.size, s.quota % s.source_size) - p.start, 0) END)::BIGINT AS taken,
+       coalesce(CASE WHEN p.size > 0 THEN first // {BLOCK} END, -1)::BIGINT AS first_slot, coalesce(CASE WHEN p.size > 0 THEN first % {BLOCK} END, -1)::BIGINT AS slot_offset
+FROM placed p JOIN s7 s ON p.source IS NOT DISTINCT FROM s.source LEFT JOIN firsts f ON f.ord = s.ord AND f.start = p.start
 """
