@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from millwatch.llm.common import table
+from millwatch.llm.hashes import mix
 from millwatch.plans.storage import written
 from millwatch.session import ship
 
@@ -37,6 +38,11 @@ def _matrix(values: pd.Series, width: int) -> np.ndarray:
     return out
 
 
+def _dealt(ids: pd.Series, n: int) -> np.ndarray:
+    """A chunk for each id, by its hash: ids of queries may have any pattern."""
+    return (mix(ids.to_numpy().astype("int64").view("uint64")) % np.uint64(n)).astype("int64")
+
+
 def _cells(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     """Each vector with its nearest pivot and the distance to it."""
     width = pivots.shape[1]
@@ -141,7 +147,7 @@ def top_k(df: DataFrame, is_query: str, k: int = 5, id_column: str = "vec_id", v
             for g in range(n_groups):
                 near = part[part.dist.to_numpy() >= need[g, part.cell.to_numpy()]]
                 for q in range(q_chunks[g]) if len(near) else ():
-                    yield pd.DataFrame({"grp": g, "chunk": near.vec_id % chunks[g], "q_chunk": q, "vec_id": near.vec_id, "v": near.v})
+                    yield pd.DataFrame({"grp": g, "chunk": _dealt(near.vec_id, chunks[g]), "q_chunk": q, "vec_id": near.vec_id, "v": near.v})
 
     def ask(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Queries to all chunks of their group."""
@@ -150,7 +156,7 @@ def top_k(df: DataFrame, is_query: str, k: int = 5, id_column: str = "vec_id", v
             for g in np.unique(home):
                 mine = part[home == g]
                 for c in range(chunks[g]):
-                    yield pd.DataFrame({"grp": g, "chunk": c, "q_chunk": mine.vec_id % q_chunks[g], "vec_id": mine.vec_id, "v": mine.v})
+                    yield pd.DataFrame({"grp": g, "chunk": c, "q_chunk": _dealt(mine.vec_id, q_chunks[g]), "vec_id": mine.vec_id, "v": mine.v})
 
     sent = "grp int, chunk long, q_chunk long, vec_id long, v array<long>"
     data = placed.select("vec_id", "v", "cell", "dist").mapInPandas(send, sent)
