@@ -23,6 +23,8 @@ from millwatch.session import ship
 ARCHIVE_BYTES = 1 << 30
 #: Neighbouring ranges are read at once if no more than ``GAP`` bytes lie between them, up to ``RUN`` bytes.
 GAP, RUN = 1 << 16, 1 << 23
+#: Bytes of an archive that one task reads at least.
+STRETCH = 1 << 23
 #: Copies of each repeated digest's first id, so that a hot digest meets it in many tasks.
 SALTS = 32
 #: The profile of revisits whose payload is the same: a fixed value of the format.
@@ -128,7 +130,8 @@ def ranges(offsets: list[int], lengths: list[int]) -> list[tuple[int, int, int,
 def read(index: DataFrame, folder: str) -> DataFrame:
     """Read the records that ``index`` selects, each by its byte range.
 
-    Ranges are sorted by file and offset and spread over tasks; neighbours are read in one go.
+    Records are dealt to tasks by stretches of ``STRETCH`` bytes of a file, as many tasks as the records
+    have such stretches, and sorted by offset; neighbours are read in one go.
     Returns page_id, url, record_type, payload (null for revisits), payload_bytes, payload_digest and
     refers_to, all from the archives; a response whose payload does not match its digest raises.
     """
@@ -145,7 +148,10 @@ def read(index: DataFrame, folder: str) -> DataFrame:
                                            columns=["page_id", "url", "record_type", "payload", "payload_bytes", "payload_digest", "refers_to"]).astype(
                                                {"page_id": "Int64", "refers_to": "Int64"})
 
-    wanted = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    size = index.agg(F.sum("length")).first()[0] or 0
+    stretch = F.expr(f"offset div {STRETCH}")
+    wanted = (index.select("file", "offset", "length").repartition(max(1, -(-size // STRETCH)), "file", stretch)
+              .sortWithinPartitions("file", "offset"))
     return wanted.mapInPandas(get, "page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long")
 
 
