@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millwatch.llm.common import table
 from millwatch.llm.components import components
@@ -21,12 +21,14 @@ from millwatch.session import ship
 LIGHT_LIMIT = 32
 #: Share of sets of a class that may have so many empty blocks that these have to be keys too.
 EMPTY_SHARE = 1e-6
-#: Bits of the filter that tells which sets are candidates: 2 MB, whatever the input.
+#: Bits of the filter that tells from which documents sets are wanted: 2 MB, whatever the input.
 FILTER_BITS = 24
 #: Sets that one block of a key's list holds; blocks are compared in one task.
 BLOCK = 2048
 #: Bits of a parity sketch: a power of two near the set's size, between these. It only rules pairs out, at any width.
 SKETCH_BITS = (512, 1 << 14)
+#: Ids that two sets may share, far more than chance gives.
+MAX_CLASHES = 1000
 #: Copies of a component's smallest id, so that a hot component meets it in many tasks.
 SALTS = 16
 
@@ -165,10 +167,10 @@ class Keys:
             return items, np.zeros(0, bool)
         spread = _mix(items + np.uint64(0x632BE59BD9B4E019))
         if n <= scheme.light:
-            total = spread.sum()
+            total = spread.sum(keepdims=True)
             for b in range(n, min(scheme.partners(n), scheme.light) + 1):
                 drop = n - -(-b * scheme.percent // 100)
-                sums = np.array([total - spread[list(c)].sum() for c in itertools.combinations(range(n), drop)], "uint64") if drop else np.array([total], "uint64")
+                sums = total - np.array([spread[list(c)].sum() for c in itertools.combinations(range(n), drop)], "uint64")
                 add(_mix(sums + _mix(np.array([b], "uint64"))), b == n)
         if n > scheme.light or scheme.partners(n) > scheme.light:
             for at_class, (low, blocks, spare, rare) in enumerate(self._class(n)):
@@ -205,34 +207,71 @@ def _folded(sketches: list[bytes]) -> np.ndarray:
     return rows.view("uint64")
 
 
-def _sets(docs: DataFrame, width: int, emit, schema: str) -> DataFrame:
-    """Run ``emit`` over the sets of all texts; it gives columns for a list of (doc_id, id, check, items)."""
+def _sets(docs: DataFrame, width: int, emit, schema: str, renamed: frozenset[int] = frozenset(), wanted: bytes | None = None) -> DataFrame:
+    """Run ``emit`` over the sets of all texts; it gives columns for a list of (doc_id, id, check, items).
+
+    The id of a set is half of its digest, for ids in ``renamed`` the other half. ``wanted`` is a filter
+    of documents (see ``_filter``): texts that it rules out are not looked at.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {}
         for whole in batches:
+            if wanted is not None:
+                spot = whole.column("spot").to_numpy()
+                whole = whole.filter(pa.array((np.frombuffer(wanted, "uint8")[spot >> 3] >> (spot & 7) & 1).astype(bool)))
             for at in range(0, whole.num_rows, 128):
                 batch = whole.slice(at, 128)
                 rows = []
                 for doc_id, items in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text").to_pylist(), width)):
                     digest = hashlib.blake2b(items.tobytes(), digest_size=16).digest()
-                    rows.append((doc_id, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), items))
+                    first, second = (int.from_bytes(digest[half:half + 8], "little", signed=True) for half in (0, 8))
+                    rows.append((doc_id, second if first in renamed else first, second, items))
                 yield emit(rows, state)
 
     ship(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _spot(F.col("doc_id")).alias("spot")).mapInArrow(run, schema)
+
+
+def _spot(doc_id: Column) -> Column:
+    """Place of a document in the filter."""
+    return F.shiftrightunsigned(F.xxhash64(doc_id.cast("long")), 64 - FILTER_BITS)
+
+
+def _filter(doc_ids: DataFrame) -> bytes:
+    """A bit for each hash prefix of the given doc_ids: of fixed size, so that it only spares work and never decides."""
+    bits = np.zeros(1 << (FILTER_BITS - 3), "uint8")
+    # One row for each of at most 2**FILTER_BITS / 32 words.
+    masks = doc_ids.select(_spot(F.col("doc_id")).alias("spot")).groupBy(F.expr("spot div 32").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(spot % 32 as int)))").alias("mask"))
+    for at, mask in masks.toPandas().itertuples(index=False):
+        bits[at * 4:at * 4 + 4] = np.frombuffer(np.uint32(mask).tobytes(), "uint8")
+    return bits.tobytes()
 
 
-def _figures(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles and the id of the set. Two different sets under one id, a chance of one in 2**64 a pair, are an error."""
+def _figures(docs: DataFrame, width: int) -> tuple[DataFrame, frozenset[int]]:
+    """doc_id, n_shingles, id and sketch of every set, and the ids to rename.
+
+    An id has 64 bits. Where two different sets share one, a handful among tens of billions of sets, both are
+    named by the other half of their digests; should that clash again, it is an error.
+    """
     def emit(rows, _):
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([len(r[3]) for r in rows], pa.int64()),
-                                           pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())],
-                                          names=["doc_id", "n_shingles", "id", "check"])
+                                           pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()),
+                                           pa.array([sketch(r[3]).tobytes() for r in rows], pa.binary())],
+                                          names=["doc_id", "n_shingles", "id", "check", "sketch"])
 
-    return written(_sets(docs, width, emit, "doc_id long, n_shingles long, id long, check long"), "jaccard-docs")
+    def clashes(df: DataFrame) -> list:
+        return df.groupBy("id").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low < high").limit(MAX_CLASHES + 1).collect()
 
+    figures = written(_sets(docs, width, emit, "doc_id long, n_shingles long, id long, check long, sketch binary"), "jaccard-docs")
+    renamed = frozenset(r["id"] for r in clashes(figures))
+    if renamed:
+        figures = figures.withColumn("id", F.when(F.col("id").isin([*renamed]), F.col("check")).otherwise(F.col("id")))
+        if len(renamed) > MAX_CLASHES or clashes(figures):
+            raise ArithmeticError("two sets share an id")
+    return figures, renamed
 
-def _postings(docs: DataFrame, width: int, scheme: Scheme) -> DataFrame:
+
+def _postings(docs: DataFrame, width: int, scheme: Scheme, renamed: frozenset[int]) -> DataFrame:
     """Keys and set ids, of keys that two different sets share, one of them in its own class: one shuffle of all keys, sorted, most of them dropped there."""
     def emit(rows, state):
         keys, seen = state.setdefault("keys", Keys(scheme)), state.setdefault("seen", set())
@@ -243,7 +282,7 @@ def _postings(docs: DataFrame, width: int, scheme: Scheme) -> DataFrame:
         ids = np.repeat(np.array([i for i, _ in fresh], "int64"), [len(k) for k, _ in found])
         return pa.RecordBatch.from_arrays([pa.array(flat), pa.array(ids), pa.array(own)], names=["key", "id", "own"])
 
-    postings = _sets(docs, width, emit, "key long, id long, own boolean")
+    postings = _sets(docs, width, emit, "key long, id long, own boolean", renamed)
     order = W.partitionBy("key").orderBy(F.desc("own"), "id")
     other = lambda c: c.isNotNull() & (c != F.col("id"))
     shared = (postings.withColumn("before", F.lag("id").over(order)).withColumn("after", F.lead("id").over(order)).withColumn("met", F.first("own").over(order))
@@ -251,46 +290,55 @@ def _postings(docs: DataFrame, width: int, scheme: Scheme) -> DataFrame:
     return written(shared, "jaccard-postings")
 
 
-def _items(docs: DataFrame, width: int, ids: DataFrame) -> DataFrame:
-    """The sets of the given ids, with sizes and sketches. A bit for each id's prefix keeps most other sets from being moved."""
-    word = F.shiftrightunsigned("id", 64 - FILTER_BITS)
-    bits = np.zeros(1 << (FILTER_BITS - 3), "uint8")
-    # One row for each of at most 2**FILTER_BITS / 32 words.
-    masks = ids.withColumn("word", word).groupBy(F.expr("word div 32").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(word % 32 as int)))").alias("mask"))
-    for at, mask in masks.toPandas().itertuples(index=False):
-        bits[at * 4:at * 4 + 4] |= np.frombuffer(np.uint32(mask).tobytes(), "uint8")
+def _linked(pairs: DataFrame, docs: DataFrame, figures: DataFrame, width: int, percent: int, renamed: frozenset[int]) -> DataFrame:
+    """Those of the pairs (a, b) whose sets reach the threshold, counted exactly. Only the sets of these pairs are made, from one document each."""
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-ids")
+    places = _filter(figures.join(ids, "id", "left_semi").groupBy("id").agg(F.min("doc_id").alias("doc_id")))
 
     def emit(rows, state):
         seen = state.setdefault("seen", set())
-        kept = []
-        for _, id_, _, items in rows:
-            spot = (id_ & 0xFFFFFFFFFFFFFFFF) >> (64 - FILTER_BITS)
-            if bits[spot >> 3] >> (spot & 7) & 1 and id_ not in seen:
-                seen.add(id_)
-                kept.append((id_, items))
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1].view("int64") for k in kept], pa.list_(pa.int64())),
-                                           pa.array([len(k[1]) for k in kept], pa.int64()), pa.array([sketch(k[1]).tobytes() for k in kept], pa.binary())],
-                                          names=["id", "items", "size", "sketch"])
-
-    found = _sets(docs, width, emit, "id long, items array<long>, size long, sketch binary")
-    return written(found.join(ids, "id", "left_semi").dropDuplicates(["id"]), "jaccard-sets")
-
-
-def _linked(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets reach the threshold, counted exactly."""
+        kept = [r for r in rows if r[1] not in seen and not seen.add(r[1])]
+        return pa.RecordBatch.from_arrays([pa.array([r[1] for r in kept], pa.int64()), pa.array([r[3].view("int64") for r in kept], pa.list_(pa.int64()))], names=["id", "items"])
+
+    found = _sets(docs, width, emit, "id long, items array<long>", renamed, places)
+    items = written(found.join(ids, "id", "left_semi").dropDuplicates(["id"]), "jaccard-sets")
     left, right = items.select(F.col("id").alias("a"), F.col("items").alias("x")), items.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    small, large = F.least(F.size("x"), F.size("y")), F.greatest(F.size("x"), F.size("y"))
     common = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(left, "a").join(right, "b").where(small * 100 >= large * percent)
-            .withColumn("common", common).where(F.col("common") * 100 >= (F.size("x") + F.size("y") - F.col("common")) * percent).select("a", "b"))
+    return (pairs.join(left, "a").join(right, "b").withColumn("common", common)
+            .where(F.col("common") * 100 >= (F.size("x") + F.size("y") - F.col("common")) * percent).select("a", "b"))
 
 
 def _chains(postings: DataFrame) -> DataFrame:
-    """Under each key, neighbours in orders that put alike sets side by side: as many pairs as postings, not their square."""
+    """Under each key, neighbours in orders that put alike sets side by side: as many pairs as postings, not their square.
+
+    A key of more than ``BLOCK`` sets is cut into slices by their marks, so that sets with equal marks stay neighbours.
+    """
     marks = postings.groupBy("id").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-    marked = postings.join(marks, "id")
-    pairs = [marked.select(F.lag("id").over(W.partitionBy("key").orderBy(by, "id")).alias("a"), F.col("id").alias("b")) for by in ("low", "high")]
-    return pairs[0].unionByName(pairs[1]).where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    slices = postings.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("slices"))
+    marked = postings.join(marks, "id").join(slices, "key")
+
+    def neighbours(by: str) -> DataFrame:
+        dealt = marked.withColumn("slice", F.pmod(F.xxhash64(by), F.col("slices")))
+        return dealt.select(F.lag("id").over(W.partitionBy("key", "slice").orderBy(by, "id")).alias("a"), F.col("id").alias("b"))
+
+    pairs = neighbours("low").unionByName(neighbours("high")).where("a is not null")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs that sizes and sketches do not rule out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            far = np.array([np.bitwise_count(np.bitwise_xor(*_folded([x, y]))).sum(dtype="int64") for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())], "int64")
+            total = batch.column("m").to_numpy() + batch.column("n").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array(far * (100 + percent) <= (100 - percent) * total))
+
+    side = lambda id_, size, sketch_: sketches.select(F.col("id").alias(id_), F.col("size").alias(size), F.col("sketch").alias(sketch_))
+    sized = (pairs.join(side("a", "m", "x").drop("x"), "a").join(side("b", "n", "y").drop("y"), "b")
+             .where(F.least("m", "n") * 100 >= F.greatest("m", "n") * percent))
+    ship(pairs.sparkSession)
+    return (sized.join(side("a", "m", "x").drop("m"), "a").join(side("b", "n", "y").drop("n"), "b").select("a", "b", "m", "n", "x", "y")
+            .mapInArrow(run, "a long, b long"))
 
 
 def _compare(group: dict[str, np.ndarray | list], percent: int, whole: bool) -> tuple[np.ndarray, np.ndarray, bool]:
@@ -326,7 +374,7 @@ def _compare(group: dict[str, np.ndarray | list], percent: int, whole: bool) ->
     return np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), cut
 
 
-def _crossings(postings: DataFrame, roots: DataFrame, items: DataFrame, percent: int, whole: bool) -> DataFrame:
+def _crossings(postings: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int, whole: bool) -> DataFrame:
     """Pairs (a, b) under one key that are not yet connected and that sizes and sketches allow to be linked; ``cut`` where more are left.
 
     Of the sets under a key only those outside its most frequent component look for others, so a
@@ -343,7 +391,7 @@ def _crossings(postings: DataFrame, roots: DataFrame, items: DataFrame, percent:
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     asks = told.where("outside").select("key", "id", "root", "outside", at(F.col("ask_blocks")).alias("i"), upto("all_blocks").alias("j"), F.lit(True).alias("asks"))
     rest = told.select("key", "id", "root", "outside", at(F.col("all_blocks")).alias("j"), upto("ask_blocks").alias("i"), F.lit(False).alias("asks"))
-    met = asks.unionByName(rest).join(items.select("id", "size", "sketch"), "id")
+    met = asks.unionByName(rest).join(sketches, "id")
     names = ["id", "root", "size", "outside", "asks"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,28 +436,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     to it together as far as the smallest id goes, but are rows of their own. Only doc_id and text are
     read. No rows, no output.
     """
-    figures = _figures(docs, width)
-    sizes = figures.where("n_shingles > 0").groupBy("id").agg(F.first("n_shingles").alias("size"), F.min("check").alias("low"), F.max("check").alias("high"))
-    clash = F.when(F.col("low") == F.col("high"), F.col("size")).otherwise(F.raise_error(F.lit("two sets share an id")).cast("long"))
-    sizes = sizes.select("id", clash.alias("size"))
-    histogram = {r["size"]: r["n"] for r in sizes.where(f"size <= {LIGHT_LIMIT}").groupBy("size").agg(F.count("*").alias("n")).collect()}
+    figures, renamed = _figures(docs, width)
+    sizes = figures.where(f"n_shingles between 1 and {LIGHT_LIMIT}").select("id", F.col("n_shingles").alias("size")).distinct()
+    histogram = {r["size"]: r["n"] for r in sizes.groupBy("size").agg(F.count("*").alias("n")).collect()}
     scheme = choose_scheme(percent, histogram)
-    postings = _postings(docs, width, scheme)
-    ids = postings.select("id").distinct()
-    items = _items(docs, width, ids)
-    tried = written(_chains(postings), "jaccard-pairs")
-    links = written(_linked(tried, items, percent), "jaccard-links")
-    roots = components(links)
+    postings = _postings(docs, width, scheme, renamed)
+    sketches = (figures.join(postings.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+                .select("id", F.col("n_shingles").alias("size"), "sketch"))
+    sketches = written(sketches, "jaccard-sketches")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return written(_linked(pairs, docs, figures, width, percent, renamed), "jaccard-links")
+
+    tried = written(_possible(_chains(postings), sketches, percent), "jaccard-pairs")
+    roots = components(linked(tried))
     for whole in (False, True):
-        crossings = written(_crossings(postings, roots, items, percent, whole), "jaccard-pairs")
-        rest = crossings.join(tried, ["a", "b"], "left_anti")
-        more = written(_linked(rest.select("a", "b"), items, percent), "jaccard-links")
+        crossings = written(_crossings(postings, roots, sketches, percent, whole), "jaccard-pairs")
+        rest = written(crossings.join(tried, ["a", "b"], "left_anti").select("a", "b"), "jaccard-pairs")
+        more = linked(rest)
         if not more.isEmpty():
             roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
         # Asked of all crossings: the one pair left of a cut block may have been tried, its others were not.
         if crossings.where("cut").isEmpty():
             break
-        tried = tried.unionByName(rest.select("a", "b"))
+        tried = tried.unionByName(rest)
     return _with_components(figures, roots)
 
 
