@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import functools
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millwatch.llm.common import table
@@ -51,15 +52,7 @@ def _letters() -> np.ndarray:
 
 def spell(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Letters of the words' pieces as rows filled up with zeros, their lengths, and the word of each."""
-    pieces, owner = [], []
-    for i, word in enumerate(words):
-        if len(word) <= PIECE:
-            pieces.append(word)
-            owner.append(i)
-        else:
-            cut = [word[at:at + PIECE] for at in range(0, len(word) - PIECE + STEP, STEP)]
-            pieces += cut
-            owner += [i] * len(cut)
+    pieces, owner = pieces_of(words)
     lengths = np.fromiter(map(len, pieces), "int64", len(pieces))
     points = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), "<u4")
     flat = np.where(points < 1 << 16, _letters()[np.minimum(points, (1 << 16) - 1)], LETTERS - 1)
@@ -71,7 +64,7 @@ def spell(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     width = int(lengths.max(initial=1)) + SPAN
     rows = np.zeros((len(pieces), width), "int32")
     rows[np.arange(width) < lengths[:, None]] = flat
-    return rows, lengths, np.array(owner, "int64")
+    return rows, lengths, owner
 
 
 @functools.lru_cache(1)
@@ -94,45 +87,80 @@ def _shapes() -> list[tuple[tuple[int, ...], float, int]]:
 N_CODES = sum(LETTERS ** n for n in LENGTHS)
 
 
-def subsequences(rows: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-    """For each shape: codes at all places, which of them are inside the word, and the weight."""
+def subsequences(rows: np.ndarray, lengths: np.ndarray, most: int = max(LENGTHS)) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """For each shape of up to ``most`` letters: codes at all places, which of them are inside the word, and the weight."""
     width = rows.shape[1] - SPAN
     at = np.arange(width)
     for offsets, weight, start in _shapes():
+        if len(offsets) > most:
+            continue
         code = rows[:, :width]
         for o in offsets[1:]:
             code = code * LETTERS + rows[:, o:o + width]
         yield code + start, at + offsets[-1] < lengths[:, None], weight
 
 
-def norms(lengths: np.ndarray) -> np.ndarray:
-    """Square root of the kernel of a word of that length, without a repeated subsequence, with itself."""
-    total = sum(np.maximum(lengths - offsets[-1], 0) * weight ** 2 for offsets, weight, _ in _shapes())
+def norms(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Square root of the kernel of each word with itself.
+
+    A subsequence that occurs once adds its squared weight, so most words have the norm of their length.
+    Where one of two letters occurs again, the codes of the word are sorted and the weights of
+    equal ones added before they are squared; only then can a longer one occur again.
+    """
+    total = sum(np.maximum(lengths - offsets[-1], 0) * weight ** 2 for offsets, weight, _ in _shapes()).astype("float64")
+    # Words of like length go together, so that short ones are not filled up to the longest.
+    by_length = np.argsort(lengths, kind="stable")
+    for at in range(0, len(by_length), 1024):
+        own = by_length[at:at + 1024]
+        width = int(lengths[own[-1]]) + SPAN
+        part, size = rows[own, :width], lengths[own]
+        pairs = [np.where(inside, code, -1) for code, inside, _ in subsequences(part, size, 2)]
+        pairs = np.sort(np.concatenate(pairs, axis=1), axis=1)
+        again = np.flatnonzero(((pairs[:, 1:] == pairs[:, :-1]) & (pairs[:, 1:] >= 0)).any(axis=1))
+        if not len(again):
+            continue
+        found = [(np.where(inside, code, -1), np.where(inside, weight, 0.0)) for code, inside, weight in subsequences(part[again], size[again])]
+        code, weight = (np.concatenate(c, axis=1) for c in zip(*found))
+        order = np.argsort(code, axis=1)
+        code, weight = np.take_along_axis(code, order, 1), np.take_along_axis(weight, order, 1)
+        # Sum of squared sums over runs of equal codes, row by row.
+        start = np.flatnonzero(np.c_[np.ones(len(again), bool), code[:, 1:] != code[:, :-1]].ravel())
+        sums = np.add.reduceat(weight.ravel(), start)
+        total[own[again]] = np.bincount(start // code.shape[1], sums ** 2, len(again))
     return np.sqrt(np.maximum(total, 1e-12))
 
 
+def pieces_of(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """Each word, a long one in pieces, and the word of each piece."""
+    pieces, owner = [], []
+    for i, word in enumerate(words):
+        cut = [word] if len(word) <= PIECE else [word[at:at + PIECE] for at in range(0, len(word) - PIECE + STEP, STEP)]
+        pieces += cut
+        owner += [i] * len(cut)
+    return pieces, np.array(owner, "int64")
+
+
 def kernel(left: list[str], right: list[str]) -> np.ndarray:
-    """Normalised kernel values between words (of one piece each)."""
-    rows, lengths, _ = spell([w[:PIECE] for w in right])
+    """Normalised kernel values between words of one piece each (see ``pieces_of``)."""
+    rows, lengths, _ = spell(right)
     parts = [(code[inside], np.broadcast_to(np.arange(len(right))[:, None], inside.shape)[inside], weight) for code, inside, weight in subsequences(rows, lengths)]
     codes, column = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     weights = np.concatenate([np.full(len(p[0]), p[2]) for p in parts])
     known, spot = np.unique(codes, return_inverse=True)
-    features = np.zeros((len(known) + 1, len(right)))
-    np.add.at(features, (spot, column), weights)
-    features /= norms(lengths)
+    features = np.zeros((len(known) + 1, len(right)), "float32")
+    np.add.at(features, (spot, column), weights.astype("float32"))
+    features /= norms(rows, lengths).astype("float32")
     place = np.full(N_CODES, len(known), "int32")
     place[known] = np.arange(len(known))
     out = np.zeros((len(left), len(right)), "float32")
-    features = features.astype("float32")
     for at in range(0, len(left), 2048):
-        rows, lengths, _ = spell([w[:PIECE] for w in left[at:at + 2048]])
+        rows, lengths, _ = spell(left[at:at + 2048])
         for code, inside, weight in subsequences(rows, lengths):
             spot = np.where(inside, place[code], len(known))
             for column in spot.T:
                 hit = np.flatnonzero(column < len(known))
                 out[at + hit] += features[column[hit]] * np.float32(weight)
-        out[at:at + 2048] /= norms(lengths)[:, None]
+        out[at:at + 2048] /= norms(rows, lengths)[:, None]
     return out
 
 
@@ -175,7 +203,7 @@ class ToxicityModel:
             total = np.zeros(len(rows))
             for code, inside, weight in subsequences(rows, lengths):
                 total += np.where(inside, self.weights[code], 0).sum(1) * weight
-            np.maximum.at(out, at + owner, total / norms(lengths) + self.bias)
+            np.maximum.at(out, at + owner, total / norms(rows, lengths) + self.bias)
         return out
 
     def probability(self, margins: np.ndarray) -> np.ndarray:
@@ -245,8 +273,8 @@ def _sightings(vocabulary: list[str], df: np.ndarray) -> np.ndarray:
     return counts
 
 
-def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
-    """Learn from labelled texts which of their words make them toxic.
+def fit(bags: Iterable[list[str]], labels: list[int], seed: int = 5) -> ToxicityModel:
+    """Learn from the words (see ``words_of``) of labelled texts which of them make a text toxic.
 
     A toxic text has a toxic word somewhere, a clean one none. Which word that is, its witness, is
     settled in rounds: the machine is trained on the witnesses against the worst-looking and random
@@ -258,13 +286,15 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
     """
     rng = np.random.default_rng(seed)
     y = np.array([1 if label else 0 for label in labels], "int64")
-    bags = [sorted(words_of(t)) for t in texts]
-    vocabulary = sorted({w for bag in bags for w in bag})
+    first: dict[str, int] = {}
+    bags = [np.array([first.setdefault(w, len(first)) for w in sorted(bag)], "int64") for bag in bags]
+    vocabulary = sorted(first)
     if not vocabulary or len(set(y.tolist())) < 2 or min(y.sum(), len(y) - y.sum()) < FOLDS:
         rate = (y.sum() + 1) / (len(y) + 2)
         return ToxicityModel(np.zeros(N_CODES, "float32"), 0.0, 1.0, float(np.log(rate / (1 - rate))))
-    number = {w: i for i, w in enumerate(vocabulary)}
-    bags = [np.array([number[w] for w in bag], "int64") for bag in bags]
+    place = np.empty(len(vocabulary), "int64")
+    place[[first.pop(w) for w in vocabulary]] = np.arange(len(vocabulary))
+    bags = [np.sort(place[bag]) for bag in bags]
     fold = np.empty(len(y), "int64")
     for label in (0, 1):  # each fold has its part of either class
         fold[y == label] = rng.permutation(int((y == label).sum())) % FOLDS
@@ -303,10 +333,13 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
     lead = lead[np.argsort(-often, kind="stable")][:LANDMARKS // 2]
     worst = rng.permutation(np.concatenate([t[:2] for t, label in zip(tops, y) if not label]))[:LANDMARKS // 4]
     rest = rng.permutation(np.r_[general, np.concatenate(tops)])
-    landmarks = [vocabulary[words[i]][:PIECE] for i in list(dict.fromkeys([*lead, *worst, *rest]))[:LANDMARKS]]
+    landmarks = list(dict.fromkeys(pieces_of([vocabulary[words[i]] for i in dict.fromkeys([*lead, *worst, *rest])])[0]))[:LANDMARKS]
     values, vectors = np.linalg.eigh(kernel(landmarks, landmarks).astype("float64"))
     root = vectors[:, values > 1e-4] / np.sqrt(values[values > 1e-4])
-    x = kernel([vocabulary[i] for i in words], landmarks) @ root
+    # A long word is as many rows as it has pieces, in the fit as in scoring; the worst piece speaks for it.
+    pieces, owner = pieces_of([vocabulary[i] for i in words])
+    x = kernel(pieces, landmarks) @ root
+    of_word = np.split(np.arange(len(pieces)), np.flatnonzero(np.diff(owner)) + 1)
     broken: dict[int, np.ndarray] = {}
     last: list[tuple[np.ndarray, float]] = []
 
@@ -315,12 +348,16 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
         fine, seen = np.unique(np.concatenate([general, *(tops[i] for i in docs if not y[i])]), return_counts=True)
         for i in bad:
             if i not in broken:
-                broken[i] = kernel(disguises(vocabulary[words[i]], rng), landmarks) @ root
+                broken[i] = kernel(pieces_of(disguises(vocabulary[words[i]], rng))[0], landmarks) @ root
         more = [broken[i] for i in bad]
-        rows = np.concatenate([x[bad], *more, x[fine]])
+        rows = np.concatenate([x[of_word[i]] for i in bad] + more + [x[of_word[i]] for i in fine])
         half = times / max(times.sum(), 1) * COST * (len(bad) + len(fine)) / 2
-        weight = np.r_[half, np.repeat(half / DISGUISES, [len(m) for m in more]), seen / seen.sum() * COST * (len(bad) + len(fine))]
-        last.append(_svm(rows, np.r_[np.ones(len(rows) - len(fine)), -np.ones(len(fine))], weight, last[-1] if last else None))
+        sizes = [np.array([len(of_word[i]) for i in k], "int64") for k in (bad, fine)]
+        share = [np.repeat(half / np.maximum(n, 1), n) for n in (sizes[0], np.array([len(m) for m in more], "int64"))]
+        light = seen / seen.sum() * COST * (len(bad) + len(fine))
+        weight = np.concatenate([*share, np.repeat(light, sizes[1])])
+        n_fine = int(sizes[1].sum())
+        last.append(_svm(rows, np.r_[np.ones(len(rows) - n_fine), -np.ones(n_fine)], weight, last[-1] if last else None))
         return last[-1]
 
     everyone = np.arange(len(y))
@@ -330,7 +367,8 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
         new = list(witness)
         for f in range(FOLDS):
             w, bias = train(everyone[fold != f], witness)
-            score = x @ w + bias
+            score = np.full(len(words), -np.inf)
+            np.maximum.at(score, owner, x @ w + bias)
             for i in everyone[fold == f]:
                 margin[i] = score[tops[i]].max() if len(tops[i]) else bias
                 # All words that look toxic now, so that a text with several teaches all of them.
@@ -347,7 +385,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
 def _collapsed(landmarks: list[str], alpha: np.ndarray) -> np.ndarray:
     """The weighted sum of kernels to the landmarks as one weight for each subsequence."""
     rows, lengths, _ = spell(landmarks)
-    out, scale = np.zeros(N_CODES), alpha / norms(lengths)
+    out, scale = np.zeros(N_CODES), alpha / norms(rows, lengths)
     for code, inside, weight in subsequences(rows, lengths):
         np.add.at(out, code[inside], np.broadcast_to(scale[:, None], inside.shape)[inside] * weight)
     return out.astype("float32")
@@ -364,8 +402,16 @@ def learn(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Toxic
     order = [F.md5(F.col("doc_id").cast("string")), F.col("doc_id")]
     # The bound holds for each class by itself; ids come first, so that only the texts of the sample are moved.
     chosen = [told.where(f"toxic = {k}").orderBy(*order).limit(max_docs) for k in (0, 1)]
-    sample = texts.join(chosen[0].unionByName(chosen[1]), "doc_id").dropDuplicates(["doc_id"]).orderBy(*order).toPandas()
-    return fit(sample.text.tolist(), sample.toxic.tolist())
+    sample = texts.join(chosen[0].unionByName(chosen[1]), "doc_id").dropDuplicates(["doc_id"])
+    ship(docs.sparkSession)
+
+    @F.pandas_udf("string")
+    def bag(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: "\n".join(words_of(t)))
+
+    # The driver gets the distinct words of the sample, not its texts.
+    told = sample.select("doc_id", "toxic", bag("text").alias("words")).orderBy(*order).toPandas()
+    return fit((w.split("\n") if w else [] for w in told.words), told.toxic.tolist())
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
