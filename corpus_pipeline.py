@@ -27,9 +27,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group that is linked on five-word shingles at 0.8. Rows of one id go or stay together."""
-    groups = jaccard_join.near_duplicates(docs, 5, 80)
-    return docs.join(groups.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group that is linked on five-word shingles at 0.8: that of the smallest id (null last), then digest of the text.
+
+    A document is its id and text: rows alike in both are one group, rows that share only the id are documents of their own. Rows
+    without words are linked with nothing and all stay.
+    """
+    name = F.xxhash64(F.coalesce("text", F.lit("")), "doc_id", F.col("doc_id").isNull())
+    words = n_words(F.col("text")) > 0
+    told = written(docs.where(words).select("doc_id", F.md5("text").alias("digest"), name.alias("name")).distinct(), "pipeline-names")
+    groups = jaccard_join.near_duplicates(docs.where(words).select(name.alias("doc_id"), "text"), 5, 80).distinct()
+    stay = (told.join(groups.select(F.col("doc_id").alias("name"), "component_id"), "name").groupBy("component_id")
+            .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("one")).select(F.col("one.doc_id").alias("stay_id"), F.col("one.digest").alias("stay_digest")))
+    # Of rows alike in id and text any one stays: the first of its kind that a task meets.
+    met = docs.where(words).withColumn("_digest", F.md5("text")).join(stay, F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("_digest") == F.col("stay_digest")))
+    kept = met.dropDuplicates(["stay_id", "stay_digest"]).select(*docs.columns)
+    return kept.unionByName(docs.where(~words))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
