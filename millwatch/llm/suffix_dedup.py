@@ -14,6 +14,7 @@ contexts are refined further, down to single windows.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from millwatch.llm.common import table
 from millwatch.llm.hashes import mix
-from millwatch.plans.storage import written
+from millwatch.plans.storage import discard, written
 from millwatch.session import ship
 
 #: Bytes of a first bucket, and the shortest string that the second level can part in two such sides.
@@ -30,6 +31,8 @@ GRAM = 16
 SHORTEST = 3 * GRAM
 #: Bytes of text that one round of arrays holds; a longer text is a round of its own.
 ROUND = 1 << 18
+#: Goes that single windows are refined in, by their anchor's bucket, which equal windows share: a part of the disk at a time.
+GOES = 4
 
 _HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 #: Two identifiers of 64 bits each, by different constants: 128 bits decide, the first alone rules out.
@@ -127,8 +130,8 @@ def _shared(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     return written(rows.groupBy(*keys).agg(F.min("d").alias("least"), F.max("d").alias("most")).where("least < most").select(*keys, "least"), name)
 
 
-def _survivors(docs: DataFrame, length: int) -> DataFrame:
-    """(d, tag, places): the anchors of each document whose bucket has another document."""
+def _survivors(docs: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
+    """(d, tag, places): the anchors of each document whose bucket has another document; of equal texts, those of the first."""
     def buckets(part: pa.RecordBatch, text: Bytes) -> list[np.ndarray]:
         _, own, bucket = _anchors(text, length)
         return [_long(bucket), part.column("d").to_numpy()[own]]
@@ -137,43 +140,64 @@ def _survivors(docs: DataFrame, length: int) -> DataFrame:
         place, own, bucket = _anchors(text, length)
         return [_long(bucket), part.column("d").to_numpy()[own], part.column("tag").to_numpy()[own], (place - text.starts[own]).astype("int32")]
 
-    shared = _shared(_run(docs.select("d", "text"), "text", "bucket long, d long", buckets), ["bucket"], "suffix-buckets").select("bucket")
+    shared = _shared(_run(docs.select("d", "text"), "text", "bucket long, d long", buckets), ["bucket"], "suffix-buckets")
+    discard()
     anchors = _run(docs, "text", "bucket long, d long, tag long, place int", places)
-    return written(anchors.join(shared, "bucket", "left_semi").groupBy("d", "tag").agg(F.collect_set("place").alias("places")), "suffix-anchors")
+    met = anchors.join(shared.select("bucket").hint("shuffle_hash"), "bucket", "left_semi").groupBy("d", "tag").agg(F.collect_set("place").alias("places"))
+    out = written(met.join(firsts, ["d", "tag"], "left_semi"), "suffix-anchors")
+    discard(shared)
+    return out
 
 
 def _contexts(docs: DataFrame, survivors: DataFrame, length: int) -> DataFrame:
-    """(c1, c2, d, tag, place, left, context): the bytes of all windows that an anchor can have, and their identifier.
+    """(c1, c2, d, tag, place): identifier of the context of each surviving anchor, the bytes of all windows that can have it.
 
-    The identifier is that of the first and last window, which cover the context, and of the anchor's place.
+    It is made of the first and last window, which cover the context, and of the anchor's place in it.
     """
     def emit(part: pa.RecordBatch, text: Bytes) -> list[np.ndarray]:
         found = part.column("places")
         own = np.repeat(np.arange(part.num_rows), found.value_lengths().to_numpy(zero_copy_only=False))
         place = found.flatten().to_numpy() + text.starts[own]
-        low = np.maximum(place + GRAM - length, text.starts[own])
-        high = np.minimum(place + length, text.ends[own])
+        low, high = _around(text, place, own, length)
         shape = ((place - low) << 32 | (high - low)).astype("uint64")
         ids = [_pair(_pair(text.at(low, length, lane), text.at(high - length, length, lane), lane), shape, lane) for lane in (0, 1)]
-        contexts = pa.array([text._raw[a:b] for a, b in zip(low.tolist(), high.tolist())], pa.binary())
-        return [_long(ids[0]), _long(ids[1]), part.column("d").to_numpy()[own], part.column("tag").to_numpy()[own],
-                (place - text.starts[own]).astype("int32"), (place - low).astype("int32"), contexts]
+        return [_long(ids[0]), _long(ids[1]), part.column("d").to_numpy()[own], part.column("tag").to_numpy()[own], (place - text.starts[own]).astype("int32")]
 
     told = docs.join(survivors, ["d", "tag"]).select("d", "tag", "places", "text")
-    return written(_run(told, "text", "c1 long, c2 long, d long, tag long, place int, left int, context binary", emit), "suffix-contexts")
+    return written(_run(told, "text", "c1 long, c2 long, d long, tag long, place int", emit), "suffix-contexts")
 
 
-def _copied_windows(kinds: DataFrame, length: int) -> DataFrame:
-    """(c, offsets): of each kind of context, the windows (bytes from their start to the anchor) that one of a smaller document has."""
-    def sides(part: pa.RecordBatch, text: Bytes) -> list[np.ndarray]:
+def _around(text: Bytes, place: np.ndarray, own: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last+1 byte of the contexts of anchors: as far as windows that hold them reach."""
+    return np.maximum(place + GRAM - length, text.starts[own]), np.minimum(place + length, text.ends[own])
+
+
+def _at_anchors(docs: DataFrame, kinds: DataFrame, columns: list[str], schema: str, emit: Callable[..., list]) -> DataFrame:
+    """``emit`` over the texts of the kinds' smallest documents: it gets the rows, the texts, and of each anchor its row, place and columns."""
+    def run(part: pa.RecordBatch, text: Bytes) -> list:
+        found = part.column("anchors")
+        own = np.repeat(np.arange(part.num_rows), found.value_lengths().to_numpy(zero_copy_only=False))
+        anchors = found.flatten()
+        return emit(text, own, anchors.field("place").to_numpy() + text.starts[own], part.column("d").to_numpy()[own], *(anchors.field(c).to_numpy() for c in columns))
+
+    anchors = kinds.groupBy("d", "tag").agg(F.collect_list(F.struct("place", *columns)).alias("anchors"))
+    return _run(docs.join(anchors, ["d", "tag"]).select("d", "anchors", "text"), "text", schema, run)
+
+
+def _copied_windows(docs: DataFrame, kinds: DataFrame, length: int) -> DataFrame:
+    """(c1, c2, offsets): of each kind of context, the windows (bytes from their start to the anchor) that one of a smaller document has."""
+    def sides(text: Bytes, own: np.ndarray, place: np.ndarray, d: np.ndarray, c: np.ndarray) -> list:
         """Depth 32 on both sides of the anchor: each window holds the anchor and ``GRAM`` bytes before or after it."""
-        left = part.column("left").to_numpy()
-        after = np.flatnonzero(text.lengths - left >= 2 * GRAM)
-        before = np.flatnonzero(left >= GRAM)
-        ids = np.concatenate([text.at((text.starts + left)[after], 2 * GRAM, 0), _pair(text.at((text.starts + left)[before] - GRAM, 2 * GRAM, 0), np.zeros(1, "uint64"), 0)])
-        own = np.concatenate([after, before])
-        side = np.repeat(np.array([1, 2], "int32"), [len(after), len(before)])
-        return [_long(ids), part.column("d").to_numpy()[own], part.column("c").to_numpy()[own], side]
+        after, before = np.flatnonzero(place + 2 * GRAM <= text.ends[own]), np.flatnonzero(place - GRAM >= text.starts[own])
+        ids = np.concatenate([text.at(place[after], 2 * GRAM, 0), _pair(text.at(place[before] - GRAM, 2 * GRAM, 0), np.zeros(1, "uint64"), 0)])
+        rows = np.concatenate([after, before])
+        return [_long(ids), d[rows], c[rows], np.repeat(np.array([1, 2], "int32"), [len(after), len(before)])]
+
+    def contexts(text: Bytes, own: np.ndarray, place: np.ndarray, d: np.ndarray, c: np.ndarray, side: np.ndarray) -> list:
+        """Bytes of the contexts with a side that was met, and the go that they belong to."""
+        low, high = _around(text, place, own, length)
+        found = pa.array([text._raw[a:b] for a, b in zip(low.tolist(), high.tolist())], pa.binary())
+        return [c, d, (text.at(place, GRAM, 0) % np.uint64(GOES)).astype("int32"), (place - low).astype("int32"), side, found]
 
     def windows(part: pa.RecordBatch, text: Bytes) -> list[np.ndarray]:
         """Windows that have this anchor and whose side was met before, refined to their whole length."""
@@ -184,35 +208,68 @@ def _copied_windows(kinds: DataFrame, length: int) -> DataFrame:
         met = ((side & 1) > 0) & (offset <= length - 2 * GRAM) | ((side & 2) > 0) & (offset >= GRAM)
         keep = np.flatnonzero((place == anchor) & met)
         start, own, offset = start[keep], own[keep], offset[keep]
-        ids = [text.all_at(length, lane)[start] for lane in (0, 1)]
-        return [_long(ids[0]), _long(ids[1]), part.column("d").to_numpy()[own], part.column("c").to_numpy()[own], offset.astype("int32")]
-
-    sided = _run(kinds.select("d", "c", "left", "context"), "context", "side_id long, d long, c long, side int", sides)
-    shared = _shared(sided, ["side_id"], "suffix-sides").select("side_id")
-    met = sided.join(shared, "side_id", "left_semi").groupBy("c").agg(F.expr("bit_or(side)").alias("sides"))
-    met = kinds.join(met, "c").select("d", "c", "left", "sides", "context")
-    found = written(_run(met, "context", "w1 long, w2 long, d long, c long, offset int", windows), "suffix-windows")
-    least = _shared(found, ["w1", "w2"], "suffix-copies")
-    return found.join(least, ["w1", "w2"]).where("d > least").groupBy("c").agg(F.collect_set("offset").alias("offsets"))
+        return [*(_long(text.at(start, length, lane)) for lane in (0, 1)), part.column("d").to_numpy()[own], part.column("c").to_numpy()[own], offset.astype("int32")]
+
+    sided = written(_at_anchors(docs, kinds, ["c"], "side_id long, d long, c long, side int", sides), "suffix-sided")
+    discard()
+    shared = _shared(sided, ["side_id"], "suffix-sides")
+    discard()
+    met = sided.join(shared.select("side_id").hint("shuffle_hash"), "side_id", "left_semi").groupBy("c").agg(F.expr("bit_or(side)").alias("sides"))
+    met = written(kinds.select("d", "tag", "c", "place").join(met, "c"), "suffix-met")
+    discard(sided, shared)
+    told = written(_at_anchors(docs, met, ["c", "sides"], "c long, d long, go int, left int, sides int, context binary", contexts), "suffix-bytes")
+    discard(met)
+    met = told
+    parts = []
+    for go in range(GOES):
+        found = _run(met.where(F.col("go") == go), "context", "w1 long, w2 long, d long, c long, offset int", windows)
+        least = _shared(found, ["w1", "w2"], "suffix-copies")
+        discard()
+        hits = found.join(least.hint("shuffle_hash"), ["w1", "w2"]).where("d > least").groupBy("c").agg(F.collect_set("offset").alias("offsets"))
+        parts.append(written(hits, "suffix-offsets"))
+        discard(least)
+    discard(met)
+    # Each kind is in one go only.
+    out = written(kinds.select("c", "c1", "c2").join(functools.reduce(DataFrame.unionByName, parts), "c").drop("c"), "suffix-offsets")
+    discard(*parts)
+    return out
 
 
 def _spans(docs: DataFrame, length: int) -> DataFrame:
-    """(d, tag, found): what to remove of each document, as anchors with the offsets of their copied windows (null: all)."""
-    contexts = _contexts(docs, _survivors(docs, length), length)
-    kinds = (contexts.groupBy("c1", "c2").agg(F.min("d").alias("d"), F.first("left").alias("left"), F.first("context").alias("context"))
-             .withColumn("c", F.monotonically_increasing_id()))
+    """(d, tag, found): what to remove of each document, as anchors with the offsets of their copied windows (null: all).
+
+    Equal texts are one from the start: where a smaller document has the whole text, all of it is found at once.
+    """
+    twice = docs.select("d", "tag", F.xxhash64(F.lit(1), "text").alias("second"), F.octet_length("text").alias("n")).withColumnRenamed("tag", "first")
+    texts = written(twice.groupBy("first", "second", "d").agg(F.max("n").alias("n")), "suffix-texts")
+    least = texts.groupBy("first", "second").agg(F.min("d").alias("least"))
+    told = texts.join(least, ["first", "second"]).withColumnRenamed("first", "tag")
+    firsts = written(told.where("d = least").select("d", "tag").distinct(), "suffix-firsts")
+    survivors = _survivors(docs, firsts, length)
+    discard(firsts)
+    contexts = _contexts(docs, survivors, length)
+    discard(survivors)
+    kinds = contexts.groupBy("c1", "c2").agg(F.min(F.struct("d", "tag", "place")).alias("one")).select("c1", "c2", "one.*", F.monotonically_increasing_id().alias("c"))
     kinds = written(kinds, "suffix-kinds")  # numbered by what is written, whatever is computed again
-    copied = kinds.select("c1", "c2", "c", F.col("d").alias("least")).join(_copied_windows(kinds, length), "c", "left").drop("c")
-    found = (contexts.select("c1", "c2", "d", "tag", "place").join(copied, ["c1", "c2"]).where("d > least or offsets is not null")
+    discard()
+    copied = _copied_windows(docs, kinds, length)
+    of_kind = kinds.select("c1", "c2", F.col("d").alias("least")).join(copied, ["c1", "c2"], "left")
+    found = (contexts.join(of_kind, ["c1", "c2"]).where("d > least or offsets is not null")
              .select("d", "tag", F.struct("place", F.when(F.col("d") == F.col("least"), F.col("offsets")).alias("offsets")).alias("one")))
-    return written(found.groupBy("d", "tag").agg(F.collect_list("one").alias("found")), "suffix-found")
+    again = F.array(F.struct(F.lit(None).cast("int").alias("place"), F.lit(None).cast("array<int>").alias("offsets")))
+    whole = told.where(F.col("d") > F.col("least")).where(F.col("n") >= length).select("d", "tag", again.alias("found"))
+    found = written(found.groupBy("d", "tag").agg(F.collect_list("one").alias("found")).unionByName(whole), "suffix-found")
+    discard(texts, contexts, kinds, copied)
+    return found
 
 
 def _cut(text: bytes, found: list[dict], length: int) -> tuple[list[dict], bytes]:
     """Maximal removed runs (first and last+1 byte), and the other bytes."""
     gone = np.zeros(len(text) + 1, "int64")
     for one in found:
-        if one["offsets"] is None:
+        if one["place"] is None:
+            gone[0] += 1
+        elif one["offsets"] is None:
             gone[max(one["place"] + GRAM - length, 0)] += 1
             gone[min(one["place"] + length, len(text))] -= 1
         for offset in one["offsets"] or ():
