@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import zlib
 
 import numpy as np
@@ -33,7 +34,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 14))
 
 
 def test_empty_tables(spark):
@@ -71,6 +72,22 @@ def test_mix_of_odd_rows(spark):
         assert sum(r["taken"] for r in group) == int(group[0]["target"] + 0.5) <= 3 * group[0]["source_size"]
 
 
+def test_first_slots_are_those_of_the_schedule(spark):
+    rows = spark.createDataFrame([(i, "w " * (37 * i % 900), "abc"[i % 3]) for i in range(200)], "doc_id long, text string, source string")
+    found = mixing.mix(rows).collect()
+    sources = mixing.source_targets(mixing.measured(rows, 11)).cache()
+    size = {r["ord"]: r["source_size"] for r in sources.collect()}
+    slots = sorted((r["slot"], r["ord"], r["block"], r["words"]) for r in mixing.schedule(sources).collect())
+    for r in found:
+        took = []
+        for slot, ord_, block, words in slots:
+            low, high = max(r["start"], block * mixing.BLOCK), min(r["start"] + r["size"], block * mixing.BLOCK + words)
+            if ord_ == r["ord"] and low < high:
+                took.append((slot, low - block * mixing.BLOCK, high - low))
+        assert r["taken"] == sum(t[2] for t in took) and sum(size.values()) > 0
+        assert (r["first_slot"], r["slot_offset"]) == (min(took)[:2] if took else (-1, -1))
+
+
 def test_schedule_keeps_the_mixture_in_every_stretch(spark):
     rows = spark.createDataFrame([(i, "w " * 500, "abc"[i % 3]) for i in range(300)], "doc_id long, text string, source string")
     sources = mixing.source_targets(mixing.measured(rows, 1)).cache()
@@ -187,6 +204,7 @@ def test_cut_block_whose_best_pair_was_tried(spark, monkeypatch):
     tried = [(i, i + 2) for i in range(22)] + [best]
     pairs = [tuple(sorted((ids(sets[a]), ids(sets[b])))) for a, b in tried]
     monkeypatch.setattr(jaccard_join, "_postings", lambda *_: spark.createDataFrame([(1, ids(s)) for s in sets], "key long, id long"))
+    monkeypatch.setattr(jaccard_join, "_possible", lambda pairs, *_: pairs)
     monkeypatch.setattr(jaccard_join, "_chains", lambda _: spark.createDataFrame(pairs, "a long, b long"))
     out = jaccard_join.near_duplicates(docs(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)]), 5, 80).collect()
     assert {r["component_id"] for r in out} == {0}
@@ -208,6 +226,14 @@ def test_chain_of_near_copies_is_one_component(spark):
     assert {r["component_id"] for r in out} == {881}
 
 
+def test_chunks_of_queries_are_even():
+    import pandas as pd
+
+    for n in (2, 5, 10, 50):
+        sizes = np.bincount(knn_join._dealt(pd.Series(np.arange(0, 100000, 50)), n), minlength=n)
+        assert sizes.min() > 0.6 * sizes.mean() and sizes.max() < 1.6 * sizes.mean()
+
+
 def test_top_k_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, None), (4, [None, 1.0]), (5, [nan, 1.0]), (6, [inf, 0.0]), (8, [2.0]), (10, [-1.0, -1.0])]
@@ -335,16 +361,134 @@ def test_licenses_and_inheritance(spark):
     assert out == {1: ("MIT", None), 2: ("MIT", "a"), 3: ("MIT", "a"), 4: (None, None), 5: ("Apache-2.0", None), 6: (None, None), 7: ("MIT", "a")}
 
 
-def test_warc_round_trip_of_odd_pages(spark):
+def _wrapped(text, mark, width=40):
+    import textwrap
+
+    return "\n".join(f"{mark} {line}" for line in textwrap.wrap(text, width))
+
+
+LICENSED = [
+    ("// SPDX-License-Identifier: MIT\nint main() {}", "MIT"), ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"), ("/* SPDX-License-Identifier: GPL-3.0-or-later */", "GPL-3.0"),
+    ("# SPDX-License-Identifier: LGPL-2.1-only", "LGPL-2.1"), ("# SPDX-License-Identifier: Unheard-1.0", None),
+    ("Copyright (c) 2020 Jane Doe. Released under the MIT License. It does this and that.", "MIT"),
+    (_wrapped(licenses.TEMPLATES["GPL-3.0"][2], "#"), "GPL-3.0"), (_wrapped(licenses.TEMPLATES["LGPL-3.0"][2], " *"), "LGPL-3.0"), (_wrapped(licenses.TEMPLATES["AGPL-3.0"][2], "//"), "AGPL-3.0"),
+    (_wrapped(licenses.TEMPLATES["Apache-2.0"][2], "#", 70) + "\nimport os\n" + "x = 1\n" * 50, "Apache-2.0"), ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", "LGPL-3.0"),
+    ("Copyright 2021 Someone\n" + _wrapped(licenses.TEMPLATES["MIT"][2], "", 60), "MIT"), (_wrapped(licenses.TEMPLATES["BSD-2-Clause"][0], "*"), "BSD-2-Clause"),
+    (_wrapped(licenses.TEMPLATES["BSD-3-Clause"][0], "*"), "BSD-3-Clause"), (_wrapped(licenses.TEMPLATES["ISC"][1], ";"), "ISC"), (_wrapped(licenses.TEMPLATES["MPL-2.0"][1], "//"), "MPL-2.0"),
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"), ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+    ("The public may redistribute the source of this river without any warranty of the water.", None), ("He was granted a license to drive under the law of the land.", None), ("", None), (None, None),
+]
+
+
+def _prose():
+    rng = np.random.default_rng(1)
+    words = "the of to and in a is it that for was on are with as be this by or from at code value return if not all any software work".split() + [f"w{i}" for i in range(80)]
+    return [" ".join(rng.choice(words, 60)) for _ in range(60)]
+
+
+def test_licenses_are_found_and_told_apart(spark):
+    rows = [(i, f"p{i}/x", t) for i, (t, _) in enumerate(LICENSED)] + [(100 + i, f"q{i}/x", t) for i, t in enumerate(_prose())]
+    table = spark.createDataFrame([(*r, "own", 1.0, "x") for r in rows], "file_key long, path string, text string, license string, cosine double, dir string")
+    out = {r["file_key"]: r for r in licenses.scan(table).collect()}
+    assert [out[i]["license"] for i in range(len(LICENSED))] == [name for _, name in LICENSED]
+    assert not [t for i, t in enumerate(_prose()) if out[100 + i]["license"]]
+    assert all((out[i]["cosine"] is None) == (name is None) for i, (_, name) in enumerate(LICENSED))
+
+
+def test_license_windows_equal_brute_force():
+    """All windows that begin with a word of the template, compared one by one."""
+    rng = np.random.default_rng(3)
+    texts = [t or "" for t, _ in LICENSED] + _prose()[:5]
+    whole = [licenses.terms(t) for texts_ in licenses.TEMPLATES.values() for t in texts_]
+    for _ in range(40):  # pieces of templates with words lost, put in and said twice
+        found = []
+        for _ in range(int(rng.integers(1, 4))):
+            t = whole[int(rng.integers(len(whole)))]
+            a = int(rng.integers(0, len(t)))
+            found += [w for w in t[a:a + int(rng.integers(1, 120))] if rng.random() > 0.1]
+            found += list(rng.choice(["foo", "the", "license", "bar"], int(rng.integers(0, 6))))
+        texts.append(" ".join(found))
+    counts = {t: int(n) for t, n in zip(licenses._vocabulary(), rng.integers(0, 500, len(licenses._vocabulary())))}
+    templates = licenses.Templates(counts, 500)
+    for text in texts:
+        found = licenses.terms(text)
+        best, covered = (0.0, None), set()
+        numbers = np.array([templates.vocabulary.get(t, -1) for t in found], "int64")
+        for k, name in enumerate(templates.names):
+            for at in range(len(found)):
+                if numbers[at] >= 0 and templates.weights[k, numbers[at]] > 0:
+                    window = found[at:at + templates.sizes[k]]
+                    weights = {t: window.count(t) * (templates.idf[templates.vocabulary[t]] if t in templates.vocabulary else 0) for t in set(window)}
+                    length = np.sqrt(sum(w * w for w in weights.values()) + sum(t not in templates.vocabulary for t in window) * templates.other ** 2)
+                    cosine = sum(w * templates.weights[k, templates.vocabulary[t]] for t, w in weights.items() if w) / (length * templates.lengths[k])
+                    if cosine >= licenses.LEAST_COSINE:
+                        covered |= set(range(at, min(at + templates.sizes[k], len(found))))
+                        if cosine > best[0] + 1e-9:
+                            best = cosine, name
+        got = templates.search(found)
+        assert got[1] == best[1] and abs(got[0] - best[0]) < 1e-9 and got[2] == len(covered)
+
+
+def test_license_scan_of_odd_files(spark):
+    text = "Released under the MIT License."
+    rows = [(1, "a/x", text), (1, "a/x", text), (None, "a/y", "code"), (2, None, text), (3, "top", text), (4, "b/c/d", LONG + " " + text), (5, "b/c/e", None)]
+    out = licenses.scan(spark.createDataFrame(rows, "file_key long, path string, text string")).collect()
+    assert sorted((str(r["file_key"]), r["license"], str(r["inherited_from"])) for r in out if r["license"]) == [
+        ("1", "MIT", "None"), ("1", "MIT", "None"), ("2", "MIT", "None"), ("3", "MIT", "None"), ("4", "MIT", "None"), ("None", "MIT", "a")]
+
+
+def test_warc_round_trip_of_odd_pages(spark, monkeypatch):
     rows = [(3, "http://a/b c", "<p>x\r\n\r\ny</p>"), (1, None, "<p>x\r\n\r\ny</p>"), (2, "http://é/", None), (4, "u", ""), (5, "u", "é" * 100000), (None, "n", "n")]
     folder = fresh_path(spark, "warc")
     index = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"), folder)
     out = {r["page_id"]: r for r in warc.read(index, folder).collect()}
     assert bytes(out[1]["payload"]) == b"<p>x\r\n\r\ny</p>" and out[3]["payload"] is None and out[3]["refers_to"] == 1 and out[3]["payload_bytes"] == 13
     assert out[4]["refers_to"] == 2 and out[2]["payload_bytes"] == 0 and out[5]["payload_bytes"] == 200000 and None in out
+    monkeypatch.setattr(warc, "STRETCH", 1 << 8)
+    again = {r["page_id"]: r for r in warc.read(index, folder).collect()}
+    assert again == out and warc.read(index, folder).rdd.getNumPartitions() >= 3
     assert warc.ranges([0, 10, 200000], [10, 5, 7]) == [(0, 2, 0, 15), (2, 3, 200000, 7)]
 
 
+def _plain_kernel(a, b):
+    """Sum over common subsequences, each with the sum of its weights in either word."""
+    def found(word):
+        rows, lengths, _ = toxicity.spell([word])
+        letters, out = rows[0][:lengths[0]].tolist(), {}
+        for n in toxicity.LENGTHS:
+            for places in itertools.combinations(range(len(letters)), n):
+                if places[-1] - places[0] < toxicity.SPAN:
+                    code = tuple(letters[i] for i in places)
+                    out[code] = out.get(code, 0) + toxicity.DECAY ** (places[-1] - places[0] + 1)
+        return out
+
+    x, y = found(a), found(b)
+    product = lambda p, q: sum(v * q.get(k, 0) for k, v in p.items())
+    return product(x, y) / np.sqrt(product(x, x) * product(y, y))
+
+
+def test_kernel_equals_brute_force():
+    words = ["papapapa", "banana", "bananas", "idiot", "id-iot", "abcabcabc", "mississippi", "xy", "ab" * 12, "wonder"]
+    k = toxicity.kernel(words, words)
+    assert np.allclose(k, [[_plain_kernel(a, b) for b in words] for a in words], atol=1e-5)
+    assert np.allclose(np.diag(k), 1, atol=1e-5)
+
+
+def test_long_words_are_learnt_whole():
+    """A toxic word of more than a piece, whose beginning clean words share, and its disguise with marks between all letters."""
+    rng = np.random.default_rng(2)
+    head, bad = "interconnectednessfulnes", "wuzzlegrumpf"
+    clean = ["".join(rng.choice(list("bcdlmnrst")) + rng.choice(list("aeo")) for _ in range(4)) for _ in range(300)]
+    bags = []
+    for i in range(400):
+        bag = list(rng.choice(clean, 20))
+        bag.append(head + (bad if i % 4 == 0 else str(rng.choice(clean))))
+        bags.append(bag)
+    model = toxicity.fit(bags, [int(i % 4 == 0) for i in range(400)])
+    p = model.probability(model.margins([head + bad, head + clean[0], ".".join(bad + bad)]))
+    assert p[0] > 0.9 and p[1] < 0.1 and p[2] > 0.9
+
+
 def test_kernel_tolerates_gaps():
     k = toxicity.kernel(["idiot", "id-iot", "idxiot", "wonder"], ["idiot"])[:, 0]
     assert k[0] > k[1] > 3 * k[3] and k[2] > 3 * k[3]
@@ -368,6 +512,33 @@ def test_toxicity_learns_and_holds_out(spark):
     assert len(odd) == 9 and all(0 <= r["score"] <= 1 for r in odd)
 
 
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    text = " ".join(f"w{i}" for i in range(40))
+    near, other = text + " more", " ".join(f"o{i}" for i in range(40))
+    rows = [(5, text), (3, near), (3, other), (None, text), (None, text), (None, other + " x"), (7, None), (7, None), (8, ""), (9, "lone words"), (9, "lone words"), (None, "alone")]
+    table = docs(spark, [(i, t, None, None, 0) for i, t in rows])
+    out = corpus_pipeline.drop_near_duplicates(spark, table, TINY)
+    assert out.columns == table.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert got == sorted([(3, near), (3, other), (7, None), (7, None), (8, ""), (9, "lone words"), (None, "alone")], key=str)
+    assert corpus_pipeline.drop_near_duplicates(spark, docs(spark, []), TINY).count() == 0
+
+
+def test_pipeline_of_odd_rows(spark, monkeypatch):
+    """Nulls, empty and very long texts, repeated rows, clashing columns and no rows at all pass every stage."""
+    import corpus_pipeline
+    from millwatch.plans.storage import written
+
+    for rows in (None, []):
+        table = docs(spark, rows)
+        for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            before, table = table, written(stage(spark, table, TINY), "odd")
+            assert i == len(corpus_pipeline.STAGES) - 1 or table.columns == before.columns
+        assert table.count() == 0 if rows == [] else table.count() > 0
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     from millwatch.plans.storage import written
