@@ -140,7 +140,8 @@ def stream_zscore(
 
     Rows of one key are put in order inside a micro-batch and the state carries across
     them. ``idle`` (needs a watermark) forgets a key that stays silent that long in event time, by a
-    timer; ``ttl`` forgets values that long after they were last written, by the clock. One of them at most.
+    timer; ``ttl`` forgets values that long after they were last written, by the clock: such a stream goes on with
+    micro-batches until it is stopped, whatever its trigger. One of them at most.
     Sets the session's state store to the one that this needs.
     """
     if idle and ttl:

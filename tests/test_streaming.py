@@ -61,7 +61,7 @@ def test_zscore_of_a_key_in_many_parts(spark, sf, folder, days):
     path, rows = days
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        one = T.stream_zscore(spark.readStream.schema(rows.schema).parquet(path), ttl="2 days")
+        one = T.stream_zscore(spark.readStream.schema(rows.schema).parquet(path))
         out = run(spark, one, folder, "parts")
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
@@ -100,6 +100,7 @@ class _Handle:
         self.timers, self.states = [], {}
 
     def state(self, name, *_, **given):
+        self.given = {**getattr(self, "given", {}), name: given}
         return self.states.setdefault(name, _State({"list": []} if name == "values" else {}))
 
     getListState = getMapState = getValueState = state
@@ -146,13 +147,16 @@ def test_parts_are_put_aside_by_time_and_forgotten_when_idle():
     assert "one" not in handle.states["seen"] and "list" not in handle.states["values"]
     with pytest.raises(ValueError):
         T.stream_zscore(None, idle="1 hour", ttl="1 hour")
+    lasting = _Handle()
+    T.ZScores(["timestamp"], 20, 2.0, 10, "unit", 0, 5000).init(lasting)
+    assert lasting.given["values"] == {"ttlDurationMs": 5000} and lasting.given["aside"] == {}
 
 
 def test_late_rows_of_more_micro_batches_than_a_query_remembers(spark, tmp_path):
     """Each file but the first brings one row in time and one far too late."""
     counter = T.count_late_rows(spark)
     (tmp_path / "in").mkdir()
-    files = 110
+    files = 104
     for i in range(files):
         times = [dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)] + ([dt.datetime(2023, 1, 1)] if i > 1 else [])
         path = tmp_path / "in" / f"{i:04}.parquet"
