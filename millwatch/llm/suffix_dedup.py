@@ -263,22 +263,28 @@ def _spans(docs: DataFrame, length: int) -> DataFrame:
     return found
 
 
-def _cut(text: bytes, found: list[dict], length: int) -> tuple[list[dict], bytes]:
-    """Maximal removed runs (first and last+1 byte), and the other bytes."""
-    gone = np.zeros(len(text) + 1, "int64")
-    for one in found:
-        if one["place"] is None:
-            gone[0] += 1
-        elif one["offsets"] is None:
-            gone[max(one["place"] + GRAM - length, 0)] += 1
-            gone[min(one["place"] + length, len(text))] -= 1
-        for offset in one["offsets"] or ():
-            gone[one["place"] - offset] += 1
-            gone[one["place"] - offset + length] -= 1
-    out = np.cumsum(gone)[:-1] > 0
-    edge = np.diff(np.r_[False, out, False].astype("int8"))
-    spans = [{"start": int(a), "end": int(b)} for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
-    return spans, np.frombuffer(text, "uint8")[~out].tobytes()
+def _cut(texts: list[bytes], found: pa.ListArray, length: int) -> Iterator[tuple[list[dict], bytes]]:
+    """Of each text, maximal removed runs (first and last+1 byte) and the other bytes."""
+    counts = found.value_lengths().fill_null(0).to_numpy()
+    ends, flat = np.cumsum(counts), found.flatten()
+    place, offsets = flat.field("place"), flat.field("offsets")
+    whole, everything = place.is_null().to_numpy(zero_copy_only=False), offsets.is_null().to_numpy(zero_copy_only=False)
+    place, sizes = place.fill_null(0).to_numpy(), offsets.value_lengths().fill_null(0).to_numpy()
+    upto, offsets = np.r_[0, np.cumsum(sizes)], offsets.flatten().to_numpy()
+    for text, end, n in zip(texts, ends.tolist(), counts.tolist()):
+        if not n:
+            yield [], text
+            continue
+        own, gone = slice(end - n, end), np.zeros(len(text) + 1, "int64")
+        gone[0] += whole[own].any()
+        full = place[own][everything[own] & ~whole[own]]
+        start = np.repeat(place[own], sizes[own]) - offsets[upto[end - n]:upto[end]]
+        np.add.at(gone, np.r_[np.maximum(full + GRAM - length, 0), start], 1)
+        np.add.at(gone, np.r_[np.minimum(full + length, len(text)), start + length], -1)
+        out = np.cumsum(gone)[:-1] > 0
+        edge = np.diff(np.r_[False, out, False].astype("int8"))
+        spans = [{"start": int(a), "end": int(b)} for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
+        yield spans, np.frombuffer(text, "uint8")[~out].tobytes()
 
 
 def remove_copied_bytes(docs: DataFrame, length: int = 50) -> DataFrame:
@@ -310,7 +316,7 @@ def remove_copied_bytes(docs: DataFrame, length: int = 50) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                out = [_cut(raw, one or [], length) if one else ([], raw) for raw, one in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist())]
+                out = list(_cut(batch.column("text").to_pylist(), batch.column("found"), length))
                 yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), pa.array([o[0] for o in out], pairs), pa.array([o[1] for o in out], pa.binary())],
                                                  names=["row", "text", "removed_spans", "kept"])
 
