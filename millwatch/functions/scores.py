@@ -109,3 +109,18 @@ def whole_days(later: Column, earlier: Column) -> Column:
 
 def period_start(ts: Column, unit: str) -> Column:
     return F.date_trunc(unit, ts).cast("timestamp_ntz")
+
+
+def fixed(c: Column, places: int = 2) -> Column:
+    """A number as text with so many places, rounded by its exact value, ties to even, as C, SQL and Python do.
+
+    ``format_string`` rounds the shortest decimals of a double instead: 0.245, a little less than that, gives it 0.25.
+    """
+    unit = 10 ** places
+    below = F.floor(c * float(unit))
+    # Both parts have few enough bits for exact products, so the sign of what is left over the tie is exact.
+    high = c.cast("float").cast("double")
+    over = (high * float(2 * unit) - (2 * below + 1)) + (c - high) * float(2 * unit)
+    whole = below + ((over > 0) | ((over == 0) & (below % 2 != 0))).cast("int")
+    text = lambda x: F.format_string(f"%.{places}f", x)
+    return F.when(F.abs(c) < 2.0 ** 52 / (2 * unit), text(whole / F.lit(float(unit)))).otherwise(text(c))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millwatch.functions.scores import health_status, period_start, score_urgency
+from millwatch.functions.scores import fixed, health_status, period_start, score_urgency
 from millwatch.operators.alerts import PAGE_SIZE, page
 from millwatch.operators.stream_rules import Z_THRESHOLD, health_by_window, zscore_anomaly
 from millwatch.plans.slices import HOT_ROWS, epoch_us, running
@@ -129,4 +129,4 @@ def flatten_map(scores: Column, places: int = 6) -> Column:
     """A map as text ``name=value;…`` in key order, for output and comparison."""
     entries = F.array_sort(F.map_entries(scores))
     return F.array_join(F.transform(entries, lambda e: F.concat(
-        e["key"], F.lit("="), F.format_string(f"%.{places}f", e["value"]))), ";")
+        e["key"], F.lit("="), fixed(e["value"], places))), ";")

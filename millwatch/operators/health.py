@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millwatch.functions.scores import banded, clip, health_status, range_health, score_urgency
+from millwatch.functions.scores import banded, clip, fixed, health_status, range_health, score_urgency
 from millwatch.schemas import NEUTRAL_HEALTH, SENSOR_RANGES, SENSOR_WEIGHTS
 
 # Order of urgencies and days until maintenance.
@@ -59,7 +59,7 @@ def maintenance_schedule(df: DataFrame, as_of: str, days_ahead: int = 30, score:
         report.withColumn("_days", days).filter(F.col("_days") <= days_ahead)
         .withColumns({
             "recommended_date": F.date_add(F.lit(as_of).cast("date"), F.col("_days")),
-            "description": F.format_string("Health score: %.2f - %s condition", F.col(score), F.col("status")),
+            "description": F.format_string("Health score: %s - %s condition", fixed(F.col(score)), F.col("status")),
         })
         .orderBy(rank, "recommended_date").drop("_days")
     )

@@ -153,12 +153,12 @@ def stream_alerts(
     anomaly = F.when(
         F.col("is_anomaly") & (conf >= confidence_threshold),
         alert("anomaly", F.when(conf > 0.9, "high").otherwise("medium"),
-              F.format_string("Anomaly detected in %s with confidence %.2f", who, conf)),
+              F.format_string("Anomaly detected in %s with confidence %s", who, S.fixed(conf))),
     )
     poor = F.when(
         health <= health_threshold,
         alert("health", F.when(health <= 0.2, "critical").otherwise("high"),
-              F.format_string("Poor health detected in %s (score: %.2f)", who, health)),
+              F.format_string("Poor health detected in %s (score: %s)", who, S.fixed(health))),
     )
     raised = F.filter(F.array(anomaly, poor), lambda a: a.isNotNull())
     return df.select(F.explode(raised).alias("a")).select("a.*")

@@ -309,3 +309,16 @@ def test_array_requests(spark):
     df = spark.createDataFrame([("q", [0.45, 0.52, 0.48]), ("w", [0.1, 5.0])], "request_id string, sensor_readings array<double>")
     got = {r["request_id"]: (r["is_anomaly"], r["anomaly_score"]) for r in J.array_anomaly(df).collect()}
     assert got == {"q": (False, 0.52), "w": (True, 5.0)}
+
+
+def test_messages_round_as_the_exact_number_does(spark):
+    """0.245 is stored a little below the tie, 0.145 a little above; 0.125 is a tie and goes to the even neighbour."""
+    import random
+
+    draw = random.Random(5)
+    values = [0.245, 0.145, 0.105, 0.125, 0.375, 0.295, 0.0, 1.0, 0.999, 0.07, 0.29, -0.245, 12345.675, 1e20, *[round(draw.random(), 3) for _ in range(500)]]
+    found = spark.createDataFrame([(v,) for v in values], "v double").select("v", S.fixed(F.col("v")).alias("two"), S.fixed(F.col("v"), 6).alias("six")).collect()
+    assert [(r["two"], r["six"]) for r in found] == [(f"{r['v']:.2f}", f"{r['v']:.6f}") for r in found]
+    rows = spark.createDataFrame([("e", False, 0.0, 0.245)], "equipment_id string, is_anomaly boolean, anomaly_confidence double, overall_health double")
+    alert = D.stream_alerts(rows.withColumn("timestamp", F.lit("2024-01-01").cast("timestamp_ntz"))).first()
+    assert alert["message"] == "Poor health detected in e (score: 0.24)"
