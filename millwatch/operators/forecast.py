@@ -1,8 +1,8 @@
 """Forecast of each key by a bent trend times seasons, over its history and the steps after it.
 
-Both parts are least squares by normal equations. Each task folds its rows to sums of products, one
-vector a key; the vectors add up per key, and each key solves one small system. So no key's rows ever meet
-in one place, however many they are.
+Both parts are least squares by normal equations. Rows are dealt by key, those of a key with very many in
+lots, and each task folds them to sums of products, one vector a key and lot; the vectors add up per key, and each
+key solves one small system. A vector is a hundred times as large as a row, so it must stand for many.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millwatch.operators.failure import DAY_US, failure_probability
 from millwatch.plans.slices import epoch_us
+from millwatch.plans.storage import written
 from millwatch.session import ship
 
 #: Season -> (length in days, number of sine and cosine pairs).
@@ -29,14 +30,28 @@ BENDS, BEND_SHARE = 25, 0.8
 STIFFNESS, DAMPING, LEAST = 1.0, 0.01, 1e-9
 #: Keys that a task holds at once before it hands on what it has.
 KEYS_AT_ONCE = 4096
+#: Rows of one key that a task folds; a key with more is dealt out in lots.
+LOT_ROWS = 2_000_000
 
 
 def _upper(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.triu_indices(n)
 
 
-def _folded(df: DataFrame, key: str, columns: int, design: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """(key, sums): the upper triangle of X'X and then X'y of each key, with X and y made of the other columns."""
+def _dealt(df: DataFrame, key: str, lot_rows: int) -> DataFrame:
+    """The rows of a key side by side in one task; a key with more than ``lot_rows`` in lots of about so many."""
+    sizes = df.groupBy(F.col(key).alias("_key")).agg(F.ceil(F.count(F.lit(1)) / lot_rows).alias("_lots")).where(F.col("_lots") > 1)
+    found = sizes.collect()  # at most rows / lot_rows
+    lot = F.lit(0)
+    if found:
+        df = df.join(F.broadcast(df.sparkSession.createDataFrame(found, sizes.schema)), F.col(key) == F.col("_key"), "left")
+        lot = F.coalesce(F.pmod(F.xxhash64(*[c for c in df.columns if c not in (key, "_key", "_lots")]), F.col("_lots")), F.lit(0))
+    return df.withColumn("_lot", lot).drop("_key", "_lots").repartition(key, "_lot").sortWithinPartitions(key).drop("_lot")
+
+
+def _parts(df: DataFrame, key: str, columns: int, design: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]],
+           lot_rows: int = LOT_ROWS) -> DataFrame:
+    """(key, sums), one row a key and lot: the upper triangle of X'X and then X'y, with X and y made of the other columns."""
     rows, cols = _upper(columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -59,7 +74,11 @@ def _folded(df: DataFrame, key: str, columns: int, design: Callable[[np.ndarray,
             yield out()
 
     ship(df.sparkSession)
-    parts = df.withColumnRenamed(key, "key").mapInPandas(run, "key string, sums array<double>")
+    return _dealt(df.withColumnRenamed(key, "key"), "key", lot_rows).mapInPandas(run, "key string, sums array<double>")
+
+
+def _folded(parts: DataFrame, key: str) -> DataFrame:
+    """(key, sums): the sums of all parts of a key."""
     return parts.groupBy("key").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums")).withColumnRenamed("key", key)
 
 
@@ -131,7 +150,7 @@ def _wave(day: Column, seasons: Mapping[str, tuple[float, int]]) -> Column:
 
 
 def fit_forecast(df: DataFrame, value: str = "value", key: str = "equipment_id", seasons: Mapping[str, tuple[float, int]] = SEASONS,
-                 bends: int = BENDS, stiffness: float = STIFFNESS, damping: float = DAMPING) -> Forecast:
+                 bends: int = BENDS, stiffness: float = STIFFNESS, damping: float = DAMPING, lot_rows: int = LOT_ROWS) -> Forecast:
     """Fit value = trend(t) * (1 + season(t)) for each key.
 
     The trend is a line that may bend at ``bends`` instants, even over the first part of the time that
@@ -153,11 +172,12 @@ def fit_forecast(df: DataFrame, value: str = "value", key: str = "equipment_id",
     sizes = rows.groupBy(key).agg(F.max(F.abs("y")).alias("scale"), F.max("timestamp").alias("last_seen"))
     sizes = sizes.withColumn("scale", F.when(F.col("scale") > 0, F.col("scale")).otherwise(1.0))
     n = 2 + bends
-    folded = _folded(rows.select(key, "day", "y"), key, n, trend_design).join(sizes, key)
+    folded = _folded(_parts(rows.select(key, "day", "y"), key, n, trend_design, lot_rows), key).join(sizes, key)
     # The sums are linear in y: scaled to the key's largest value after they are folded, not row by row.
     products = n * (n + 1) // 2
     scaled = F.transform("sums", lambda s, i: F.when(i < products, s).otherwise(s / F.col("scale")))
     trends = folded.withColumn("trend_terms", _solved(scaled, [LEAST, LEAST, *[stiffness] * bends])).select(key, "scale", "last_seen", "trend_terms")
+    trends = written(trends, "trends")  # read for the seasons and for the forecast
 
     terms = 2 * sum(k for _, k in seasons.values())
     if not terms:
@@ -170,5 +190,5 @@ def fit_forecast(df: DataFrame, value: str = "value", key: str = "equipment_id",
 
     level = _line((F.col("day") - first) / span, places)
     told = rows.join(trends, key).select(key, "day", (F.col("y") / F.col("scale")).alias("y"), level.alias("level"))
-    waves = _folded(told, key, terms, season_design).select(key, _solved(F.col("sums"), [damping] * terms).alias("season_terms"))
-    return Forecast(trends.join(waves, key), rows, key, first, span, places, seasons)
+    waves = _folded(_parts(told, key, terms, season_design, lot_rows), key).select(key, _solved(F.col("sums"), [damping] * terms).alias("season_terms"))
+    return Forecast(written(trends.join(waves, key), "forecast"), rows, key, first, span, places, seasons)

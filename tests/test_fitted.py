@@ -307,3 +307,16 @@ def test_a_failed_write_leaves_no_version(spark, folder):
         U.checkout(spark, folder, 2)
     assert U.add_version(good.limit(0), folder, 2, "empty", buckets=4) == 0 and U.checkout(spark, folder, 2).count() == 0
     assert U.version_difference(spark, folder, 1, 2).where("change = 'removed'").count() == 100
+
+
+def test_a_key_makes_one_vector(spark):
+    """Rows of all keys in all tasks: each key's are brought together before they are folded, those of a large key in lots."""
+    from millwatch.operators import forecast as Y
+
+    rows = [(f"e{i % 50}" if i < 2000 else "hot", i / 7.0, float(i % 11)) for i in range(2400)]
+    df = spark.createDataFrame(rows, "equipment_id string, day double, y double").repartition(4)
+    line = lambda numbers: (np.column_stack([np.ones(len(numbers)), numbers[:, 0].astype(float)]), numbers[:, 1].astype(float))
+    whole, lots = (Y._parts(df, "equipment_id", 2, line, n) for n in (1000, 100))
+    assert whole.count() == 51 and 51 <= lots.count() <= 54
+    a, b = ({r["equipment_id"]: r["sums"] for r in Y._folded(p, "equipment_id").collect()} for p in (whole, lots))
+    assert a.keys() == b.keys() and all(np.allclose(a[k], b[k]) for k in a) and a["hot"][0] == 400 and a["e3"][0] == 40
