@@ -9,18 +9,19 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import QuantileDiscretizer, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millwatch.functions.scores import clip
+from millwatch.functions.scores import clip, lookup
 from millwatch.operators import evaluation as V
 from millwatch.operators.anomaly import member_scores
 from millwatch.operators.drift import retrain_decision
 from millwatch.operators.ensembles import FailureEnsembleModel, HealthEnsemble, HealthEnsembleModel
 from millwatch.operators.features import filled_sequence, sequence_windows
 from millwatch.operators.health import distance_health
+from millwatch.plans.storage import written
 
 # Defaults of the model families.
 TREES, DEPTH, ROUNDS, RATE, BOOST_DEPTH, SEED = 100, 10, 100, 0.1, 6, 42
@@ -28,6 +29,8 @@ CLUSTERS, FOLDS = 5, 5
 # Memory for split statistics: more nodes are split in one pass over the rows.
 SPLIT_MEMORY_MB = 1024
 ROWS_PER_TASK = 5_000_000
+# Trees see a feature by its bin only. Of a cell of alike rows, a forest draws so many lots of equal weight, or its rows if they are fewer.
+BINS, LOTS = 32, 8
 # The health bands a banded network learns, and their middle scores.
 BAND_EDGES, BAND_MIDDLES = [0.2, 0.4, 0.6, 0.8], [0.1, 0.3, 0.5, 0.7, 0.9]
 
@@ -37,16 +40,46 @@ def _inputs(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({f"_f{j}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for j, c in enumerate(features)})
 
 
-def _training(df: DataFrame, features: Sequence[str], label: str, weighted: bool = False) -> DataFrame:
+def _training(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Only what a trainer reads, spread evenly: it passes over its input many times."""
     rows = _inputs(df, features).select(*[f"_f{j}" for j in range(len(features))], label)
-    if weighted:
-        rows = V.with_class_weights(rows, label)
     # As many tasks as cores, more where their share would grow too large to cache.
     tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / ROWS_PER_TASK))
     return rows.repartition(tasks, F.xxhash64(*rows.columns))
 
 
+def _binned(df: DataFrame, features: Sequence[str], label: str, classes: bool) -> tuple[list, DataFrame]:
+    """The stages that bin features, and all labelled rows as cells: bins, label, rows in ``weight``.
+
+    Spark's trees split between bins of a feature, so rows of the same bins take the same way in every tree; only their number and, of a
+    numeric label, their mean count. ``classes`` keeps labels apart. Every round reads the cells instead of the rows.
+    """
+    rows = _inputs(df, features).where(F.col(label).isNotNull()).select(*[f"_f{j}" for j in range(len(features))], F.col(label).cast("double").alias("_label"))
+    names = [f"_b{j}" for j in range(len(features))]
+    cuts = QuantileDiscretizer(inputCols=[f"_f{j}" for j in range(len(features))], outputCols=names, numBuckets=BINS).fit(rows)
+    parts = [*names, "_label"] if classes else names
+    figures = [F.count(F.lit(1)).cast("double").alias("weight"), *([] if classes else [F.avg("_label").alias("_label")])]
+    cells = written(cuts.transform(rows).groupBy(*parts).agg(*figures), "cells")
+    # Discretized columns are marked as categories; bins have an order, which trees shall keep.
+    ordered = SQLTransformer(statement=f"SELECT *, {', '.join(f'{n} + 0.0D AS {n}n' for n in names)} FROM __THIS__")
+    return [cuts, ordered, VectorAssembler(inputCols=[f"{n}n" for n in names], outputCol="_x")], cells
+
+
+def _lots(cells: DataFrame) -> DataFrame:
+    """Cells in lots: a bootstrap then draws lots of alike rows, as it would draw the rows."""
+    each = cells.withColumn("_lots", F.least("weight", F.lit(float(LOTS))).cast("int")).withColumn("_lot", F.explode(F.sequence(F.lit(1), "_lots")))
+    return each.withColumn("weight", F.col("weight") / F.col("_lots")).drop("_lots", "_lot")
+
+
+def _grown(stages: Sequence, learner, cells: DataFrame) -> PipelineModel:
+    """The learner fitted on cells, behind the stages that bin a row."""
+    cuts, ordered, vectors = stages
+    # As many tasks as cores, more where their share would grow too large to cache.
+    tasks = max(cells.sparkSession.sparkContext.defaultParallelism, math.ceil(cells.count() / ROWS_PER_TASK))
+    spread = cells.repartition(tasks, F.xxhash64(*cells.columns))
+    return PipelineModel([cuts, ordered, vectors, learner.fit(vectors.transform(ordered.transform(spread)))])
+
+
 def _assembler(features: Sequence[str], out: str = "_x") -> VectorAssembler:
     return VectorAssembler(inputCols=[f"_f{j}" for j in range(len(features))], outputCol=out)
 
@@ -84,19 +117,22 @@ class Scorer:
 def fit_failure_forest(df: DataFrame, features: Sequence[str], label: str, trees: int = TREES, depth: int = DEPTH,
                        seed: int = SEED) -> Scorer:
     """Random forest with balanced class weights."""
-    weighted = _training(df, features, label, weighted=True)
-    forest = RandomForestClassifier(labelCol=label, featuresCol="_x", weightCol="weight", probabilityCol="_p", predictionCol="_y",
+    stages, cells = _binned(df, features, label, classes=True)
+    sizes = {row["_label"]: row["n"] for row in cells.groupBy("_label").agg(F.sum("weight").alias("n")).collect()}
+    of_class = {c: sum(sizes.values()) / (len(sizes) * n) for c, n in sizes.items()}
+    weighted = _lots(cells).withColumn("weight", F.col("weight") * lookup(F.col("_label"), of_class))
+    forest = RandomForestClassifier(labelCol="_label", featuresCol="_x", weightCol="weight", probabilityCol="_p", predictionCol="_y",
                                     rawPredictionCol="_r", numTrees=trees, maxDepth=depth, seed=seed,
                                     maxMemoryInMB=SPLIT_MEMORY_MB)
-    return Scorer("failure_rf", "probability", list(features), Pipeline(stages=[_assembler(features), forest]).fit(weighted))
+    return Scorer("failure_rf", "probability", list(features), _grown(stages, forest, weighted))
 
 
 def fit_failure_boosting(df: DataFrame, features: Sequence[str], label: str, rounds: int = ROUNDS, rate: float = RATE,
                          depth: int = BOOST_DEPTH, seed: int = SEED) -> Scorer:
-    boosting = GBTClassifier(labelCol=label, featuresCol="_x", predictionCol="_y", maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed)
+    stages, cells = _binned(df, features, label, classes=True)
+    boosting = GBTClassifier(labelCol="_label", featuresCol="_x", weightCol="weight", predictionCol="_y", maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed)
     boosting = boosting.setProbabilityCol("_p").setRawPredictionCol("_r")
-    return Scorer("failure_gbt", "probability", list(features),
-                  Pipeline(stages=[_assembler(features), boosting]).fit(_training(df, features, label)))
+    return Scorer("failure_gbt", "probability", list(features), _grown(stages, boosting, cells))
 
 
 @dataclass
@@ -133,16 +169,17 @@ def fit_failure_sequence(df: DataFrame, column: str, label: str, order: Sequence
 
 def fit_health_forest(df: DataFrame, features: Sequence[str], label: str, trees: int = TREES, depth: int = DEPTH,
                       seed: int = SEED) -> Scorer:
-    forest = RandomForestRegressor(labelCol=label, featuresCol="_x", predictionCol="_y", numTrees=trees, maxDepth=depth, seed=seed,
+    stages, cells = _binned(df, features, label, classes=False)
+    forest = RandomForestRegressor(labelCol="_label", featuresCol="_x", weightCol="weight", predictionCol="_y", numTrees=trees, maxDepth=depth, seed=seed,
                                     maxMemoryInMB=SPLIT_MEMORY_MB)
-    return Scorer("health_rf", "value", list(features), Pipeline(stages=[_assembler(features), forest]).fit(_training(df, features, label)))
+    return Scorer("health_rf", "value", list(features), _grown(stages, forest, _lots(cells)))
 
 
 def fit_health_boosting(df: DataFrame, features: Sequence[str], label: str, rounds: int = ROUNDS, rate: float = RATE,
                         depth: int = BOOST_DEPTH, seed: int = SEED) -> Scorer:
-    boosting = GBTRegressor(labelCol=label, featuresCol="_x", predictionCol="_y", maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed)
-    return Scorer("health_gbt", "value", list(features),
-                  Pipeline(stages=[_assembler(features), boosting]).fit(_training(df, features, label)))
+    stages, cells = _binned(df, features, label, classes=False)
+    boosting = GBTRegressor(labelCol="_label", featuresCol="_x", weightCol="weight", predictionCol="_y", maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed)
+    return Scorer("health_gbt", "value", list(features), _grown(stages, boosting, cells))
 
 
 def fit_health_network(df: DataFrame, features: Sequence[str], label: str, hidden: Sequence[int] = (64, 32), rounds: int = 100,

@@ -258,3 +258,27 @@ def test_cleaning_chain(spark, sf):
     out = clean(p.unionByName(p.limit(20)), row_id=["l_orderkey", "l_linenumber", "l_partkey"], measures=["value", "temperature", "rpm", "load"])
     assert 0 < out.count() <= p.distinct().count()
     assert out.filter("value IS NULL OR value > 2").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["classes", "numbers"])
+def test_boosting_on_cells_is_boosting_on_rows(spark, kind):
+    """Rows of equal bins and label are one weighted row to the trainer, and the trees are those of all rows."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.regression import GBTRegressor
+
+    rows = [(float(i % 7), float(i % 5), float(i % 7 + i % 5 > 6), ((i % 7) ** 2 * (i % 5) + (i % 5 - 1) ** 2 + i % 3) / 200) for i in range(2100)]
+    df = spark.createDataFrame(rows, "a double, b double, y double, health double")
+    label, classes = ("y", True) if kind == "classes" else ("health", False)
+    (cuts, ordered, vectors), cells = Q._binned(df, ["a", "b"], label, classes)
+    assert cells.count() == 35 and cells.agg(F.sum("weight")).first()[0] == 2100
+    assert Q._lots(cells).count() == 35 * Q.LOTS and Q._lots(cells).agg(F.sum("weight")).first()[0] == pytest.approx(2100)
+    rows = vectors.transform(ordered.transform(cuts.transform(Q._inputs(df, ["a", "b"]))))
+    fit = Q.fit_failure_boosting if classes else Q.fit_health_boosting
+    learner = GBTClassifier if classes else GBTRegressor
+    plain = learner(labelCol=label, featuresCol="_x", maxIter=4, stepSize=Q.RATE, maxDepth=3, seed=Q.SEED).fit(rows)
+    found = fit(df, ["a", "b"], label, rounds=4, depth=3).pipeline.stages[-1]
+    points = rows.select("_x").distinct()
+    assert all("in {" not in t.toDebugString for t in found.trees)  # thresholds, not sets of categories
+    ours, theirs = ([round(r["prediction"], 9) for r in m.transform(points.orderBy(F.col("_x").cast("string"))).collect()]
+                    for m in (found.copy({found.predictionCol: "prediction"}), plain))
+    assert ours == theirs and len(ours) == 35
