@@ -6,11 +6,12 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import QuantileDiscretizer, SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -19,9 +20,10 @@ from millwatch.operators import evaluation as V
 from millwatch.operators.anomaly import member_scores
 from millwatch.operators.drift import retrain_decision
 from millwatch.operators.ensembles import FailureEnsembleModel, HealthEnsemble, HealthEnsembleModel
-from millwatch.operators.features import filled_sequence, sequence_windows
 from millwatch.operators.health import distance_health
-from millwatch.plans.storage import written
+from millwatch.operators.networks import fit_network, matrices, packed_rows, probabilities, read_rows
+from millwatch.plans.series import packed_series, unpacked, window_figure
+from millwatch.plans.storage import discard, written
 
 # Defaults of the model families.
 TREES, DEPTH, ROUNDS, RATE, BOOST_DEPTH, SEED = 100, 10, 100, 0.1, 6, 42
@@ -40,14 +42,6 @@ def _inputs(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({f"_f{j}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for j, c in enumerate(features)})
 
 
-def _training(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Only what a trainer reads, spread evenly: it passes over its input many times."""
-    rows = _inputs(df, features).select(*[f"_f{j}" for j in range(len(features))], label)
-    # As many tasks as cores, more where their share would grow too large to cache.
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / ROWS_PER_TASK))
-    return rows.repartition(tasks, F.xxhash64(*rows.columns))
-
-
 def _binned(df: DataFrame, features: Sequence[str], label: str, classes: bool) -> tuple[list, DataFrame]:
     """The stages that bin features, and all labelled rows as cells: bins, label, rows in ``weight``.
 
@@ -146,22 +140,31 @@ class SequenceClassifier:
     pipeline: PipelineModel
     name: str = "failure_sequence"
 
+    def _network(self) -> list[tuple]:
+        """The layers as matrices; models stored by earlier versions scale their inputs in a stage before."""
+        *scalers, model = self.pipeline.stages
+        net = matrices(model.weights.toArray(), model.getLayers())
+        for scaler in scalers:
+            spread = scaler.std.toArray()
+            scale = np.divide(1.0, spread, out=np.zeros_like(spread), where=spread > 0)
+            own = scale[:, None] * net[0][0]
+            net[0] = (own, net[0][1] - scaler.mean.toArray() @ own)
+        return net
+
     def score(self, df: DataFrame) -> DataFrame:
-        rows = sequence_windows(df, self.order, self.column, self.length, self.key, keep_short=True).withColumn("sequence", filled_sequence())
-        full = F.col("sequence").isNotNull() & (F.size("sequence") == self.length)
-        padded = F.when(full, F.col("sequence")).otherwise(F.array_repeat(F.lit(0.0), self.length))
-        out = self.pipeline.transform(rows.withColumn("_raw", array_to_vector(padded)))
-        return out.select(*df.columns, F.when(full, vector_to_array("_p")[1]).otherwise(0.0).alias(self.name))
+        net = self._network()
+        out = window_figure(df, self.order, self.column, self.length, lambda w: probabilities(w, net)[:, 1], self.name, self.key)
+        return out.withColumn(self.name, F.coalesce(self.name, F.lit(0.0)))
 
 
 def fit_failure_sequence(df: DataFrame, column: str, label: str, order: Sequence[str], length: int = 60,
                          key: str = "equipment_id", hidden: Sequence[int] = (32, 16), rounds: int = 50, seed: int = SEED) -> SequenceClassifier:
-    rows = sequence_windows(df, order, column, length, key).withColumn("sequence", filled_sequence()).where("sequence is not null")
-    rows = rows.withColumn("_raw", array_to_vector("sequence"))
-    stages = [StandardScaler(withMean=True, inputCol="_raw", outputCol="_x"),
-              MultilayerPerceptronClassifier(labelCol=label, featuresCol="_x", probabilityCol="_p", predictionCol="_y", rawPredictionCol="_r",
-                                             layers=[length, *hidden, 2], maxIter=rounds, seed=seed)]
-    return SequenceClassifier(column, list(order), length, key, Pipeline(stages=stages).fit(rows.select("_raw", label)))
+    """All whole windows of labelled rows; what is stored and passed over is the series, not the windows."""
+    pieces = written(packed_series(df, order, column, length, label, key), "series")
+    network = fit_network(pieces, lambda batches: unpacked(batches, length), [length, *hidden, 2], rounds, seed,
+                          probabilityCol="_p", predictionCol="_y", rawPredictionCol="_r")
+    discard(pieces)
+    return SequenceClassifier(column, list(order), length, key, PipelineModel([network]))
 
 
 # --- health regressors ------------------------------------------------------------
@@ -186,11 +189,12 @@ def fit_health_network(df: DataFrame, features: Sequence[str], label: str, hidde
                        seed: int = SEED) -> Scorer:
     """A network over five health bands; the score is the expected middle of the band."""
     band = sum((F.when(F.col(label) >= e, 1.0).otherwise(0.0) for e in BAND_EDGES), F.lit(0.0))
-    rows = _training(df, features, label).withColumn("_band", band)
-    stages = [_assembler(features, "_raw"), StandardScaler(withMean=True, inputCol="_raw", outputCol="_x"),
-              MultilayerPerceptronClassifier(labelCol="_band", featuresCol="_x", probabilityCol="_p", predictionCol="_y", rawPredictionCol="_r",
-                                             layers=[len(features), *hidden, len(BAND_MIDDLES)], maxIter=rounds, seed=seed)]
-    return Scorer("health_mlp", "bands", list(features), Pipeline(stages=stages).fit(rows))
+    blocks = packed_rows(_inputs(df, features).withColumn("_band", band), [f"_f{j}" for j in range(len(features))], "_band")
+    stored = written(blocks, "rows")
+    network = fit_network(stored, read_rows(len(features)), [len(features), *hidden, len(BAND_MIDDLES)], rounds, seed,
+                          probabilityCol="_p", predictionCol="_y", rawPredictionCol="_r")
+    discard(stored)
+    return Scorer("health_mlp", "bands", list(features), PipelineModel([_assembler(features), network]))
 
 
 @dataclass

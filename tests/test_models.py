@@ -282,3 +282,55 @@ def test_boosting_on_cells_is_boosting_on_rows(spark, kind):
     ours, theirs = ([round(r["prediction"], 9) for r in m.transform(points.orderBy(F.col("_x").cast("string"))).collect()]
                     for m in (found.copy({found.predictionCol: "prediction"}), plain))
     assert ours == theirs and len(ours) == 35
+
+
+# --- networks and series on all rows ----------------------------------------------
+
+
+def test_network_is_that_of_spark(spark):
+    """The same first weights, as good a fit after as many rounds (line searches differ), and one score by NumPy and by Spark."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from millwatch.operators import networks as W
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(3, 2, (1200, 5))
+    x[:, 4] = 7
+    y = (x[:, 0] + x[:, 1] * x[:, 2] / 3 > 5).astype(int) + (x[:, 3] > 4)
+    names = [f"x{j}" for j in range(5)]
+    df = spark.createDataFrame([(*map(float, r), float(c)) for r, c in zip(x, y)], ", ".join(f"{n} double" for n in names) + ", y double").repartition(5)
+    vectors = VectorAssembler(inputCols=names, outputCol="_x")
+    given = lambda model, rows: np.array([r[0] for r in model.transform(rows).orderBy("x0").select(vector_to_array("probability")).collect()])
+    losses, by_x = {}, y[x[:, 0].argsort()]
+    for rounds in (0, 20):
+        theirs = Pipeline(stages=[vectors, StandardScaler(withMean=True, inputCol="_x", outputCol="_s"), MultilayerPerceptronClassifier(
+            layers=[5, 6, 4, 3], maxIter=rounds, seed=42, featuresCol="_s", labelCol="y")]).fit(df)
+        mine = W.fit_network(W.packed_rows(df, names, "y"), W.read_rows(5), [5, 6, 4, 3], rounds, 42)
+        a, b = given(theirs, df), given(mine, vectors.transform(df))
+        losses[rounds] = [-np.log(p[np.arange(1200), by_x]).mean() for p in (a, b)]
+        assert rounds or abs(a - b).max() < 1e-9
+    assert losses[20][1] < 1.1 * losses[20][0] < 0.6 * losses[0][0]
+    own = W.probabilities(x[x[:, 0].argsort()], W.matrices(mine.weights.toArray(), [5, 6, 4, 3]))
+    assert abs(own - b).max() < 1e-9
+
+
+@pytest.mark.parametrize("hot_rows", [10 ** 6, 40])
+def test_series_gives_the_windows_of_each_row(spark, hot_rows):
+    """Figures of the streamed windows against those of lists, with gaps and hot keys; what is packed holds no window."""
+    from millwatch.plans.series import packed_series, unpacked, window_figure
+
+    rows = [(f"e{k}" if k else None, i, None if (i * 7 + k) % 13 == 0 or k == 2 else float(i * i % 31 + k), i % 2) for k in range(4) for i in range(300 if k == 1 else 25)]
+    df = spark.createDataFrame(rows, "equipment_id string, at int, v double, y int").repartition(3)
+    weight = np.arange(1.0, 6.0)
+    got = {(r["equipment_id"], r["at"]): r["f"] for r in window_figure(df, ["at"], "v", 5, lambda w: w @ weight, "f", hot_rows=hot_rows).collect()}
+    lists = C.sequence_windows(df, ["at"], "v", 5, keep_short=True).withColumn("sequence", C.filled_sequence()).collect()
+    want = {(r["equipment_id"], r["at"]): float(np.array(r["sequence"]) @ weight) if r["sequence"] and len(r["sequence"]) == 5 else None for r in lists}
+    assert len(got) == len(rows) and got == want
+    packed = packed_series(df, ["at"], "v", 5, "y", hot_rows=hot_rows)
+    whole = [(x @ weight, y) for x, y in unpacked(packed.toArrow().to_batches(), 5)]
+    assert sorted(np.concatenate([x for x, _ in whole]).tolist()) == sorted(v for v in want.values() if v is not None)
+    assert sum(y.sum() for _, y in whole) == sum(i % 2 for (_, i), v in want.items() if v is not None)
+    assert packed.agg(F.sum(F.length("series"))).first()[0] < 8 * 3 * len(rows)
