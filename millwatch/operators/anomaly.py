@@ -12,16 +12,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millwatch.operators.ensembles import AnomalyEnsemble, AnomalyEnsembleModel
 from millwatch.operators.evaluation import best_model, binary_metrics, long_form, predictions_of_best, stratified_split
-from millwatch.operators.features import filled_sequence, sequence_windows
 from millwatch.plans.quantiles import exact_quantiles
+from millwatch.plans.series import packed_series, unpacked, window_figure
 from millwatch.plans.storage import discard, written
 from millwatch.session import ship
 
@@ -281,38 +279,66 @@ class SequenceReconstruction:
     order: list[str]
     length: int
     key: str
-    pipeline: PipelineModel
+    mean: np.ndarray = field(repr=False)
+    components: np.ndarray = field(repr=False)
     cut: float = float("inf")
     name: str = "sequence_reconstruction"
 
-    def scores(self, df: DataFrame) -> DataFrame:
-        rows = sequence_windows(df, self.order, self.column, self.length, self.key, keep_short=True).withColumn("sequence", filled_sequence())
-        full = F.col("sequence").isNotNull() & (F.size("sequence") == self.length)
-        # Too short a history, or one without any value, is padded for the transform and gets no error.
-        padded = F.when(full, F.col("sequence")).otherwise(F.array_repeat(F.lit(0.0), self.length))
-        out = self.pipeline.transform(rows.withColumn("_raw", array_to_vector(padded)))
-
-        def squares(c: str) -> Column:
-            return F.aggregate(vector_to_array(c), F.lit(0.0), lambda a, x: a + x * x)
-
+    def errors(self, windows: np.ndarray) -> np.ndarray:
         # The components are orthonormal: what they do not hold is the error.
-        error = F.greatest(squares("_centred") - squares("_kept"), F.lit(0.0)) / self.length
-        return out.withColumn(f"{self.name}_score", F.when(full, -error).otherwise(0.0)).withColumn("_full", full).drop("_raw", "_centred", "_kept", "sequence")
+        centred = windows - self.mean
+        kept = centred @ self.components
+        return np.maximum(np.einsum("ij,ij->i", centred, centred) - np.einsum("ij,ij->i", kept, kept), 0.0) / self.length
 
     def score(self, df: DataFrame) -> DataFrame:
-        flag = F.col("_full") & (-F.col(f"{self.name}_score") > self.cut)
-        return self.scores(df).withColumn(self.name, F.when(flag, -1).otherwise(1)).drop("_full")
+        # Too short a history, or one without any value, gets no error.
+        out = window_figure(df, self.order, self.column, self.length, self.errors, "_error", self.key)
+        error = F.col("_error")
+        return out.withColumns({f"{self.name}_score": F.coalesce(-error, F.lit(0.0)), self.name: F.when(error > self.cut, -1).otherwise(1)}).drop("_error")
+
+
+def _components(pieces: DataFrame, length: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean window and the leading eigenvectors of the covariance of all windows, from one pass: a task gives sums of its windows, less a middle value."""
+    middle = pieces.select("series").mapInArrow(_middles, "total double, n long").agg(F.sum("total") / F.sum("n")).first()[0] or 0.0
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, squares = 0, np.zeros(length), np.zeros((length, length))
+        for windows, _ in unpacked(batches, length):
+            x = windows - middle
+            n, total, squares = n + len(x), total + x.sum(axis=0), squares + x.T @ x
+        sums = np.concatenate([[n], total, squares.ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums))), pa.array(sums)], names=["place", "total"])
+
+    sums = pieces.mapInArrow(add, "place long, total double").groupBy("place").agg(F.sum("total").alias("total")).toPandas().sort_values("place")["total"].to_numpy()
+    if not len(sums) or not sums[0]:
+        raise ValueError("no whole window to fit on")
+    mean = sums[1:length + 1] / sums[0]
+    covariance = sums[length + 1:].reshape(length, length) / sums[0] - np.outer(mean, mean)
+    return mean + middle, np.linalg.eigh(covariance)[1][:, ::-1][:, :count]
+
+
+def _middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total, n = 0.0, 0
+    for batch in batches:
+        for piece in batch.column("series").to_pylist():
+            values = np.frombuffer(piece)
+            known = values[~np.isnan(values)]
+            total, n = total + float(known.sum()), n + len(known)
+    yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([n])], names=["total", "n"])
 
 
 def fit_sequence_reconstruction(df: DataFrame, column: str, order: Sequence[str], length: int = 60, components: int = 8,
                                 key: str = "equipment_id", quantile: float = ERROR_QUANTILE) -> SequenceReconstruction:
-    rows = sequence_windows(df, order, column, length, key).withColumn("sequence", filled_sequence()).where("sequence is not null")
-    rows = rows.select(array_to_vector("sequence").alias("_raw"))
-    stages = [StandardScaler(withMean=True, withStd=False, inputCol="_raw", outputCol="_centred"),
-              PCA(k=min(components, length), inputCol="_centred", outputCol="_kept")]
-    model = SequenceReconstruction(column, list(order), length, key, Pipeline(stages=stages).fit(rows))
-    errors = model.scores(df).filter("_full").select((-F.col(f"{model.name}_score")).alias("e"))
-    model.cut = _cut(errors, "e", quantile)
+    """The series is dealt and put in order once and written as it is; components and errors come from its windows, which are never stored."""
+    pieces = written(packed_series(df, order, column, length, key=key), "series")
+    model = SequenceReconstruction(column, list(order), length, key, *_components(pieces, length, min(components, length)))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for windows, _ in unpacked(batches, length):
+            yield pa.RecordBatch.from_arrays([pa.array(model.errors(windows))], names=["e"])
+
+    model.cut = _cut(pieces.mapInArrow(measure, "e double"), "e", quantile)
+    discard(pieces)
     return model
 
 
@@ -320,7 +346,7 @@ def fit_sequence_reconstruction(df: DataFrame, column: str, order: Sequence[str]
 
 
 def save_detector(spark: SparkSession, model, path: str) -> None:
-    """Write a detector as tables: its numbers, and its trees or pipeline."""
+    """Write a detector as tables: its numbers, and its trees."""
     facts: dict = {"kind": model.name, "cut": float(model.cut)}
     if isinstance(model, IsolationForest):
         facts |= {"features": model.features, "size": int(model.size)}
@@ -329,8 +355,8 @@ def save_detector(spark: SparkSession, model, path: str) -> None:
     elif isinstance(model, KernelOneClass):
         facts |= {"features": model.features, **{n: getattr(model, n).tolist() for n in ("mean", "spread", "weights", "shift", "centre")}}
     else:
-        facts |= {"column": model.column, "order": model.order, "length": model.length, "key": model.key}
-        model.pipeline.write().overwrite().save(f"{path}/pipeline")
+        facts |= {"column": model.column, "order": model.order, "length": model.length, "key": model.key,
+                  "mean": model.mean.tolist(), "components": model.components.tolist()}
     spark.createDataFrame([(json.dumps(facts),)], "facts string").write.mode("overwrite").parquet(f"{path}/facts")
 
 
@@ -343,7 +369,10 @@ def load_detector(spark: SparkSession, path: str):
         return IsolationForest(facts["features"], trees, facts["size"], cut)
     if kind == "one_class_kernel":
         return KernelOneClass(facts.pop("features"), **{n: np.array(v) for n, v in facts.items()}, cut=cut)
-    return SequenceReconstruction(**facts, pipeline=PipelineModel.load(f"{path}/pipeline"), cut=cut)
+    if "mean" not in facts:  # stored by an earlier version, as stages of Spark ML
+        centring, projection = PipelineModel.load(f"{path}/pipeline").stages
+        facts |= {"mean": centring.mean.toArray(), "components": projection.pc.toArray()}
+    return SequenceReconstruction(**facts | {n: np.array(facts[n]) for n in ("mean", "components")}, cut=cut)
 
 
 # --- family -----------------------------------------------------------------------

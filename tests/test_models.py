@@ -334,3 +334,21 @@ def test_series_gives_the_windows_of_each_row(spark, hot_rows):
     assert sorted(np.concatenate([x for x, _ in whole]).tolist()) == sorted(v for v in want.values() if v is not None)
     assert sum(y.sum() for _, y in whole) == sum(i % 2 for (_, i), v in want.items() if v is not None)
     assert packed.agg(F.sum(F.length("series"))).first()[0] < 8 * 3 * len(rows)
+
+
+def test_sequence_reconstruction_is_that_of_components(spark):
+    """Errors and cut against Spark's own components on lists of values."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import PCA, StandardScaler
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    value = lambda k, i: float((i * i * 7 + k * i) % 41 + 1000)
+    df = spark.createDataFrame([(f"e{k}", i, value(k, i)) for k in range(5) for i in range(90)], "equipment_id string, at int, v double").repartition(3)
+    rows = C.sequence_windows(df, ["at"], "v", 6).withColumn("raw", array_to_vector("sequence"))
+    out = Pipeline(stages=[StandardScaler(withMean=True, withStd=False, inputCol="raw", outputCol="c"), PCA(k=2, inputCol="c", outputCol="p")]).fit(rows).transform(rows)
+    c, p = (np.array([r[0] for r in out.orderBy("equipment_id", "at").select(vector_to_array(n)).collect()]) for n in "cp")
+    want = ((c * c).sum(axis=1) - (p * p).sum(axis=1)) / 6
+    model = N.fit_sequence_reconstruction(df, "v", ["at"], length=6, components=2)
+    got = model.score(df).where("at >= 5").orderBy("equipment_id", "at").select("sequence_reconstruction_score", "sequence_reconstruction").collect()
+    assert abs(np.array([-r[0] for r in got]) - want).max() < 1e-8 and model.cut == pytest.approx(np.quantile(want, 0.95))
+    assert [r[1] for r in got] == [-1 if -r[0] > model.cut else 1 for r in got]
