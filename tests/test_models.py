@@ -352,3 +352,29 @@ def test_sequence_reconstruction_is_that_of_components(spark):
     got = model.score(df).where("at >= 5").orderBy("equipment_id", "at").select("sequence_reconstruction_score", "sequence_reconstruction").collect()
     assert abs(np.array([-r[0] for r in got]) - want).max() < 1e-8 and model.cut == pytest.approx(np.quantile(want, 0.95))
     assert [r[1] for r in got] == [-1 if -r[0] > model.cut else 1 for r in got]
+
+
+def test_forest_scores_go_down_all_trees_at_once():
+    """Scores of trees of unlike depth against a walk node by node, missing and endless numbers too."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (700, 3))
+    x[0], x[1, 1], x[2] = np.nan, np.inf, -np.inf
+    trees = []
+    for t, points in enumerate((256, 40, 1, 2)):
+        nodes = N.pd.DataFrame(N._grow(x[3:3 + points], np.random.default_rng(t), 8), columns=N.NODE)
+        trees.append(tuple(nodes[c].to_numpy() for c in N.NODE))
+
+    def walk(row):
+        total = 0.0
+        for feature, threshold, left, right, value in trees:
+            at = 0
+            while feature[at] >= 0:
+                at = left[at] if row[feature[at]] < threshold[at] else right[at]
+            total += value[at]
+        return -2.0 ** (-total / 4 / float(N.average_path(256)))
+
+    got = N._forest_score(trees, 256)(x)
+    assert abs(got - [walk(row) for row in x]).max() < 1e-15
+    assert len(N._forest_score(trees, 256)(x[:0])) == 0 and N._forest_score(trees[2:3], 256)(x[:2]).tolist() == [-1.0, -1.0]
+    features, _, values = N._complete(trees)
+    assert values.shape == (4, features.shape[1] + 1)
