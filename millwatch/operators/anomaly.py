@@ -243,6 +243,10 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str], row_id: Sequenc
 # --- kernel one-class -------------------------------------------------------------
 
 
+# Rows whose random features are made together.
+ROWS_MAPPED = 512
+
+
 @dataclass
 class KernelOneClass:
     """Mean similarity to the data under an RBF kernel, by random Fourier features."""
@@ -256,12 +260,18 @@ class KernelOneClass:
     cut: float = float("-inf")
     name: str = "one_class_kernel"
 
-    def map(self, x: np.ndarray) -> np.ndarray:
-        z = (x - self.mean) / self.spread
-        return np.sqrt(2.0 / len(self.shift)) * np.cos(z @ self.weights + self.shift)
+    def maps(self, x: np.ndarray) -> Iterator[np.ndarray]:
+        """The random features of some rows at a time: few enough that they stay in the processor's cache."""
+        for s in range(0, len(x), ROWS_MAPPED):
+            z = ((x[s:s + ROWS_MAPPED] - self.mean) / self.spread) @ self.weights
+            z += self.shift
+            yield np.cos(z, out=z)
+
+    def similarity(self, x: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(0), *[m @ self.centre for m in self.maps(x)]]) * np.sqrt(2.0 / len(self.shift))
 
     def scores(self, df: DataFrame) -> DataFrame:
-        return _add_array_score(df, self.features, self.name, lambda x: self.map(x) @ self.centre)
+        return _add_array_score(df, self.features, self.name, self.similarity)
 
     def score(self, df: DataFrame) -> DataFrame:
         return _judged(self.scores(df), self.name, self.cut)
@@ -281,9 +291,10 @@ def fit_one_class(df: DataFrame, features: Sequence[str], nu: float = NU, size:
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros(size), 0
         for pdf in batches:
-            total += model.map(pdf.to_numpy(dtype="float64")).sum(axis=0)
+            for part in model.maps(pdf.to_numpy(dtype="float64")):
+                total += part.sum(axis=0)
             n += len(pdf)
-        yield pd.DataFrame({"place": np.arange(size), "total": total, "n": n})
+        yield pd.DataFrame({"place": np.arange(size), "total": total * np.sqrt(2.0 / size), "n": n})
 
     values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"x{j}") for j, c in enumerate(features)]
     sums = df.select(*values).mapInPandas(add, "place long, total double, n long").groupBy("place").agg(

@@ -378,3 +378,13 @@ def test_forest_scores_go_down_all_trees_at_once():
     assert len(N._forest_score(trees, 256)(x[:0])) == 0 and N._forest_score(trees[2:3], 256)(x[:2]).tolist() == [-1.0, -1.0]
     features, _, values = N._complete(trees)
     assert values.shape == (4, features.shape[1] + 1)
+
+
+def test_kernel_scores_come_some_rows_at_a_time():
+    """The mean similarity of each row as by its formula, and no more features at once than a block of rows has."""
+    rng = np.random.default_rng(5)
+    x, size = rng.normal(2, 3, (1300, 4)), 64
+    model = N.KernelOneClass(FEATURES[:4], x.mean(axis=0), x.std(axis=0), rng.normal(0, 1, (4, size)), rng.uniform(0, 6, size), rng.normal(0, 1, size))
+    want = np.sqrt(2 / size) * np.cos((x - model.mean) / model.spread @ model.weights + model.shift) @ model.centre
+    assert abs(model.similarity(x) - want).max() < 1e-12 and len(model.similarity(x[:0])) == 0
+    assert [len(m) for m in model.maps(x)] == [512, 512, 276]
