@@ -31,6 +31,8 @@ CLUSTERS, FOLDS = 5, 5
 # Memory for split statistics: more nodes are split in one pass over the rows.
 SPLIT_MEMORY_MB = 1024
 ROWS_PER_TASK = 5_000_000
+# k-means keeps its rows as objects, so a task has fewer of them.
+ROWS_PER_CLUSTER_TASK = 1_000_000
 # Trees see a feature by its bin only. Of a cell of alike rows, a forest draws so many lots of equal weight, or its rows if they are fewer.
 BINS, LOTS = 32, 8
 # The health bands a banded network learns, and their middle scores.
@@ -74,6 +76,12 @@ def _grown(stages: Sequence, learner, cells: DataFrame) -> PipelineModel:
     return PipelineModel([cuts, ordered, vectors, learner.fit(vectors.transform(ordered.transform(spread)))])
 
 
+def _spread(rows: DataFrame, at_once: int) -> DataFrame:
+    """Rows dealt evenly to as many tasks as cores, or more, so that a task has at most about ``at_once`` of them however well the input is packed."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(rows.count() / at_once))
+    return rows.repartition(tasks)
+
+
 def _assembler(features: Sequence[str], out: str = "_x") -> VectorAssembler:
     return VectorAssembler(inputCols=[f"_f{j}" for j in range(len(features))], outputCol=out)
 
@@ -217,7 +225,12 @@ class ClusterScorer:
 def fit_health_clusters(df: DataFrame, features: Sequence[str], clusters: int = CLUSTERS, seed: int = SEED) -> ClusterScorer:
     stages = [_assembler(features, "_raw"), StandardScaler(withMean=True, inputCol="_raw", outputCol="_x"),
               KMeans(k=clusters, seed=seed, featuresCol="_x", predictionCol="_c")]
-    return ClusterScorer(list(features), Pipeline(stages=stages).fit(_inputs(df, features)))
+    rows = _inputs(df, features).select(*[f"_f{j}" for j in range(len(features))])
+    held = _spread(rows, ROWS_PER_CLUSTER_TASK).persist()
+    try:
+        return ClusterScorer(list(features), Pipeline(stages=stages).fit(held))
+    finally:
+        held.unpersist()
 
 
 # --- families ---------------------------------------------------------------------

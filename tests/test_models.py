@@ -388,3 +388,19 @@ def test_kernel_scores_come_some_rows_at_a_time():
     want = np.sqrt(2 / size) * np.cos((x - model.mean) / model.spread @ model.weights + model.shift) @ model.centre
     assert abs(model.similarity(x) - want).max() < 1e-12 and len(model.similarity(x[:0])) == 0
     assert [len(m) for m in model.maps(x)] == [512, 512, 276]
+
+
+def test_clusters_are_fitted_on_tasks_of_bounded_size(failing, monkeypatch):
+    """However few partitions the input has, no task of the fit has many more rows than it may; copies of one row do not pile up either."""
+    sizes = []
+
+    class Recorder(Q.KMeans):
+        def _fit(self, dataset):
+            sizes.extend(dataset.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(Q, "KMeans", Recorder)
+    monkeypatch.setattr(Q, "ROWS_PER_CLUSTER_TASK", 100)
+    one = failing.coalesce(1)
+    Q.fit_health_clusters(one.unionByName(one.limit(1).withColumn("id", F.explode(F.sequence(F.lit(1), F.lit(500))))).coalesce(1), WIDE)
+    assert sum(sizes) == 2000 and max(sizes) <= 110
