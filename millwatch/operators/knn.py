@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -74,7 +75,9 @@ def impute_knn(df: DataFrame, columns: Sequence[str], row_id: Sequence[str] = ()
     if not columns:
         return df
     d = len(columns)
-    identity = F.struct(*row_id) if row_id else F.struct(F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})))
+    # Rows meet inside their block: what names the block need not be moved with each of them once more.
+    told = [c for c in row_id if c != block]
+    identity = F.struct(*told) if told else F.struct(F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})))
     marked = df.withColumns({"_id": identity, "_block": F.col(block) if block else F.lit(0)})
     complete = _total([F.col(c).isNull().cast("int") for c in columns]) == 0
     base = marked.select("_id", "_block", *[F.col(c).cast("double").alias(f"x{j}") for j, c in enumerate(columns)])
@@ -84,9 +87,15 @@ def impute_knn(df: DataFrame, columns: Sequence[str], row_id: Sequence[str] = ()
 
     placed = _placed(base, xs, finest)
 
+    # Places from -1 to finest - 1 in one whole number, if it has room for all measures.
+    bits = finest.bit_length()
+
     def cell(level: int) -> Column:
         step = CELLS_PER_AXIS ** (levels - level)
-        return F.concat_ws(".", *[F.when(F.col(f"i{x}") < 0, F.lit(-1)).otherwise(F.floor(F.col(f"i{x}") / step)).cast("string") for x in xs])
+        places = [F.when(F.col(f"i{x}") < 0, F.lit(-1)).otherwise(F.floor(F.col(f"i{x}") / step)).cast("long") for x in xs]
+        if bits * d > 62:
+            return F.concat_ws(".", *[p.cast("string") for p in places])
+        return reduce(lambda a, p: F.shiftleft(a, bits).bitwiseOR(p + 1), places, F.lit(0).cast("long"))
 
     # Copies of one row fold into one candidate with a count.
     donors = placed.groupBy("_block", *xs, *[f"i{x}" for x in xs]).agg(
@@ -113,7 +122,7 @@ def impute_knn(df: DataFrame, columns: Sequence[str], row_id: Sequence[str] = ()
         pairs = pairs.filter(has_target).withColumns({
             "_near": _scaled([a * a for a in near], shared, d), "_far": _scaled([a * a for a in far], shared, d),
         }).filter(F.col("_near").isNotNull())
-        mine = Window.partitionBy("_qid", "_target")
+        mine = Window.partitionBy("_qblock", "_qid", "_target")
         held = F.sum("_copies").over(mine.orderBy("_far", "_cell").rowsBetween(Window.unboundedPreceding, 0))
         reach = F.min(F.when(F.col("_held") >= neighbours, F.col("_far"))).over(mine)
         kept = pairs.withColumn("_held", held).withColumn("_reach", reach)
@@ -124,19 +133,21 @@ def impute_knn(df: DataFrame, columns: Sequence[str], row_id: Sequence[str] = ()
     shared = [F.col(f"q{x}").isNotNull() & F.col(x).isNotNull() for x in xs]
     squares = [(F.col(x) - F.col(f"q{x}")) * (F.col(x) - F.col(f"q{x}")) for x in xs]
     value = F.coalesce(*[F.when(F.col("_target") == j, F.col(x)) for j, x in enumerate(xs)])
-    measured = measured.select("_qid", "_target", value.alias("_value"), "_copies", "_first", _scaled(squares, shared, d).alias("_distance"))
-    nearest = Window.partitionBy("_qid", "_target").orderBy("_distance", "_first")
+    measured = measured.select("_qblock", "_qid", "_target", value.alias("_value"), "_copies", "_first", _scaled(squares, shared, d).alias("_distance"))
+    nearest = Window.partitionBy("_qblock", "_qid", "_target").orderBy("_distance", "_first")
     before = F.coalesce(F.sum("_copies").over(nearest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     used = F.least(F.col("_copies"), neighbours - F.col("_before"))
+    # No more candidates than neighbours count; Spark leaves the others out before they are moved.
+    measured = measured.withColumn("_place", F.row_number().over(nearest)).filter(F.col("_place") <= neighbours).drop("_place")
     filled = (
         measured.withColumn("_before", before).filter(F.col("_before") < neighbours)
-        .groupBy("_qid").agg(*[
+        .groupBy("_qblock", "_qid").agg(*[
             (F.sum(F.when(F.col("_target") == j, F.col("_value") * used))
              / F.sum(F.when(F.col("_target") == j, used))).alias(f"_filled{j}") for j in range(d)])
     )
     means = df.agg(F.struct(*[F.avg(c).alias(c) for c in columns]).alias("q")).scalar()
     # Only the incomplete rows meet their fill; the others are not moved.
-    gaps = marked.filter(~complete).join(filled, F.col("_id") == F.col("_qid"), "left").withColumn("_means", means)
+    gaps = marked.filter(~complete).join(filled, (F.col("_block") == F.col("_qblock")) & (F.col("_id") == F.col("_qid")), "left").withColumn("_means", means)
     gaps = gaps.withColumns({
         c: F.coalesce(F.col(c).cast("double"), F.col(f"_filled{j}"), F.col("_means")[c]) for j, c in enumerate(columns)})
     whole = marked.filter(complete).withColumns({c: F.col(c).cast("double") for c in columns})

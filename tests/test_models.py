@@ -404,3 +404,12 @@ def test_clusters_are_fitted_on_tasks_of_bounded_size(failing, monkeypatch):
     one = failing.coalesce(1)
     Q.fit_health_clusters(one.unionByName(one.limit(1).withColumn("id", F.explode(F.sequence(F.lit(1), F.lit(500))))).coalesce(1), WIDE)
     assert sum(sizes) == 2000 and max(sizes) <= 110
+
+
+def test_neighbours_are_limited_before_they_are_moved(spark, sf):
+    """Of the measured candidates a task sends on no more than may count, and a row's id goes without the name of its block."""
+    p = X.dirty_plant(spark, sf)
+    plan = K.impute_knn(p, ["value", "temperature"], ["l_orderkey", "l_linenumber", "l_partkey", "equipment_id", "timestamp"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in text and "Partial" in text.split("WindowGroupLimit", 1)[1]
+    assert "struct(l_orderkey" in text and ", equipment_id, equipment_id" not in text
