@@ -779,7 +779,7 @@ def _event_stream(spark, d):
 def stream_zscore(spark, d):
     path = storage.fresh_path(spark, "zscore")
     scored = T.stream_zscore(_event_stream(spark, d))
-    T.await_done(T.to_parquet(scored, f"{path}/rows", f"{path}/checkpoint"))
+    T.await_done(T.to_parquet(scored, f"{path}/rows", f"{path}/checkpoint"), None)
     z = spark.read.schema(scored.schema).parquet(f"{path}/rows")
     return z.select("reading_id", "equipment_id", "sensor_type", r("z_score").alias("z_score"),
                     flag("is_anomaly").alias("is_anomaly"), r("anomaly_confidence").alias("anomaly_confidence"))

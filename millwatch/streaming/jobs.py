@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -32,13 +33,23 @@ def recent_statistics(past: np.ndarray, new: np.ndarray, window: int) -> tuple[n
     """Count, mean and population deviation of the last ``window`` values up to each new one."""
     series = np.concatenate([np.full(window - 1, np.nan), past[-(window - 1):] if window > 1 else past[:0], new])
     series = series[len(series) - len(new) - window + 1:]
+    return statistics_at(series, np.arange(window - 1, len(series)), np.full(len(series), window), window)
+
+
+def statistics_at(series: np.ndarray, places: np.ndarray, rank: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Count, mean and population deviation of the last ``window`` values up to some places of series laid end to end.
+
+    ``rank`` gives how many values of its own series stand before each value.
+    """
+    frames = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(window - 1, np.nan), series]), window)
     counts, means, spreads = [], [], []
-    for start in range(0, len(new), ROWS_AT_ONCE):
-        part = series[start:start + ROWS_AT_ONCE + window - 1]
-        frames = np.lib.stride_tricks.sliding_window_view(part, window)
-        n = np.count_nonzero(~np.isnan(frames), axis=1)
-        mean = np.nansum(frames, axis=1) / n
-        spread = np.sqrt(np.nansum((frames - mean[:, None]) ** 2, axis=1) / n)
+    for start in range(0, len(places), ROWS_AT_ONCE):
+        at = places[start:start + ROWS_AT_ONCE]
+        part = frames[at]
+        part[np.arange(window - 1, -1, -1) > rank[at, None]] = np.nan
+        n = np.count_nonzero(~np.isnan(part), axis=1)
+        mean = np.nansum(part, axis=1) / n
+        spread = np.sqrt(np.nansum((part - mean[:, None]) ** 2, axis=1) / n)
         counts.append(n), means.append(mean), spreads.append(spread)
     return np.concatenate(counts), np.concatenate(means), np.concatenate(spreads)
 
@@ -47,6 +58,12 @@ def recent_statistics(past: np.ndarray, new: np.ndarray, window: int) -> tuple[n
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Rows of a key that arrive in more than one part are put aside by slices of so many microseconds.
 SLICE_US = 60_000_000
+#: Keys are dealt into so many lots, each with one state: a call per lot costs milliseconds, one per key would too.
+LOTS = 2048
+#: Rows of a lot that are held at once; of a lot with more, time slices.
+LOT_ROWS = 250_000
+LOT_SLICES = 256
+_LOT = "_lot"
 
 
 class ZScores(StatefulProcessor):
@@ -99,9 +116,9 @@ class ZScores(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _put(self, rows: pd.DataFrame, part: int, slices: dict[int, list[int]]) -> None:
+    def _put(self, rows: pd.DataFrame, part: int, slices: dict[int, list[int]], width: int = SLICE_US) -> None:
         """Rows aside in the state, by slice of their time."""
-        at = rows[self.order[0]].to_numpy().astype("datetime64[us]").astype("int64") // SLICE_US
+        at = rows[self.order[0]].to_numpy().astype("datetime64[us]").astype("int64") // width
         for s in np.unique(at):
             self.aside.updateValue((int(s), part), (pickle.dumps(rows[at == s]),))
             slices.setdefault(int(s), []).append(part)
@@ -115,14 +132,83 @@ class ZScores(StatefulProcessor):
 
     def _scored(self, rows: pd.DataFrame, past: np.ndarray) -> tuple[pd.DataFrame, np.ndarray]:
         values = rows["value"].to_numpy(dtype="float64")
-        n, mean, spread = recent_statistics(past, values, self.window)
+        return self._judged(rows, values, *recent_statistics(past, values, self.window)), np.concatenate([past, values])[-self.window:]
+
+    def _judged(self, rows: pd.DataFrame, values: np.ndarray, n: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> pd.DataFrame:
         with np.errstate(divide="ignore", invalid="ignore"):
             warm = np.where(spread > 0, np.abs(values - mean) / spread, 0.0)
         early = np.abs(values) if self.cold_start == "unit" else np.zeros(len(values))
         z = np.where(n >= self.min_count, warm, early)
         flagged = z > self.threshold
-        scored = rows.assign(z_score=z, is_anomaly=flagged, anomaly_confidence=np.where(flagged, np.minimum(z / self.threshold, 1.0), 0.0))
-        return scored, np.concatenate([past, values])[-self.window:]
+        return rows.assign(z_score=z, is_anomaly=flagged, anomaly_confidence=np.where(flagged, np.minimum(z / self.threshold, 1.0), 0.0))
+
+
+class ZScoreLots(ZScores):
+    """``ZScores`` over lots of keys: the last values of a lot's keys are one state, and its rows are scored together.
+
+    A lot's rows in a micro-batch are held up to ``at_once`` rows. Of a larger lot, rows are put aside by time slices
+    whose width is cut from the first rows held, and the slices are scored one after the other.
+    """
+
+    def __init__(self, keys: list[str], order: list[str], window: int, threshold: float, min_count: int, cold_start: str, at_once: int = LOT_ROWS) -> None:
+        super().__init__(order, window, threshold, min_count, cold_start, 0, 0)
+        self.keys, self.at_once = keys, at_once
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.recent = handle.getValueState("recent", "packed binary")
+        self.aside = handle.getMapState("aside", "slice long, part int", "rows binary")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        past, held, size, slices, width = self._unpacked(), [], 0, {}, None
+        for part, more in enumerate(rows):
+            held.append(more)
+            size += len(more)
+            if size > self.at_once:
+                width = width or self._width(held)
+                self._put(pd.concat(held), part, slices, width)
+                held, size = [], 0
+        if slices and held:
+            self._put(pd.concat(held), part + 1, slices, width)
+        parts = (self._take(s, slices[s]) for s in sorted(slices)) if slices else [pd.concat(held)]
+        for one in parts:
+            scored, past = self._scored(one.sort_values(self.order, kind="stable", na_position="first"), past)
+            yield scored
+        self._pack(past)
+
+    def _width(self, held: list[pd.DataFrame]) -> int:
+        times = pd.concat([rows[self.order[0]] for rows in held])
+        span = (times.max() - times.min()) / pd.Timedelta(microseconds=1)
+        return max(int(span / LOT_SLICES), 1) if span == span else SLICE_US
+
+    def _scored(self, rows: pd.DataFrame, past: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """Rows in order with their scores, and the last values of each key in order."""
+        both = pd.concat([past, rows[[*self.keys, "value"]]], ignore_index=True) if len(past) else rows[[*self.keys, "value"]]
+        number = both.groupby(self.keys, sort=False, dropna=False).ngroup().to_numpy()
+        at = np.argsort(number, kind="stable")  # what is past stays before what is new
+        sizes = np.bincount(number)
+        rank = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        values = both["value"].to_numpy(dtype="float64")[at]
+        new = np.flatnonzero(at >= len(past))
+        scored = self._judged(rows.iloc[at[new] - len(past)], values[new], *statistics_at(values, new, rank, self.window))
+        return scored, both.iloc[at[np.repeat(sizes, sizes) - rank < self.window]]
+
+    def _pack(self, past: pd.DataFrame) -> None:
+        """The state of the lot: a row per key with the list of its last values."""
+        first = np.flatnonzero(~past.duplicated(self.keys).to_numpy())
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[first, len(past)], "int32"), pa.array(past["value"].to_numpy(dtype="float64")))
+        packed = pa.Table.from_pandas(past[self.keys].iloc[first], preserve_index=False).append_column("value", lists)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, packed.schema) as out:
+            out.write_table(packed)
+        self.recent.update((sink.getvalue().to_pybytes(),))
+
+    def _unpacked(self) -> pd.DataFrame:
+        if not self.recent.exists():
+            return pd.DataFrame(columns=[*self.keys, "value"])
+        packed = pa.ipc.open_stream(bytes(self.recent.get()[0])).read_all()
+        lists = packed.column("value").combine_chunks()
+        keys = packed.select(self.keys).to_pandas()
+        return keys.iloc[np.repeat(np.arange(len(keys)), lists.value_lengths().to_numpy())].assign(value=lists.flatten().to_numpy())
 
 
 def stream_zscore(
@@ -142,6 +228,8 @@ def stream_zscore(
     them. ``idle`` (needs a watermark) forgets a key that stays silent that long in event time, by a
     timer; ``ttl`` forgets values that long after they were last written, by the clock: such a stream goes on with
     micro-batches until it is stopped, whatever its trigger. One of them at most.
+    Both forget by key, so they keep a state per key; without them keys share a state by lots, which takes
+    far less time with many keys. A checkpoint goes on with the form it was begun in.
     Sets the session's state store to the one that this needs.
     """
     if idle and ttl:
@@ -150,10 +238,13 @@ def stream_zscore(
     shape = T.StructType([*df.schema.fields, T.StructField("z_score", T.DoubleType()),
                           T.StructField("is_anomaly", T.BooleanType()), T.StructField("anomaly_confidence", T.DoubleType())])
     idle_ms, ttl_ms = (int(pd.Timedelta(t).total_seconds() * 1000) if t else 0 for t in (idle, ttl))
-    processor = ZScores(list(order), window, threshold, min_count, cold_start, idle_ms, ttl_ms)
-    mode = "EventTime" if idle else "ProcessingTime" if ttl else "None"
+    rows = D.complete(df, list(keys))
     ship(df.sparkSession)
-    return D.complete(df, list(keys)).groupBy(*keys).transformWithStateInPandas(processor, shape, "Append", mode)
+    if not (idle or ttl):
+        lots = rows.withColumn(_LOT, F.pmod(F.xxhash64(*keys), F.lit(LOTS)).cast("int")).groupBy(_LOT)
+        return lots.transformWithStateInPandas(ZScoreLots(list(keys), list(order), window, threshold, min_count, cold_start), shape, "Append", "None")
+    processor = ZScores(list(order), window, threshold, min_count, cold_start, idle_ms, ttl_ms)
+    return rows.groupBy(*keys).transformWithStateInPandas(processor, shape, "Append", "EventTime" if idle else "ProcessingTime")
 
 
 # --- alert cool-down --------------------------------------------------------------
@@ -293,9 +384,9 @@ def score_stream(df: DataFrame, model) -> DataFrame:
     return out
 
 
-def await_done(query: StreamingQuery, seconds: float = 600.0) -> StreamingQuery:
-    """Wait for a bounded run; an unfinished or failed one raises."""
-    if not query.awaitTermination(int(seconds)):
+def await_done(query: StreamingQuery, seconds: float | None = 600.0) -> StreamingQuery:
+    """Wait for a bounded run (``None``: as long as it takes); an unfinished or failed one raises."""
+    if not query.awaitTermination(None if seconds is None else int(seconds)) and seconds is not None:
         query.stop()
         raise TimeoutError(f"stream not done after {seconds} s")
     return query

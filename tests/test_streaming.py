@@ -152,6 +152,39 @@ def test_parts_are_put_aside_by_time_and_forgotten_when_idle():
     assert lasting.given["values"] == {"ttlDurationMs": 5000} and lasting.given["aside"] == {}
 
 
+def test_zscore_keeps_a_state_per_lot_and_not_per_key(spark, folder, days, monkeypatch):
+    path, rows = days
+    monkeypatch.setattr(T, "LOTS", 4)
+    query = T.await_done(T.to_parquet(T.stream_zscore(stream(spark, path, rows.schema)), f"{folder}/lots", f"{folder}/c"), None)
+    assert rows.select("equipment_id", "sensor_type").distinct().count() > 50
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 4
+    out, batch = spark.read.parquet(f"{folder}/lots"), D.zscore_anomaly(rows)
+    assert differences(rounded(out, "z_score", "anomaly_confidence"), rounded(batch, "z_score", "anomaly_confidence")) == ""
+
+
+@pytest.mark.parametrize("at_once", [10_000, 150])
+def test_lots_score_each_key_by_itself(at_once):
+    """Keys of a lot, in parts and over two micro-batches, against one processor a key; larger lots go by time slices."""
+    rng = np.random.default_rng(5)
+    rows = pd.DataFrame({"timestamp": pd.Timestamp("2024-01-01") + pd.to_timedelta(rng.permutation(3000), unit="s"), "reading_id": range(3000),
+                         "a": rng.choice(["x", "y", "z"], 3000, p=[.9, .09, .01]), "b": rng.integers(0, 2, 3000), "value": rng.normal(size=3000), "_lot": 7})
+    rule, batches = (["timestamp", "reading_id"], 20, 2.0, 10, "unit"), [rows[rows["timestamp"] < "2024-01-01 00:20"], rows[rows["timestamp"] >= "2024-01-01 00:20"]]
+    handle, made, expected = _Handle(), [], []
+    for batch in batches:
+        job = T.ZScoreLots(["a", "b"], *rule, at_once)
+        job.init(handle)
+        out = list(job.handleInputRows((7,), (batch.iloc[i:i + 100] for i in range(0, len(batch), 100)), _Times(0)))
+        assert max(map(len, out)) <= max(at_once, 200) or at_once == 10_000
+        made += out
+    assert not [k for k in handle.states["aside"] if isinstance(k, tuple)]
+    for _, own in rows.groupby(["a", "b"]):
+        job = T.ZScores(*rule, 0, 0)
+        job.init(_Handle())
+        expected += list(job.handleInputRows(("a",), iter([own]), _Times(0)))
+    by_id = lambda parts: pd.concat(parts).sort_values("reading_id").reset_index(drop=True)
+    pd.testing.assert_frame_equal(by_id(made), by_id(expected), check_exact=True)
+
+
 def test_late_rows_of_more_micro_batches_than_a_query_remembers(spark, tmp_path):
     """Each file but the first brings one row in time and one far too late."""
     counter = T.count_late_rows(spark)
