@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millwatch.functions import scores as S
 from millwatch.operators.cleaning import numeric_columns
 from millwatch.plans.quantiles import quantile_struct
 from millwatch.plans.slices import HOT_ROWS, lookback, running
 from millwatch.schemas import MEASURES
+from millwatch.session import ship
 
 ROLLING_WINDOWS = [5, 10, 30, 60]
 SEQUENCE_LENGTH = 60
@@ -32,6 +36,65 @@ def time_features(df: DataFrame) -> DataFrame:
     })
 
 
+def _continued(batch: pa.RecordBatch, by: list[int], columns: list[int], past: tuple | None, back: int) -> tuple:
+    """Rank of the rows in their keys, what the next batch needs, and each column with the ``back`` rows before the batch.
+
+    Rows come key by key, in order. The rank also covers the rows carried along and stops at ``back``.
+    """
+    n = batch.num_rows
+    change = np.zeros(n, "bool")
+    for i in by:
+        codes = batch.column(i).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        change[1:] |= codes[1:] != codes[:-1]
+    key = [batch.column(i)[n - 1] for i in by]
+    same = past is not None and all(batch.column(i)[0].equals(k) for i, k in zip(by, past[0]))
+    start = np.where(change, np.arange(n), 0)
+    begun = np.arange(n) - np.maximum.accumulate(start)
+    first = int(change.argmax()) if change.any() else n
+    if same:
+        begun[:first] += past[1]
+    rank = np.minimum(begun, back)
+    series, kept = [], []
+    for j, i in enumerate(columns):
+        column = batch.column(i)
+        known = column.is_valid().to_numpy(zero_copy_only=False)
+        values = column.fill_null(0).to_numpy(zero_copy_only=False)
+        before, seen = past[2][j] if same else (np.zeros(back, values.dtype), np.zeros(back, "bool"))
+        values, known = np.concatenate([before, values]), np.concatenate([seen, known])
+        series.append((values, known))
+        kept.append((values[len(values) - back:], known[len(known) - back:]))
+    return rank, (key, int(begun[-1]) + 1, kept), series
+
+
+def _rolled(values: np.ndarray, known: np.ndarray, rank: np.ndarray, windows: list[int]) -> list[pa.Array]:
+    """Mean, sample deviation, maximum and minimum of each window up to each ranked value; the values before them are those carried along."""
+    whole, back = values.dtype.kind == "i", len(values) - len(rank)
+    high, low = (np.iinfo(values.dtype).min, np.iinfo(values.dtype).max) if whole else (-np.inf, np.nan)
+    # Figures of a frame: count, mean, squared deviations, highest, lowest.
+    none = (0.0, 0.0, 0.0, high, low)
+    made = {1: (known.astype("float64"), np.where(known, values, 0).astype("float64"), np.zeros(len(values)), np.where(known, values, high), np.where(known, values, low))}
+    rank, out = np.concatenate([rank[0] - np.arange(back, 0, -1), rank]), []
+
+    def earlier(figures: tuple, rows: int) -> tuple:
+        """The figures some rows back; none where the key has no such row."""
+        reached = rank[rows:] >= rows
+        return tuple(np.concatenate([np.full(min(rows, len(f)), e, f.dtype), np.where(reached, f[:-rows], e)]) for f, e in zip(figures, none))
+
+    for w in windows:
+        base = max(b for b in made if w % b == 0)
+        parts = [made[base], *(earlier(made[base], rows) for rows in range(base, w, base))]
+        with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
+            n = sum(p[0] for p in parts)
+            mean = np.where(n > 0, sum(np.where(p[0] > 0, p[0] * p[1], 0.0) for p in parts) / n, 0.0)
+            # Squared deviations inside the parts, and of the parts' means around the joint one.
+            m2 = sum(np.where(p[0] > 0, p[2] + p[0] * (p[1] - mean) ** 2, 0.0) for p in parts)
+            made[w] = (n, mean, m2, functools.reduce(np.maximum, (p[3] for p in parts)), functools.reduce(np.minimum if whole else np.fmin, (p[4] for p in parts)))
+            n, mean, m2, top, bottom = (f[back:] for f in made[w])
+            std = np.sqrt(m2 / (n - 1))
+        out += [pa.array(mean, mask=n == 0), pa.array(std, mask=n <= 1), pa.array(top, mask=n == 0), pa.array(bottom, mask=n == 0)]
+    return out
+
+
 def rolling_features(
     df: DataFrame,
     order: Sequence[str],
@@ -42,53 +105,41 @@ def rolling_features(
 ) -> DataFrame:
     """Mean, sample deviation, maximum and minimum over the last w rows of the equipment.
 
-    All columns share one partitioning and one sort. A frame that is a multiple of the
-    next smaller one is put together from that one's results some rows back, so a row
-    costs a few lookups instead of a pass over every frame. The figures of a frame travel
-    as one struct: count, mean, sum of squared deviations, minimum, maximum.
+    All columns share one partitioning and one sort; the sorted rows go through NumPy by batches that
+    carry the last rows along, so a task holds a batch. A frame that is a multiple of the next smaller one is
+    put together from that one's results some rows back. Missing values are left out; NaN counts as larger
+    than any number, as in Spark. Decimals are computed as doubles.
     """
     columns = [c for c in columns if c in df.columns]
     windows = sorted(set(windows))
-
-    def first_level(rows: DataFrame, spec: WindowSpec, w: int) -> DataFrame:
-        frame = spec.rowsBetween(1 - w, 0)
-        made = {}
-        for c in columns:
-            v = F.col(c)
-            n = F.count(v).over(frame)
-            made[f"_{c}_{w}"] = F.struct(
-                n.alias("n"), F.avg(v).over(frame).alias("mean"), (F.var_pop(v).over(frame) * n).alias("m2"),
-                F.min(v).over(frame).alias("low"), F.max(v).over(frame).alias("high"))
-        return rows.withColumns(made)
-
-    def next_level(rows: DataFrame, spec: WindowSpec, w: int, base: int) -> DataFrame:
-        back = [i * base for i in range(1, w // base)]
-        lagged = {f"_{c}_{base}_{b}": F.lag(f"_{c}_{base}", b).over(spec) for c in columns for b in back}
-        means, made = {}, {}
-        for c in columns:
-            parts = [f"`_{c}_{base}`", *[f"`_{c}_{base}_{b}`" for b in back]]
-            n = " + ".join(f"coalesce({p}.n, 0)" for p in parts)
-            total = " + ".join(f"coalesce({p}.n * {p}.mean, 0)" for p in parts)
-            means[f"_{c}_n"] = F.expr(n)
-            means[f"_{c}_mean"] = F.expr(f"try_divide({total}, {n})")
-            # Squared deviations inside the parts, and of the parts' means around the joint one.
-            m2 = " + ".join(f"coalesce({p}.m2 + {p}.n * pow({p}.mean - `_{c}_mean`, 2), 0)" for p in parts)
-            low, high = (f"{f}({', '.join(f'{p}.{x}' for p in parts)})" for f, x in (("least", "low"), ("greatest", "high")))
-            made[f"_{c}_{w}"] = F.expr(f"named_struct('n', `_{c}_n`, 'mean', `_{c}_mean`, 'm2', {m2}, 'low', {low}, 'high', {high})")
-        return rows.withColumns(lagged).withColumns(means).withColumns(made).drop(*lagged, *means)
-
-    def build(rows: DataFrame, spec: WindowSpec) -> DataFrame:
-        given = rows.columns
-        for i, w in enumerate(windows):
-            base = windows[i - 1] if i and w % windows[i - 1] == 0 else None
-            rows = first_level(rows, spec, w) if base is None else next_level(rows, spec, w, base)
-        final = []
-        for c in columns:
-            for w in windows:
-                s = f"`_{c}_{w}`"
-                final += [f"{s}.mean AS `{c}_mean_{w}`", f"CASE WHEN {s}.n > 1 THEN sqrt({s}.m2 / ({s}.n - 1)) END AS `{c}_std_{w}`",
-                          f"{s}.high AS `{c}_max_{w}`", f"{s}.low AS `{c}_min_{w}`"]
-        return rows.selectExpr(*[f"`{c}`" for c in given], *final)
+    if not columns or not windows:
+        return df
+    ship(df.sparkSession)
+    kinds = {c: df.schema[c].dataType for c in columns}
+    made = [T.StructField(f"{c}_{name}_{w}", kinds[c] if name in ("max", "min") else T.DoubleType())
+            for c in columns for w in windows for name in ("mean", "std", "max", "min")]
+
+    def build(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        at, given = [rows.columns.index(c) for c in by], rows.columns
+        # Python gets the columns as numbers it can compute with; the rows themselves pass through it unchanged.
+        numbers = {f"_{c}_n": F.col(f"`{c}`").cast("long" if isinstance(kinds[c], T.IntegralType) else "double") for c in columns}
+        dealt = rows.repartition(*[F.col(f"`{c}`") for c in by]).sortWithinPartitions(*[f"`{c}`" for c in by], *[f"`{c}`" for c in order])
+        ready, read = dealt.withColumns(numbers), list(numbers)
+        shape = T.StructType([*rows.schema.fields, *[
+            T.StructField(f.name, ready.schema[f"_{c}_n"].dataType if f.dataType == kinds[c] else f.dataType) for f, c in zip(made, np.repeat(columns, 4 * len(windows)))]])
+
+        def roll(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            past = None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                rank, past, series = _continued(batch, at, [batch.schema.get_field_index(n) for n in read], past, max(windows) - 1)
+                found = [x for values, known in series for x in _rolled(values, known, rank, windows)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:len(given)], *found], schema=pa.schema(
+                    [*[batch.schema.field(i) for i in range(len(given))], *[pa.field(f.name, x.type) for f, x in zip(made, found)]]))
+
+        out = ready.mapInArrow(roll, shape)
+        return out.select(*[f"`{c}`" for c in given], *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in made])
 
     return lookback(df, [key], order, max(windows) - 1, build, hot_rows)
 

@@ -95,36 +95,37 @@ def lookback(
     keys: Sequence[str],
     order: Sequence[str],
     rows: int,
-    columns: Mapping[str, Callable[[WindowSpec], Column]] | Callable[[DataFrame, WindowSpec], DataFrame],
+    columns: Mapping[str, Callable[[WindowSpec], Column]] | Callable[[DataFrame, list[str]], DataFrame],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add window columns that look at no more than ``rows`` preceding rows of the key.
 
     Each entry of ``columns`` gets the ordered window and returns the finished column. For
-    columns that build on each other, pass one function of (frame, window) that adds them.
+    columns that are made some other way, pass one function of (frame, key columns) that adds them.
     ``order`` must be unique inside a key, else the frames are not well defined.
     """
     keys, order = list(keys), list(order)
-    plain, sliced = _ordered(keys, order), _ordered([*keys, _SLICE], order)
+    sliced = _ordered([*keys, _SLICE], order)
 
-    def add(source: DataFrame, w: WindowSpec) -> DataFrame:
+    def add(source: DataFrame, by: list[str]) -> DataFrame:
         if callable(columns):
-            return columns(source, w)
+            return columns(source, by)
+        w = _ordered(by, order)
         return source.select("*", *[make(w).alias(name) for name, make in columns.items()])
 
     hot_keys = _hot_keys(df, keys, order, hot_rows)
     if hot_keys is None:
-        return add(df, plain)
+        return add(df, keys)
     tagged = _sliced(df, keys, order, hot_keys, hot_rows)
-    cold = add(tagged.filter(F.col(_SLICE).isNull()), plain).drop(_SLICE)
+    cold = add(tagged.filter(F.col(_SLICE).isNull()), keys).drop(_SLICE)
 
     hot = tagged.filter(F.col(_SLICE).isNotNull())
     rank = F.row_number().over(sliced)
-    inner = add(hot, sliced).withColumn(_RANK, rank).filter(F.col(_RANK) > rows)
+    inner = add(hot.withColumn(_RANK, rank), [*keys, _SLICE]).filter(F.col(_RANK) > rows)
     size = F.count(F.lit(1)).over(Window.partitionBy(*keys, _SLICE))
     edge = hot.withColumns({_RANK: rank, _SIZE: size})
     edge = edge.filter((F.col(_RANK) <= rows) | (F.col(_RANK) > F.col(_SIZE) - rows))
-    head = add(edge, plain).filter(F.col(_RANK) <= rows)
+    head = add(edge, keys).filter(F.col(_RANK) <= rows)
     return cold.unionByName(inner.drop(_SLICE, _RANK)).unionByName(head.drop(_SLICE, _RANK, _SIZE))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 import pytest
 from compare import differences
 from pyspark.sql import Window, functions as F
@@ -116,3 +117,25 @@ def test_no_hot_key_means_one_shuffle_of_the_rows(spark, sf):
     final = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
     moved = [line for line in final.split("\n") if "Exchange hashpartitioning" in line and "l_orderkey" not in line]
     assert "Union" not in final, (len(moved), final)
+
+
+def test_rolling_features_carry_rows_from_batch_to_batch(spark, sf):
+    """Batches of a few rows, of keys that end inside them, against the plain window of the engine; no window is made."""
+    spec = Window.partitionBy("equipment_id").orderBy(*X.PLANT_ORDER)
+    df = X.dirty_plant(spark, sf).withColumns({
+        "value": F.when(F.col("l_orderkey") % 31 == 0, float("nan")).otherwise(F.col("value")),
+        "whole": F.when(F.col("l_orderkey") % 5 > 0, F.col("l_partkey")), "big": F.col("l_partkey") + (1 << 60)})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        rolled = C.rolling_features(df, X.PLANT_ORDER, ["value", "whole", "big"], [4, 12, 30])
+        got = rolled.toPandas()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "Window" not in rolled._jdf.queryExecution().executedPlan().toString()
+    want = df.select("*", *[fn(c).over(spec.rowsBetween(1 - w, 0)).alias(f"{c}_{name}_{w}") for c in ("value", "whole", "big") for w in (4, 12, 30)
+                            for name, fn in (("mean", F.avg), ("std", F.stddev_samp), ("max", F.max), ("min", F.min))])
+    assert rolled.schema["whole_max_4"].dataType == df.schema["whole"].dataType
+    assert rolled.columns == want.columns
+    by, noise = ["l_orderkey", "l_linenumber", "l_partkey"], [f"big_std_{w}" for w in (4, 12, 30)]  # of numbers of 60 bits only extremes are exact
+    a, b = (t.drop(columns=noise).sort_values(by).reset_index(drop=True) for t in (got, want.toPandas()))
+    pd.testing.assert_frame_equal(a, b, rtol=1e-9)
