@@ -33,6 +33,9 @@ SHORTEST = 3 * GRAM
 ROUND = 1 << 18
 #: Goes that single windows are refined in, by their anchor's bucket, which equal windows share: a part of the disk at a time.
 GOES = 4
+#: Entries that a task sorts at once before it sends them, and the bits of their keys that tell packs apart: as many packs for any cluster.
+HELD = 1 << 20
+PACK_BITS = 12
 
 _HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 #: Two identifiers of 64 bits each, by different constants: 128 bits decide, the first alone rules out.
@@ -130,22 +133,106 @@ def _shared(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     return written(rows.groupBy(*keys).agg(F.min("d").alias("least"), F.max("d").alias("most")).where("least < most").select(*keys, "least"), name)
 
 
+def _grouped(keys: list[np.ndarray], d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order that puts entries of equal keys together, and for each in that order the smallest and largest document of its keys."""
+    order = np.argsort(keys[0])
+    alike = np.diff(keys[0][order]) == 0
+    for key in keys[1:]:
+        if (np.diff(key[order])[alike] != 0).any():
+            order = np.lexsort(keys[::-1])
+            alike = np.logical_and.reduce([np.diff(k[order]) == 0 for k in keys])
+    start = np.flatnonzero(np.r_[True, ~alike])
+    sizes, d = np.diff(np.r_[start, len(d)]), d[order]
+    return order, np.repeat(np.minimum.reduceat(d, start), sizes), np.repeat(np.maximum.reduceat(d, start), sizes)
+
+
+def _blobs(columns: list[np.ndarray], bounds: np.ndarray) -> list[pa.Array]:
+    """Columns of numbers as byte strings, cut at bounds."""
+    return [pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * c.itemsize).astype("int32")), pa.py_buffer(np.ascontiguousarray(c))]) for c in columns]
+
+
+def _met(df: DataFrame, column: str, kinds: dict[str, str], keys: int, out: list[str], later: bool, emit: Callable[[pa.RecordBatch, Bytes], list[np.ndarray]]) -> DataFrame:
+    """Of entries, the columns ``out`` of those whose keys two documents have; with ``later``, not of those of the smallest document.
+
+    ``emit`` gives the columns ``kinds`` (name: type) over rounds of rows: as many keys as told, "d" and others. Entries go in
+    packs, one for each part of the first key, from which they are told apart by sorting. What is settled among the entries that a
+    task holds goes along with any pack, and of each key only what is still open goes by the key, so a hot bucket is no group.
+    """
+    ship(df.sparkSession)
+    names, at = list(kinds), list(kinds).index("d")
+    bits, most_held = PACK_BITS, HELD
+    edges = np.arange(1, 1 << bits, dtype="uint64") << np.uint64(64 - bits)
+    sent, sure = [f"e{i}" for i in range(len(names))], [f"s{i}" for i in range(len(out))]
+
+    def pack(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*held)]
+        order, low, high = _grouped(columns[:keys], columns[at])
+        columns = [c[order] for c in columns]
+        d = columns[at]
+        least, most = d == low, d == high
+        fresh = np.r_[True, (d[1:] != d[:-1]) | (columns[0][1:] != columns[0][:-1])]  # without other columns, entries alike count once where they meet
+        open_, settled = (least, ~least) if later else ((least | most) & fresh, ~(least | most) & fresh)
+        open_, settled = np.flatnonzero(open_), np.flatnonzero(settled)
+        by_key = np.r_[0, np.searchsorted(columns[0][open_], edges), len(open_)]
+        even = np.arange((1 << bits) + 1) * len(settled) >> bits
+        packed = pa.RecordBatch.from_arrays([pa.array(np.arange(1 << bits, dtype="int32")), *_blobs([c[open_] for c in columns], by_key),
+                                             *_blobs([columns[names.index(n)][settled] for n in out], even)], names=["p", *sent, *sure])
+        full = (np.diff(by_key) > 0) | (np.diff(even) > 0)
+        return packed if full.all() else packed.filter(pa.array(full))
+
+    def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for part, text in _rounds(batch, column):
+                held.append([np.ascontiguousarray(c, kinds[n]) if n == "d" else c.astype(kinds[n], copy=False) for n, c in zip(names, emit(part, text))])
+                size += len(held[-1][0])
+                if size >= most_held:
+                    yield pack(held)
+                    held, size = [], 0
+        if size:
+            yield pack(held)
+
+    def told(packs: list[pa.RecordBatch]) -> list[np.ndarray]:
+        columns = [np.frombuffer(b"".join(x for b in packs for x in b.column(e).to_pylist()), kinds[n]) for n, e in zip(names, sent)]
+        rest = [np.frombuffer(b"".join(x for b in packs for x in b.column(e).to_pylist()), kinds[n]) for n, e in zip(out, sure)]
+        if len(columns[0]):
+            order, low, high = _grouped(columns[:keys], columns[at])
+            keep = order[columns[at][order] > low] if later else order[low < high]
+            rest = [np.concatenate([r, columns[names.index(n)][keep]]) for n, r in zip(out, rest)]
+        return rest
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, part = [], None
+        for batch in batches:
+            p = batch.column("p").to_numpy()
+            cuts = np.r_[0, np.flatnonzero(np.diff(p)) + 1, len(p)]
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if held and p[a] != part:
+                    yield pa.RecordBatch.from_arrays([pa.array(c.view("int64") if c.dtype.kind == "u" else c) for c in told(held)], names=out)
+                    held = []
+                if b > a:
+                    held.append(batch.slice(a, b - a))
+                    part = p[a]
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c.view("int64") if c.dtype.kind == "u" else c) for c in told(held)], names=out)
+
+    dealt = df.mapInArrow(packs, ", ".join(["p int", *[f"{c} binary" for c in (*sent, *sure)]])).repartition("p").sortWithinPartitions("p")
+    return dealt.mapInArrow(meet, ", ".join(f"{n} {'int' if kinds[n] == 'int32' else 'long'}" for n in out))
+
+
 def _survivors(docs: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
-    """(d, tag, places): the anchors of each document whose bucket has another document; of equal texts, those of the first."""
+    """(d, tag, buckets): of the first of equal texts, the buckets of its anchors that another such text has, too.
+
+    Copies of whole texts need no part in it: what a document has, the first of its equals has.
+    """
     def buckets(part: pa.RecordBatch, text: Bytes) -> list[np.ndarray]:
         _, own, bucket = _anchors(text, length)
-        return [_long(bucket), part.column("d").to_numpy()[own]]
+        return [bucket, part.column("d").to_numpy()[own]]
 
-    def places(part: pa.RecordBatch, text: Bytes) -> list[np.ndarray]:
-        place, own, bucket = _anchors(text, length)
-        return [_long(bucket), part.column("d").to_numpy()[own], part.column("tag").to_numpy()[own], (place - text.starts[own]).astype("int32")]
-
-    shared = _shared(_run(docs.select("d", "text"), "text", "bucket long, d long", buckets), ["bucket"], "suffix-buckets")
+    own = docs.join(firsts, ["d", "tag"], "left_semi").select("d", "text")
+    met = _met(own, "text", {"bucket": "uint64", "d": "int64"}, 1, ["d", "bucket"], False, buckets)
+    out = written(met.groupBy("d").agg(F.collect_list("bucket").alias("buckets")).join(firsts, "d"), "suffix-anchors")
     discard()
-    anchors = _run(docs, "text", "bucket long, d long, tag long, place int", places)
-    met = anchors.join(shared.select("bucket").hint("shuffle_hash"), "bucket", "left_semi").groupBy("d", "tag").agg(F.collect_set("place").alias("places"))
-    out = written(met.join(firsts, ["d", "tag"], "left_semi"), "suffix-anchors")
-    discard(shared)
     return out
 
 
@@ -155,15 +242,16 @@ def _contexts(docs: DataFrame, survivors: DataFrame, length: int) -> DataFrame:
     It is made of the first and last window, which cover the context, and of the anchor's place in it.
     """
     def emit(part: pa.RecordBatch, text: Bytes) -> list[np.ndarray]:
-        found = part.column("places")
-        own = np.repeat(np.arange(part.num_rows), found.value_lengths().to_numpy(zero_copy_only=False))
-        place = found.flatten().to_numpy() + text.starts[own]
+        place, own, bucket = _anchors(text, length)
+        # A bucket that one of these documents shares is shared by all that have it.
+        keep = np.flatnonzero(np.isin(bucket, part.column("buckets").flatten().to_numpy().view("uint64")))
+        place, own = place[keep], own[keep]
         low, high = _around(text, place, own, length)
         shape = ((place - low) << 32 | (high - low)).astype("uint64")
         ids = [_pair(_pair(text.at(low, length, lane), text.at(high - length, length, lane), lane), shape, lane) for lane in (0, 1)]
         return [_long(ids[0]), _long(ids[1]), part.column("d").to_numpy()[own], part.column("tag").to_numpy()[own], (place - text.starts[own]).astype("int32")]
 
-    told = docs.join(survivors, ["d", "tag"]).select("d", "tag", "places", "text")
+    told = docs.join(survivors, ["d", "tag"]).select("d", "tag", "buckets", "text")
     return written(_run(told, "text", "c1 long, c2 long, d long, tag long, place int", emit), "suffix-contexts")
 
 
@@ -208,7 +296,7 @@ def _copied_windows(docs: DataFrame, kinds: DataFrame, length: int) -> DataFrame
         met = ((side & 1) > 0) & (offset <= length - 2 * GRAM) | ((side & 2) > 0) & (offset >= GRAM)
         keep = np.flatnonzero((place == anchor) & met)
         start, own, offset = start[keep], own[keep], offset[keep]
-        return [*(_long(text.at(start, length, lane)) for lane in (0, 1)), part.column("d").to_numpy()[own], part.column("c").to_numpy()[own], offset.astype("int32")]
+        return [*(text.at(start, length, lane) for lane in (0, 1)), part.column("d").to_numpy()[own], part.column("c").to_numpy()[own], offset]
 
     sided = written(_at_anchors(docs, kinds, ["c"], "side_id long, d long, c long, side int", sides), "suffix-sided")
     discard()
@@ -222,12 +310,9 @@ def _copied_windows(docs: DataFrame, kinds: DataFrame, length: int) -> DataFrame
     met = told
     parts = []
     for go in range(GOES):
-        found = _run(met.where(F.col("go") == go), "context", "w1 long, w2 long, d long, c long, offset int", windows)
-        least = _shared(found, ["w1", "w2"], "suffix-copies")
+        hits = _met(met.where(F.col("go") == go), "context", {"w1": "uint64", "w2": "uint64", "d": "int64", "c": "int64", "offset": "int32"}, 2, ["c", "offset"], True, windows)
+        parts.append(written(hits.groupBy("c").agg(F.collect_set("offset").alias("offsets")), "suffix-offsets"))
         discard()
-        hits = found.join(least.hint("shuffle_hash"), ["w1", "w2"]).where("d > least").groupBy("c").agg(F.collect_set("offset").alias("offsets"))
-        parts.append(written(hits, "suffix-offsets"))
-        discard(least)
     discard(met)
     # Each kind is in one go only.
     out = written(kinds.select("c", "c1", "c2").join(functools.reduce(DataFrame.unionByName, parts), "c").drop("c"), "suffix-offsets")
@@ -249,7 +334,9 @@ def _spans(docs: DataFrame, length: int) -> DataFrame:
     discard(firsts)
     contexts = _contexts(docs, survivors, length)
     discard(survivors)
-    kinds = contexts.groupBy("c1", "c2").agg(F.min(F.struct("d", "tag", "place")).alias("one")).select("c1", "c2", "one.*", F.monotonically_increasing_id().alias("c"))
+    # Of one row each, as both follow the same comparisons; numbers alone are folded without a sort.
+    one = contexts.groupBy("c1", "c2").agg(F.min("d").alias("d"), F.min_by("tag", "d").alias("tag"), F.min_by("place", "d").alias("place"))
+    kinds = one.select("c1", "c2", "d", "tag", "place", F.monotonically_increasing_id().alias("c"))
     kinds = written(kinds, "suffix-kinds")  # numbered by what is written, whatever is computed again
     discard()
     copied = _copied_windows(docs, kinds, length)

@@ -85,6 +85,44 @@ def test_copied_bytes_of_odd_rows(spark):
         suffix_dedup.remove_copied_bytes(docs(spark, []), 40)
 
 
+def test_copies_of_whole_texts_are_not_refined(spark):
+    """What only equal texts share has no anchors to go on with; their copies are found as a whole."""
+    rows = spark.createDataFrame([(1, 10, b"a" * 30 + LONG[:900].encode()), (2, 10, b"a" * 30 + LONG[:900].encode()), (3, 30, LONG[3000:3900].encode())],
+                                 "d long, tag long, text binary")
+    firsts = rows.where("d <> 2").select("d", "tag")
+    assert suffix_dedup._survivors(rows, firsts, 50).count() == 0
+    assert cut_rows(spark, [(i, LONG[:900]) for i in (1, 2, 3)]) == expected_cut([(i, LONG[:900]) for i in (1, 2, 3)])
+
+
+@pytest.mark.parametrize("later", [False, True])
+def test_entries_meet_in_packs(spark, monkeypatch, later):
+    """Keys that few or all documents have, in many packs, with equal first and different second keys, against a plain count."""
+    monkeypatch.setattr(suffix_dedup, "HELD", 200)
+    monkeypatch.setattr(suffix_dedup, "PACK_BITS", 4)
+    df = spark.createDataFrame([(d, b"x") for d in range(3000)], "d long, text binary").repartition(5)
+    keys = 1 if not later else 2
+
+    def entries(d):
+        first = np.where(d % 3 == 0, 7, (d * 2654435761 % 4001 % 2500) << 52).astype("uint64")
+        return [first, (d % 2).astype("uint64"), d, d * 10] if later else [first, d]
+
+    def emit(part, text):
+        return entries(part.column("d").to_numpy())
+
+    kinds = {"k": "uint64", "k2": "uint64", "d": "int64", "c": "int64"} if later else {"k": "uint64", "d": "int64"}
+    out = ["c"] if later else ["d", "k"]
+    got = sorted(map(tuple, suffix_dedup._met(df, "text", kinds, keys, out, later, emit).collect()))
+    rows = list(zip(*(c.tolist() for c in entries(np.arange(3000)))))
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[:keys], []).append(r)
+    if later:
+        want = [(r[3],) for g in groups.values() for r in g if r[2] > min(x[2] for x in g)]
+    else:
+        want = [(r[1], r[0] - (1 << 64) * (r[0] >> 63)) for g in groups.values() if len(g) > 1 for r in g]
+    assert got == sorted(want) and 0 < len(want) < 3000
+
+
 def test_identifiers_refine_by_later_offsets():
     texts = [b"0123456789" * 20, b"", b"abc" + b"0123456789" * 20]
     text = suffix_dedup.Bytes(texts)
