@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import QuantileDiscretizer, SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import QuantileDiscretizer, SQLTransformer, StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -24,6 +25,7 @@ from millwatch.operators.health import distance_health
 from millwatch.operators.networks import fit_network, matrices, packed_rows, probabilities, read_rows
 from millwatch.plans.series import packed_series, unpacked, window_figure
 from millwatch.plans.storage import discard, written
+from millwatch.session import ship
 
 # Defaults of the model families.
 TREES, DEPTH, ROUNDS, RATE, BOOST_DEPTH, SEED = 100, 10, 100, 0.1, 6, 42
@@ -86,6 +88,33 @@ def _assembler(features: Sequence[str], out: str = "_x") -> VectorAssembler:
     return VectorAssembler(inputCols=[f"_f{j}" for j in range(len(features))], outputCol=out)
 
 
+def _network(pipeline: PipelineModel) -> list[tuple]:
+    """The layers as matrices; models stored by earlier versions scale their inputs in a stage before."""
+    *before, model = pipeline.stages
+    net = matrices(model.weights.toArray(), model.getLayers())
+    for scaler in (s for s in before if isinstance(s, StandardScalerModel)):
+        spread = scaler.std.toArray()
+        scale = np.divide(1.0, spread, out=np.zeros_like(spread), where=spread > 0)
+        own = scale[:, None] * net[0][0]
+        net[0] = (own, net[0][1] - scaler.mean.toArray() @ own)
+    return net
+
+
+def _expected_middle(pipeline: PipelineModel, features: Sequence[str]) -> Column:
+    """The middles of the bands, weighted by what the network gives each; Spark's own model takes one row at a time."""
+    net = _network(pipeline)
+
+    @F.pandas_udf("double")
+    def score(*columns: pd.Series) -> pd.Series:
+        x = np.column_stack([c.to_numpy(dtype="float64") for c in columns])
+        if np.isnan(x).any():
+            raise ValueError("a feature is NaN")
+        given = probabilities(x, net)
+        return pd.Series(sum(given[:, k] * middle for k, middle in enumerate(BAND_MIDDLES)))
+
+    return score(*[F.col(f"_f{j}") for j in range(len(features))])
+
+
 @dataclass
 class Scorer:
     """A fitted pipeline that adds one number per row: a probability or a health score."""
@@ -96,14 +125,12 @@ class Scorer:
     pipeline: PipelineModel
 
     def score(self, df: DataFrame) -> DataFrame:
-        out = self.pipeline.transform(_inputs(df, self.features))
-        if self.kind == "probability":
-            number = vector_to_array("_p")[1]
-        elif self.kind == "bands":
-            middles = F.array(*[F.lit(m) for m in BAND_MIDDLES])
-            number = F.aggregate(F.zip_with(vector_to_array("_p"), middles, lambda p, m: p * m), F.lit(0.0), lambda a, x: a + x)
-        else:
-            number = clip(F.col("_y"))
+        rows = _inputs(df, self.features)
+        if self.kind == "bands":
+            ship(df.sparkSession)
+            return rows.withColumn(self.name, _expected_middle(self.pipeline, self.features)).select(*df.columns, self.name)
+        out = self.pipeline.transform(rows)
+        number = vector_to_array("_p")[1] if self.kind == "probability" else clip(F.col("_y"))
         return out.select(*df.columns, number.alias(self.name))
 
     def importances(self, spark: SparkSession) -> DataFrame:
@@ -148,19 +175,8 @@ class SequenceClassifier:
     pipeline: PipelineModel
     name: str = "failure_sequence"
 
-    def _network(self) -> list[tuple]:
-        """The layers as matrices; models stored by earlier versions scale their inputs in a stage before."""
-        *scalers, model = self.pipeline.stages
-        net = matrices(model.weights.toArray(), model.getLayers())
-        for scaler in scalers:
-            spread = scaler.std.toArray()
-            scale = np.divide(1.0, spread, out=np.zeros_like(spread), where=spread > 0)
-            own = scale[:, None] * net[0][0]
-            net[0] = (own, net[0][1] - scaler.mean.toArray() @ own)
-        return net
-
     def score(self, df: DataFrame) -> DataFrame:
-        net = self._network()
+        net = _network(self.pipeline)
         out = window_figure(df, self.order, self.column, self.length, lambda w: probabilities(w, net)[:, 1], self.name, self.key)
         return out.withColumn(self.name, F.coalesce(self.name, F.lit(0.0)))
 
@@ -169,7 +185,7 @@ def fit_failure_sequence(df: DataFrame, column: str, label: str, order: Sequence
                          key: str = "equipment_id", hidden: Sequence[int] = (32, 16), rounds: int = 50, seed: int = SEED) -> SequenceClassifier:
     """All whole windows of labelled rows; what is stored and passed over is the series, not the windows."""
     pieces = written(packed_series(df, order, column, length, label, key), "series")
-    network = fit_network(pieces, lambda batches: unpacked(batches, length), [length, *hidden, 2], rounds, seed,
+    network = fit_network(pieces, lambda batches: unpacked(batches, length), [length, *hidden, 2], rounds, seed, overlapping=True,
                           probabilityCol="_p", predictionCol="_y", rawPredictionCol="_r")
     discard(pieces)
     return SequenceClassifier(column, list(order), length, key, PipelineModel([network]))

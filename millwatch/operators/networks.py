@@ -7,6 +7,7 @@ many times more.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -20,6 +21,7 @@ from millwatch.session import ship
 # As in Spark's optimizer.
 MEMORY, TOLERANCE, LOOK_BACK = 10, 1e-6, 20
 BLOCK_ROWS = 2048
+ROWS_PER_TASK = 2_000_000
 #: Gives matrices of rows and their classes from batches of a table.
 Blocks = Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray]]]
 
@@ -72,8 +74,58 @@ def _slope(x: np.ndarray, y: np.ndarray, net: list[tuple[np.ndarray, np.ndarray]
     return loss, np.concatenate(parts)
 
 
-def _moments(blocks: DataFrame, read: Blocks, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and sample deviation of each input, from counts, means and squares of the tasks."""
+class _Passes:
+    """``_slope`` for many blocks of at most ``rows`` scaled rows, in single precision and in arrays that are kept from block to block.
+
+    A sigmoid is ``(1 + tanh(z / 2)) / 2``: the halves go into the weights, so that a layer is a product, a sum and one function.
+    """
+
+    def __init__(self, weights: np.ndarray, layers: Sequence[int], rows: int = BLOCK_ROWS):
+        net = matrices(weights, layers)
+        self.forth, self.back = [], [None]
+        for i, (w, b) in enumerate(net):
+            own, offset = (w / 2, b + w.sum(axis=0) / 2) if i else (w, b)
+            half = 0.5 if i < len(net) - 1 else 1.0
+            # Offsets stand there once a row: adding arrays of one shape is several times faster.
+            self.forth.append(((half * own).astype("float32"), np.tile((half * offset).astype("float32"), (rows, 1))))
+            if i:
+                self.back.append(np.ascontiguousarray(w.T / 4, dtype="float32"))
+        self.given = [np.empty((rows, k), "float32") for k in layers[1:-1]]
+        self.errors = [np.empty((rows, k), "float32") for k in layers[1:-1]]
+        self.at, self.ones = np.arange(rows), np.ones(rows, "float32")
+
+    def slope(self, x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
+        """Sum of the log loss of some rows and its gradient."""
+        n, given = len(y), [x]
+        for (w, b), room in zip(self.forth, self.given):
+            out = np.matmul(given[-1], w, out=room[:n])
+            out += b[:n]
+            given.append(np.tanh(out, out=out))
+        w, b = self.forth[-1]
+        # Classes by rows: few long lines instead of many short ones.
+        chance = w.T @ given[-1].T
+        chance += b[0][:, None]
+        chance -= chance.max(axis=0)
+        np.exp(chance, out=chance)
+        chance /= chance.sum(axis=0)
+        flat, own = chance.reshape(-1), y.astype("int64") * n + self.at[:n]
+        hit = flat[own]
+        loss = -float(np.log(np.maximum(hit, 1e-37)).sum(dtype="float64"))
+        flat[own] = hit - 1.0
+        error, parts = chance.T, []
+        for i in range(len(given) - 1, -1, -1):
+            total = self.ones[:n] @ error
+            product = given[i].T @ error
+            parts = [((product + total) / 2 if i else product).ravel(), total, *parts]
+            if i:
+                error = np.matmul(error, self.back[i], out=self.errors[i - 1][:n])
+                bend = np.square(given[i], out=given[i])
+                error *= np.subtract(1.0, bend, out=bend)
+        return loss, np.concatenate(parts)
+
+
+def _moments(blocks: DataFrame, read: Blocks, size: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of rows, mean and sample deviation of each input, from counts, means and squares of the tasks."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, mean, m2 = 0, np.zeros(size), np.zeros(size)
         for x, _ in read(batches):
@@ -82,11 +134,11 @@ def _moments(blocks: DataFrame, read: Blocks, size: int) -> tuple[np.ndarray, np
         yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([mean.tobytes()]), pa.array([m2.tobytes()])], names=["n", "mean", "m2"])
 
     total = (0, np.zeros(size), np.zeros(size))
-    for row in blocks.mapInArrow(add, "n long, mean binary, m2 binary").toLocalIterator():
+    for row in blocks.mapInArrow(add, "n long, mean binary, m2 binary").collect():
         total = _joined(total, (row["n"], np.frombuffer(row["mean"]), np.frombuffer(row["m2"])))
     if not total[0]:
         raise ValueError("no rows to fit a network on")
-    return total[1], np.sqrt(total[2] / max(total[0] - 1, 1))
+    return total[0], total[1], np.sqrt(total[2] / max(total[0] - 1, 1))
 
 
 def _joined(a, b):
@@ -168,31 +220,63 @@ def _model(spark: SparkSession, layers: Sequence[int], seed: int, weights: np.nd
     return learner.fit(few)
 
 
-def fit_network(blocks: DataFrame, read: Blocks, layers: Sequence[int], rounds: int, seed: int, **names: str) -> MultilayerPerceptronClassificationModel:
+def _kinds(y: np.ndarray, classes: int) -> np.ndarray:
+    kinds = y.astype("int64")
+    if (kinds != y).any() or kinds.min() < 0 or kinds.max() >= classes:
+        raise ValueError(f"labels must be whole numbers from 0 to {classes - 1}")
+    return kinds
+
+
+def _scaled(blocks: DataFrame, read: Blocks, mean: np.ndarray, scale: np.ndarray, classes: int) -> DataFrame:
+    """Rows as the passes take them: inputs scaled and in single precision, classes in as few bytes as they need."""
+    def scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, y in read(batches):
+            for s in range(0, len(y), BLOCK_ROWS):
+                inputs = ((x[s:s + BLOCK_ROWS] - mean) * scale).astype("float32")
+                kinds = _kinds(y[s:s + BLOCK_ROWS], classes).astype(np.min_scalar_type(classes - 1))
+                yield pa.RecordBatch.from_arrays([pa.array([inputs.tobytes()], pa.binary()), pa.array([kinds.tobytes()], pa.binary())], names=["x", "y"])
+
+    return blocks.mapInArrow(scaled, "x binary, y binary")
+
+
+def fit_network(blocks: DataFrame, read: Blocks, layers: Sequence[int], rounds: int, seed: int, overlapping: bool = False,
+                **names: str) -> MultilayerPerceptronClassificationModel:
     """A network on all rows of ``blocks``, for inputs as they are: their scaling to mean 0 and deviation 1 is part of its first layer.
 
     Each round passes over all rows once or, where a step has to be searched for, more often. A task sends back one vector as long as the weights.
+    Blocks are read twice, and rows are held scaled; ``overlapping`` ones, which are smaller than the rows they give, are held as they are.
     """
     spark, classes = blocks.sparkSession, layers[-1]
     ship(spark)
     tasks = 2 * spark.sparkContext.defaultParallelism
-    held = blocks.repartition(tasks).persist()
+    held = blocks.repartition(tasks).persist() if overlapping else None
     try:
-        mean, spread = _moments(held, read, layers[0])
+        n, mean, spread = _moments(blocks if held is None else held, read, layers[0])
         scale = np.divide(1.0, spread, out=np.zeros_like(spread), where=spread > 0)
+        if not overlapping:
+            held = _scaled(blocks, read, mean, scale, classes).repartition(max(tasks, math.ceil(n / ROWS_PER_TASK))).persist()
+
+        def of_blocks(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Iterator[tuple[int, float, np.ndarray]]:
+            # Inside a block in single precision; blocks are added up in double.
+            net = matrices(weights.astype("float32"), layers)
+            for x, y in read(batches):
+                if len(y):
+                    yield len(y), *_slope(((x - mean) * scale).astype("float32"), _kinds(y, classes), net)
+
+        def of_scaled(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Iterator[tuple[int, float, np.ndarray]]:
+            passes, kind = _Passes(weights, layers), np.min_scalar_type(classes - 1)
+            for batch in batches:
+                for x, y in zip(batch.column("x"), batch.column("y")):
+                    kinds = np.frombuffer(y.as_buffer(), kind)
+                    yield len(kinds), *passes.slope(np.frombuffer(x.as_buffer(), "float32").reshape(-1, layers[0]), kinds)
+
+        of_rows = of_blocks if overlapping else of_scaled
 
         def slope(weights: np.ndarray) -> tuple[float, np.ndarray]:
             def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                # Inside a block in single precision; blocks are added up in double.
-                net, n, loss, total = matrices(weights.astype("float32"), layers), 0, 0.0, np.zeros(len(weights))
-                for x, y in read(batches):
-                    if not len(y):
-                        continue
-                    kinds = y.astype("int64")
-                    if (kinds != y).any() or kinds.min() < 0 or kinds.max() >= classes:
-                        raise ValueError(f"labels must be whole numbers from 0 to {classes - 1}")
-                    part, change = _slope(((x - mean) * scale).astype("float32"), kinds, net)
-                    n, loss, total = n + len(y), loss + part, total + change
+                n, loss, total = 0, 0.0, np.zeros(len(weights))
+                for rows, part, change in of_rows(batches, weights):
+                    n, loss, total = n + rows, loss + part, total + change
                 yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([loss]), pa.array([total.tobytes()])], names=["n", "loss", "total"])
 
             n, loss, total = 0, 0.0, np.zeros(len(weights))
@@ -203,7 +287,8 @@ def fit_network(blocks: DataFrame, read: Blocks, layers: Sequence[int], rounds:
         start = _model(spark, layers, seed, None).weights.toArray()
         weights = _minimum(slope, start, rounds)
     finally:
-        held.unpersist()
+        if held is not None:
+            held.unpersist()
     # (x - mean) * scale @ w + b, for x as it is.
     (w, b), rest = matrices(weights, layers)[0], weights[(layers[0] + 1) * layers[1]:]
     own = scale[:, None] * w

@@ -413,3 +413,36 @@ def test_neighbours_are_limited_before_they_are_moved(spark, sf):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in text and "Partial" in text.split("WindowGroupLimit", 1)[1]
     assert "struct(l_orderkey" in text and ", equipment_id, equipment_id" not in text
+
+
+def test_network_passes_over_small_scaled_blocks(spark):
+    """Rows are held in four bytes an input and one a class; the gradient of a block, whole or the last one, is that in double precision."""
+    from millwatch.operators import networks as W
+
+    rng = np.random.default_rng(4)
+    layers, x, y = [3, 8, 6, 4], rng.normal(5, 3, (2 * W.BLOCK_ROWS + 100, 3)), rng.integers(0, 4, 2 * W.BLOCK_ROWS + 100)
+    df = spark.createDataFrame([(*map(float, r), float(c)) for r, c in zip(x, y)], "a double, b double, c double, y double").coalesce(1)
+    mean, scale = x.mean(axis=0), 1 / x.std(axis=0)
+    blocks = W._scaled(W.packed_rows(df, ["a", "b", "c"], "y"), W.read_rows(3), mean, scale, 4).collect()
+    assert [len(b["x"]) for b in blocks] == [12 * len(b["y"]) for b in blocks] and sum(len(b["y"]) for b in blocks) == len(y)
+    weights = rng.normal(0, 1, sum((i + 1) * o for i, o in zip(layers, layers[1:])))
+    passes = W._Passes(weights, layers)
+    got = [passes.slope(np.frombuffer(b["x"], "float32").reshape(-1, 3), np.frombuffer(b["y"], "uint8")) for b in blocks]
+    loss, change = W._slope((x - mean) * scale, y, W.matrices(weights, layers))
+    assert abs(sum(g[0] for g in got) / loss - 1) < 1e-5
+    assert np.allclose(sum(g[1] for g in got), change, rtol=1e-4, atol=1e-5 * abs(change).max())
+
+
+def test_bands_are_scored_by_blocks(failing):
+    """The score of blocks of rows is that of Spark's model; a feature that is no number is refused by both."""
+    from pyspark.ml.functions import vector_to_array
+
+    net = Q.fit_health_network(failing, WIDE, "health", hidden=(6,), rounds=3)
+    gaps = failing.withColumn("x3", F.when(F.col("id") % 7 != 0, F.col("x3")))
+    out = net.score(gaps)
+    assert out.columns == [*gaps.columns, "health_mlp"] and "ArrowEvalPython" in out._jdf.queryExecution().executedPlan().toString()
+    theirs = net.pipeline.transform(Q._inputs(gaps, WIDE)).select("id", vector_to_array("_p").alias("p")).orderBy("id").toPandas()
+    mine = out.orderBy("id").toPandas()["health_mlp"].to_numpy()
+    assert abs(np.array(theirs["p"].tolist()) @ np.array(Q.BAND_MIDDLES) - mine).max() < 1e-12
+    with pytest.raises(Exception, match="NaN"):
+        net.score(failing.withColumn("x3", F.lit(float("nan")))).collect()
