@@ -10,6 +10,9 @@ For an incomplete row, the bounds tell the least and greatest distance to a cell
 that cannot hold one of the nearest rows are left out, the rest are refined level by
 level, and only rows of the last surviving cells are measured. Nothing is approximated.
 Equal rows are folded to one with a count first, so a heap of copies is one candidate.
+
+In a block of few rows hardly a cell can be left out, and naming those that stay moves more than the rows do. Such
+blocks have no cells: their rows move once, to their block, and are measured there.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 NEIGHBOURS = 5
 CELLS_PER_AXIS = 4
 ROWS_PER_CELL = 100
+# Blocks of so many rows are compared whole.
+ROWS_COMPARED = 2000
 MAX_LEVELS = 6
 CUT_ACCURACY = 10_000
 # Guards the pruning against rounding of the bounds; it only ever keeps more.
@@ -63,29 +68,12 @@ def _scaled(squares: list[Column], present: list[Column], dimensions: int) -> Co
     return F.when(shared > 0, total * float(dimensions) / shared)
 
 
-def impute_knn(df: DataFrame, columns: Sequence[str], row_id: Sequence[str] = (), block: str | None = "equipment_id",
-               neighbours: int = NEIGHBOURS, levels: int | None = None) -> DataFrame:
-    """Fill missing measures from the nearest rows of the block (of the whole table if None).
-
-    ``row_id`` names columns that tell rows apart; without it the row's own content does,
-    so exact duplicates should be removed first. Rows at the same distance are taken by
-    the smallest id among their copies. Without any donor the column mean is used.
-    """
-    columns = list(columns)
-    if not columns:
-        return df
-    d = len(columns)
-    # Rows meet inside their block: what names the block need not be moved with each of them once more.
-    told = [c for c in row_id if c != block]
-    identity = F.struct(*told) if told else F.struct(F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})))
-    marked = df.withColumns({"_id": identity, "_block": F.col(block) if block else F.lit(0)})
-    complete = _total([F.col(c).isNull().cast("int") for c in columns]) == 0
-    base = marked.select("_id", "_block", *[F.col(c).cast("double").alias(f"x{j}") for j, c in enumerate(columns)])
-    xs = [f"x{j}" for j in range(d)]
-    levels = levels or _levels(base, d)
+def _filled(base: DataFrame, xs: Sequence[str], neighbours: int, levels: int, blocked: bool) -> DataFrame:
+    """The fill of each missing measure by incomplete row, from cells of so many levels; with none, blocks are compared whole."""
+    d = len(xs)
     finest = CELLS_PER_AXIS ** levels
 
-    placed = _placed(base, xs, finest)
+    placed = _placed(base, xs, finest) if levels else base.repartition("_block")
 
     # Places from -1 to finest - 1 in one whole number, if it has room for all measures.
     bits = finest.bit_length()
@@ -98,8 +86,9 @@ def impute_knn(df: DataFrame, columns: Sequence[str], row_id: Sequence[str] = ()
         return reduce(lambda a, p: F.shiftleft(a, bits).bitwiseOR(p + 1), places, F.lit(0).cast("long"))
 
     # Copies of one row fold into one candidate with a count.
-    donors = placed.groupBy("_block", *xs, *[f"i{x}" for x in xs]).agg(
-        F.count(F.lit(1)).alias("_copies"), F.min("_id").alias("_first")).withColumn("_cell", cell(levels))
+    places = [f"i{x}" for x in xs] if levels else []
+    donors = placed.groupBy("_block", *xs, *places).agg(F.count(F.lit(1)).alias("_copies"), F.min("_id").alias("_first"))
+    donors = donors.withColumn("_cell", cell(levels)) if levels else donors
 
     wanted = base.filter(~(_total([F.col(x).isNull().cast("int") for x in xs]) == 0)).select(
         F.col("_id").alias("_qid"), F.col("_block").alias("_qblock"), *[F.col(x).alias(f"q{x}") for x in xs],
@@ -110,7 +99,7 @@ def impute_knn(df: DataFrame, columns: Sequence[str], row_id: Sequence[str] = ()
         directory = donors.groupBy("_block", cell(level).alias("_cell"), cell(level - 1).alias("_parent")).agg(
             F.sum("_copies").alias("_copies"),
             *[F.min(x).alias(f"lo{x}") for x in xs], *[F.max(x).alias(f"hi{x}") for x in xs])
-        if level == 1 and not block:
+        if level == 1 and not blocked:
             # One block, and no more than (CELLS_PER_AXIS + 1) ** d cells of it, whatever the rows.
             directory = F.broadcast(directory)
         parent = F.col("_parent") == F.col("_qcell") if level > 1 else F.lit(True)
@@ -129,22 +118,54 @@ def impute_knn(df: DataFrame, columns: Sequence[str], row_id: Sequence[str] = ()
         kept = kept.filter(F.col("_reach").isNull() | (F.col("_near") <= F.col("_reach") * SLACK))
         candidates = kept.select("_qid", "_qblock", *[f"q{x}" for x in xs], "_target", F.col("_cell").alias("_qcell"))
 
-    measured = candidates.join(donors, (F.col("_qblock") == F.col("_block")) & (F.col("_qcell") == F.col("_cell")))
+    met = F.col("_qblock") == F.col("_block")
+    measured = candidates.join(donors, met & (F.col("_qcell") == F.col("_cell")) if levels else met)
     shared = [F.col(f"q{x}").isNotNull() & F.col(x).isNotNull() for x in xs]
     squares = [(F.col(x) - F.col(f"q{x}")) * (F.col(x) - F.col(f"q{x}")) for x in xs]
     value = F.coalesce(*[F.when(F.col("_target") == j, F.col(x)) for j, x in enumerate(xs)])
     measured = measured.select("_qblock", "_qid", "_target", value.alias("_value"), "_copies", "_first", _scaled(squares, shared, d).alias("_distance"))
+    if not levels:
+        measured = measured.filter(F.col("_value").isNotNull() & F.col("_distance").isNotNull())
     nearest = Window.partitionBy("_qblock", "_qid", "_target").orderBy("_distance", "_first")
     before = F.coalesce(F.sum("_copies").over(nearest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     used = F.least(F.col("_copies"), neighbours - F.col("_before"))
     # No more candidates than neighbours count; Spark leaves the others out before they are moved.
     measured = measured.withColumn("_place", F.row_number().over(nearest)).filter(F.col("_place") <= neighbours).drop("_place")
-    filled = (
+    return (
         measured.withColumn("_before", before).filter(F.col("_before") < neighbours)
         .groupBy("_qblock", "_qid").agg(*[
             (F.sum(F.when(F.col("_target") == j, F.col("_value") * used))
              / F.sum(F.when(F.col("_target") == j, used))).alias(f"_filled{j}") for j in range(d)])
     )
+
+
+def impute_knn(df: DataFrame, columns: Sequence[str], row_id: Sequence[str] = (), block: str | None = "equipment_id",
+               neighbours: int = NEIGHBOURS, levels: int | None = None) -> DataFrame:
+    """Fill missing measures from the nearest rows of the block (of the whole table if None).
+
+    ``row_id`` names columns that tell rows apart; without it the row's own content does,
+    so exact duplicates should be removed first. Rows at the same distance are taken by
+    the smallest id among their copies. Without any donor the column mean is used.
+    """
+    columns = list(columns)
+    if not columns:
+        return df
+    d = len(columns)
+    # Rows meet inside their block: what names the block need not be moved with each of them once more.
+    told = [c for c in row_id if c != block]
+    identity = F.struct(*told) if told else F.struct(F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})))
+    marked = df.withColumns({"_id": identity, "_block": F.col(block) if block else F.lit(0)})
+    complete = _total([F.col(c).isNull().cast("int") for c in columns]) == 0
+    base = marked.select("_id", "_block", *[F.col(c).cast("double").alias(f"x{j}") for j, c in enumerate(columns)])
+    xs = [f"x{j}" for j in range(d)]
+    if levels or not block:
+        filled = _filled(base, xs, neighbours, levels or _levels(base, d), bool(block))
+    else:
+        # At most one in ROWS_COMPARED rows.
+        large = F.broadcast(base.groupBy(F.col("_block").alias("_large")).count().filter(F.col("count") > ROWS_COMPARED).select("_large"))
+        its = F.col("_block") == F.col("_large")
+        filled = _filled(base.join(large, its, "left_anti"), xs, neighbours, 0, True).unionByName(
+            _filled(base.join(large, its, "left_semi"), xs, neighbours, _levels(base, d), True))
     means = df.agg(F.struct(*[F.avg(c).alias(c) for c in columns]).alias("q")).scalar()
     # Only the incomplete rows meet their fill; the others are not moved.
     gaps = marked.filter(~complete).join(filled, (F.col("_block") == F.col("_qblock")) & (F.col("_id") == F.col("_qid")), "left").withColumn("_means", means)

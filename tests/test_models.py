@@ -446,3 +446,28 @@ def test_bands_are_scored_by_blocks(failing):
     assert abs(np.array(theirs["p"].tolist()) @ np.array(Q.BAND_MIDDLES) - mine).max() < 1e-12
     with pytest.raises(Exception, match="NaN"):
         net.score(failing.withColumn("x3", F.lit(float("nan")))).collect()
+
+
+@pytest.mark.parametrize("most", [2000, 150, 40])
+def test_small_blocks_are_compared_whole(spark, monkeypatch, most):
+    """All blocks whole, some of them, or none: the same neighbours; a whole block has no cells, and its rows move to it once."""
+    monkeypatch.setattr(K, "ROWS_COMPARED", most)
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (500, 3))
+    x[:60] = x[0]
+    x[rng.random((500, 3)) < 0.1] = np.nan
+    x[7] = np.nan
+    block = ["A" if i < 300 else "B" if i < 400 else "C" if i < 490 else None for i in range(500)]
+    rows = [(i, block[i], *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id int, equipment_id string, a double, b double, c double").repartition(3)
+    out = K.impute_knn(df, ["a", "b", "c"], ["id"])
+    got = out.orderBy("id").toPandas()
+    mean = np.nanmean(x, axis=0)
+    for name, at in (("A", slice(0, 300)), ("B", slice(300, 400)), ("C", slice(400, 490))):
+        want = brute_force(df.filter(F.col("equipment_id") == name).orderBy("id").toPandas(), ["a", "b", "c"])
+        want[np.isnan(x[at]).all(axis=1)] = mean
+        assert np.allclose(got[["a", "b", "c"]].to_numpy()[at], want, atol=1e-9)
+    assert np.allclose(got[["a", "b", "c"]].to_numpy()[490:], np.where(np.isnan(x[490:]), mean, x[490:]), atol=1e-9)
+    base = df.selectExpr("struct(id) AS _id", "equipment_id AS _block", "a AS x0", "b AS x1", "c AS x2")
+    plan = K._filled(base, ["x0", "x1", "x2"], 5, 0, True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1 and "percentile_approx" not in plan
